@@ -333,7 +333,7 @@ def _strings(hot: DataFrame, length: int) -> DataFrame:
     return again.select("doc", F.col("start").alias("lo"), (F.col("start") + length).alias("hi"))
 
 
-def repeated_ranges(df: DataFrame, length: int = 100, slots: int | None = None, max_slots: int = 1 << 28, hot: int = 500) -> DataFrame:
+def repeated_ranges(df: DataFrame, length: int = 100, slots: int | None = None, max_slots: int = 1 << 28, hot: int = 2000) -> DataFrame:
     """doc_id, ranges (flattened [start, stop) byte ranges, sorted and merged) of documents with
     something to remove; df has doc_id and text."""
     if length <= Q or hot > 50_000:
@@ -380,7 +380,7 @@ def repeated_ranges(df: DataFrame, length: int = 100, slots: int | None = None,
     return materialize(by_doc.mapInArrow(merge, "doc_id long, ranges array<long>"), "ranges")
 
 
-def suffix_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 100, slots: int | None = None, hot: int = 500) -> DataFrame:
+def suffix_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 100, slots: int | None = None, hot: int = 2000) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, ranges, kept (binary) of every row of df."""
     docs = id_text(df, id_col, text_col)
     ranges = repeated_ranges(docs, length, slots, hot=hot).withColumnRenamed("doc_id", "doc")
