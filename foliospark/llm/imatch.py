@@ -32,8 +32,12 @@ from pyspark.sql import functions as F
 from foliospark.llm.columns import id_text
 from foliospark.runtime import materialize, shuffle_partitions
 
-#: Of each rate so many subsets: a term is kept if its salted hash is 0 modulo the rate.
-RATES = ((8, 16), (32, 16), (128, 16), (512, 16))
+#: (rate, subsets, lowest bit): of each rate there are so many subsets, each with every rate-th term
+#: of the lexicon. Which one a term is in (if any) is told by the bits of its hash from that bit on.
+RATES = ((16, 16, 0), (32, 16, 8), (128, 16, 16), (512, 16, 24))
+PARTS = sum(n for _, n, _ in RATES)
+#: The hash of an array without elements is its seed.
+NOTHING = 42
 
 
 def terms(text: Column) -> Column:
@@ -65,28 +69,30 @@ def fingerprinted(df: DataFrame, text_col: str, out: str, lexicon: DataFrame, bi
     at = lambda t: slot(t, bits)
     inside = F.filter("found_", lambda t: F.getbit(F.element_at(F.col("lex_"), (F.shiftrightunsigned(at(t), 6) + 1).cast("int")), F.pmod(at(t), F.lit(64)).cast("int")) == 1)
     kept = found.withColumn("inside_", inside).withColumn("inside_", F.array_sort(F.when(F.size("inside_") > 0, F.col("inside_")).otherwise(F.col("found_"))))
-    return kept.withColumn(out, parts(F.col("inside_"))).drop("lex_", "found_", "inside_")
+    # A column for each rate with the terms that are in any of its subsets, so that the passes over them are short.
+    some = kept.select("*", *(F.filter("inside_", below(rate, low, n)).alias(f"some{low}_") for rate, n, low in RATES))
+    hashes = [F.xxhash64(F.filter(f"some{low}_", in_subset(rate, low, k))) for rate, n, low in RATES for k in range(n)]
+    part = lambda h: F.when(h == NOTHING, F.lit("0" * 8)).otherwise(F.lpad(F.lower(F.hex(F.pmod(h, F.lit((1 << 32) - 1)) + 1)), 8, "0"))
+    named = some.withColumn("hashes_", F.array(*hashes)).withColumn(out, F.array_join(F.transform("hashes_", part), ""))
+    return named.drop("lex_", "found_", "inside_", "hashes_", *(f"some{low}_" for _, _, low in RATES))
 
 
-def in_subset(salt: int, rate: int) -> Callable[[Column], Column]:
-    return lambda t: F.pmod(F.xxhash64(t, F.lit(salt)), F.lit(rate)) == 0
+def place(term: Column, rate: int, low: int) -> Column:
+    return F.shiftrightunsigned(term, low).bitwiseAND(F.lit(rate - 1).cast("long"))
 
 
-def parts(found: Column) -> Column:
-    out, salt = [], 0
-    for rate, n in RATES:
-        for _ in range(n):
-            salt += 1
-            kept = F.filter(found, in_subset(salt, rate))
-            out.append(F.when(F.size(kept) == 0, F.lit("0" * 8)).otherwise(F.lpad(F.lower(F.hex(F.pmod(F.xxhash64(kept), F.lit((1 << 32) - 1)) + 1)), 8, "0")))
-    return F.concat(*out)
+def below(rate: int, low: int, n: int) -> Callable[[Column], Column]:
+    return lambda t: place(t, rate, low) < n
+
+
+def in_subset(rate: int, low: int, k: int) -> Callable[[Column], Column]:
+    return lambda t: place(t, rate, low) == k
 
 
 def likeness(a: Column, b: Column) -> Column:
     """0 to 1, of two fingerprints."""
-    n = sum(k for _, k in RATES)
     none = F.lit("0" * 8)
-    pairs = F.transform(F.sequence(F.lit(0), F.lit(n - 1)), lambda i: F.struct(F.substr(a, i * 8 + 1, F.lit(8)).alias("x"), F.substr(b, i * 8 + 1, F.lit(8)).alias("y")))
+    pairs = F.transform(F.sequence(F.lit(0), F.lit(PARTS - 1)), lambda i: F.struct(F.substr(a, i * 8 + 1, F.lit(8)).alias("x"), F.substr(b, i * 8 + 1, F.lit(8)).alias("y")))
     some = F.size(F.filter(pairs, lambda p: (p["x"] != none) | (p["y"] != none)))
     same = F.size(F.filter(pairs, lambda p: (p["x"] == p["y"]) & (p["x"] != none)))
     return F.when(some == 0, F.lit(1.0)).otherwise(same.cast("double") / some)
