@@ -86,9 +86,8 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
-    labels = table(spark, sf_dir, "labels").where("quality = 1 and toxic = 0").select("doc_id", F.lit(True).alias("good")).distinct()
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text").join(labels, "doc_id", "left")
-    return lm_score.lm_score(docs)
+    good = table(spark, sf_dir, "labels").where("quality = 1 and toxic = 0")
+    return lm_score.lm_score(table(spark, sf_dir, "documents"), good)
 
 
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
