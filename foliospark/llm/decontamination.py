@@ -27,6 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from foliospark.llm.columns import id_text, keep_rows
+from foliospark.llm.worker import held
 
 WORD = re.compile(r"\w+")
 BASE = 0x9E3779B97F4A7C15
@@ -164,15 +165,8 @@ def item_blocks(benchmark: DataFrame, block_bytes: int, id_col: str, text_col: s
         yield [(r["doc_id"], r["text"]) for r in part.toLocalIterator()]
 
 
-_INDEXES: dict[tuple, ItemIndex] = {}
-
-
 def _index(items: list[tuple[int, str]], similarity: float, min_words: int) -> ItemIndex:
-    key = hash(tuple(items)), similarity, min_words
-    if key not in _INDEXES:
-        _INDEXES.clear()
-        _INDEXES[key] = ItemIndex(items, similarity, min_words)
-    return _INDEXES[key]
+    return held(("items", hash(tuple(items)), similarity, min_words), lambda: ItemIndex(items, similarity, min_words))
 
 
 def matches(df: DataFrame, benchmark: DataFrame, similarity: float = 0.8, min_words: int = 5, id_col: str = "doc_id", text_col: str = "text", item_id_col: str = "item_id", item_text_col: str = "text", block_bytes: int = 32 << 20) -> DataFrame:

@@ -32,6 +32,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from foliospark.llm.columns import id_text, keep_rows, portions
+from foliospark.llm.worker import held
 
 SCHEMA = pa.schema([("doc_id", pa.int64()), ("lang_pred", pa.string()), ("score", pa.float64()), ("phrases", pa.int64()), ("n_symbols", pa.int64())])
 _NOT_LETTERS = regex.compile(r"[^\p{L}\p{M}]+")
@@ -153,17 +154,10 @@ def sample(labelled: DataFrame, rows: int, chars: int) -> dict[str, str]:
     return out
 
 
-_PARSERS: dict[int, CrossParser] = {}
-
-
 def predict(samples: dict[str, str], texts: list[str | None], block: int = 256) -> tuple[list[str], list[float], list[int], list[int]]:
     """Language, score, phrases and symbols of each text. The score is the share of
     phrases that the best language saves against the second best (1 if there is no second)."""
-    key = hash(tuple(sorted(samples.items())))
-    if key not in _PARSERS:
-        _PARSERS.clear()
-        _PARSERS[key] = CrossParser(samples)
-    p = _PARSERS[key]
+    p = held(("language", hash(tuple(sorted(samples.items())))), lambda: CrossParser(samples))
     fold = [folded(t) for t in texts]
     some = [i for i, t in enumerate(fold) if t] if p.langs else []
     lang, score, phrases, n = ["und"] * len(texts), [0.0] * len(texts), [0] * len(texts), [len(t) for t in fold]

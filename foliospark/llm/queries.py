@@ -40,7 +40,7 @@ def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_sentencepiece(spark: SparkSession, sf_dir: str, path: str | None = None) -> DataFrame:
     with open(path or tokenizer_file("piece_bpe_32k.model"), "rb") as f:
         model = f.read()
-    out = sentencepiece_codec.decode(sentencepiece_codec.encode(table(spark, sf_dir, "documents"), model), model)
+    out = sentencepiece_codec.encode(table(spark, sf_dir, "documents"), model, decoded=True)
     return out.select(
         "doc_id",
         F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes"),

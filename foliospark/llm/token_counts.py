@@ -33,6 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from foliospark.llm.columns import id_text
+from foliospark.llm.worker import held
 
 # Classes of code points, as the splitter reads them.
 LETTER, STMD, R, E, V, L, NUMBER, OTHER, APOS, SPACE, WS, RESET = range(12)
@@ -259,9 +260,6 @@ def bpe_parts(tokenizer_json: str) -> tuple[list[tuple[bytes, bytes]], list[str]
     return [(raw(a), raw(b)) for a, b in merges], [x["content"] for x in j["added_tokens"]]
 
 
-_COUNTERS: dict[int, tuple[BpeCounter, list[str]]] = {}
-
-
 def count_batch(texts: list[str | None], counter: BpeCounter, specials: list[str]) -> np.ndarray:
     """Tokens of each text; the texts of a batch are one input, parted by RESET symbols."""
     extra = np.zeros(len(texts), np.int64)
@@ -305,11 +303,11 @@ def token_counts(df: DataFrame, tokenizer_json: str, id_col: str = "doc_id", tex
     shared = df.sparkSession.sparkContext.broadcast(tokenizer_json)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key = hash(shared.value)
-        if key not in _COUNTERS:
+        def made() -> tuple[BpeCounter, list[str]]:
             merges, specials = bpe_parts(shared.value)
-            _COUNTERS[key] = BpeCounter(merges), specials
-        counter, specials = _COUNTERS[key]
+            return BpeCounter(merges), specials
+
+        counter, specials = held(("tokens", hash(shared.value)), made)
         for batch in batches:
             texts = batch.column("text").to_pylist()
             tokens = np.zeros(len(texts), np.int64)
