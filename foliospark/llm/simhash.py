@@ -36,6 +36,7 @@ from pyspark.sql import functions as F
 
 from foliospark.llm.columns import id_text
 from foliospark.llm.components import connected_components
+from foliospark.llm.shared_slots import Shared, shared_table, slots_for
 from foliospark.runtime import materialize
 
 SEGMENTS = ((0, 22), (22, 21), (43, 21))  # (lowest bit, width)
@@ -120,23 +121,36 @@ def fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     return id_text(df, id_col, text_col).mapInArrow(run, "doc_id long, fp long")
 
 
+def _keyed(batches: Iterator[pa.RecordBatch], part: int = 10_000) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Arrays of key, node, fp of rows (node, fps); each place in fps has keys of its own."""
+    for batch in batches:
+        ids = batch["node"].to_numpy(zero_copy_only=False).astype(np.int64)
+        if not len(ids):
+            continue
+        fps = batch["fps"].flatten().to_numpy(zero_copy_only=False).astype(np.int64).reshape(len(ids), -1)
+        for i in range(0, len(ids), part):
+            for t in range(fps.shape[1]):
+                own = np.ascontiguousarray(fps[i : i + part, t])
+                rows, keys = keys_of(own.view(np.uint64))
+                yield keys | t << 26, ids[i : i + part][rows], own[rows]
+
+
 def golay_keys(nodes: DataFrame) -> DataFrame:
-    """key, node, fp rows of nodes (columns node, fps: an array of fingerprints, of which each has its own keys)."""
+    """key, node, fp rows of nodes (columns node, fps: an array of fingerprints) whose key some
+    other node may have; keys that are alone are left out before anything is written."""
+    nodes = nodes.select("node", "fps")
+    n = nodes.agg(F.coalesce(F.sum(F.size("fps")), F.lit(0))).first()[0]
+    slots = slots_for(n * 29)
+    table = nodes.sparkSession.sparkContext.broadcast(shared_table(nodes, lambda b: (k.view(np.uint64) for k, _, _ in _keyed(b)), slots))
     schema = pa.schema([("key", pa.int64()), ("node", pa.int64()), ("fp", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ids = batch["node"].to_numpy(zero_copy_only=False).astype(np.int64)
-            if not len(ids):
-                continue
-            fps = batch["fps"].flatten().to_numpy(zero_copy_only=False).astype(np.int64).reshape(len(ids), -1)
-            for i in range(0, len(ids), 10_000):
-                for t in range(fps.shape[1]):
-                    part = np.ascontiguousarray(fps[i : i + 10_000, t])
-                    rows, keys = keys_of(part.view(np.uint64))
-                    yield pa.RecordBatch.from_arrays([pa.array(keys | t << 26), pa.array(ids[i : i + 10_000][rows]), pa.array(part[rows])], schema=schema)
-
-    return nodes.select("node", "fps").mapInArrow(run, "key long, node long, fp long")
+        known = Shared(table.value, slots)
+        for columns in _keyed(batches):
+            on = known.of(columns[0].view(np.uint64))
+            yield pa.RecordBatch.from_arrays([pa.array(c[on]) for c in columns], schema=schema)
+
+    return nodes.mapInArrow(run, "key long, node long, fp long")
 
 
 def link_components(nodes: DataFrame, radius: int = RADIUS, rounds: int = 2, verify: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:

@@ -34,8 +34,7 @@ binary therefore; an empty table gives an empty result.
 
 from __future__ import annotations
 
-import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -43,10 +42,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from foliospark.llm.columns import id_text
+from foliospark.llm.shared_slots import Shared, shared_table, slots_for
 from foliospark.runtime import materialize
 
 Q = 40
-SLOT_BLOCK = 1 << 16
 B1, B2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD1342543DE82EF95)
 NULL_ID = -1 << 62
 RANGES = pa.schema([("doc_id", pa.int64()), ("ranges", pa.list_(pa.int64()))])
@@ -128,61 +127,16 @@ def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, bytes]]:
             yield (NULL_ID if doc is None else doc), (t.encode() if t else b"")
 
 
-def _slot_of(bucket: np.ndarray, slots: int) -> np.ndarray:
-    return (bucket * B2 >> np.uint64(64 - (slots.bit_length() - 1))).astype(np.int64)
-
-
-def shared_slots(docs: DataFrame, length: int, slots: int) -> DataFrame:
-    """Rows (block, twice): the slots that two anchors or more hit, as packed bits."""
-    w = length - Q + 1
-    kind = "block long, once binary, twice binary"
-
-    def rows(once: np.ndarray, twice: np.ndarray) -> pa.RecordBatch:
-        """From sorted slots."""
-        first = np.unique(once // SLOT_BLOCK)
-        out: dict[str, list] = {"block": [], "once": [], "twice": []}
-        for b in first.tolist():
-            for name, x in (("once", once), ("twice", twice)):
-                lo, hi = np.searchsorted(x, [b * SLOT_BLOCK, (b + 1) * SLOT_BLOCK])
-                bits = np.zeros(SLOT_BLOCK, bool)
-                bits[x[lo:hi] - b * SLOT_BLOCK] = True
-                out[name].append(zlib.compress(np.packbits(bits).tobytes(), 1))
-            out["block"].append(b)
-        return pa.RecordBatch.from_pydict({"block": pa.array(out["block"], pa.int64()), "once": pa.array(out["once"], pa.binary()), "twice": pa.array(out["twice"], pa.binary())})
-
-    def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found: list[np.ndarray] = []
-        n = 0
-
-        def flush() -> pa.RecordBatch:
-            x, counts = np.unique(np.concatenate(found) if found else np.empty(0, np.int64), return_counts=True)
-            return rows(x, x[counts > 1])
+def buckets(length: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[np.ndarray]]:
+    """The buckets of all anchors, document by document."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
         for _, data in _texts(batches):
-            if len(data) < length:
-                continue
-            g = Rolling(np.frombuffer(data, np.uint8)).grams(Q)
-            found.append(_slot_of(g[anchors(g, w)], slots))
-            n += len(found[-1])
-            if n > 8_000_000:
-                yield flush()
-                found.clear()
-                n = 0
-        yield flush()
-
-    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        have: dict[int, tuple[np.ndarray, np.ndarray]] = {}
-        for batch in batches:
-            for b, one, two in zip(batch["block"].to_pylist(), batch["once"].to_pylist(), batch["twice"].to_pylist(), strict=True):
-                o, t = (np.frombuffer(zlib.decompress(x), np.uint8) for x in (one, two))
-                if b in have:
-                    have_o, have_t = have[b]
-                    have[b] = have_o | o, have_t | t | (have_o & o)
-                else:
-                    have[b] = o, t
-        yield pa.RecordBatch.from_pydict({"block": pa.array(list(have), pa.int64()), "once": pa.array([b""] * len(have), pa.binary()), "twice": pa.array([zlib.compress(x[1].tobytes(), 1) for x in have.values()], pa.binary())})
+            if len(data) >= length:
+                g = Rolling(np.frombuffer(data, np.uint8)).grams(Q)
+                yield g[anchors(g, length - Q + 1)]
 
-    return docs.mapInArrow(build, kind).repartition(F.col("block")).mapInArrow(merge, kind).select("block", "twice")
+    return run
 
 
 def suspects(docs: DataFrame, table: bytes, slots: int, length: int) -> DataFrame:
@@ -193,7 +147,7 @@ def suspects(docs: DataFrame, table: bytes, slots: int, length: int) -> DataFram
     types = [pa.int64()] * 3 + [pa.int32()] * 3
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = np.frombuffer(zlib.decompress(shared.value), np.uint8)
+        known = Shared(shared.value, slots)
         out: list[list[np.ndarray]] = [[] for _ in names]
         n = 0
 
@@ -209,8 +163,7 @@ def suspects(docs: DataFrame, table: bytes, slots: int, length: int) -> DataFram
             r = Rolling(np.frombuffer(data, np.uint8))
             g = r.grams(Q)
             at = anchors(g, w)
-            slot = _slot_of(g[at], slots)
-            at = at[(bits[slot >> 3] >> (7 - (slot & 7)).astype(np.uint8) & 1).astype(bool)]
+            at = at[known.of(g[at])]
             if not len(at):
                 continue
             lo, hi = np.maximum(at - side, 0), np.minimum(at + length, len(data))
@@ -340,13 +293,8 @@ def repeated_ranges(df: DataFrame, length: int = 100, slots: int | None = None,
         raise ValueError(f"length must be over {Q}, hot at most 50000")
     if slots is None:
         size = df.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
-        slots = min(max_slots, 1 << max(20, int(size // 4).bit_length()))
-    size = SLOT_BLOCK // 8
-    table = np.zeros(slots // 8, np.uint8)
-    for r in shared_slots(df, length, slots).toLocalIterator():
-        table[r["block"] * size : (r["block"] + 1) * size] = np.frombuffer(zlib.decompress(r["twice"]), np.uint8)
-    a = materialize(suspects(df, zlib.compress(table.tobytes(), 1), slots, length), "anchors")
-    del table
+        slots = slots_for(size // 30, max_slots)
+    a = materialize(suspects(df, shared_table(df, buckets(length), slots), slots, length), "anchors")
 
     firsts = a.groupBy("bucket", "context").agg(F.min(F.struct("doc", "pos", "lo", "hi")).alias("first"), F.count("doc").alias("n"))
     firsts = materialize(firsts, "contexts")
