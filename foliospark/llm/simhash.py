@@ -25,7 +25,7 @@ from __future__ import annotations
 
 import functools
 import math
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 from itertools import combinations
 
 import numpy as np
@@ -122,23 +122,23 @@ def fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 
 def _keyed(batches: Iterator[pa.RecordBatch], part: int = 10_000) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """Arrays of key, node, fp of rows (node, fps); each place in fps has keys of its own."""
+    """Arrays of key, node, fp of rows (node, fps, salts); each place in fps has keys of its own, with the salt in them."""
     for batch in batches:
         ids = batch["node"].to_numpy(zero_copy_only=False).astype(np.int64)
         if not len(ids):
             continue
-        fps = batch["fps"].flatten().to_numpy(zero_copy_only=False).astype(np.int64).reshape(len(ids), -1)
+        fps, salts = (batch[c].flatten().to_numpy(zero_copy_only=False).astype(np.int64).reshape(len(ids), -1) for c in ("fps", "salts"))
         for i in range(0, len(ids), part):
             for t in range(fps.shape[1]):
                 own = np.ascontiguousarray(fps[i : i + part, t])
                 rows, keys = keys_of(own.view(np.uint64))
-                yield keys | t << 26, ids[i : i + part][rows], own[rows]
+                yield keys | t << 26 | salts[i : i + part, t][rows] << 32, ids[i : i + part][rows], own[rows]
 
 
 def golay_keys(nodes: DataFrame) -> DataFrame:
-    """key, node, fp rows of nodes (columns node, fps: an array of fingerprints) whose key some
+    """key, node, fp rows of nodes (columns node, fps: an array of fingerprints, salts: as many numbers) whose key some
     other node may have; keys that are alone are left out before anything is written."""
-    nodes = nodes.select("node", "fps")
+    nodes = nodes.select("node", "fps", "salts")
     n = nodes.agg(F.coalesce(F.sum(F.size("fps")), F.lit(0))).first()[0]
     slots = slots_for(n * 29)
     table = nodes.sparkSession.sparkContext.broadcast(shared_table(nodes, lambda b: (k.view(np.uint64) for k, _, _ in _keyed(b)), slots))
@@ -153,16 +153,18 @@ def golay_keys(nodes: DataFrame) -> DataFrame:
     return nodes.mapInArrow(run, "key long, node long, fp long")
 
 
-def link_components(nodes: DataFrame, radius: int = RADIUS, rounds: int = 2, verify: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
-    """node, component of the nodes (node, fps) that links join to a lesser one.
+def link_components(nodes: DataFrame, radius: int = RADIUS, rounds: int = 2, sketch: DataFrame | None = None, limit: int = 0) -> DataFrame:
+    """node, component of the nodes (node, fps, salts) that links join to a lesser one.
 
-    A link: one of their fingerprints differs in `radius` bits at most and `verify`, which
-    gets and returns pairs (a, b), keeps it.
+    A link: of one of their fingerprints (with equal salts) at most `radius` bits differ and, if
+    there is a sketch (node, s0, s1, ..), at most `limit` bits of that.
     """
     if not 0 <= radius <= RADIUS:
         raise ValueError(f"these keys are complete for up to {RADIUS} differing bits")
     near = lambda a, b: F.bit_count(F.col(a).bitwiseXOR(F.col(b))) <= radius
-    verify = verify or (lambda pairs: pairs)
+    parts_of = [c for c in sketch.columns if c != "node"] if sketch is not None else []
+    bits = sum((F.bit_count(F.col(f"a_{c}").bitwiseXOR(F.col(f"b_{c}"))) for c in parts_of), F.lit(0))
+    side = lambda n: sketch.select(F.col("node").alias(n), *(F.col(c).alias(f"{n}_{c}") for c in parts_of))
     keys = materialize(golay_keys(nodes), "golay-keys")
     links = None
     for r in range(rounds):
@@ -170,15 +172,23 @@ def link_components(nodes: DataFrame, radius: int = RADIUS, rounds: int = 2, ver
         one = one.select("key", F.col("rep.node").alias("rep"), F.col("rep.fp").alias("rep_fp"))
         found = keys.join(one, "key").where((F.col("node") != F.col("rep")) & near("fp", "rep_fp")).select(F.greatest("node", "rep").alias("a"), F.least("node", "rep").alias("b"))
         links = found if links is None else links.union(found)
-    parts = materialize(connected_components(verify(links.distinct())), "parts")
+    links = links.distinct()
+    if sketch is not None:
+        links = materialize(links.join(side("a"), "a").join(side("b"), "b").where(bits <= limit).select("a", "b"), "verified")
+    parts = materialize(connected_components(links), "parts")
     # Buckets of two are settled; of the others, those whose members are in one component.
     own = keys.join(parts, "node", "left").select("key", "node", "fp", F.coalesce("component", "node").alias("part"))
     own = materialize(own, "golay-parts")
     open_ = own.groupBy("key").agg(F.count("node").alias("n"), F.min("part").alias("p"), F.max("part").alias("q")).where("n > 2 and p <> q").select("key")
     left = materialize(own.join(open_, "key", "left_semi"), "golay-open")
+    # Members of different components meet within a bucket; the join itself lets only links through.
     x = left.select("key", F.col("node").alias("a"), F.col("fp").alias("fx"), F.col("part").alias("pa"))
     y = left.select("key", F.col("node").alias("b"), F.col("fp").alias("fy"), F.col("part").alias("pb"))
-    more = verify(x.join(y, (x["key"] == y["key"]) & (x["pa"] < y["pb"]) & near("fx", "fy")).select("a", "b").distinct())
+    on = (F.col("pa") < F.col("pb")) & near("fx", "fy")
+    if sketch is not None:
+        x, y, on = materialize(x.join(side("a"), "a"), "golay-sketch"), None, on & (bits <= limit)
+        y = x.select("key", *(F.col(c).alias(n) for c, n in (("a", "b"), ("fx", "fy"), ("pa", "pb"))), *(F.col(f"a_{c}").alias(f"b_{c}") for c in parts_of))
+    more = x.join(y.withColumnRenamed("key", "key_"), (F.col("key") == F.col("key_")) & on).select("a", "b").distinct()
     tops = parts.select(F.col("node").alias("a"), F.col("component").alias("ca")), parts.select(F.col("node").alias("b"), F.col("component").alias("cb"))
     between = more.join(tops[0], "a", "left").join(tops[1], "b", "left").select(F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b"))
     joined = connected_components(between)
@@ -190,7 +200,7 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     """doc_id, fp, component_id (the least doc_id that links reach) of every row of df."""
     docs = materialize(fingerprints(df, id_col, text_col, shingle), "fingerprints")
     own = docs.groupBy("fp").agg(F.min("doc_id").alias("least"))
-    parts = link_components(own.select(F.col("fp").alias("node"), F.array("fp").alias("fps")), radius)
+    parts = link_components(own.select(F.col("fp").alias("node"), F.array("fp").alias("fps"), F.array(F.lit(0).cast("long")).alias("salts")), radius)
     own = materialize(own.join(parts.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "least", F.coalesce("component", "fp").alias("part")), "parts")
     top = own.groupBy("part").agg(F.min("least").alias("component_id"))
     label = own.join(top, "part").select("fp", "component_id")
@@ -200,7 +210,9 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
 # Near copies by similarity of word shingles. A word that is edited changes `shingle` shingles, and
 # fingerprints of the shingles of texts that are 0.8 alike differ in ten of 64 bits; those
 # of their sets of words differ in about four. So candidates come from several fingerprints of
-# the words, and a long fingerprint of the shingles decides.
+# the words, and a long fingerprint of the shingles decides. Each fingerprint's keys also hold 16
+# bits of a min-hash of the words, which texts that are 0.8 alike share nearly always (as they share
+# 19 of 20 words) and others hardly ever, so buckets don't grow with the corpus.
 
 WORD_PRINTS, SKETCH = 4, 8  # fingerprints of words; 64-bit parts of the long one
 
@@ -229,39 +241,33 @@ def differing(similarity: float) -> int:
 
 
 def sketches(df: DataFrame, id_col: str, text_col: str, shingle: int) -> DataFrame:
-    """doc_id, same (128 bits of the words in order), fps, sketch of every whole text."""
-    schema = pa.schema([("doc_id", pa.int64()), ("same", pa.binary()), ("fps", pa.list_(pa.int64())), ("sketch", pa.list_(pa.int64()))])
+    """doc_id, same (128 bits of the words in order), fps, salts, sketch of every whole text."""
+    schema = pa.schema([("doc_id", pa.int64()), ("same", pa.binary()), ("fps", pa.list_(pa.int64())), ("salts", pa.list_(pa.int64())), ("sketch", pa.list_(pa.int64()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            same, fps, sketch = [], [], []
+            same, fps, salts, sketch = [], [], [], []
             for text in batch.column("text"):
                 words = (text.as_py() or "").encode().lower().split()
                 same.append(xxhash.xxh3_128_digest(b" ".join(words)))
                 own = np.fromiter({xxhash.xxh64_intdigest(w, SEED) for w in words}, np.uint64)
                 fps.append(_print_of(own, range(WORD_PRINTS)).view(np.int64))
+                least = _salted(own, range(-WORD_PRINTS, 0)).min(axis=0) if len(own) else np.zeros(WORD_PRINTS, np.uint64)
+                salts.append((least & np.uint64(0xFFFF)).astype(np.int64))
                 sketch.append(_print_of(np.unique(shingle_hashes(text.as_py(), shingle)), range(WORD_PRINTS, WORD_PRINTS + SKETCH)).view(np.int64))
-            yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(same, pa.binary()), pa.array(fps, pa.list_(pa.int64())), pa.array(sketch, pa.list_(pa.int64()))], schema=schema)
+            yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(same, pa.binary()), pa.array(fps, pa.list_(pa.int64())), pa.array(salts, pa.list_(pa.int64())), pa.array(sketch, pa.list_(pa.int64()))], schema=schema)
 
-    return id_text(df, id_col, text_col).mapInArrow(run, "doc_id long, same binary, fps array<long>, sketch array<long>")
+    return id_text(df, id_col, text_col).mapInArrow(run, "doc_id long, same binary, fps array<long>, salts array<long>, sketch array<long>")
 
 
 def near_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, similarity: float = 0.8) -> DataFrame:
     """doc_id, component_id (the least doc_id that links reach) of every row; a link: word
     shingles that are `similarity` alike, as the long fingerprints (512 bits) tell."""
     docs = materialize(sketches(df, id_col, text_col, shingle), "sketches")
-    classes = materialize(docs.groupBy("same").agg(F.min(F.coalesce("doc_id", F.lit(NULL_ID))).alias("node"), F.first("fps").alias("fps"), F.first("sketch").alias("sketch")), "classes")
+    classes = materialize(docs.groupBy("same").agg(F.min(F.coalesce("doc_id", F.lit(NULL_ID))).alias("node"), F.first("fps").alias("fps"), F.first("salts").alias("salts"), F.first("sketch").alias("sketch")), "classes")
     parts_of = [F.col("sketch")[i].alias(f"s{i}") for i in range(SKETCH)]
     sketch = materialize(classes.select("node", *parts_of), "long-prints")
-    limit = differing(similarity)
-
-    def verify(pairs: DataFrame) -> DataFrame:
-        a = sketch.select(F.col("node").alias("a"), *(F.col(f"s{i}").alias(f"x{i}") for i in range(SKETCH)))
-        b = sketch.select(F.col("node").alias("b"), *(F.col(f"s{i}").alias(f"y{i}") for i in range(SKETCH)))
-        bits = sum((F.bit_count(F.col(f"x{i}").bitwiseXOR(F.col(f"y{i}"))) for i in range(SKETCH)), F.lit(0))
-        return materialize(pairs.join(a, "a").join(b, "b").where(bits <= limit).select("a", "b"), "verified")
-
-    parts = link_components(classes.select("node", "fps"), verify=verify)
+    parts = link_components(classes.select("node", "fps", "salts"), sketch=sketch, limit=differing(similarity))
     label = classes.select("same", "node").join(parts, "node", "left").select("same", F.coalesce("component", "node").alias("component_id"))
     return docs.select("doc_id", "same").join(label, "same").select("doc_id", "component_id")
 
