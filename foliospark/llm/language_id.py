@@ -81,7 +81,8 @@ class SuffixAutomaton:
                         p = links[p]
                     links[q] = links[cur] = clone
             last = cur
-        self.next = np.full((len(out), len(alphabet) + 1), -1, np.int32)
+        # The last row has no way out: there one is after a symbol that the sample lacks.
+        self.next = np.full((len(out) + 1, len(alphabet) + 1), -1, np.int32)
         for s, o in enumerate(out):
             for c, to in o.items():
                 self.next[s, c] = to
@@ -116,7 +117,7 @@ class CrossParser:
         out = np.zeros((len(texts), len(self.langs)), np.int64)
         for k, table in enumerate(self.tables):
             flat, width = table.ravel(), table.shape[1]
-            first = np.maximum(table[0], 0)
+            first = np.where(table[0] < 0, len(table) - 1, table[0]).astype(np.int32)
             state = np.zeros(len(owner), np.int32)
             count = np.ones(len(owner), np.int64)
             for i in range(block):
