@@ -25,13 +25,13 @@ from __future__ import annotations
 
 import functools
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from foliospark.llm.columns import id_text
@@ -43,7 +43,6 @@ SEGMENTS = ((0, 22), (22, 21), (43, 21))  # (lowest bit, width)
 RADIUS = 4
 GENERATOR = 0b110001110101  # x^11 + x^10 + x^6 + x^5 + x^4 + x^2 + 1
 SEED = 42
-NULL_ID = -1 << 62
 
 
 @functools.cache
@@ -135,65 +134,76 @@ def _keyed(batches: Iterator[pa.RecordBatch], part: int = 10_000) -> Iterator[tu
                 yield keys | t << 26 | salts[i : i + part, t][rows] << 32, ids[i : i + part][rows], own[rows]
 
 
+def shared_keys(nodes: DataFrame, keyed: Callable[[Iterator[pa.RecordBatch]], Iterator[tuple[np.ndarray, ...]]], n: int, columns: tuple[str, ...]) -> DataFrame:
+    """Rows of `keyed` (the key first; about n in all) whose key some other row may have; keys that are
+    alone are left out before anything is written."""
+    slots = slots_for(n)
+    table = nodes.sparkSession.sparkContext.broadcast(shared_table(nodes, lambda b: (x[0].view(np.uint64) for x in keyed(b)), slots))
+    schema = pa.schema([(c, pa.int64()) for c in columns])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = Shared(table.value, slots)
+        for arrays in keyed(batches):
+            on = known.of(arrays[0].view(np.uint64))
+            yield pa.RecordBatch.from_arrays([pa.array(c[on]) for c in arrays], schema=schema)
+
+    return nodes.mapInArrow(run, ", ".join(f"{c} long" for c in columns))
+
+
 def golay_keys(nodes: DataFrame) -> DataFrame:
-    """key, node, fp rows of nodes (columns node, fps: an array of fingerprints, salts: as many numbers) whose key some
-    other node may have; keys that are alone are left out before anything is written."""
+    """key, node, fp rows of nodes (columns node, fps: an array of fingerprints, salts: as many numbers)."""
     nodes = nodes.select("node", "fps", "salts")
     n = nodes.agg(F.coalesce(F.sum(F.size("fps")), F.lit(0))).first()[0]
-    slots = slots_for(n * 29)
-    table = nodes.sparkSession.sparkContext.broadcast(shared_table(nodes, lambda b: (k.view(np.uint64) for k, _, _ in _keyed(b)), slots))
-    schema = pa.schema([("key", pa.int64()), ("node", pa.int64()), ("fp", pa.int64())])
+    return shared_keys(nodes, _keyed, n * 29, ("key", "node", "fp"))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = Shared(table.value, slots)
-        for columns in _keyed(batches):
-            on = known.of(columns[0].view(np.uint64))
-            yield pa.RecordBatch.from_arrays([pa.array(c[on]) for c in columns], schema=schema)
 
-    return nodes.mapInArrow(run, "key long, node long, fp long")
+def representative_pairs(keys: DataFrame, rounds: int, near: Column | None = None) -> DataFrame:
+    """a > b: members of a bucket and its representative, chosen anew by hash in each round."""
+    kept = [c for c in keys.columns if c != "key"]
+    found = None
+    for r in range(rounds):
+        one = keys.groupBy("key").agg(F.min_by(F.struct(*kept), F.struct(F.xxhash64("node", F.lit(r)), "node")).alias("rep"), F.count("node").alias("n")).where("n > 1")
+        one = one.select("key", *(F.col(f"rep.{c}").alias("rep" if c == "node" else f"rep_{c}") for c in kept))
+        pairs = keys.join(one, "key").where((F.col("node") != F.col("rep")) & (F.lit(True) if near is None else near)).select(F.greatest("node", "rep").alias("a"), F.least("node", "rep").alias("b"))
+        found = pairs if found is None else found.union(pairs)
+    return found.distinct()
+
 
+def open_buckets(keys: DataFrame, parts: DataFrame) -> DataFrame:
+    """keys with `part`, of buckets of three or more whose members aren't in one component; buckets of two are settled."""
+    own = keys.join(parts, "node", "left").select(*keys.columns, F.coalesce("component", "node").alias("part"))
+    own = materialize(own, "golay-parts")
+    open_ = own.groupBy("key").agg(F.count("node").alias("n"), F.min("part").alias("p"), F.max("part").alias("q")).where("n > 2 and p <> q").select("key")
+    return materialize(own.join(open_, "key", "left_semi"), "golay-open")
+
+
+def of_components(pairs: DataFrame, parts: DataFrame) -> DataFrame:
+    """pairs with ca, cb, the components of a and b."""
+    tops = parts.select(F.col("node").alias("a"), F.col("component").alias("ca")), parts.select(F.col("node").alias("b"), F.col("component").alias("cb"))
+    return pairs.join(tops[0], "a", "left").join(tops[1], "b", "left").withColumns({"ca": F.coalesce("ca", "a"), "cb": F.coalesce("cb", "b")})
 
-def link_components(nodes: DataFrame, radius: int = RADIUS, rounds: int = 2, sketch: DataFrame | None = None, limit: int = 0) -> DataFrame:
-    """node, component of the nodes (node, fps, salts) that links join to a lesser one.
 
-    A link: of one of their fingerprints (with equal salts) at most `radius` bits differ and, if
-    there is a sketch (node, s0, s1, ..), at most `limit` bits of that.
-    """
+def extended(parts: DataFrame, links: DataFrame) -> DataFrame:
+    """The components after more links (a, b)."""
+    joined = connected_components(of_components(links.select("a", "b"), parts).select(F.col("ca").alias("a"), F.col("cb").alias("b")))
+    deep = parts.join(joined.select(F.col("node").alias("component"), F.col("component").alias("top")), "component", "left").select("node", F.coalesce("top", "component").alias("component"))
+    return deep.union(joined).distinct()
+
+
+def link_components(nodes: DataFrame, radius: int = RADIUS, rounds: int = 2) -> DataFrame:
+    """node, component of the nodes (node, fps, salts) that links join to a lesser one; a link: of one
+    of their fingerprints (with equal salts) at most `radius` bits differ."""
     if not 0 <= radius <= RADIUS:
         raise ValueError(f"these keys are complete for up to {RADIUS} differing bits")
     near = lambda a, b: F.bit_count(F.col(a).bitwiseXOR(F.col(b))) <= radius
-    parts_of = [c for c in sketch.columns if c != "node"] if sketch is not None else []
-    bits = sum((F.bit_count(F.col(f"a_{c}").bitwiseXOR(F.col(f"b_{c}"))) for c in parts_of), F.lit(0))
-    side = lambda n: sketch.select(F.col("node").alias(n), *(F.col(c).alias(f"{n}_{c}") for c in parts_of))
     keys = materialize(golay_keys(nodes), "golay-keys")
-    links = None
-    for r in range(rounds):
-        one = keys.groupBy("key").agg(F.min_by(F.struct("node", "fp"), F.struct(F.xxhash64("node", F.lit(r)), "node")).alias("rep"), F.count("node").alias("n")).where("n > 1")
-        one = one.select("key", F.col("rep.node").alias("rep"), F.col("rep.fp").alias("rep_fp"))
-        found = keys.join(one, "key").where((F.col("node") != F.col("rep")) & near("fp", "rep_fp")).select(F.greatest("node", "rep").alias("a"), F.least("node", "rep").alias("b"))
-        links = found if links is None else links.union(found)
-    links = links.distinct()
-    if sketch is not None:
-        links = materialize(links.join(side("a"), "a").join(side("b"), "b").where(bits <= limit).select("a", "b"), "verified")
-    parts = materialize(connected_components(links), "parts")
-    # Buckets of two are settled; of the others, those whose members are in one component.
-    own = keys.join(parts, "node", "left").select("key", "node", "fp", F.coalesce("component", "node").alias("part"))
-    own = materialize(own, "golay-parts")
-    open_ = own.groupBy("key").agg(F.count("node").alias("n"), F.min("part").alias("p"), F.max("part").alias("q")).where("n > 2 and p <> q").select("key")
-    left = materialize(own.join(open_, "key", "left_semi"), "golay-open")
+    parts = materialize(connected_components(representative_pairs(keys, rounds, near("fp", "rep_fp"))), "parts")
+    left = open_buckets(keys, parts)
     # Members of different components meet within a bucket; the join itself lets only links through.
     x = left.select("key", F.col("node").alias("a"), F.col("fp").alias("fx"), F.col("part").alias("pa"))
-    y = left.select("key", F.col("node").alias("b"), F.col("fp").alias("fy"), F.col("part").alias("pb"))
-    on = (F.col("pa") < F.col("pb")) & near("fx", "fy")
-    if sketch is not None:
-        x, y, on = materialize(x.join(side("a"), "a"), "golay-sketch"), None, on & (bits <= limit)
-        y = x.select("key", *(F.col(c).alias(n) for c, n in (("a", "b"), ("fx", "fy"), ("pa", "pb"))), *(F.col(f"a_{c}").alias(f"b_{c}") for c in parts_of))
-    more = x.join(y.withColumnRenamed("key", "key_"), (F.col("key") == F.col("key_")) & on).select("a", "b").distinct()
-    tops = parts.select(F.col("node").alias("a"), F.col("component").alias("ca")), parts.select(F.col("node").alias("b"), F.col("component").alias("cb"))
-    between = more.join(tops[0], "a", "left").join(tops[1], "b", "left").select(F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b"))
-    joined = connected_components(between)
-    deep = parts.join(joined.select(F.col("node").alias("component"), F.col("component").alias("top")), "component", "left").select("node", F.coalesce("top", "component").alias("component"))
-    return deep.union(joined).distinct()
+    y = left.select(F.col("key").alias("key_"), F.col("node").alias("b"), F.col("fp").alias("fy"), F.col("part").alias("pb"))
+    more = x.join(y, (F.col("key") == F.col("key_")) & (F.col("pa") < F.col("pb")) & near("fx", "fy")).select("a", "b").distinct()
+    return extended(parts, more)
 
 
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4, radius: int = RADIUS) -> DataFrame:
@@ -207,14 +217,18 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     return docs.join(label, "fp").select("doc_id", "fp", "component_id")
 
 
-# Near copies by similarity of word shingles. A word that is edited changes `shingle` shingles, and
-# fingerprints of the shingles of texts that are 0.8 alike differ in ten of 64 bits; those
-# of their sets of words differ in about four. So candidates come from several fingerprints of
-# the words, and a long fingerprint of the shingles decides. Each fingerprint's keys also hold 16
-# bits of a min-hash of the words, which texts that are 0.8 alike share nearly always (as they share
-# 19 of 20 words) and others hardly ever, so buckets don't grow with the corpus.
+# Near copies by similarity of word shingles. A word that is edited changes `shingle` shingles, so
+# fingerprints of the shingles of texts that are 0.8 alike differ in ten of 64 bits, those of
+# their sets of words in about four. So the segments of fingerprints of the words give the Golay
+# keys: up to eight differing bits leave a segment with at most two (pigeonhole), and words within
+# two bits share an index of K. Each segment's keys also hold 32 bits of a min-hash of the shingles
+# of its own, which texts that are 0.8 alike share with probability 0.8 and others hardly ever, so buckets
+# don't grow with the corpus. With two fingerprints there are six chances. A long fingerprint of
+# the shingles settles most candidates; where it is in doubt the shingles themselves are compared.
 
-WORD_PRINTS, SKETCH = 4, 8  # fingerprints of words; 64-bit parts of the long one
+WORD_PRINTS, SKETCH = 2, 8  # fingerprints of words; 64-bit parts of the long one
+TABLES = WORD_PRINTS * len(SEGMENTS)
+DOUBT = 3.0  # standard deviations of the long fingerprint's bits
 
 
 def _salted(hashes: np.ndarray, salts: range) -> np.ndarray:
@@ -234,10 +248,13 @@ def _print_of(hashes: np.ndarray, salts: range, block: int = 4096) -> np.ndarray
     return np.packbits(2 * ones > len(hashes), bitorder="little").view("<u8").astype(np.uint64)
 
 
-def differing(similarity: float) -> int:
-    """Bits of the long fingerprint that two sets of one size and this Jaccard similarity differ in, expected."""
-    shared = 2 * similarity / (1 + similarity)
-    return round(64 * SKETCH * math.acos(shared) / math.pi)
+def differing(similarity: float) -> tuple[int, int]:
+    """Bits of the long fingerprint: up to the first, two sets are surely of this Jaccard similarity or
+    more; beyond the second, surely not (`DOUBT` standard deviations around the expected number)."""
+    p = math.acos(2 * similarity / (1 + similarity)) / math.pi  # for sets of one size
+    n = 64 * SKETCH
+    spread = DOUBT * math.sqrt(n * p * (1 - p))
+    return max(0, math.floor(n * p - spread)), math.ceil(n * p + spread)
 
 
 def sketches(df: DataFrame, id_col: str, text_col: str, shingle: int) -> DataFrame:
@@ -252,24 +269,96 @@ def sketches(df: DataFrame, id_col: str, text_col: str, shingle: int) -> DataFra
                 same.append(xxhash.xxh3_128_digest(b" ".join(words)))
                 own = np.fromiter({xxhash.xxh64_intdigest(w, SEED) for w in words}, np.uint64)
                 fps.append(_print_of(own, range(WORD_PRINTS)).view(np.int64))
-                least = _salted(own, range(-WORD_PRINTS, 0)).min(axis=0) if len(own) else np.zeros(WORD_PRINTS, np.uint64)
-                salts.append((least & np.uint64(0xFFFF)).astype(np.int64))
-                sketch.append(_print_of(np.unique(shingle_hashes(text.as_py(), shingle)), range(WORD_PRINTS, WORD_PRINTS + SKETCH)).view(np.int64))
+                parts = np.unique(shingle_hashes(text.as_py(), shingle))
+                least = np.full(TABLES, np.uint64((1 << 64) - 1))
+                for i in range(0, len(parts), 4096):
+                    least = np.minimum(least, _salted(parts[i : i + 4096], range(-TABLES, 0)).min(axis=0))
+                salts.append((least & np.uint64(0xFFFFFFFF)).astype(np.int64))
+                sketch.append(_print_of(parts, range(WORD_PRINTS, WORD_PRINTS + SKETCH)).view(np.int64))
             yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(same, pa.binary()), pa.array(fps, pa.list_(pa.int64())), pa.array(salts, pa.list_(pa.int64())), pa.array(sketch, pa.list_(pa.int64()))], schema=schema)
 
     return id_text(df, id_col, text_col).mapInArrow(run, "doc_id long, same binary, fps array<long>, salts array<long>, sketch array<long>")
 
 
+def _segment_keyed(batches: Iterator[pa.RecordBatch], part: int = 10_000) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Arrays of key, node of rows (node, fps, salts): of each segment of each fingerprint the indices K, with its salt."""
+    index = golay_index()
+    for batch in batches:
+        ids = batch["node"].to_numpy(zero_copy_only=False).astype(np.int64)
+        if not len(ids):
+            continue
+        fps, salts = (batch[c].flatten().to_numpy(zero_copy_only=False).astype(np.int64).reshape(len(ids), -1) for c in ("fps", "salts"))
+        for i in range(0, len(ids), part):
+            own = ids[i : i + part]
+            for t in range(TABLES):
+                low, width = SEGMENTS[t % len(SEGMENTS)]
+                x = (fps[i : i + part, t // len(SEGMENTS)].view(np.uint64) >> np.uint64(low) & np.uint64((1 << width) - 1)).astype(np.int64)
+                k = np.sort(index[x[:, None] ^ np.array([0, *(1 << j for j in range(width))], np.int64)], axis=1).astype(np.int64)
+                rows, j = np.nonzero(np.concatenate([np.ones((len(k), 1), bool), k[:, 1:] != k[:, :-1]], axis=1))
+                yield k[rows, j] | t << 12 | salts[i : i + part, t][rows] << 32, own[rows]
+
+
+def alike(pairs: DataFrame, texts: DataFrame, shingle: int, similarity: float) -> DataFrame:
+    """The pairs (a, b) whose sets of shingles are `similarity` alike, from whole texts (node, text)."""
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last: tuple[int | None, np.ndarray] = None, np.empty(0, np.uint64)
+        for batch in batches:
+            on = []
+            for a, ta, tb in zip(batch["a"].to_pylist(), batch["text_a"], batch["text_b"], strict=True):
+                if last[0] != a:
+                    last = a, np.unique(shingle_hashes(ta.as_py(), shingle))
+                x, y = last[1], np.unique(shingle_hashes(tb.as_py(), shingle))
+                both = len(np.intersect1d(x, y, assume_unique=True))
+                on.append(both >= similarity * (len(x) + len(y) - both) - 1e-9)
+            yield pa.RecordBatch.from_arrays([batch["a"].filter(pa.array(on, pa.bool_())), batch["b"].filter(pa.array(on, pa.bool_()))], schema=schema)
+
+    side = lambda n: texts.select(F.col("node").alias(n), F.col("text").alias(f"text_{n}"))
+    return pairs.select("a", "b").join(side("b"), "b").join(side("a"), "a").select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long")
+
+
+def confirmed(parts: DataFrame, pairs: DataFrame, texts: DataFrame, shingle: int, similarity: float) -> DataFrame:
+    """The components after those of the pairs (a, b, bits) that are alike. Of the pairs between two components the
+    likeliest is compared first, the others only if their components are still two."""
+    for best in (True, False):
+        left = of_components(pairs, parts).where("ca <> cb")
+        if best:
+            left = left.groupBy(F.least("ca", "cb").alias("x"), F.greatest("ca", "cb").alias("y")).agg(F.min(F.struct("bits", "a", "b")).alias("p")).select("p.a", "p.b")
+        left = materialize(left.select("a", "b"), "doubtful")
+        if left.isEmpty():
+            return parts
+        parts = materialize(extended(parts, materialize(alike(left, texts, shingle, similarity), "alike")), "parts")
+    return parts
+
+
 def near_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, similarity: float = 0.8) -> DataFrame:
-    """doc_id, component_id (the least doc_id that links reach) of every row; a link: word
-    shingles that are `similarity` alike, as the long fingerprints (512 bits) tell."""
+    """doc_id, component_id (the least doc_id that links reach) of every row; a link: sets of word
+    shingles with a Jaccard similarity of `similarity` or more. Rows without a doc_id link nothing
+    but have the component of equal texts; null if there is none."""
     docs = materialize(sketches(df, id_col, text_col, shingle), "sketches")
-    classes = materialize(docs.groupBy("same").agg(F.min(F.coalesce("doc_id", F.lit(NULL_ID))).alias("node"), F.first("fps").alias("fps"), F.first("salts").alias("salts"), F.first("sketch").alias("sketch")), "classes")
-    parts_of = [F.col("sketch")[i].alias(f"s{i}") for i in range(SKETCH)]
-    sketch = materialize(classes.select("node", *parts_of), "long-prints")
-    parts = link_components(classes.select("node", "fps", "salts"), sketch=sketch, limit=differing(similarity))
+    classes = docs.where("doc_id is not null").groupBy("same").agg(F.min("doc_id").alias("node"), F.first("fps").alias("fps"), F.first("salts").alias("salts"), F.first("sketch").alias("sketch"))
+    classes = materialize(classes, "classes")
+    texts = id_text(df, id_col, text_col).where("doc_id is not null").withColumnRenamed("doc_id", "node")
+    sure, most = differing(similarity)
+    side = lambda n: classes.select(F.col("node").alias(n), F.col("sketch").alias(f"sketch_{n}"))
+    bits = sum((F.bit_count(F.col("sketch_a")[i].bitwiseXOR(F.col("sketch_b")[i])) for i in range(SKETCH)), F.lit(0))
+
+    keys = materialize(shared_keys(classes.select("node", "fps", "salts"), _segment_keyed, 6 * TABLES * classes.count(), ("key", "node")), "golay-keys")
+    pairs = representative_pairs(keys, 2).join(side("a"), "a").join(side("b"), "b").select("a", "b", bits.alias("bits")).where(F.col("bits") <= most)
+    pairs = materialize(pairs, "pairs")
+    parts = materialize(connected_components(pairs.where(F.col("bits") <= sure).select("a", "b")), "parts")
+    parts = confirmed(parts, pairs, texts, shingle, similarity)
+    # Members of different components meet within a bucket; the join itself lets only near sketches through.
+    left = open_buckets(keys, parts)
+    x = materialize(left.withColumnRenamed("node", "a").join(side("a"), "a"), "golay-sketch")
+    y = x.select(F.col("key").alias("key_"), F.col("a").alias("b"), F.col("part").alias("part_"), F.col("sketch_a").alias("sketch_b"))
+    pairs = x.join(y, (F.col("key") == F.col("key_")) & (F.col("part") < F.col("part_")) & (bits <= most)).select("a", "b", bits.alias("bits")).distinct()
+    pairs = materialize(pairs, "pairs")
+    parts = materialize(extended(parts, pairs.where(F.col("bits") <= sure)), "parts")
+    parts = confirmed(parts, pairs, texts, shingle, similarity)
     label = classes.select("same", "node").join(parts, "node", "left").select("same", F.coalesce("component", "node").alias("component_id"))
-    return docs.select("doc_id", "same").join(label, "same").select("doc_id", "component_id")
+    return docs.select("doc_id", "same").join(label, "same", "left").select("doc_id", "component_id")
 
 
 def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, similarity: float = 0.8) -> DataFrame:

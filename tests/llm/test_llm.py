@@ -225,6 +225,29 @@ def test_simhash(spark, docs, rows, empty):
     assert simhash.keep_one(empty).count() == 0
 
 
+def test_near_copies(spark, rows):
+    def shingles(text):
+        words = [w for w in re.split("[\x20\x09-\x0d]+", "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")) if w]
+        return {tuple(words[j : j + 5]) for j in range(max(1, len(words) - 4))} if words else set()
+
+    r = random.Random(9)
+    many = [x for x in rows if x[0] is not None]
+    for i in range(60):
+        base = [r.choice(WORDS) + str(r.randrange(99)) for _ in range(r.choice([40, 150, 400]))]
+        share = r.choice([0.005, 0.02, 0.03, 0.08])
+        many += [(100 + 2 * i, " ".join(base), "", ""), (101 + 2 * i, " ".join("edit" + str(r.random()) if r.random() < share else w for w in base), "", "")]
+    sets = [shingles(x[1]) for x in many]
+    alike = lambda a, b: len(a & b) >= 0.8 * len(a | b) - 1e-9
+    top = groups(len(many), [(a, b) for a in range(len(many)) for b in range(a) if alike(sets[a], sets[b])])
+    least = {}
+    for i, t in enumerate(top):
+        least[t] = min(least.get(t, 1 << 60), many[i][0])
+    want = sorted((x[0], least[t]) for x, t in zip(many, top, strict=True))
+    got = simhash.near_copies(spark.createDataFrame([*many, (None, many[0][1], "", ""), (None, "alone", "", "")], SCHEMA)).collect()
+    assert sorted(map(tuple, (x for x in got if x[0] is not None))) == want
+    assert sorted((x[1] for x in got if x[0] is None), key=str) == [1, None]
+
+
 def test_imatch(docs, rows, empty):
     own, lexicon = imatch.imatch(docs, min_share=0.0, max_share=1.0)
     moved = imatch.edited(imatch.with_next(own, ["text", "fingerprint"]))
