@@ -17,6 +17,7 @@ from foliospark.functions import text as T
 from foliospark.lexicon import Lexicon
 from foliospark.operators import blocks, bm25, evaluate, evidence, kb, pages, reasoning, session, vectors
 from foliospark.runtime import table
+from foliospark.sources.layout import layout_items as walked
 
 FLAGSHIP = "bm25_search"
 LEX = Lexicon(
@@ -425,3 +426,17 @@ def metadata_filter(spark: SparkSession, d: str) -> DataFrame:
 @query("SELECT doc_id, sha256(coalesce(text, '')) AS fingerprint, substr(coalesce(text, ''), 1, 240) AS preview, concat_ws(chr(10), lang, source) AS searchable FROM documents")
 def fingerprints_and_previews(spark: SparkSession, d: str) -> DataFrame:
     return documents(spark, d).select("doc_id", F.sha2(F.coalesce("text", F.lit("")), 256).alias("fingerprint"), T.preview(F.col("text")).alias("preview"), T.join_filled(F.col("lang"), F.col("source")).alias("searchable"))
+
+
+SPACES = "chr(9) || chr(10) || chr(11) || chr(12) || chr(13) || chr(28) || chr(29) || chr(30) || chr(31) || chr(32) || chr(133) || chr(160) || chr(5760) || chr(8192) || chr(8193) || chr(8194) || chr(8195) || chr(8196) || chr(8197) || chr(8198) || chr(8199) || chr(8200) || chr(8201) || chr(8202) || chr(8232) || chr(8233) || chr(8239) || chr(8287) || chr(12288)"
+
+
+@query(f"""WITH l AS (SELECT doc_id, unnest(range(len(string_split(coalesce(text, ''), chr(10))))) AS pos, string_split(coalesce(text, ''), chr(10)) AS a FROM documents),
+t AS (SELECT doc_id, pos, trim(a[pos + 1], {SPACES}) AS text FROM l)
+SELECT doc_id::VARCHAR AS doc_id, (row_number() OVER (PARTITION BY doc_id ORDER BY pos) - 1)::INT AS item_no, '$.body[' || pos || ']' AS layout_ref, 'text' AS layout_type,
+       CASE WHEN pos % 2 = 0 THEN pos // 5 + 1 ELSE 7 END AS page_no, text, CASE WHEN pos % 3 = 0 THEN 0.5 END::DOUBLE AS ocr_confidence FROM t WHERE text <> ''""")
+def layout_items(spark: SparkSession, d: str) -> DataFrame:
+    """Documents as layout trees of their lines; every other line's page is that of its ancestor."""
+    lines = F.transform(F.split(F.coalesce("text", F.lit("")), "\n"), lambda t, i: F.struct(t.alias("text"), F.when(i % 2 == 0, F.floor(i / 5)).alias("page_idx"), F.when(i % 3 == 0, "0.5").alias("confidence")))
+    trees = documents(spark, d).select("doc_id", F.to_json(F.struct(F.lit(7).alias("page_no"), lines.alias("body"))).alias("layout"))
+    return walked(trees).drop("bbox")
