@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import tempfile
 import uuid
 
@@ -39,9 +40,13 @@ def shared_dir(spark: SparkSession) -> str:
         return path.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    path = "file://" + tempfile.mkdtemp(prefix="foliospark-")
-    spark.conf.set("spark.checkpoint.dir", path)
-    return path
+    # The setting can't be changed in a running session, so the folder is kept here.
+    return _local_dir(spark.sparkContext.applicationId)
+
+
+@functools.cache
+def _local_dir(application: str) -> str:
+    return "file://" + tempfile.mkdtemp(prefix="foliospark-")
 
 
 def materialize(df: DataFrame, tag: str) -> DataFrame:
