@@ -1,4 +1,4 @@
-"""External services behind protocols: page reading, embedding, reranking.
+"""External services behind protocols: page reading, embedding.
 
 A client is built once a task by a factory (so it needn't be pickled), gets Arrow batches,
 and nothing passes through the driver. Offline, pass a deterministic one.
@@ -23,10 +23,6 @@ class Embedder(Protocol):
     def one(self, text: str) -> list[float]: ...
 
 
-class Scorer(Protocol):
-    def scores(self, query: str, texts: list[str]) -> list[float]: ...
-
-
 def embedded(texts: list[str], client: Embedder) -> list[list[float]]:
     """Vectors in order. A batch that fails is halved until single texts are left; a single failing text is asked for
     alone, and its error is raised."""
