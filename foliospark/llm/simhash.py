@@ -217,20 +217,39 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     return docs.join(label, "fp").select("doc_id", "fp", "component_id")
 
 
-# Near copies by similarity of word shingles. A word that is edited changes `shingle` shingles, so
-# fingerprints of the shingles of texts that are 0.8 alike differ in ten of 64 bits, those of
-# their sets of words in about four. So the segments of fingerprints of the words give the Golay
-# keys: up to eight differing bits leave a segment with at most two (pigeonhole), and words within
-# two bits share an index of K. Each segment's keys also hold 32 bits of a min-hash of the shingles
-# of its own, which texts that are 0.8 alike share with probability 0.8 and others hardly ever, so buckets
-# don't grow with the corpus. With two fingerprints there are six chances. A long fingerprint of
-# the shingles settles most candidates; where it is in doubt the shingles themselves are compared.
-
-WORD_PRINTS, SKETCH = 2, 8  # fingerprints of words; 64-bit parts of the long one
-TABLES = WORD_PRINTS * len(SEGMENTS)
+# Near copies by similarity of word shingles. Put all shingles in one order: of two sets that are
+# `similarity` alike the first common shingle is among the first n - ceil(similarity * n) + 1 of either
+# set of n (the prefix filter). So texts that share none of these aren't alike, whatever the edit,
+# and each such shingle is a key. In the order those that no other text has come first (by a table
+# of slots: a slot hit once; where one is taken for shared, only the order changes, for all texts
+# alike), then by hash; so a text with a fifth of shingles of its own has no keys at all. Members of a bucket
+# meet only if the places of the shared shingle allow the overlap. A long fingerprint of the
+# shingles settles most candidates; where it is in doubt the shingles themselves are compared.
+
+SKETCH = 8  # 64-bit parts of the long fingerprint
 DOUBT = 3.0  # standard deviations of the long fingerprint's bits
 
 
+def shingle_set(text: str | None, size: int) -> np.ndarray:
+    """Sorted 64-bit hashes of the distinct word shingles of one text, from those of its words."""
+    words = (text or "").encode().lower().split()  # of bytes: ASCII only
+    if not words:
+        return np.empty(0, np.uint64)
+    own = {w: xxhash.xxh64_intdigest(w, SEED) for w in set(words)}
+    h = np.fromiter(map(own.__getitem__, words), np.uint64, len(words))
+    size = min(size, len(words))
+    n = len(words) - size + 1
+    out = np.full(n, size, np.uint64)
+    for i in range(size):
+        out = _salted(out * np.uint64(0xD1342543DE82EF95) + h[i : i + n], range(1))[:, 0]
+    return np.unique(out)
+
+
+def prefix_length(n: int, similarity: float) -> int:
+    """How many of n shingles, the first in the order, hold the first one in common with any set that is alike."""
+    return n - math.ceil(similarity * n - 1e-9) + 1
+
+
 def _salted(hashes: np.ndarray, salts: range) -> np.ndarray:
     """[hash, salt]: independent 64-bit hashes from one."""
     x = hashes[:, None] + np.array([(s + 1) * 0x9E3779B97F4A7C15 & (1 << 64) - 1 for s in salts], np.uint64)
@@ -258,44 +277,56 @@ def differing(similarity: float) -> tuple[int, int]:
 
 
 def sketches(df: DataFrame, id_col: str, text_col: str, shingle: int) -> DataFrame:
-    """doc_id, same (128 bits of the words in order), fps, salts, sketch of every whole text."""
-    schema = pa.schema([("doc_id", pa.int64()), ("same", pa.binary()), ("fps", pa.list_(pa.int64())), ("salts", pa.list_(pa.int64())), ("sketch", pa.list_(pa.int64()))])
+    """doc_id, same (128 bits of the words in order), m (number of distinct shingles), sketch of every whole text."""
+    schema = pa.schema([("doc_id", pa.int64()), ("same", pa.binary()), ("m", pa.int64()), ("sketch", pa.list_(pa.int64()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            same, fps, salts, sketch = [], [], [], []
+            same, m, sketch = [], [], []
             for text in batch.column("text"):
-                words = (text.as_py() or "").encode().lower().split()
-                same.append(xxhash.xxh3_128_digest(b" ".join(words)))
-                own = np.fromiter({xxhash.xxh64_intdigest(w, SEED) for w in words}, np.uint64)
-                fps.append(_print_of(own, range(WORD_PRINTS)).view(np.int64))
-                parts = np.unique(shingle_hashes(text.as_py(), shingle))
-                least = np.full(TABLES, np.uint64((1 << 64) - 1))
-                for i in range(0, len(parts), 4096):
-                    least = np.minimum(least, _salted(parts[i : i + 4096], range(-TABLES, 0)).min(axis=0))
-                salts.append((least & np.uint64(0xFFFFFFFF)).astype(np.int64))
-                sketch.append(_print_of(parts, range(WORD_PRINTS, WORD_PRINTS + SKETCH)).view(np.int64))
-            yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(same, pa.binary()), pa.array(fps, pa.list_(pa.int64())), pa.array(salts, pa.list_(pa.int64())), pa.array(sketch, pa.list_(pa.int64()))], schema=schema)
-
-    return id_text(df, id_col, text_col).mapInArrow(run, "doc_id long, same binary, fps array<long>, salts array<long>, sketch array<long>")
-
-
-def _segment_keyed(batches: Iterator[pa.RecordBatch], part: int = 10_000) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Arrays of key, node of rows (node, fps, salts): of each segment of each fingerprint the indices K, with its salt."""
-    index = golay_index()
-    for batch in batches:
-        ids = batch["node"].to_numpy(zero_copy_only=False).astype(np.int64)
-        if not len(ids):
-            continue
-        fps, salts = (batch[c].flatten().to_numpy(zero_copy_only=False).astype(np.int64).reshape(len(ids), -1) for c in ("fps", "salts"))
-        for i in range(0, len(ids), part):
-            own = ids[i : i + part]
-            for t in range(TABLES):
-                low, width = SEGMENTS[t % len(SEGMENTS)]
-                x = (fps[i : i + part, t // len(SEGMENTS)].view(np.uint64) >> np.uint64(low) & np.uint64((1 << width) - 1)).astype(np.int64)
-                k = np.sort(index[x[:, None] ^ np.array([0, *(1 << j for j in range(width))], np.int64)], axis=1).astype(np.int64)
-                rows, j = np.nonzero(np.concatenate([np.ones((len(k), 1), bool), k[:, 1:] != k[:, :-1]], axis=1))
-                yield k[rows, j] | t << 12 | salts[i : i + part, t][rows] << 32, own[rows]
+                t = text.as_py()
+                same.append(xxhash.xxh3_128_digest(b" ".join((t or "").encode().lower().split())))
+                parts = shingle_set(t, shingle)
+                m.append(len(parts))
+                sketch.append(_print_of(parts, range(SKETCH)).view(np.int64))
+            yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(same, pa.binary()), pa.array(m, pa.int64()), pa.array(sketch, pa.list_(pa.int64()))], schema=schema)
+
+    return id_text(df, id_col, text_col).mapInArrow(run, "doc_id long, same binary, m long, sketch array<long>")
+
+
+def prefix_keys(texts: DataFrame, n: int, shingle: int, similarity: float) -> DataFrame:
+    """key (a shingle), same, m, pos (its place in the order) of the shingles by which a text (column text) can meet
+    others; n: of all shingles. Copies give their rows once."""
+    texts, slots = texts.select("text"), slots_for(n)
+    table = texts.sparkSession.sparkContext.broadcast(shared_table(texts, lambda batches: (shingle_set(t.as_py(), shingle) for b in batches for t in b["text"]), slots))
+    schema = pa.schema([("key", pa.int64()), ("same", pa.binary()), ("m", pa.int64()), ("pos", pa.int64())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = Shared(table.value, slots)
+        for batch in batches:
+            keys, same, m, pos = [], [], [], []
+            for text in batch["text"]:
+                t = text.as_py()
+                parts = shingle_set(t, shingle)
+                on = parts[known.of(parts)]
+                lone = len(parts) - len(on)
+                on = on[: max(0, prefix_length(len(parts), similarity) - lone)]
+                if len(on):
+                    keys.append(on.view(np.int64))
+                    same += [xxhash.xxh3_128_digest(b" ".join(t.encode().lower().split()))] * len(on)
+                    m.append(np.full(len(on), len(parts)))
+                    pos.append(np.arange(lone, lone + len(on)))
+            if keys:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys)), pa.array(same, pa.binary()), pa.array(np.concatenate(m)), pa.array(np.concatenate(pos))], schema=schema)
+
+    return texts.mapInArrow(run, "key long, same binary, m long, pos long").distinct()
+
+
+def may_overlap(other: str, similarity: float) -> Column:
+    """Whether two sets of m and {other}m shingles, with one in common at pos and {other}pos, can be alike: no more
+    are in common than it, those before and those after it."""
+    m, n, p, q = F.col("m"), F.col(f"{other}m"), F.col("pos"), F.col(f"{other}pos")
+    return F.least(p, q) + F.least(m - p, n - q) >= F.lit(similarity / (1 + similarity)) * (m + n) - 1e-6
 
 
 def alike(pairs: DataFrame, texts: DataFrame, shingle: int, similarity: float) -> DataFrame:
@@ -308,8 +339,8 @@ def alike(pairs: DataFrame, texts: DataFrame, shingle: int, similarity: float) -
             on = []
             for a, ta, tb in zip(batch["a"].to_pylist(), batch["text_a"], batch["text_b"], strict=True):
                 if last[0] != a:
-                    last = a, np.unique(shingle_hashes(ta.as_py(), shingle))
-                x, y = last[1], np.unique(shingle_hashes(tb.as_py(), shingle))
+                    last = a, shingle_set(ta.as_py(), shingle)
+                x, y = last[1], shingle_set(tb.as_py(), shingle)
                 both = len(np.intersect1d(x, y, assume_unique=True))
                 on.append(both >= similarity * (len(x) + len(y) - both) - 1e-9)
             yield pa.RecordBatch.from_arrays([batch["a"].filter(pa.array(on, pa.bool_())), batch["b"].filter(pa.array(on, pa.bool_()))], schema=schema)
@@ -337,23 +368,25 @@ def near_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", s
     shingles with a Jaccard similarity of `similarity` or more. Rows without a doc_id link nothing
     but have the component of equal texts; null if there is none."""
     docs = materialize(sketches(df, id_col, text_col, shingle), "sketches")
-    classes = docs.where("doc_id is not null").groupBy("same").agg(F.min("doc_id").alias("node"), F.first("fps").alias("fps"), F.first("salts").alias("salts"), F.first("sketch").alias("sketch"))
+    classes = docs.where("doc_id is not null").groupBy("same").agg(F.min("doc_id").alias("node"), F.first("m").alias("m"), F.first("sketch").alias("sketch"))
     classes = materialize(classes, "classes")
     texts = id_text(df, id_col, text_col).where("doc_id is not null").withColumnRenamed("doc_id", "node")
     sure, most = differing(similarity)
     side = lambda n: classes.select(F.col("node").alias(n), F.col("sketch").alias(f"sketch_{n}"))
     bits = sum((F.bit_count(F.col("sketch_a")[i].bitwiseXOR(F.col("sketch_b")[i])) for i in range(SKETCH)), F.lit(0))
 
-    keys = materialize(shared_keys(classes.select("node", "fps", "salts"), _segment_keyed, 6 * TABLES * classes.count(), ("key", "node")), "golay-keys")
-    pairs = representative_pairs(keys, 2).join(side("a"), "a").join(side("b"), "b").select("a", "b", bits.alias("bits")).where(F.col("bits") <= most)
+    n = docs.agg(F.coalesce(F.sum("m"), F.lit(0))).first()[0]
+    keys = prefix_keys(texts, n, shingle, similarity).join(classes.select("same", "node"), "same").select("key", "node", "m", "pos")
+    keys = materialize(keys, "prefix-keys")
+    pairs = representative_pairs(keys, 2, may_overlap("rep_", similarity)).join(side("a"), "a").join(side("b"), "b").select("a", "b", bits.alias("bits")).where(F.col("bits") <= most)
     pairs = materialize(pairs, "pairs")
     parts = materialize(connected_components(pairs.where(F.col("bits") <= sure).select("a", "b")), "parts")
     parts = confirmed(parts, pairs, texts, shingle, similarity)
     # Members of different components meet within a bucket; the join itself lets only near sketches through.
     left = open_buckets(keys, parts)
-    x = materialize(left.withColumnRenamed("node", "a").join(side("a"), "a"), "golay-sketch")
-    y = x.select(F.col("key").alias("key_"), F.col("a").alias("b"), F.col("part").alias("part_"), F.col("sketch_a").alias("sketch_b"))
-    pairs = x.join(y, (F.col("key") == F.col("key_")) & (F.col("part") < F.col("part_")) & (bits <= most)).select("a", "b", bits.alias("bits")).distinct()
+    x = materialize(left.withColumnRenamed("node", "a").join(side("a"), "a"), "prefix-sketch")
+    y = x.select(F.col("key").alias("key_"), F.col("a").alias("b"), F.col("part").alias("part_"), F.col("m").alias("y_m"), F.col("pos").alias("y_pos"), F.col("sketch_a").alias("sketch_b"))
+    pairs = x.join(y, (F.col("key") == F.col("key_")) & (F.col("part") < F.col("part_")) & may_overlap("y_", similarity) & (bits <= most)).select("a", "b", bits.alias("bits")).distinct()
     pairs = materialize(pairs, "pairs")
     parts = materialize(extended(parts, pairs.where(F.col("bits") <= sure)), "parts")
     parts = confirmed(parts, pairs, texts, shingle, similarity)

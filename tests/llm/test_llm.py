@@ -248,6 +248,32 @@ def test_near_copies(spark, rows):
     assert sorted((x[1] for x in got if x[0] is None), key=str) == [1, None]
 
 
+def near_pairs(many):
+    """doc_id, least doc_id that links reach, by comparing all pairs."""
+    def shingles(text):
+        words = text.lower().split()
+        return {tuple(words[j : j + 5]) for j in range(max(1, len(words) - 4))}
+
+    sets = [shingles(x[1]) for x in many]
+    top = groups(len(many), [(a, b) for a in range(len(many)) for b in range(a) if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b]) - 1e-9])
+    return [(x[0], many[t][0]) for x, t in zip(many, top, strict=True)]
+
+
+def test_near_copies_by_any_edit(spark):
+    r = random.Random(10)
+    many = []
+    for i in range(240):
+        few = [f"k{i}x{j}" for j in range(60)]
+        base = [r.choice(few if i % 2 else WORDS) for _ in range(500)]
+        n = r.randint(40, 119)
+        new = [f"new{i}y{j}" for j in range(n)]
+        other = base + new if i % 3 == 0 else base[n:] if i % 3 == 1 else base[:200] + new + base[200:]
+        many += [(2 * i, " ".join(base), "", ""), (2 * i + 1, " ".join(other), "", "")]
+    want = near_pairs(many)
+    assert sum(a != b for a, b in want) > 150
+    assert sorted(map(tuple, simhash.near_copies(spark.createDataFrame(many, SCHEMA)).collect())) == want
+
+
 def test_imatch(docs, rows, empty):
     own, lexicon = imatch.imatch(docs, min_share=0.0, max_share=1.0)
     moved = imatch.edited(imatch.with_next(own, ["text", "fingerprint"]))
