@@ -223,11 +223,11 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
 # and each such shingle is a key. In the order those that no other text has come first (by a table
 # of slots: a slot hit once; where one is taken for shared, only the order changes, for all texts
 # alike), then by hash; so a text with a fifth of shingles of its own has no keys at all. Members of a bucket
-# meet only if the places of the shared shingle allow the overlap. A long fingerprint of the
-# shingles settles most candidates; where it is in doubt the shingles themselves are compared.
+# meet only if the places of the shared shingle allow the overlap, and if their sketches do: a bit of
+# a sketch is the parity of the shingles that fall on it, so two sets differ in as many shingles
+# at least as their sketches in bits. Of the rest the shingles themselves are compared.
 
-SKETCH = 8  # 64-bit parts of the long fingerprint
-DOUBT = 3.0  # standard deviations of the long fingerprint's bits
+SKETCH = 8  # 64-bit parts of a sketch
 
 
 def shingle_set(text: str | None, size: int) -> np.ndarray:
@@ -258,22 +258,16 @@ def _salted(hashes: np.ndarray, salts: range) -> np.ndarray:
     return x ^ x >> np.uint64(31)
 
 
-def _print_of(hashes: np.ndarray, salts: range, block: int = 4096) -> np.ndarray:
-    """The fingerprints of a set of hashes, one for each salt."""
-    ones = np.zeros(64 * len(salts), np.int64)
-    for i in range(0, len(hashes), block):
-        bits = np.unpackbits(_salted(hashes[i : i + block], salts).astype("<u8").view(np.uint8).reshape(-1, 8 * len(salts)), axis=1, bitorder="little")
-        ones += bits.sum(axis=0, dtype=np.int32)
-    return np.packbits(2 * ones > len(hashes), bitorder="little").view("<u8").astype(np.uint64)
+def parity_sketch(hashes: np.ndarray) -> np.ndarray:
+    """Bit i: whether an odd number of the hashes are i modulo the number of bits."""
+    n = 64 * SKETCH
+    ones = np.bincount((hashes % np.uint64(n)).astype(np.int64), minlength=n)
+    return np.packbits(ones & 1 == 1, bitorder="little").view("<u8").astype(np.uint64)
 
 
-def differing(similarity: float) -> tuple[int, int]:
-    """Bits of the long fingerprint: up to the first, two sets are surely of this Jaccard similarity or
-    more; beyond the second, surely not (`DOUBT` standard deviations around the expected number)."""
-    p = math.acos(2 * similarity / (1 + similarity)) / math.pi  # for sets of one size
-    n = 64 * SKETCH
-    spread = DOUBT * math.sqrt(n * p * (1 - p))
-    return max(0, math.floor(n * p - spread)), math.ceil(n * p + spread)
+def may_be_alike(bits: Column, m: Column, n: Column, similarity: float) -> Column:
+    """Whether sets of m and n shingles whose sketches differ in so many bits can be `similarity` alike; true of all that are."""
+    return bits <= F.lit((1 - similarity) / (1 + similarity)) * (m + n) + 1e-6
 
 
 def sketches(df: DataFrame, id_col: str, text_col: str, shingle: int) -> DataFrame:
@@ -288,7 +282,7 @@ def sketches(df: DataFrame, id_col: str, text_col: str, shingle: int) -> DataFra
                 same.append(xxhash.xxh3_128_digest(b" ".join((t or "").encode().lower().split())))
                 parts = shingle_set(t, shingle)
                 m.append(len(parts))
-                sketch.append(_print_of(parts, range(SKETCH)).view(np.int64))
+                sketch.append(parity_sketch(parts).view(np.int64))
             yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(same, pa.binary()), pa.array(m, pa.int64()), pa.array(sketch, pa.list_(pa.int64()))], schema=schema)
 
     return id_text(df, id_col, text_col).mapInArrow(run, "doc_id long, same binary, m long, sketch array<long>")
@@ -371,24 +365,23 @@ def near_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", s
     classes = docs.where("doc_id is not null").groupBy("same").agg(F.min("doc_id").alias("node"), F.first("m").alias("m"), F.first("sketch").alias("sketch"))
     classes = materialize(classes, "classes")
     texts = id_text(df, id_col, text_col).where("doc_id is not null").withColumnRenamed("doc_id", "node")
-    sure, most = differing(similarity)
-    side = lambda n: classes.select(F.col("node").alias(n), F.col("sketch").alias(f"sketch_{n}"))
+    side = lambda n: classes.select(F.col("node").alias(n), F.col("sketch").alias(f"sketch_{n}"), F.col("m").alias(f"m_{n}"))
     bits = sum((F.bit_count(F.col("sketch_a")[i].bitwiseXOR(F.col("sketch_b")[i])) for i in range(SKETCH)), F.lit(0))
 
     n = docs.agg(F.coalesce(F.sum("m"), F.lit(0))).first()[0]
     keys = prefix_keys(texts, n, shingle, similarity).join(classes.select("same", "node"), "same").select("key", "node", "m", "pos")
     keys = materialize(keys, "prefix-keys")
-    pairs = representative_pairs(keys, 2, may_overlap("rep_", similarity)).join(side("a"), "a").join(side("b"), "b").select("a", "b", bits.alias("bits")).where(F.col("bits") <= most)
+    near = may_be_alike(bits, F.col("m_a"), F.col("m_b"), similarity)
+    pairs = representative_pairs(keys, 2, may_overlap("rep_", similarity)).join(side("a"), "a").join(side("b"), "b").where(near).select("a", "b", bits.alias("bits")).distinct()
     pairs = materialize(pairs, "pairs")
-    parts = materialize(connected_components(pairs.where(F.col("bits") <= sure).select("a", "b")), "parts")
+    parts = pairs.limit(0).select(F.col("a").alias("node"), F.col("b").alias("component"))
     parts = confirmed(parts, pairs, texts, shingle, similarity)
     # Members of different components meet within a bucket; the join itself lets only near sketches through.
     left = open_buckets(keys, parts)
     x = materialize(left.withColumnRenamed("node", "a").join(side("a"), "a"), "prefix-sketch")
-    y = x.select(F.col("key").alias("key_"), F.col("a").alias("b"), F.col("part").alias("part_"), F.col("m").alias("y_m"), F.col("pos").alias("y_pos"), F.col("sketch_a").alias("sketch_b"))
-    pairs = x.join(y, (F.col("key") == F.col("key_")) & (F.col("part") < F.col("part_")) & may_overlap("y_", similarity) & (bits <= most)).select("a", "b", bits.alias("bits")).distinct()
+    y = x.select(F.col("key").alias("key_"), F.col("a").alias("b"), F.col("part").alias("part_"), F.col("m").alias("y_m"), F.col("pos").alias("y_pos"), F.col("m_a").alias("m_b"), F.col("sketch_a").alias("sketch_b"))
+    pairs = x.join(y, (F.col("key") == F.col("key_")) & (F.col("part") < F.col("part_")) & may_overlap("y_", similarity) & near).select("a", "b", bits.alias("bits")).distinct()
     pairs = materialize(pairs, "pairs")
-    parts = materialize(extended(parts, pairs.where(F.col("bits") <= sure)), "parts")
     parts = confirmed(parts, pairs, texts, shingle, similarity)
     label = classes.select("same", "node").join(parts, "node", "left").select("same", F.coalesce("component", "node").alias("component_id"))
     return docs.select("doc_id", "same").join(label, "same", "left").select("doc_id", "component_id")

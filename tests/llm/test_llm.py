@@ -274,6 +274,17 @@ def test_near_copies_by_any_edit(spark):
     assert sorted(map(tuple, simhash.near_copies(spark.createDataFrame(many, SCHEMA)).collect())) == want
 
 
+def test_near_copies_of_short_texts(spark):
+    r = random.Random(11)
+    many = []
+    for i in range(300):
+        base = [f"w{i}x{j}" for j in range(8 if i % 2 else r.randint(5, 24))]
+        many += [(2 * i, " ".join(base), "", ""), (2 * i + 1, " ".join([*base, f"one{i}"]), "", "")]
+    want = near_pairs(many)
+    assert sum(a != b for a, b in want) > 200
+    assert sorted(map(tuple, simhash.near_copies(spark.createDataFrame(many, SCHEMA)).collect())) == want
+
+
 def test_imatch(docs, rows, empty):
     own, lexicon = imatch.imatch(docs, min_share=0.0, max_share=1.0)
     moved = imatch.edited(imatch.with_next(own, ["text", "fingerprint"]))
