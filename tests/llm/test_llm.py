@@ -364,6 +364,39 @@ def test_lm_score(spark, docs, rows, empty):
     assert np.allclose(p.sum(axis=1), 1)
 
 
+def test_lm_score_of_actual_characters(spark, docs, rows, empty):
+    many = [(1, "Éa éa èa ñb"), (2, "èa éa Ña"), (3, "слово дело"), (4, "дело слова"), (5, "日本語の文"), (6, None), (7, ""), (7, "XY\0x")]
+    df, good = spark.createDataFrame(many, "doc_id long, text string"), spark.createDataFrame([(1,), (3,)], "doc_id long")
+    chars = sorted({c for _, t in many for c in t or ""})
+    table = np.zeros((2, (len(chars) + 1) ** 3), np.int64)
+    symbol = {c: i for i, c in enumerate(["\n", *chars])}
+
+    def cells(text):
+        s = [symbol[c] for c in "\n\n" + text]
+        return [(a * len(symbol) + b) * len(symbol) + c for a, b, c in zip(s, s[1:], s[2:])]  # noqa: B905
+
+    for i, t in many:
+        for c in cells(t or ""):
+            table[:, c] += [i in (1, 3), 1]
+    # No token is a line end, so the symbol that only pads has no share of the uniform estimate.
+    size = len(symbol)
+    p = np.full((2, size), 1 / len(chars))
+    for k in range(1, 4):
+        c = table.reshape(2, -1, size**k).sum(axis=1).reshape(2, -1, size)
+        total, kinds = c.sum(axis=2, keepdims=True), (c > 0).sum(axis=2, keepdims=True)
+        lower = np.tile(p.reshape(2, -1, size), (1, size if k > 1 else 1, 1))
+        p = np.where(total > 0, (c + kinds * lower) / np.maximum(total + kinds, 1), lower).reshape(2, -1)
+    want = [(i, len(t or ""), *(-np.log2(p[:, cells(t)]).mean(axis=1) if t else (0, 0))) for i, t in many]
+    for most in (1 << 20, 0):
+        got = sorted(lm_score.lm_score(df, good, 3, broadcast_rows=most).collect(), key=lambda x: x[:2])
+        assert [x[:2] for x in got] == [x[:2] for x in want] and np.allclose([x[2:4] for x in got], [x[2:] for x in want])
+        assert lm_score.lm_score(docs, good, broadcast_rows=most).count() == len(rows) and lm_score.lm_score(empty, good, broadcast_rows=most).count() == 0
+    # Texts that differ only in letters beyond a..z, or in capitals.
+    pairs = spark.createDataFrame([(1, "éa"), (2, "èa"), (3, "Ab"), (4, "Bb"), (5, "да"), (6, "но"), (7, "но")], "doc_id long, text string")
+    assert len({x["score"] for x in lm_score.lm_score(pairs, good.where("doc_id = 1")).where("doc_id < 3").collect()}) == 2
+    assert len({x["background_loss"] for x in lm_score.lm_score(pairs, good).where("doc_id in (5, 6)").collect()}) == 2
+
+
 SF = "/root/testdata/sf0.001"
 
 
