@@ -3,11 +3,11 @@
 Encoding follows the library for a BPE model with byte fallback, identity
 normalisation and a dummy prefix: merges are taken from an agenda, best score
 first, then leftmost. With `dropout` > 0 each candidate that leaves the agenda is
-skipped with that probability (in steps of 2^-16), decided by a keyed hash of (seed,
-variant, word, how many candidates came before). The variant of a word is a keyed hash of (seed, text,
-ordinal of the word) modulo `variants`, so one word is segmented in several ways
-within a text, always the same ways for the same text and seed; and the agenda of
-a (variant, word) is worked through once and then remembered.
+skipped with that probability (in steps of 2^-16), decided by a keyed hash of (key, how many
+candidates came before). The key of a word is a keyed hash of (seed, text, ordinal of the word), so
+each occurrence is segmented on its own, always the same way for the same text and seed. What
+the agenda of a word gives depends only on the skips it met, so it is worked through once for
+each pattern of skips and then remembered. With `variants` above 0 there are only so many keys.
 
 No piece has a space after another character, so words (spaces, then other
 characters) are independent of each other: the result is that of the whole text.
@@ -24,6 +24,7 @@ from __future__ import annotations
 
 import array
 import heapq
+import itertools
 import math
 import re
 from collections.abc import Iterator
@@ -51,10 +52,10 @@ def mixed(x: np.ndarray) -> np.ndarray:
 
 
 class PieceCodec:
-    #: Remembered (variant, word) results; a full memory is emptied.
-    MEMORY, LONG = 400_000, 48
+    #: Remembered (word, skips) results, a full memory is emptied; length of remembered words; skips drawn at once.
+    MEMORY, LONG, DRAWN = 400_000, 48, 32
 
-    def __init__(self, model: bytes, dropout: float = 0.1, seed: int = 0, variants: int = 4):
+    def __init__(self, model: bytes, dropout: float = 0.1, seed: int = 0, variants: int = 0):
         p = sentencepiece.SentencePieceProcessor(model_proto=model)
         n = p.get_piece_size()
         self.ids = {p.id_to_piece(i): i for i in range(n) if not (p.is_control(i) or p.is_unknown(i) or p.is_byte(i) or p.is_unused(i))}
@@ -75,23 +76,26 @@ class PieceCodec:
         self.limit = round(dropout * (1 << 16))
         self.code = "H" if n <= 1 << 16 else "I"
         self.kind = np.dtype(self.code)
-        self.seed, self.variants = seed & MASK, max(1, variants) if dropout > 0 else 1
-        self.known: list[dict[str, bytes]] = [{} for _ in range(self.variants)]
-
-    def skips(self, word: str, variant: int) -> Iterator[bool]:
-        """Whether the first, second, ... candidate that leaves the word's agenda is skipped: 16 bits of a keyed hash each."""
-        block = 0
-        raw = word.encode()
+        self.seed, self.variants = seed & MASK, max(0, variants)
+        self.known: dict[str, tuple[list[int], dict[int, bytes]]] = {}
+        self.size = 0
+
+    def drawn(self, keys: np.ndarray) -> list[int]:
+        """The first DRAWN skips of each key as bits."""
+        x = mixed(keys[:, None] + np.arange(1, self.DRAWN // 4 + 1, dtype=np.uint64) * np.uint64(M1)).astype("<u8", copy=False)
+        return np.packbits(x.view("<u2") < self.limit, axis=1, bitorder="little").view("<u4")[:, 0].tolist()
+
+    def skips(self, key: int) -> Iterator[bool]:
+        """Whether the first, second, ... candidate that leaves the agenda is skipped: 16 bits of a keyed hash each."""
+        block = 1
         while True:
-            h = xxhash.xxh3_128_intdigest(raw, (self.seed * M1 + variant * M2 + block) & MASK)
-            for _ in range(8):
+            h = int(mixed(np.array([(key + block * M1) & MASK], np.uint64))[0])
+            for _ in range(4):
                 yield (h & 0xFFFF) < self.limit
                 h >>= 16
             block += 1
 
-    def word(self, word: str, variant: int) -> bytes:
-        """The pieces of one word by the agenda, as packed ids."""
-        parts = self.scan(word, variant) if len(word) <= self.LONG else self.agenda(word, variant)
+    def packed(self, parts: list[str]) -> bytes:
         ids: list[int] = []
         for piece in parts:
             if (x := self.ids.get(piece)) is not None:
@@ -100,20 +104,49 @@ class PieceCodec:
                 ids += [self.byte_ids[b] for b in piece.encode()]
         return array.array(self.code, ids).tobytes()
 
-    def scan(self, word: str, variant: int) -> list[str]:
-        """The agenda of a short word: the scores of neighbours in a list."""
+    def word(self, word: str, key: int) -> bytes:
+        """The pieces of one word by the agenda, as packed ids."""
+        return self.packed(self.scan(word, key) if len(word) <= self.LONG else self.agenda(word, key))
+
+    def remembered(self, word: str, key: int, bits: int) -> bytes:
+        """The same for a short word whose first skips are `bits`. Results are kept by the skips that were met."""
+        if (have := self.known.get(word)) is None:
+            have = self.known[word] = [], {}
+        lengths, results = have
+        for n in lengths:
+            if (got := results.get(bits & (1 << n) - 1 | 1 << n)) is not None:
+                return got
+        met: list[int] = []
+        got = self.packed(self.scan(word, key, bits, met))
+        self.size += 1
+        if self.size > self.MEMORY:
+            self.known.clear()
+            self.size = 0
+        elif (n := met[0]) <= self.DRAWN:
+            if n not in lengths:
+                lengths.append(n)
+            results[bits & (1 << n) - 1 | 1 << n] = got
+        return got
+
+    def scan(self, word: str, key: int, bits: int | None = None, met: list[int] | None = None) -> list[str]:
+        """The agenda of a short word: the scores of neighbours in a list. bits: the first skips, if drawn already;
+        how many were met is added to `met`."""
         get, none = self.score.get, math.inf
         parts = list(word)
         scores = [get(a + b, none) for a, b in zip(parts, parts[1:], strict=False)]
-        limit, raw, h, n, key = self.limit, word.encode(), 0, 0, self.seed * M1 + variant * M2
+        limit, n = self.limit, 0
+        if bits is None:
+            bits = self.drawn(np.array([key & MASK], np.uint64))[0] if limit else 0
+        more = None
         while scores and (best := min(scores)) < none:
             i = scores.index(best)
             if limit:
-                # As in skips(), without a generator's steps.
-                if not n & 7:
-                    h = xxhash.xxh3_128_intdigest(raw, (key + (n >> 3)) & MASK)
+                if n < self.DRAWN:
+                    skip = bits >> n & 1
+                else:
+                    more = more or itertools.islice(self.skips(key), self.DRAWN, None)
+                    skip = next(more)
                 n += 1
-                skip, h = (h & 0xFFFF) < limit, h >> 16
                 if skip:
                     scores[i] = none
                     continue
@@ -123,12 +156,14 @@ class PieceCodec:
                 scores[i] = get(parts[i] + parts[i + 1], none)
             if i:
                 scores[i - 1] = get(parts[i - 1] + parts[i], none)
+        if met is not None:
+            met.append(n)
         return parts
 
-    def agenda(self, word: str, variant: int) -> list[str]:
+    def agenda(self, word: str, key: int) -> list[str]:
         """The same with a heap, for words of any length."""
         n, score = len(word), self.score
-        skip = self.skips(word, variant)
+        skip = self.skips(key)
         end = list(range(1, n + 1))  # of the symbol that begins here; 0: none begins
         before = list(range(-1, n - 1))
         heap = [(s, i, i + 1, i + 2) for i in range(n - 1) if (s := score.get(word[i : i + 2])) is not None]
@@ -156,32 +191,23 @@ class PieceCodec:
             return np.empty(0, self.kind)
         out: list[bytes] = []
         ordinal = 0
-        base = xxhash.xxh64_intdigest(text.encode(), self.seed) if self.variants > 1 else 0
+        base = xxhash.xxh64_intdigest(text.encode(), self.seed) if self.limit else 0
         # A mark of the text's own is three bytes, and no word reaches over it.
         for k, part in enumerate(text.split(MARK)):
             if k:
                 out.append(np.array([self.byte_ids[b] for b in MARK.encode()], self.kind).tobytes())
             line = part.replace(" ", MARK)
             words = WORDS.findall(MARK + line if not k else line)
-            if self.variants > 1:
+            if self.limit:
                 at = np.arange(ordinal, ordinal + len(words), dtype=np.uint64)
-                choice = (mixed(at * np.uint64(0x9E3779B97F4A7C15) + np.uint64(base)) % np.uint64(self.variants)).tolist()
+                keys = mixed(at * np.uint64(0x9E3779B97F4A7C15) + np.uint64(base))
+                if self.variants:
+                    keys = mixed(keys % np.uint64(self.variants) + np.uint64(self.seed))
+                drawn, keys = self.drawn(keys), keys.tolist()
             else:
-                choice = [0] * len(words)
+                drawn = keys = [0] * len(words)
             ordinal += len(words)
-            known = self.known
-            found = [known[v].get(w) for w, v in zip(words, choice, strict=True)]
-            for i, got in enumerate(found):
-                if got is None:
-                    w, v = words[i], choice[i]
-                    if (got := known[v].get(w)) is None:
-                        got = self.word(w, v)
-                        if len(w) <= self.LONG:
-                            if len(known[v]) * self.variants >= self.MEMORY:
-                                known[v].clear()
-                            known[v][w] = got
-                    found[i] = got
-            out += found
+            out += [self.remembered(w, k, b) if len(w) <= self.LONG else self.word(w, k) for w, k, b in zip(words, keys, drawn, strict=True)]
         return np.frombuffer(b"".join(out), self.kind)
 
     def decode(self, ids: np.ndarray | list[int] | None) -> str | None:
@@ -194,7 +220,7 @@ def codec(model: bytes, dropout: float, seed: int, variants: int) -> PieceCodec:
     return held(("pieces", hash(model), dropout, seed, variants), lambda: PieceCodec(model, dropout, seed, variants))
 
 
-def encode(df: DataFrame, model: bytes, dropout: float = 0.1, seed: int = 0, variants: int = 2, id_col: str = "doc_id", text_col: str = "text", decoded: bool = False) -> DataFrame:
+def encode(df: DataFrame, model: bytes, dropout: float = 0.1, seed: int = 0, variants: int = 0, id_col: str = "doc_id", text_col: str = "text", decoded: bool = False) -> DataFrame:
     """doc_id, text, pieces (array of int; null for a null text) of every row; no shuffle.
 
     decoded: adds a column of that name, what `decode` makes of the pieces, in the same pass.

@@ -132,6 +132,29 @@ def test_sentencepiece(docs, rows, empty):
     assert sentencepiece_codec.encode(empty, model).count() == 0
 
 
+def test_merge_dropout_of_each_occurrence(spark):
+    with open(tokenizer_file("piece_bpe_32k.model"), "rb") as f:
+        model = f.read()
+    df = spark.createDataFrame([(i, " ".join(["international"] * 100)) for i in range(4)] + [(9, "other " + " ".join(["international"] * 100))], "doc_id long, text string")
+    c = sentencepiece_codec.PieceCodec(model, 0.1)
+    plain, ways = sentencepiece_codec.PieceCodec(model, 0.0).encode("international").tolist(), set()
+    for row in sentencepiece_codec.encode(df, model).collect():
+        word, words = b"", []
+        for piece in row["pieces"]:
+            if c.bytes[piece].startswith(b" ") and word:
+                words.append(word)
+                word = b""
+            word += b"|" + c.bytes[piece]
+        ways |= {*words, word}
+    assert len(ways) > 5 and len(plain) >= 1
+    # What is remembered is what the agenda gives, for short words and such as meet more skips than are drawn at once.
+    r = random.Random(12)
+    high = sentencepiece_codec.PieceCodec(model, 0.4, 7)
+    for w in ["▁" + w for w in WORDS[:20]] + ["▁internationalisation", "▁" + "abcdefgh" * 5]:
+        for key in (r.getrandbits(64) for _ in range(60)):
+            assert high.remembered(w, key, high.drawn(np.array([key], np.uint64))[0]) == high.packed(high.agenda(w, key))
+
+
 def edit_distance(a, text):
     """Least distance of a to any stretch of text."""
     row = [0] * (len(text) + 1)
