@@ -1,20 +1,24 @@
 """SimHash near-duplicates with Golay-code fuzzy hashing.
 
-A fingerprint's 64 bits are cut into three segments of 22, 21 and 21 bits. Up to
-four differing bits leave some two segments with at most two of them together
-(pigeonhole). A segment is read as a word of the perfect binary Golay code (23
-bits, radius 3): c(x) is the index of the codeword that x decodes to, and K(x)
-those of all words within one bit of x (one or six). Words within one bit have
-c(y) in K(x), words within two share an index in K. So for each two segments
-(x, y) a fingerprint gets the keys c(x) K(y) and K(x) c(y), about 29 in all, and
-two fingerprints within four bits always share one.
-
-Equal fingerprints are first made one. Links are then found in two ways that
-never list all pairs of a bucket: each fingerprint of a bucket meets the bucket's
-representatives (chosen anew by hash in each round), and what these links join
-becomes one component; in the end only fingerprints of one bucket that are still
-in different components meet. Every candidate is verified by its differing bits.
-That loses no link between components; copies aren't expanded into pairs.
+A fingerprint's 64 bits are cut into three segments of 22, 21 and 21 bits. A segment is
+read as a word of the perfect binary Golay code (23 bits, radius 3): c(x) is the index of
+the codeword that x decodes to, and K(x) those of all words within one bit of x (one or
+six). Words within two bits share an index in K; of words that differ in one bit one has
+an even number of ones, and its c is in the other's K. Four differing bits or fewer
+(pigeonhole) leave either a segment without any and another with two at most, or
+one in each of two segments and two at most in the third. So the keys are
+
+1. x as it is, and each index in K(y), for each ordered pair of segments (33 or 34 bits);
+2. an index of x and of y (c for even, all of K for odd words) and each index in K(z),
+   for each choice of z (36 bits, and whether x and y are of one parity).
+
+Two fingerprints within four bits always share one, others hardly ever do. Equal
+fingerprints are first made one. Fingerprints are dealt out by x, or by the indices of x
+and y; where they meet the rest of the key is looked up, candidates are verified by their differing
+bits, and what leaves the task are links that join what belongs together, never
+all pairs of a bucket: members gather around representatives, and members of two only
+meet if these are within reach and still in different components. That loses no link between components.
+A group too large for one task is cut into shards, each two of which meet.
 
 Cases: a null text or one without a word has fingerprint zero and is linked like
 any other; a text with fewer words than the shingle is one shingle; repeated rows
@@ -25,7 +29,7 @@ from __future__ import annotations
 
 import functools
 import math
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 from itertools import combinations
 
 import numpy as np
@@ -62,27 +66,62 @@ def golay_index() -> np.ndarray:
     return ((words ^ of[high[words >> 11] ^ (words & 2047)]) >> 11).astype(np.int16)
 
 
-def keys_of(fingerprints: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(row of the fingerprint, key) for all keys of uint64 fingerprints, each once."""
-    index = golay_index()
-    own, near = [], []
-    for low, width in SEGMENTS:
-        x = (fingerprints >> np.uint64(low) & np.uint64((1 << width) - 1)).astype(np.int64)
-        flips = np.array([0, *(1 << i for i in range(width))], np.int64)
-        k = np.sort(index[x[:, None] ^ flips], axis=1)
-        own.append(index[x])
-        near.append((k, np.concatenate([np.ones((len(k), 1), bool), k[:, 1:] != k[:, :-1]], axis=1)))
-    rows, keys = [], []
-    for pair, (a, b) in enumerate(combinations(range(3), 2)):
-        ka, fa = near[a]
-        r, j = np.nonzero(fa)
-        rows.append(r)
-        keys.append(pair << 24 | ka[r, j].astype(np.int64) << 12 | own[b][r])
-        kb, fb = near[b]
-        r, j = np.nonzero(fb & (kb != own[b][:, None]))  # c(a) c(b) is there already
+def segment(fingerprints: np.ndarray, i: int) -> np.ndarray:
+    low, width = SEGMENTS[i]
+    return (fingerprints >> np.uint64(low) & np.uint64((1 << width) - 1)).astype(np.int64)
+
+
+def near_indices(x: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """(row, index) of the distinct codeword indices of all words within one bit of each x."""
+    flips = np.array([0, *(1 << i for i in range(width))], np.int64)
+    k = np.sort(golay_index()[x[:, None] ^ flips], axis=1)
+    row, at = np.nonzero(np.concatenate([np.ones((len(k), 1), bool), k[:, 1:] != k[:, :-1]], axis=1))
+    return row, k[row, at].astype(np.int64)
+
+
+def one_off(x: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """(row, index): words that differ in exactly one bit always share one, since one of them has an even
+    number of ones and gives its own index, the other all those near it."""
+    even = np.bitwise_count(x) & 1 == 0
+    odd = np.flatnonzero(~even)
+    row, index = near_indices(x[odd], width)
+    return np.concatenate([np.flatnonzero(even), odd[row]]), np.concatenate([golay_index()[x[even]].astype(np.int64), index])
+
+
+def deals_of(fingerprints: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(row, deal): the first part of the keys of uint64 fingerprints, by which they are dealt out."""
+    seg = [segment(fingerprints, i) for i in range(3)]
+    rows = [np.arange(len(fingerprints))] * 3
+    deals = [i << 26 | seg[i] for i in range(3)]
+    for z in range(3):
+        a, b = (i for i in range(3) if i != z)
+        # Both differ in parity, so both sums of parities are the same.
+        same = (np.bitwise_count(seg[a] ^ seg[b]) & 1).astype(np.int64)
+        r, ka = one_off(seg[a], SEGMENTS[a][1])
+        s, kb = one_off(seg[b][r], SEGMENTS[b][1])
+        r, ka = r[s], ka[s]
         rows.append(r)
-        keys.append(pair << 24 | own[a][r].astype(np.int64) << 12 | kb[r, j])
-    return np.concatenate(rows), np.concatenate(keys)
+        deals.append(3 + z << 26 | same[r] << 24 | ka << 12 | kb)
+    return np.concatenate(rows), np.concatenate(deals)
+
+
+def rests_of(deals: np.ndarray, fingerprints: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(row, rest): the last part of the keys of dealt fingerprints."""
+    rows, rests = [], []
+    for kind in range(6):
+        at = np.flatnonzero(deals >> 26 == kind)
+        for j, i in enumerate([i for i in range(3) if i != kind] if kind < 3 else [kind - 3]):
+            r, k = near_indices(segment(fingerprints[at], i), SEGMENTS[i][1])
+            rows.append(at[r])
+            rests.append(j << 12 | k)
+    return np.concatenate(rows), np.concatenate(rests)
+
+
+def keys_of(fingerprints: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(row of the fingerprint, key) for all keys of uint64 fingerprints."""
+    rows, deals = deals_of(fingerprints)
+    at, rests = rests_of(deals, fingerprints[rows])
+    return rows[at], deals[at] << 13 | rests
 
 
 def shingle_hashes(text: str | None, size: int) -> np.ndarray:
@@ -120,41 +159,121 @@ def fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     return id_text(df, id_col, text_col).mapInArrow(run, "doc_id long, fp long")
 
 
-def _keyed(batches: Iterator[pa.RecordBatch], part: int = 10_000) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """Arrays of key, node, fp of rows (node, fps, salts); each place in fps has keys of its own, with the salt in them."""
-    for batch in batches:
-        ids = batch["node"].to_numpy(zero_copy_only=False).astype(np.int64)
-        if not len(ids):
-            continue
-        fps, salts = (batch[c].flatten().to_numpy(zero_copy_only=False).astype(np.int64).reshape(len(ids), -1) for c in ("fps", "salts"))
-        for i in range(0, len(ids), part):
-            for t in range(fps.shape[1]):
-                own = np.ascontiguousarray(fps[i : i + part, t])
-                rows, keys = keys_of(own.view(np.uint64))
-                yield keys | t << 26 | salts[i : i + part, t][rows] << 32, ids[i : i + part][rows], own[rows]
-
-
-def shared_keys(nodes: DataFrame, keyed: Callable[[Iterator[pa.RecordBatch]], Iterator[tuple[np.ndarray, ...]]], n: int, columns: tuple[str, ...]) -> DataFrame:
-    """Rows of `keyed` (the key first; about n in all) whose key some other row may have; keys that are
-    alone are left out before anything is written."""
-    slots = slots_for(n)
-    table = nodes.sparkSession.sparkContext.broadcast(shared_table(nodes, lambda b: (x[0].view(np.uint64) for x in keyed(b)), slots))
-    schema = pa.schema([(c, pa.int64()) for c in columns])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = Shared(table.value, slots)
-        for arrays in keyed(batches):
-            on = known.of(arrays[0].view(np.uint64))
-            yield pa.RecordBatch.from_arrays([pa.array(c[on]) for c in arrays], schema=schema)
-
-    return nodes.mapInArrow(run, ", ".join(f"{c} long" for c in columns))
-
+class Groups:
+    """Sets that links join; the top of a set is its least number."""
+
+    def __init__(self, n: int):
+        self.top = np.arange(n)
+
+    def link(self, a: np.ndarray, b: np.ndarray) -> None:
+        """Joins the sets of a and b: tops take the least top among their neighbours' until nothing changes."""
+        while True:
+            x, y = self.top[a], self.top[b]
+            on = x != y
+            if not on.any():
+                return
+            a, b, x, y = a[on], b[on], x[on], y[on]
+            np.minimum.at(self.top, np.maximum(x, y), np.minimum(x, y))
+            while (up := self.top[self.top] != self.top).any():
+                self.top[up] = self.top[self.top[up]]
+
+
+def link_bucket(members: np.ndarray, words: np.ndarray, groups: Groups, radius: int) -> None:
+    """Joins the sets of a bucket's members whose words differ in at most `radius` bits. Members gather around
+    representatives; those of two only meet if these are close enough for a link and their sets still differ."""
+    around: list[np.ndarray] = []
+    rest = members
+    while len(rest):
+        close = np.bitwise_count(words[rest] ^ words[rest[0]]) <= radius
+        around.append(rest[close])
+        groups.link(rest[close], np.full(close.sum(), rest[0]))
+        rest = rest[~close]
+    tops = words[np.array([x[0] for x in around], np.int64)]
+    for i, x in enumerate(around):
+        for j in (np.flatnonzero(np.bitwise_count(tops[i + 1 :] ^ tops[i]) <= 3 * radius) + i + 1).tolist():
+            if groups.top[x[0]] == groups.top[around[j][0]]:
+                continue
+            for m in x.tolist():
+                close = around[j][np.bitwise_count(words[around[j]] ^ words[m]) <= radius]
+                if len(close):
+                    groups.link(close[:1], np.array([m]))
+                    break
+
+
+def links_within(group: np.ndarray, deals: np.ndarray, words: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
+    """Links (a, b) that join all words (uint64) of one group (numbers from 0) and key that are within radius, by way of others if need be."""
+    own, at = np.unique(words, return_inverse=True)
+    rows, rests = rests_of(deals, words)
+    keys = group[rows] << 13 | rests
+    order = np.argsort(keys, kind="stable")
+    keys, member = keys[order], at[rows[order]]
+    start = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+    size = np.diff(np.append(start, len(keys)))
+    start, size = start[size > 1], size[size > 1]
+    groups = Groups(len(own))
+    if len(start):
+        offset = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
+        each = np.repeat(start, size) + offset
+        a, b = member[each], member[np.repeat(start, size)]
+        close = np.bitwise_count(own[a] ^ own[b]) <= radius
+        groups.link(a[close], b[close])
+        # Buckets of three or more whose members are in several sets.
+        tops = groups.top[member[each]]
+        ends = np.cumsum(size) - size
+        for s, n in zip(*(x[(size > 2) & (np.minimum.reduceat(tops, ends) != np.maximum.reduceat(tops, ends))].tolist() for x in (start, size)), strict=True):
+            link_bucket(np.unique(member[s : s + n]), own, groups, radius)
+    joined = np.flatnonzero(groups.top != np.arange(len(own)))
+    return own[joined], own[groups.top[joined]]
+
+
+def golay_links(nodes: DataFrame, radius: int = RADIUS, most: int = 1 << 20, chunk: int = 1 << 17) -> DataFrame:
+    """a, b: links that join all fingerprints (column fp, each once) within `radius` bits, by way of others if need be.
+
+    Fingerprints are dealt out by the first part of their keys, the last part is looked up where they
+    meet. A group of over `most` is cut into shards by hash, and each two shards meet in a task of their own.
+    """
+    if not 0 <= radius <= RADIUS:
+        raise ValueError(f"these keys are complete for up to {RADIUS} differing bits")
+    schema, link_schema = (pa.schema([(c, pa.int64()) for c in names]) for names in (("deal", "fp"), ("a", "b")))
 
-def golay_keys(nodes: DataFrame) -> DataFrame:
-    """key, node, fp rows of nodes (columns node, fps: an array of fingerprints, salts: as many numbers)."""
-    nodes = nodes.select("node", "fps", "salts")
-    n = nodes.agg(F.coalesce(F.sum(F.size("fps")), F.lit(0))).first()[0]
-    return shared_keys(nodes, _keyed, n * 29, ("key", "node", "fp"))
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(0, batch.num_rows, 10_000):
+                fp = batch["fp"][i : i + 10_000].to_numpy(zero_copy_only=False).astype(np.int64)
+                rows, deals = deals_of(fp.view(np.uint64))
+                yield pa.RecordBatch.from_arrays([pa.array(deals), pa.array(fp[rows])], schema=schema)
+
+    def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def found(rows: np.ndarray) -> pa.RecordBatch:
+            new = np.concatenate([[False], (rows[1:, :2] != rows[:-1, :2]).any(axis=1)])
+            a, b = links_within(np.cumsum(new), rows[:, 0], np.ascontiguousarray(rows[:, 2]).view(np.uint64), radius)
+            return pa.RecordBatch.from_arrays([pa.array(x.view(np.int64)) for x in (a, b)], schema=link_schema)
+
+        have: list[np.ndarray] = []
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            have.append(np.stack([batch[c].to_numpy(zero_copy_only=False).astype(np.int64) for c in ("deal", "cell", "fp")], axis=1))
+            if sum(map(len, have)) >= chunk:
+                rows = np.concatenate(have)
+                whole = np.flatnonzero((rows[1:, :2] != rows[:-1, :2]).any(axis=1))
+                if len(whole):
+                    yield found(rows[: whole[-1] + 1])
+                    rows = rows[whole[-1] + 1 :]
+                have = [rows]
+        if have:
+            yield found(np.concatenate(have))
+
+    deals = nodes.select("fp").mapInArrow(deal, "deal long, fp long")
+    large = materialize(deals.groupBy("deal").agg(F.count("fp").alias("n")).where(F.col("n") > most), "golay-large")
+    cells = deals.withColumn("cell", F.lit(0).cast("long"))
+    if not large.isEmpty():
+        shards = F.ceil(F.col("n") / most)
+        own = F.pmod(F.xxhash64("fp"), shards)
+        met = deals.join(large, "deal").withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), shards - 1)))
+        met = met.select("deal", "fp", (F.least(own, "other") * shards + F.greatest(own, "other")).alias("cell"))
+        cells = deals.join(large, "deal", "left_anti").select("deal", "fp", F.lit(0).cast("long").alias("cell")).union(met)
+    return cells.repartition("deal", "cell").sortWithinPartitions("deal", "cell").mapInArrow(link, "a long, b long").distinct()
 
 
 def representative_pairs(keys: DataFrame, rounds: int, near: Column | None = None) -> DataFrame:
@@ -190,28 +309,13 @@ def extended(parts: DataFrame, links: DataFrame) -> DataFrame:
     return deep.union(joined).distinct()
 
 
-def link_components(nodes: DataFrame, radius: int = RADIUS, rounds: int = 2) -> DataFrame:
-    """node, component of the nodes (node, fps, salts) that links join to a lesser one; a link: of one
-    of their fingerprints (with equal salts) at most `radius` bits differ."""
-    if not 0 <= radius <= RADIUS:
-        raise ValueError(f"these keys are complete for up to {RADIUS} differing bits")
-    near = lambda a, b: F.bit_count(F.col(a).bitwiseXOR(F.col(b))) <= radius
-    keys = materialize(golay_keys(nodes), "golay-keys")
-    parts = materialize(connected_components(representative_pairs(keys, rounds, near("fp", "rep_fp"))), "parts")
-    left = open_buckets(keys, parts)
-    # Members of different components meet within a bucket; the join itself lets only links through.
-    x = left.select("key", F.col("node").alias("a"), F.col("fp").alias("fx"), F.col("part").alias("pa"))
-    y = left.select(F.col("key").alias("key_"), F.col("node").alias("b"), F.col("fp").alias("fy"), F.col("part").alias("pb"))
-    more = x.join(y, (F.col("key") == F.col("key_")) & (F.col("pa") < F.col("pb")) & near("fx", "fy")).select("a", "b").distinct()
-    return extended(parts, more)
-
-
-def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4, radius: int = RADIUS) -> DataFrame:
+def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4, radius: int = RADIUS, most: int = 1 << 20) -> DataFrame:
     """doc_id, fp, component_id (the least doc_id that links reach) of every row of df."""
     docs = materialize(fingerprints(df, id_col, text_col, shingle), "fingerprints")
-    own = docs.groupBy("fp").agg(F.min("doc_id").alias("least"))
-    parts = link_components(own.select(F.col("fp").alias("node"), F.array("fp").alias("fps"), F.array(F.lit(0).cast("long")).alias("salts")), radius)
-    own = materialize(own.join(parts.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "least", F.coalesce("component", "fp").alias("part")), "parts")
+    own = materialize(docs.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct-fingerprints")
+    links = materialize(golay_links(own, radius, most), "golay-links")
+    parts = connected_components(links).withColumnRenamed("node", "fp")
+    own = materialize(own.join(parts, "fp", "left").select("fp", "least", F.coalesce("component", "fp").alias("part")), "parts")
     top = own.groupBy("part").agg(F.min("least").alias("component_id"))
     label = own.join(top, "part").select("fp", "component_id")
     return docs.join(label, "fp").select("doc_id", "fp", "component_id")

@@ -2,6 +2,7 @@
 ties, repeated rows, empty tables, extra columns with clashing names."""
 
 import hashlib
+import itertools
 import os
 import random
 import re
@@ -187,11 +188,34 @@ def test_decontamination(spark, docs, empty):
 
 def test_golay_keys_meet_within_four_bits():
     r = np.random.default_rng(0)
-    fp = r.integers(0, 2**64, 300, dtype=np.uint64)
-    for k in range(5):
-        other = np.array([f ^ np.uint64(sum(1 << int(b) for b in r.choice(64, k, replace=False))) for f in fp])
-        a, b = (set(zip(*(x.tolist() for x in simhash.keys_of(z)), strict=True)) for z in (fp, other))
-        assert len({i for i, _ in a & b}) == len(fp)
+    # How four errors or fewer may fall on the three segments, each way many times.
+    splits = [x for x in itertools.product(range(5), repeat=3) if sum(x) <= 4]
+    fp = r.integers(0, 2**64, 40 * len(splits), dtype=np.uint64)
+    other = fp.copy()
+    for i in range(len(fp)):
+        for n, (low, width) in zip(splits[i % len(splits)], simhash.SEGMENTS, strict=True):
+            for b in r.choice(width, n, replace=False):
+                other[i] ^= np.uint64(1 << low + int(b))
+    a, b = (set(zip(*(x.tolist() for x in simhash.keys_of(z)), strict=True)) for z in (fp, other))
+    assert len({i for i, _ in a & b}) == len(fp)
+
+
+def test_golay_links_of_large_groups(spark):
+    """Chains, stars and chance neighbours, in one task and in shards, against all pairs."""
+    r = np.random.default_rng(1)
+    words = {0, (1 << 64) - 1}
+    for _ in range(12):
+        x = int(r.integers(0, 2**64, dtype=np.uint64))
+        for _ in range(40):
+            words.add(x)
+            x ^= sum(1 << int(b) for b in r.choice(64, r.integers(1, 7), replace=False))
+    words = np.array(sorted(words), np.uint64)
+    want = groups(len(words), [(i, j) for i in range(len(words)) for j in range(i) if int(words[i] ^ words[j]).bit_count() <= 4])
+    df = spark.createDataFrame([(int(x),) for x in words.view(np.int64)], "fp long")
+    for most, chunk in ((1 << 20, 1 << 17), (3, 50)):
+        at = {int(x): i for i, x in enumerate(words.view(np.int64))}
+        got = groups(len(words), [(at[x["a"]], at[x["b"]]) for x in simhash.golay_links(df, most=most, chunk=chunk).collect()])
+        assert got == want
 
 
 def groups(n, links):
