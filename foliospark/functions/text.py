@@ -58,6 +58,22 @@ def keywords(canon: Column, stop: Column) -> Column:
     return F.filter(tokens(canon), lambda t: ~F.array_contains(stop, t))
 
 
+def parse_query(c: Column, lex: Lexicon = DEFAULT, unicode: bool = True) -> Column:
+    """alarm_codes, keywords (tokens that aren't codes, repeats kept) and the canonical query, as a struct."""
+    canon = canonical(c, lex, unicode)
+    return F.struct(codes(canon, lex).alias("alarm_codes"), keywords(canon, codes(canon, lex)).alias("keywords"), canon.alias("canonical_query"))
+
+
+def block_search_text(title: Column, code_list: Column, section: Column, searchable_text: Column, raw: Column) -> Column:
+    """What is indexed of a block; repetition is meant, it raises term frequencies."""
+    return join_filled(title, F.array_join(code_list, " "), section, searchable_text, raw)
+
+
+def kb_search_text(entity_list: Column, actions: Column, section: Column, searchable_text: Column, canon: Column, raw: Column) -> Column:
+    """What is indexed of a knowledge row."""
+    return join_filled(F.array_join(entity_list, " "), F.array_join(actions, " "), section, searchable_text, canon, raw)
+
+
 def join_filled(*cs: Column, sep: str = "\n") -> Column:
     """Join of the values that aren't blank."""
     return F.array_join(F.filter(F.array(*(F.coalesce(c, F.lit("")) for c in cs)), lambda x: F.trim(x) != ""), sep)
@@ -109,9 +125,10 @@ def optional_float(c: Column) -> Column:
 
 
 def parameters(canon: Column, lex: Lexicon = DEFAULT) -> Column:
-    """At least three characters with a digit."""
+    """At least three characters with a digit; one space for each run, no punctuation at the ends."""
     found = F.regexp_extract_all(canon, F.lit(lex.parameter), F.lit(1))
-    return F.array_sort(F.array_distinct(F.filter(F.transform(found, lambda x: F.upper(F.trim(x))), lambda x: (F.length(x) >= 3) & x.rlike("[0-9]"))))
+    bare = lambda x: F.regexp_replace(F.regexp_replace(x, r"(?U)\s+", " "), "^[ ,.;:]+|[ ,.;:]+$", "")
+    return F.array_sort(F.array_distinct(F.filter(F.transform(found, bare), lambda x: (F.length(x) >= 3) & x.rlike("[0-9]"))))
 
 
 def components(text: Column, words: tuple[str, ...]) -> Column:

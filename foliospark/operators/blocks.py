@@ -110,28 +110,10 @@ def relink(df: DataFrame, before: int = 2, after: int = 2) -> DataFrame:
     return df.select("*", F.lag("block_id").over(w).alias("prev_block_id"), F.lead("block_id").over(w).alias("next_block_id"), near(-before, -1).alias("context_prev"), near(1, after).alias("context_next"))
 
 
-def page_contexts(df: DataFrame) -> DataFrame:
-    """One row for each page with text: texts in order, first section that isn't empty, parse level (one, or merged)."""
-    ordered = F.array_sort(F.collect_list(F.when(F.trim("text") != "", F.struct("pos", "text"))))
-    return (
-        df.groupBy("doc_id", "page_no")
-        .agg(
-            F.array_join(F.transform(ordered, lambda x: x["text"]), "\n").alias("text"),
-            F.min_by("section_path", F.when(F.col("section_path") != "", F.col("pos"))).alias("section_path"),
-            F.array_sort(F.collect_set("parse_level")).alias("levels"),
-            F.count(F.lit(1)).alias("n_blocks"),
-        )
-        .where(F.trim("text") != "")
-        .withColumn("parse_level", F.when(F.size("levels") == 1, F.col("levels")[0]).otherwise("merged"))
-        .drop("levels")
-        .withColumn("block_type", F.lit("page_context"))
-        .withColumn("block_id", F.format_string("%s_page_%04d_context", F.col("doc_id").cast("string"), "page_no"))
-    )
-
-
 def dense_pages(df: DataFrame, threshold: int = 3) -> DataFrame:
-    """`code_dense`: the page's blocks have so many codes in all."""
-    return df.withColumn("page_codes", F.sum(F.size("codes")).over(Window.partitionBy("doc_id", "page_no"))).withColumn("code_dense", F.col("page_codes") >= threshold)
+    """`code_dense` of candidates and plain text: their page's blocks have so many codes in all."""
+    dense = F.sum(F.size("codes")).over(Window.partitionBy("doc_id", "page_no")) >= threshold
+    return df.withColumn("code_dense", dense & F.col("block_type").isin("alarm_candidate", "table_candidate", "text"))
 
 
 def refine_reasons() -> Column:

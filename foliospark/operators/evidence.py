@@ -2,11 +2,26 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from foliospark.functions import text as T
 from foliospark.lexicon import DEFAULT, PLC_PATTERN, QUERY_PARAMETER_PATTERN, Lexicon
+from foliospark.operators import bm25
+from foliospark.operators import kb as K
+from foliospark.operators.vectors import vector_search
+from foliospark.runtime import materialize
+
+
+def pool_size(k: int) -> int:
+    """How many merged candidates are ranked again."""
+    return min(max(2 * k, 12), 18)
+
+
+def merge_size(k: int) -> int:
+    return min(max(4 * k, 16), 28)
 
 
 def intent(raw: Column, lex: Lexicon = DEFAULT) -> Column:
@@ -47,8 +62,8 @@ def parse(queries: DataFrame, lex: Lexicon = DEFAULT, unicode: bool = True) -> D
     other = F.when(terms != "", terms).when(F.trim("normalized_query") != F.trim("raw_query"), F.trim("normalized_query"))
     coded = F.when((F.size("alarm_codes") > 0) & (terms != ""), F.concat(F.col("alarm_codes")[0], F.lit(" "), terms))
     q = q.withColumn("vector_queries", F.slice(F.array_distinct(F.filter(F.array_compact(F.array(F.trim("raw_query"), other, coded)), lambda x: x != "")), 1, 2))
-    exact = F.size("alarm_codes") > 0
-    careful = F.col("intent").isin("procedure", "safety")
+    exact = F.size(F.concat("alarm_codes", "param_codes", "plc_addresses")) > 0
+    careful = F.col("query_type").isin("procedure_lookup", "safety_lookup")
     return (
         q.withColumn("entity_limit", F.when(exact, 20).otherwise(12))
         .withColumn("bm25_limit", F.when(exact, 24).otherwise(20))
@@ -57,19 +72,115 @@ def parse(queries: DataFrame, lex: Lexicon = DEFAULT, unicode: bool = True) -> D
     )
 
 
-ENTITY_SCORES = (("alarm_codes", 1.0), ("param_codes", 0.95), ("plc_addresses", 0.95), ("entities", 0.75))
+#: Of each kind of key in a query: its mark, score and reason.
+ENTITY_ARMS = (
+    ("alarm_codes", "a", 1.0, "alarm_code_exact_match"),
+    ("param_codes", "p", 0.95, "param_code_exact_match"),
+    ("plc_addresses", "l", 0.95, "plc_address_exact_match"),
+    ("entities", "e", 0.75, "entity_exact_match"),
+)
+MOST_ENTITY_HITS = 20
+
+
+def _marked(c: Column | str, mark: str) -> Column:
+    return F.transform(c, lambda x: F.concat(F.lit(mark + ":"), x))
+
+
+def entity_keys(codes: Column | str, entities: Column | str) -> Column:
+    """The keys by which a knowledge row is found."""
+    digits = F.transform(F.filter(entities, lambda e: e.rlike("[0-9]")), F.upper)
+    plc = F.filter(F.transform(entities, F.upper), lambda e: e.rlike("^[A-Z]?[0-9]{1,4}[.][0-9]$"))
+    return F.array_distinct(F.concat(_marked(F.transform(codes, T.normalize_code), "a"), _marked(digits, "p"), _marked(plc, "l"), _marked(entities, "e")))
 
 
 def entity_match(parsed: DataFrame, kb: DataFrame) -> DataFrame:
-    """query_id, id, score, reasons: knowledge rows (id, entities) with an entity of the query."""
-    asked = None
-    for name, score in ENTITY_SCORES:
-        part = parsed.select("query_id", "entity_limit", F.explode(name).alias("e"), F.lit(score).alias("score"), F.lit(name).alias("reason"))
-        asked = part if asked is None else asked.union(part)
-    have = kb.select("id", F.explode("entities").alias("e"))
-    hits = have.join(asked, "e").groupBy("query_id", "entity_limit", "id").agg(F.max("score").alias("score"), F.array_sort(F.collect_set("reason")).alias("reasons"))
+    """query_id, id, score, reasons, rank: knowledge rows (id, codes, entities) with a key of the query.
+
+    A row's score hangs on the kind of the key alone, so of each key's rows only the first by id can be among a
+    query's best: those are kept before the join, whatever the number of rows that have the key.
+    """
+    arm = lambda c, v: F.transform(c, lambda key: F.struct(key.alias("key"), F.lit(v).alias("score")))
+    asked = F.array_distinct(F.flatten(F.array(*(arm(_marked(c, m), v) for c, m, v, _ in ENTITY_ARMS))))
+    wants = parsed.select("query_id", "entity_limit", F.explode(asked).alias("x")).select("query_id", "entity_limit", "x.*")
+    keyed = kb.select("id", entity_keys("codes", "entities").alias("keys"))
+    first = keyed.select("id", F.explode("keys").alias("key")).withColumn("r", F.row_number().over(Window.partitionBy("key").orderBy("id"))).where(F.col("r") <= MOST_ENTITY_HITS)
+    hits = first.join(wants, "key").groupBy("query_id", "entity_limit", "id").agg(F.max("score").alias("score"))
     w = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "id")
-    return hits.withColumn("rank", F.row_number().over(w)).where("rank <= entity_limit").drop("entity_limit")
+    best = hits.withColumn("rank", F.row_number().over(w)).where("rank <= entity_limit").drop("entity_limit")
+    both = best.join(parsed.select("query_id", F.transform(asked, lambda x: x["key"]).alias("asked_")), "query_id").join(keyed, "id")
+    met = F.array_intersect("asked_", "keys")
+    name = lambda k: F.element_at(F.create_map(*(F.lit(x) for _, m, _, r in ENTITY_ARMS for x in (m, r))), F.substring(k, 1, 1))
+    return both.select("query_id", "id", "score", "rank", F.array_distinct(F.transform(met, name)).alias("reasons"), F.array_distinct(F.transform(met, lambda k: F.substr(k, F.lit(3)))).alias("matched_entities"))
+
+
+def of_blocks(found: DataFrame, kb: DataFrame, limit: Column, most: int = 3) -> DataFrame:
+    """query_id, id, score, rank: the first rows of each block found (query_id, id, score and `limit`'s columns), the best score of any."""
+    rows = kb.where(F.col("part_no") < most).select(F.col("block_id").alias("block_"), F.col("kb_id"))
+    best = found.join(rows, found["id"] == rows["block_"]).groupBy("query_id", F.col("kb_id").alias("id")).agg(F.max("score").alias("score"), F.max(limit).alias("limit_"))
+    w = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "id")
+    return best.withColumn("rank", F.row_number().over(w)).where("rank <= limit_").drop("limit_")
+
+
+def _limited(found: DataFrame, parsed: DataFrame, limit: str) -> DataFrame:
+    """Hits of variants (query_id a struct) within the query's limit."""
+    rows = found.select(F.col("query_id.query_id").alias("query_id"), "id", "score", "rank").join(parsed.select("query_id", F.col(limit).alias("lim")), "query_id")
+    return rows.where("rank <= lim")
+
+
+def bm25_hits(parsed: DataFrame, index: bm25.Index, kb: DataFrame, tokens: Callable[[Column], Column]) -> DataFrame:
+    """Each expanded query finds its best blocks; their first three knowledge rows count with the best score of any."""
+    variants = parsed.select("query_id", F.posexplode("expanded_queries").alias("variant", "q")).select(F.struct("query_id", "variant").alias("query_id"), tokens(F.col("q")).alias("tokens"))
+    return of_blocks(_limited(bm25.search(index, variants, 24), parsed, "bm25_limit"), kb, F.col("lim"))
+
+
+def vector_hits(parsed: DataFrame, vectors: DataFrame, kb: DataFrame, embedded: Callable[[Column], Column]) -> DataFrame:
+    """The same for vector queries; vectors: id (of a block), embedding."""
+    variants = parsed.select("query_id", F.posexplode("vector_queries").alias("variant", "q")).select(F.struct("query_id", "variant").alias("query_id"), embedded(F.col("q")).alias("embedding"))
+    return of_blocks(_limited(vector_search(vectors, variants, 16, "inverse_distance"), parsed, "vector_limit"), kb, F.col("lim"))
+
+
+def skips_vector(parsed: DataFrame, *hits: DataFrame) -> DataFrame:
+    """query_id of the queries with an exact key of which something was found already."""
+    some = hits[0].select("query_id")
+    for h in hits[1:]:
+        some = some.union(h.select("query_id"))
+    return parsed.where(F.size(F.concat("alarm_codes", "param_codes", "plc_addresses")) > 0).select("query_id").join(some.distinct(), "query_id", "left_semi")
+
+
+def graph_seeds(parsed: DataFrame, arms: list[DataFrame], most: int = 20) -> DataFrame:
+    """query_id, id, score, hops, max_expand: the first `most` hits, arm after arm; of a row's scores the last arm's counts."""
+    rows = None
+    for i, a in enumerate(arms):
+        part = a.select("query_id", "id", "score", F.lit(i).alias("arm"), "rank")
+        rows = part if rows is None else rows.union(part)
+    rows = rows.withColumn("n", F.row_number().over(Window.partitionBy("query_id").orderBy("arm", "rank"))).where(F.col("n") <= most)
+    last = rows.groupBy("query_id", "id").agg(F.max_by("score", "n").alias("score"))
+    limits = parsed.select("query_id", F.when(F.size("alarm_codes") > 0, 2).otherwise(1).alias("hops"), F.col("graph_limit").alias("max_expand"))
+    return last.join(limits, "query_id")
+
+
+def retrieve(queries: DataFrame, index: bm25.Index, vectors: DataFrame, kb: DataFrame, adjacent: DataFrame, tokens: Callable[[Column], Column], embedded: Callable[[Column], Column], k: int = 5, lex: Lexicon = DEFAULT, unicode: bool = True) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(parsed queries, merged candidates, the best k after ranking again) of queries (query_id, raw_query).
+
+    index and vectors are over blocks; kb: kb_id, block_id, part_no, kb_type, section_path, codes, entities, text,
+    search_text. The scorer is the share of the query's tokens in a row's search text.
+    """
+    parsed = materialize(parse(queries, lex, unicode), "parsed")
+    rows = kb.withColumn("id", F.col("kb_id"))
+    entity = materialize(entity_match(parsed, rows), "entity-hits")
+    lexical = materialize(bm25_hits(parsed, index, kb, tokens), "bm25-hits")
+    asked = parsed.join(skips_vector(parsed, entity, lexical), "query_id", "left_anti")
+    vector = materialize(vector_hits(asked, vectors, kb, embedded), "vector-hits")
+    seeds = materialize(graph_seeds(parsed, [entity, lexical, vector]), "seeds")
+    near = K.expand(adjacent, seeds, F.col("hops"), F.col("max_expand")).join(parsed.select("query_id", "graph_limit"), "query_id").where("rank <= graph_limit")
+    nil = F.lit(None).cast("int")
+    arm = lambda df, s, d=nil: df.select("query_id", "id", F.lit(s).alias("source"), "score", d.alias("distance"))
+    found = arm(entity, "entity").union(arm(lexical, "bm25")).union(arm(vector, "vector")).union(arm(near, "graph", F.col("distance")))
+    facts = rows.select("id", "kb_type", "section_path", F.col("codes").alias("alarm_codes"), "entities", "text", "search_text", "block_id", "page_no")
+    merged = materialize(merge(found, facts, parsed, k, lex), "merged")
+    pool = merged.where(F.col("rank") <= pool_size(k)).join(parsed.select("query_id", "raw_query"), "query_id")
+    pool = pool.withColumn("relevance", F.round(lexical_relevance(tokens(F.col("raw_query")), tokens(F.col("search_text"))), 6)).drop("raw_query")
+    return parsed, merged, rerank(pool, parsed, k, lex, unicode)
 
 
 def merge(candidates: DataFrame, kb: DataFrame, parsed: DataFrame, k: int = 5, lex: Lexicon = DEFAULT) -> DataFrame:
@@ -78,8 +189,10 @@ def merge(candidates: DataFrame, kb: DataFrame, parsed: DataFrame, k: int = 5, l
     best = candidates.groupBy("query_id", "id").agg(
         *(F.max(F.when(F.col("source") == s, F.col("score"))).alias(f"{s}_score") for s in ("entity", "bm25", "vector", "graph")),
         F.min("distance").alias("graph_distance"),
-        F.array_sort(F.collect_set("source")).alias("sources"),
+        F.collect_set("source").alias("had_"),
     )
+    # Sources in the order in which they are asked.
+    best = best.withColumn("sources", F.array_intersect(F.array(*map(F.lit, ("entity", "bm25", "vector", "graph"))), "had_")).drop("had_")
     rows = best.join(kb, "id").join(parsed.select("query_id", F.col("alarm_codes").alias("query_codes"), "need_safety"), "query_id")
     yes = lambda on, v: F.when(on, v).otherwise(0.0)
     boost = (
@@ -92,22 +205,29 @@ def merge(candidates: DataFrame, kb: DataFrame, parsed: DataFrame, k: int = 5, l
     z = lambda s: F.coalesce(f"{s}_score", F.lit(0.0))
     out = rows.withColumn("boost", boost).withColumn("score", F.round(1.20 * z("entity") + 1.00 * z("bm25") + 0.90 * z("vector") + 0.70 * z("graph") + F.col("boost"), 9))
     w = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "id")
-    return out.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= min(max(4 * k, 16), 28))
+    return out.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= merge_size(k))
+
+
+def evidence_text(text: Column | str, section: Column | str, codes: Column | str, entities: Column | str, lex: Lexicon = DEFAULT, unicode: bool = True) -> Column:
+    """Text, section, codes and entities of a row, canonical."""
+    whole = F.concat_ws("\n", F.coalesce(text, F.lit("")), F.coalesce(section, F.lit("")), F.array_join(codes, " "), F.array_join(entities, " "))
+    return T.canonical(whole, lex, unicode)
 
 
-def rerank(merged: DataFrame, parsed: DataFrame, k: int = 5) -> DataFrame:
-    """merged also has text and relevance (a scorer's). Adds the boosts and ranks again."""
-    rows = merged.drop("rank", "need_safety", "query_codes").join(parsed.select("query_id", "normalized_query", "intent", "need_safety", F.col("alarm_codes").alias("query_codes")), "query_id")
+def rerank(merged: DataFrame, parsed: DataFrame, k: int = 5, lex: Lexicon = DEFAULT, unicode: bool = True) -> DataFrame:
+    """merged also has text, section_path, entities and relevance (a scorer's). Adds the boosts that the query's type asks for and ranks again."""
+    rows = merged.drop("rank", "need_safety", "query_codes").join(parsed.select("query_id", "normalized_query", "query_type", "need_safety", F.col("alarm_codes").alias("query_codes")), "query_id")
+    rows = rows.withColumn("evidence_text", evidence_text("text", "section_path", "alarm_codes", "entities", lex, unicode))
     yes = lambda on, v: F.when(on, v).otherwise(0.0)
-    match = F.arrays_overlap("alarm_codes", "query_codes")
+    match = F.arrays_overlap("alarm_codes", "query_codes") & F.col("query_type").isin("alarm_diagnosis", "alarm_explain")
     boost = (
-        yes((F.col("normalized_query") != "") & F.contains(F.upper("text"), F.col("normalized_query")), 0.25)
-        + yes((F.col("intent") == "procedure") & (F.col("kb_type") == "procedure"), 0.20)
-        + yes(F.col("need_safety") & (F.col("kb_type") == "warning"), 0.18)
+        yes((F.col("normalized_query") != "") & F.contains("evidence_text", F.col("normalized_query")), 0.25)
+        + yes((F.col("query_type") == "procedure_lookup") & (F.col("kb_type") == "procedure"), 0.20)
+        + yes((F.col("query_type") == "safety_lookup") & (F.col("kb_type") == "warning"), 0.18)
         + yes(match, 0.20)
         + yes(match & (F.col("kb_type") == "alarm"), 0.10)
     )
-    out = rows.withColumn("post_boost", boost).withColumn("adjusted", F.round(F.col("relevance") + F.col("post_boost"), 9))
+    out = rows.withColumn("post_boost", F.round(boost, 9)).withColumn("adjusted", F.round(F.col("relevance") + F.col("post_boost"), 9))
     w = Window.partitionBy("query_id").orderBy(F.col("adjusted").desc(), "id")
     return out.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
 

@@ -9,52 +9,105 @@ from foliospark.functions import text as T
 from foliospark.lexicon import DEFAULT, EDGE_WEIGHTS, Lexicon
 from foliospark.operators import blocks as B
 
+KEPT = ("block_type", "block_level", "section_path", "image_paths", "page_context_id", "source", "parse_level", "context_prev", "context_next", "title")
 
-def split_blocks(df: DataFrame, lex: Lexicon = DEFAULT) -> DataFrame:
-    """Knowledge rows of blocks (doc_id, block_id, pos, page_no, block_type, text, codes): one
+
+def split_blocks(df: DataFrame, lex: Lexicon = DEFAULT, unicode: bool = False) -> DataFrame:
+    """Knowledge rows of blocks (doc_id, block_id, pos, page_no, block_type, text, codes, and of KEPT what there is): one
     for each code, else steps, table rows or merged paragraphs; none of page contexts and blank text."""
-    part = lambda kind, key, texts, code: F.transform(texts, lambda x: F.struct(F.lit(kind).alias("kb_type"), F.lit(key).alias("family"), (code(x) if code else F.col("text") if texts is None else x).alias("text")))
-    by_code = F.transform("codes", lambda c: F.struct(F.lit("alarm").alias("kb_type"), F.lit("alarm").alias("family"), F.col("text").alias("text")))
-    kind = F.when(F.col("block_type") == "warning", "warning").otherwise("text")
-    as_text = F.transform(B.merged_short(B.paragraphs(F.col("text"))), lambda x: F.struct(kind.alias("kb_type"), F.lit("para").alias("family"), x.alias("text")))
+    kind = F.col("block_type")
+    as_one = lambda texts, k, family: F.transform(texts, lambda x: F.struct(k.alias("kb_type"), F.lit(family).alias("family"), x.alias("text")))
     parts = (
-        F.when(F.size("codes") > 0, by_code)
-        .when(F.col("block_type") == "procedure", part("procedure", "step", B.steps(F.col("text"), lex), None))
-        .when(F.startswith("block_type", F.lit("table")), part("table", "row", B.rows_of(F.col("text")), None))
-        .otherwise(as_text)
+        F.when(F.size("codes") > 0, as_one(F.transform("codes", lambda c: F.col("text")), F.lit("alarm"), "alarm"))
+        .when(kind == "procedure", as_one(B.steps(F.col("text"), lex), F.lit("procedure"), "step"))
+        .when(F.startswith(kind, F.lit("table")), as_one(B.rows_of(F.col("text")), F.lit("table"), "row"))
+        .otherwise(as_one(B.merged_short(B.paragraphs(F.col("text"))), F.when(kind == "warning", "warning").otherwise("text"), "para"))
     )
-    live = df.where((F.col("block_type") != "page_context") & (F.trim("text") != ""))
-    out = live.select("doc_id", "block_id", "pos", "page_no", "codes", F.posexplode(parts).alias("part_no", "x"))
-    out = out.select("doc_id", "block_id", "pos", "page_no", "codes", "part_no", "x.kb_type", "x.family", "x.text")
-    return out.withColumn("kb_id", F.concat("block_id", F.lit("__"), "family", F.lit("_"), F.lpad((F.col("part_no") + 1).cast("string"), 2, "0"))).withColumn("entities", T.entities(T.canonical(F.col("text"), lex, unicode=False), lex))
+    live = df.where((kind != "page_context") & (F.trim("text") != ""))
+    kept = ["doc_id", "block_id", "pos", "page_no", "codes", *(c for c in KEPT if c in df.columns)]
+    out = live.select(*kept, F.posexplode(parts).alias("part_no", "x")).select(*kept, "part_no", "x.kb_type", "x.family", "x.text")
+    out = out.withColumn("kb_id", F.concat("block_id", F.lit("__"), "family", F.lit("_"), F.lpad((F.col("part_no") + 1).cast("string"), 2, "0")))
+    # Each in a projection of its own, so that it is computed once a row.
+    out = out.withColumn("canonical_text", T.canonical(F.col("text"), lex, unicode))
+    found = F.array_union(F.array_union("codes", T.parameters(F.col("canonical_text"), lex)), T.components(F.col("text"), lex.components))
+    out = out.withColumn("entities", F.array_sort(found))
+    if "title" not in out.columns:
+        return out
+    out = out.withColumn("action", actions(F.col("title"), F.col("codes"), F.col("text"), F.col("kb_type")))
+    out = out.withColumn("searchable_text", T.join_filled(F.col("title"), F.array_join("entities", " "), F.col("section_path"), F.col("canonical_text")))
+    return out.withColumn("search_text", T.kb_search_text(F.col("entities"), F.col("action"), F.col("section_path"), F.col("searchable_text"), F.col("canonical_text"), F.col("text")))
+
+
+def actions(title: Column, codes: Column, text: Column, kind: Column) -> Column:
+    """The title if it is no code, the first line if it is another; else a default of the type. Sorted, distinct."""
+    name = F.trim(F.coalesce(title, F.lit("")))
+    line = F.split_part(F.regexp_replace(F.coalesce(text, F.lit("")), r"(?U)^\s+|\s+$", ""), F.lit("\n"), F.lit(1))
+    found = F.array_compact(F.array(F.when((name != "") & ~F.array_contains(codes, name), name), F.when((line != "") & (line != name), F.substring(line, 1, 120))))
+    default = F.when(kind == "procedure", F.array(F.lit("procedure_step"))).when(kind == "table", F.array(F.lit("table_row"))).when(kind == "alarm", F.array(F.lit("alarm_event")))
+    return F.array_sort(F.array_distinct(F.when(F.size(found) > 0, found).otherwise(F.coalesce(default, found))))
+
+
+def _first_two(kb: DataFrame) -> DataFrame:
+    """block_id, ids: the first two rows of each block, in order."""
+    first = kb.where("part_no < 2").groupBy("block_id").agg(F.array_sort(F.collect_list(F.struct("part_no", "kb_id"))).alias("x"))
+    return first.select("block_id", F.transform("x", lambda r: r["kb_id"]).alias("ids"))
+
+
+def context_rows(kb: DataFrame) -> DataFrame:
+    """block_id, around_prev, around_next: the first two rows of each of a block's context blocks, in order."""
+    one = kb.where("part_no = 0")
+    refs = one.select("block_id", F.explode(F.concat(F.transform("context_prev", lambda b, i: F.struct(F.lit(0).alias("side"), i.alias("i"), b.alias("ref"))), F.transform("context_next", lambda b, i: F.struct(F.lit(1).alias("side"), i.alias("i"), b.alias("ref"))))).alias("r")).select("block_id", "r.*")
+    got = refs.join(_first_two(kb).withColumnRenamed("block_id", "ref"), "ref").groupBy("block_id").agg(F.array_sort(F.collect_list(F.struct("side", "i", "ids"))).alias("x"))
+    side = lambda k: F.flatten(F.transform(F.filter("x", lambda r: r["side"] == k), lambda r: r["ids"]))
+    return got.select("block_id", side(0).alias("around_prev"), side(1).alias("around_next"))
 
 
 def relink(kb: DataFrame) -> DataFrame:
+    """prev/next ids, the two ids before and after, and with context blocks (context_prev, context_next) the first two rows of each, if new."""
     w = Window.partitionBy("doc_id").orderBy("pos", "part_no")
     near = lambda a, b: F.collect_list("kb_id").over(w.rowsBetween(a, b))
-    return kb.select("*", F.lag("kb_id").over(w).alias("prev_kb_id"), F.lead("kb_id").over(w).alias("next_kb_id"), near(-2, -1).alias("context_prev_kb"), near(1, 2).alias("context_next_kb"))
+    out = kb.select("*", F.lag("kb_id").over(w).alias("prev_kb_id"), F.lead("kb_id").over(w).alias("next_kb_id"), near(-2, -1).alias("context_prev_kb"), near(1, 2).alias("context_next_kb"))
+    if "context_prev" not in kb.columns:
+        return out
+    none = F.array().cast("array<string>")
+    out = out.join(context_rows(kb), "block_id", "left")
+    more = lambda c: F.concat(f"context_{c}_kb", F.array_distinct(F.array_except(F.coalesce(f"around_{c}", none), f"context_{c}_kb")))
+    return out.withColumn("context_prev_kb", more("prev")).withColumn("context_next_kb", more("next")).drop("around_prev", "around_next")
 
 
 def edges(kb: DataFrame, lex: Lexicon = DEFAULT) -> DataFrame:
-    """source, target, relation, direction: entity links, neighbours in order, neighbours on a page; distinct."""
+    """source, target, relation, direction, page_no, distinct: entity links, neighbours in order and on a page, and the first
+    two rows of the context blocks. All links of a row come of one array, so kb is gone through once."""
     w = Window.partitionBy("doc_id").orderBy("pos", "part_no")
     page = Window.partitionBy("doc_id", "page_no").orderBy("pos", "part_no")
-    e = kb.select("kb_id", F.explode("entities").alias("e")).withColumn("node", F.concat(F.lit("entity::"), "e")).withColumn("kind", T.entity_kind(F.col("e"), lex))
-    none = F.lit(None).cast("string")
-    link = lambda df, s, t, r, d=none: df.select(F.col(s).alias("source"), F.col(t).alias("target"), F.lit(r).alias("relation"), d.alias("direction"))
-    order = kb.select("kb_id", F.lead("kb_id").over(w).alias("n"), F.lead("kb_id").over(page).alias("p"), F.lead("kb_id", 2).over(w).alias("f"))
-    parts = [
-        link(e, "kb_id", "node", "mentions"),
-        link(e.where("kind = 'alarm_code'"), "node", "kb_id", "triggers"),
-        link(e.where("kind = 'parameter'"), "kb_id", "node", "depends_on"),
-        link(order.where("n is not null"), "kb_id", "n", "adjacent"),
-        link(order.where("p is not null"), "kb_id", "p", "same_page"),
-        link(order.where("f is not null"), "kb_id", "f", "related_context", F.lit("next")),
-    ]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.union(p)
-    return out.distinct()
+    rows = kb.select("*", F.lead("kb_id").over(w).alias("n_"), F.lead("kb_id").over(page).alias("p_"))
+    none = F.array().cast("array<string>")
+    if "context_prev" in kb.columns:
+        rows = rows.join(context_rows(kb), "block_id", "left")
+    else:
+        rows = rows.withColumns({"around_prev": none, "around_next": none})
+    nil, here = F.lit(None).cast("string"), F.col("page_no").cast("int")
+    link = lambda s, t, r, d=nil, p=None: F.struct(s.alias("source"), t.alias("target"), F.lit(r).alias("relation"), d.alias("direction"), (F.lit(None).cast("int") if p is None else p).alias("page_no"))
+    me, node = F.col("kb_id"), lambda e: F.concat(F.lit("entity::"), e)
+    of = lambda k: F.filter("entities", lambda e: T.entity_kind(e, lex) == k)
+    some = lambda c, x: F.filter(F.array(x), lambda _: F.col(c).isNotNull())
+    found = F.concat(
+        F.transform("entities", lambda e: link(me, node(e), "mentions", p=here)),
+        F.transform(of("alarm_code"), lambda e: link(node(e), me, "triggers", p=here)),
+        F.transform(of("parameter"), lambda e: link(me, node(e), "depends_on", p=here)),
+        some("n_", link(me, F.col("n_"), "adjacent")),
+        some("p_", link(me, F.col("p_"), "same_page", p=here)),
+        F.transform(F.coalesce("around_prev", none), lambda t: link(me, t, "related_context", F.lit("prev"))),
+        F.transform(F.coalesce("around_next", none), lambda t: link(me, t, "related_context", F.lit("next"))),
+    )
+    return rows.select(F.inline(found)).dropDuplicates(["source", "target", "relation", "direction", "page_no"])
+
+
+def nodes(kb: DataFrame, lex: Lexicon = DEFAULT) -> DataFrame:
+    """id, node_type, entity_type of all rows and entities."""
+    names = kb.select(F.explode("entities").alias("e")).distinct()
+    nil = F.lit(None).cast("string")
+    return kb.select(F.col("kb_id").alias("id"), F.lit("kb").alias("node_type"), nil.alias("entity_type")).union(names.select(F.concat(F.lit("entity::"), "e"), F.lit("entity"), T.entity_kind(F.col("e"), lex)))
 
 
 def weight(relation: Column) -> Column:
@@ -65,23 +118,36 @@ def weight(relation: Column) -> Column:
 
 
 def adjacency(edge: DataFrame) -> DataFrame:
-    """node, other, weight under both ends that are knowledge rows."""
-    both = edge.select(F.col("source").alias("node"), F.col("target").alias("other"), "relation").union(edge.select("target", "source", "relation"))
-    return both.where(~F.startswith("node", F.lit("entity::"))).select("node", "other", weight(F.col("relation")).alias("weight"))
+    """node, other, relation, weight under both ends that are knowledge rows."""
+    both = edge.select(F.inline(F.array(F.struct(F.col("source").alias("node"), F.col("target").alias("other"), "relation"), F.struct(F.col("target").alias("node"), F.col("source").alias("other"), "relation"))))
+    return both.where(~F.startswith("node", F.lit("entity::"))).select("node", "other", "relation", weight(F.col("relation")).alias("weight"))
 
 
-def expand(adjacent: DataFrame, seeds: DataFrame, hops: int = 1, max_expand: int = 16) -> DataFrame:
-    """query_id, id, score, distance from seeds (query_id, id, score): hop by hop, of each node
-    the max_expand heaviest links (before entities are skipped), child = parent x weight; a
-    node reached on two ways keeps its highest score, the first hop wins; ties by id."""
-    w = Window.partitionBy("node").orderBy(F.col("weight").desc(), "other")
-    heavy = adjacent.withColumn("r", F.row_number().over(w)).where(F.col("r") <= max_expand).where(~F.startswith("other", F.lit("entity::"))).drop("r")
+def expand(adjacent: DataFrame, seeds: DataFrame, hops: int | Column = 1, max_expand: int | Column = 16) -> DataFrame:
+    """query_id, id, score, distance from seeds (query_id, id, score, and for limits of each query: hops, max_expand):
+    hop by hop, of each node the max_expand heaviest links (before entities are skipped), child = parent x weight; a
+    node reached on two ways keeps its highest score, the first hop wins; ties by id. Only links of nodes that are reached are ranked."""
+    limits = seeds.select("query_id", (F.lit(hops) if isinstance(hops, int) else hops).alias("hops"), (F.lit(max_expand) if isinstance(max_expand, int) else max_expand).alias("most")).groupBy("query_id").agg(F.max("hops").alias("hops"), F.max("most").alias("most"), F.count(F.lit(1)).alias("n_"))
     seen = seeds.groupBy("query_id", "id").agg(F.max("score").alias("score")).withColumn("distance", F.lit(0))
-    front = seen
-    for hop in range(1, hops + 1):
-        step = front.join(heavy, front["id"] == heavy["node"]).select("query_id", F.col("other").alias("id"), (F.col("score") * F.col("weight")).alias("score"))
+    front, links = seen, adjacent.select("node", "other", "weight").groupBy("node", "other").agg(F.array_sort(F.collect_list("weight")).alias("ws"))
+    w = Window.partitionBy("node").orderBy(F.col("weight").desc(), "other")
+    for hop in range(1, (hops if isinstance(hops, int) else 2) + 1):
+        near = links.join(front.select(F.col("id").alias("node")).distinct(), "node", "left_semi").select("node", "other", F.explode("ws").alias("weight")).withColumn("r", F.row_number().over(w)).where(~F.startswith("other", F.lit("entity::")))
+        live = front.join(limits, "query_id").where(F.col("hops") >= hop)
+        step = live.join(near, live["id"] == near["node"]).where("r <= most").select("query_id", F.col("other").alias("id"), (F.col("score") * F.col("weight")).alias("score"))
         front = step.join(seen, ["query_id", "id"], "left_anti").groupBy("query_id", "id").agg(F.max("score").alias("score")).withColumn("distance", F.lit(hop))
         seen = seen.union(front)
-    n = seeds.groupBy("query_id").agg(F.greatest(F.count(F.lit(1)), F.lit(max_expand)).alias("n"))
     best = Window.partitionBy("query_id").orderBy(F.round("score", 9).desc(), "id")
-    return seen.withColumn("rank", F.row_number().over(best)).join(n, "query_id").where("rank <= n").drop("n")
+    return seen.withColumn("rank", F.row_number().over(best)).join(limits.select("query_id", F.greatest("n_", F.col("most").cast("long")).alias("n_")), "query_id").where("rank <= n_").drop("n_")
+
+
+def with_neighbours(rows: DataFrame, kb: DataFrame, adjacent: DataFrame, before: int = 2, after: int = 3, most: int = 6) -> DataFrame:
+    """rows (with id) and what lies around: context_ids by place, and of the `most` heaviest links those to other rows, as id:relation."""
+    w = Window.partitionBy("doc_id").orderBy("pos", "part_no")
+    near = lambda a, b: F.collect_list("kb_id").over(w.rowsBetween(a, b))
+    placed = kb.select(F.col("kb_id").alias("id"), F.concat(near(-before, -1), near(1, after)).alias("context_ids"))
+    asked = rows.select("id").distinct()
+    r = Window.partitionBy("node").orderBy(F.col("weight").desc(), "other", "relation")
+    links = adjacent.join(asked.withColumnRenamed("id", "node"), "node", "left_semi").withColumn("r", F.row_number().over(r)).where((F.col("r") <= most) & ~F.startswith("other", F.lit("entity::")))
+    links = links.groupBy(F.col("node").alias("id")).agg(F.transform(F.array_sort(F.collect_list(F.struct("r", "other", "relation"))), lambda x: F.concat(x["other"], F.lit(":"), x["relation"])).alias("graph_neighbours"))
+    return rows.join(placed, "id").join(links, "id", "left").withColumn("graph_neighbours", F.coalesce("graph_neighbours", F.array().cast("array<string>")))

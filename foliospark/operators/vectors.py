@@ -2,10 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
-from foliospark.operators.bm25 import top_k
+from foliospark.functions.text import normalize_code
+from foliospark.operators.bm25 import Index, scores, seen, top_k
 
 
 def dot(a: Column, b: Column) -> Column:
@@ -31,16 +37,53 @@ def vector_scores(rows: DataFrame, queries: DataFrame, scale: str = "cosine") ->
     return r.join(F.broadcast(q)).select("query_id", "id", SCALES[scale](c).alias("score"))
 
 
+def best_of_rows(rows: DataFrame, queries: DataFrame, k: int, scale: str = "cosine") -> DataFrame:
+    """qn, id, score: of each Arrow batch of rows the k best of each query of a block (of which there are at most BLOCK),
+    by one matrix product; ties by id, scores rounded to 6 places. qn is a query's number in the block."""
+    shared = rows.sparkSession.sparkContext.broadcast(np.array([r["embedding"] for r in queries], np.float64).reshape(len(queries), -1))
+    kind = rows.schema["id"].dataType.simpleString()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        q = shared.value
+        q = q / (np.sqrt((q * q).sum(axis=1)) + 1e-9)[:, None]
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            x = np.array(batch["embedding"].to_pylist(), np.float64)
+            x = x / (np.sqrt((x * x).sum(axis=1)) + 1e-9)[:, None]
+            c = x @ q.T
+            score = np.round(c if scale == "cosine" else (c + 1) / 2 if scale == "shifted" else 1 / (1 + (1 - c)), 6)
+            ids = batch["id"].to_pylist()
+            order = np.unique(np.array(ids, object if isinstance(ids[0], str) else None), return_inverse=True)[1]
+            n = min(k, len(ids))
+            least = np.partition(score, len(ids) - n, axis=0)[len(ids) - n]
+            at, qn = np.nonzero(score >= least)
+            by = np.lexsort((order[at], -score[at, qn], qn))
+            at, qn = at[by], qn[by]
+            place = np.arange(len(qn)) - np.searchsorted(qn, qn)
+            at, qn = at[place < n], qn[place < n]
+            yield pa.RecordBatch.from_arrays([pa.array(qn, pa.int64()), batch["id"].take(pa.array(at)), pa.array(score[at, qn])], names=["qn", "id", "score"])
+
+    return rows.select("id", "embedding").where("embedding is not null").mapInArrow(run, f"qn long, id {kind}, score double")
+
+
 def vector_search(rows: DataFrame, queries: DataFrame, k: int, scale: str = "cosine", block: int = BLOCK) -> DataFrame:
     """The k best rows of each query, exactly. The stated queries are worked through in
     blocks, dealt out by hash, of about `block` each; only a block is broadcast."""
+    spark = rows.sparkSession
     n = max(1, -(-queries.count() // block))
     out = None
     for i in range(n):
         part = queries.where(F.pmod(F.xxhash64("query_id"), F.lit(n)) == i) if n > 1 else queries
-        best = top_k(vector_scores(rows, part, scale), k, keep_zero=True)
+        asked = part.select("query_id", "embedding").collect()
+        if not asked:
+            continue
+        names = spark.createDataFrame([(j, r["query_id"]) for j, r in enumerate(asked)], StructType([StructField("qn", LongType()), StructField("query_id", queries.schema["query_id"].dataType)]))
+        best = top_k(best_of_rows(rows, asked, k, scale).join(F.broadcast(names), "qn").drop("qn"), k, keep_zero=True)
         out = best if out is None else out.union(best)
-    return out
+    if out is None:
+        return top_k(queries.select("query_id").crossJoin(rows.limit(0).select("id")).withColumn("score", F.lit(0.0)), k)
+    return out.select("query_id", "id", "score", "rank")
 
 
 def min_max(scored: DataFrame, score: str = "score") -> DataFrame:
@@ -50,6 +93,31 @@ def min_max(scored: DataFrame, score: str = "score") -> DataFrame:
     return scored.withColumn(score, F.when(high - low < 1e-9, 1.0).otherwise((F.col(score) - low) / (high - low)))
 
 
+def flat(df: DataFrame, columns: list[str]) -> DataFrame:
+    """Metadata as a vector store keeps it: lists joined with " | ", structures as JSON, null as ''."""
+    out = df
+    for c in columns:
+        kind = df.schema[c].dataType.typeName()
+        text = F.array_join(F.transform(F.col(c), lambda x: x.cast("string")), " | ") if kind == "array" else F.to_json(c) if kind in ("struct", "map") else F.col(c)
+        out = out.withColumn(c, F.coalesce(text, F.lit("")) if kind in ("array", "struct", "map", "string") else text)
+    return out
+
+
+def store_search(rows: DataFrame, queries: DataFrame, k: int, literals: dict[str, str] | None = None, metadata: tuple[str, ...] = ()) -> DataFrame:
+    """1 / (1 + distance) over the rows whose flat metadata equals all literals; rows: id, embedding and the metadata."""
+    live = flat(rows, list(metadata))
+    for key, value in (literals or {}).items():
+        live = live.where(F.col(key) == F.lit(value))
+    return vector_search(live, queries, k, "inverse_distance")
+
+
+def multi_query(rows: DataFrame, variants: DataFrame, k: int, scale: str = "inverse_distance") -> DataFrame:
+    """variants: query_id, variant, embedding; each finds its best k, the best score of any counts."""
+    keyed = variants.select(F.struct("query_id", "variant").alias("query_id"), "embedding")
+    best = vector_search(rows, keyed, k, scale).groupBy(F.col("query_id.query_id").alias("query_id"), "id").agg(F.max("score").alias("score"))
+    return top_k(best, k, keep_zero=True)
+
+
 def hybrid(lexical: DataFrame, vector: DataFrame, rows: DataFrame, queries: DataFrame, k: int, exact_weight: float = 0.15, priority_weight: float = 0.05) -> DataFrame:
     """0.45 x lexical + 0.35 x vector (both min-max) + exact code + priority, over the
     max(4k, 20) best of either; rows: id, codes, source_priority; queries: query_id, codes."""
@@ -60,3 +128,42 @@ def hybrid(lexical: DataFrame, vector: DataFrame, rows: DataFrame, queries: Data
     exact = F.arrays_overlap("codes", "query_codes").cast("double")
     score = 0.45 * F.coalesce("lexical", F.lit(0.0)) + 0.35 * F.coalesce("vector", F.lit(0.0)) + exact_weight * exact + priority_weight * F.col("source_priority")
     return top_k(both.withColumn("score", score), k, keep_zero=True).select("query_id", "id", "score", "rank")
+
+
+def hybrid_rows(lexical: DataFrame, vector: DataFrame, kb: DataFrame, queries: DataFrame, k: int) -> DataFrame:
+    """The same for knowledge rows (id, codes, entities): 0.20 for a code, also one among the entities with a digit; no priority."""
+    named = F.transform(F.filter("entities", lambda e: e.rlike("[0-9]")), normalize_code)
+    rows = kb.select("id", F.array_union("codes", named).alias("codes"), F.lit(0.0).alias("source_priority"))
+    return hybrid(lexical, vector, rows, queries, k, 0.20, 0.0)
+
+
+def hybrid_legacy(index: Index, queries: DataFrame, rows: DataFrame, k: int) -> DataFrame:
+    """All rows: 10 x exact + 0.30 x bm25 / max + 0.20 x (cosine + 1) / 2 + 0.08 x priority + 0.02 x recognition.
+    rows: id, codes, source_priority, ocr_confidence, embedding; queries: query_id, tokens, codes, embedding. Every row has a
+    vector score, so all rows meet a block of the stated queries."""
+    raw = scores(index, queries)
+    top = raw.groupBy("query_id").agg(F.max("score").alias("top"))
+    pairs = vector_scores(rows, queries, "shifted").withColumnRenamed("score", "vector").join(rows.drop("embedding"), "id")
+    pairs = pairs.join(queries.select("query_id", F.col("codes").alias("query_codes")), "query_id").join(top, "query_id", "left").join(raw, ["query_id", "id"], "left")
+    exact = F.arrays_overlap("codes", "query_codes").cast("double")
+    bm25 = F.when(F.col("top") > 0, F.coalesce("score", F.lit(0.0)) / (F.col("top") + 1e-9)).otherwise(0.0)
+    score = 10 * exact + 0.30 * bm25 + 0.20 * F.round("vector", 6) + 0.08 * F.col("source_priority") + 0.02 * seen(F.col("ocr_confidence"))
+    return top_k(pairs.select("query_id", "id", score.alias("score")), k, keep_zero=True)
+
+
+def reranked(found: DataFrame, relevance: DataFrame, k: int) -> DataFrame:
+    """found (query_id, id) in the order of a scorer's relevance (query_id, id, relevance); ties by id."""
+    rows = found.select("query_id", "id").join(relevance, ["query_id", "id"]).withColumnRenamed("relevance", "score")
+    return top_k(rows, k, keep_zero=True).select("query_id", "id", "score", "rank")
+
+
+class Retrievers:
+    """Retrieval functions (queries, k) -> query_id, id, score, rank by name."""
+
+    def __init__(self, **named: Callable[[DataFrame, int], DataFrame]):
+        self.named = named
+
+    def search(self, queries: DataFrame, retriever: str, k: int) -> DataFrame:
+        if retriever not in self.named:
+            raise ValueError(f"retriever must be one of: {', '.join(sorted(self.named))}")
+        return self.named[retriever](queries, k)

@@ -1,4 +1,5 @@
-"""All queries of the library's own operators, with their SQL.
+"""All queries of the library's own operators, with their SQL: those over lines and documents here, those over a
+manual that is made of the documents in plans.manual and plans.online, sources in plans.stores.
 
 The driver's tables lack codes, headings and pages, so the queries inject them with
 arithmetic that SQL states as well; lexicons are built from words of the data.
@@ -8,14 +9,15 @@ rows whose id is divisible by 50.
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from foliospark.functions import text as T
 from foliospark.lexicon import Lexicon
-from foliospark.operators import blocks, bm25, evaluate, evidence, kb, pages, reasoning, session, vectors
+from foliospark.operators import blocks, bm25, evaluate, evidence, pages, session, vectors
+from foliospark.plans import manual, online, stores  # noqa: F401  their queries are kept by being defined
+from foliospark.plans.registry import ORACLES, QUERIES, documents, joined, kept, plain  # noqa: F401
+from foliospark.plans.registry import query as _query
 from foliospark.runtime import table
 from foliospark.sources.layout import layout_items as walked
 
@@ -24,16 +26,9 @@ LEX = Lexicon(
     warning="(?i)(licen[sc]e)",
     step="^(The|Th|De|El)",
     step_start="^(The|Th|De|El)",
-    components=("TION", "KEIT", "EAU"),
-    query_components=("TION", "KEIT", "EAU"),
-    intents=(("safety", ("idiot", "stupid")), ("procedure", ("how", "ing")), ("parameter_setting", ("value",)), ("troubleshooting", ("err",)), ("explain", ("what",))),
-    safety_words=("idiot", "stupid"),
-    fault_words=("7",),
     suspects=("%", "#", "&"),
     supplements=("More:",),
 )
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {}
 
 # Shared pieces of the SQL side.
 PLAIN = "replace(coalesce(text, ''), 'ß', 'ss')"
@@ -51,22 +46,8 @@ LINES = """lines0 AS (
 )""".replace("\\\\", "\\")
 
 
-def query(sql: str | None = None):
-    def add(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
-        QUERIES[f.__name__] = f
-        if sql:
-            ORACLES[f.__name__] = sql.replace("{LINES}", LINES)
-        return f
-
-    return add
-
-
-def plain(c: str = "text"):
-    return F.replace(F.coalesce(F.col(c), F.lit("")), F.lit("ß"), F.lit("ss"))
-
-
-def documents(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "documents")
+def query(sql: str):
+    return _query(sql, LINES=LINES)
 
 
 def typed_lines(spark: SparkSession, d: str) -> DataFrame:
@@ -81,7 +62,7 @@ def joined(c: str):
 
 
 def index_of(spark: SparkSession, d: str) -> bm25.Index:
-    return bm25.build(documents(spark, d).select(F.col("doc_id").alias("id"), T.tokens(F.upper(plain())).alias("tokens")))
+    return kept(spark, d, "document-index", lambda: bm25.build(documents(spark, d).select(F.col("doc_id").alias("id"), T.tokens(F.upper(plain())).alias("tokens"))))
 
 
 def benchmark_queries(spark: SparkSession, d: str) -> DataFrame:
@@ -183,13 +164,7 @@ def heading_paths(spark: SparkSession, d: str) -> DataFrame:
     return blocks.with_hierarchy(typed_lines(spark, d).withColumn("text", text)).select("doc_id", "pos", "section_path")
 
 
-@query("""WITH {LINES} SELECT doc_id, page_no, md5(string_agg(text, chr(10) ORDER BY pos)) AS text_md5, count(*) AS n_blocks, CASE WHEN count(DISTINCT pos % 2) = 1 THEN CASE WHEN min(pos % 2) = 0 THEN 'light' ELSE 'refined' END ELSE 'merged' END AS parse_level FROM typed GROUP BY ALL""")
-def page_contexts(spark: SparkSession, d: str) -> DataFrame:
-    rows = typed_lines(spark, d).withColumn("section_path", F.lit("")).withColumn("parse_level", F.when(F.col("pos") % 2 == 0, "light").otherwise("refined"))
-    return blocks.page_contexts(rows).select("doc_id", "page_no", F.md5("text").alias("text_md5"), "n_blocks", "parse_level")
-
-
-@query("""WITH {LINES} SELECT doc_id, page_no, block_id, sum(len(codes)) OVER (PARTITION BY doc_id, page_no) >= 2 AS code_dense FROM typed""")
+@query("""WITH {LINES} SELECT doc_id, page_no, block_id, sum(len(codes)) OVER (PARTITION BY doc_id, page_no) >= 2 AND block_type = 'text' AS code_dense FROM typed""")
 def dense_pages(spark: SparkSession, d: str) -> DataFrame:
     return blocks.dense_pages(typed_lines(spark, d), 2).select("doc_id", "page_no", "block_id", "code_dense")
 
@@ -210,28 +185,6 @@ def garbled_pages(spark: SparkSession, d: str) -> DataFrame:
     return pages.garbled(documents(spark, d), 1.0, LEX).select("doc_id", "score")
 
 
-@query("""WITH {LINES}, s AS (SELECT doc_id, page_no, count(*) AS block_count, sum(len(text)) AS text_chars, sum(len(codes)) AS code_count, max(block_type = 'warning') AS w FROM typed GROUP BY ALL)
-SELECT doc_id, page_no, block_count, text_chars, code_count, concat_ws(' ', CASE WHEN text_chars < 80 THEN 'low_text' END, CASE WHEN w THEN 'warning' END) AS reasons FROM s WHERE text_chars < 80 OR w""")
-def refine_stats(spark: SparkSession, d: str) -> DataFrame:
-    rows = typed_lines(spark, d).withColumn("reasons", F.array_compact(F.array(F.when(F.col("block_type") == "warning", "warning"))))
-    return pages.refine_stats(rows).withColumn("reasons", joined("reasons"))
-
-
-@query("""SELECT doc_id % 100 + 1 AS page_no, array_to_string(list_sort(list_distinct(list(source))), ' ') AS reasons, array_to_string(list_sort(list_distinct(list(lang))), ' ') AS queries FROM documents GROUP BY 1""")
-def refine_queue(spark: SparkSession, d: str) -> DataFrame:
-    rows = documents(spark, d).select((F.col("doc_id") % 100 + 1).alias("page_no"), F.col("source").alias("reason"), F.col("lang").alias("query"))
-    out = pages.refine_queue([rows.where("page_no % 2 = 0"), rows.where("page_no % 2 = 1")])
-    return out.select("page_no", joined("reasons").alias("reasons"), joined("queries").alias("queries"))
-
-
-@query("""WITH hits AS (SELECT doc_id % 11 AS query_id, doc_id AS page_no, 'SP' || (doc_id % 5) AS code, (doc_id % 13) / 10.0 AS score FROM documents)
-SELECT h.query_id, h.page_no, h.code, h.score::DOUBLE AS score, 1::BIGINT AS block_count FROM hits h JOIN documents d ON d.doc_id = h.page_no WHERE NOT contains(d.text, h.code)""")
-def missing_coverage(spark: SparkSession, d: str) -> DataFrame:
-    docs = documents(spark, d)
-    hits = docs.select((F.col("doc_id") % 11).alias("query_id"), F.col("doc_id").alias("page_no"), F.concat(F.lit("SP"), (F.col("doc_id") % 5).cast("string")).alias("code"), ((F.col("doc_id") % 13) / 10.0).alias("score"))
-    return pages.missing_coverage(hits, docs.select(F.col("doc_id").alias("page_no"), "text"))
-
-
 @query("""SELECT page_id, array_to_string(list_sort(list_distinct(list_concat([page_id % 9 + 1], range(page_id % 5 + 20, page_id % 5 + 24)))), ' ') AS pages FROM pages""")
 def page_ranges(spark: SparkSession, d: str) -> DataFrame:
     p = F.col("page_id")
@@ -239,49 +192,6 @@ def page_ranges(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "pages").select("page_id", joined(pages.page_range(literal)).alias("pages"))
 
 
-KB = """kb0 AS (SELECT doc_id, block_id, pos, page_no, codes, unnest(range(greatest(1, len(codes)))) AS part_no, CASE WHEN len(codes) > 0 THEN 'alarm' WHEN block_type = 'procedure' THEN 'procedure' ELSE block_type END AS kb_type,
-CASE WHEN len(codes) > 0 THEN 'alarm' WHEN block_type = 'procedure' THEN 'step' ELSE 'para' END AS family, text FROM typed),
-kb AS (SELECT *, block_id || '__' || family || '_' || lpad((part_no + 1)::VARCHAR, 2, '0') AS kb_id, list_sort(list_concat(codes, list_filter(['TION', 'KEIT', 'EAU'], lambda w: contains(upper(text), w)))) AS entities FROM kb0)"""
-
-
-@query("WITH {LINES}, " + KB + " SELECT doc_id, kb_id, kb_type, page_no, array_to_string(entities, ' ') AS entities FROM kb")
-def kb_rows(spark: SparkSession, d: str) -> DataFrame:
-    return kb.split_blocks(typed_lines(spark, d), LEX).select("doc_id", "kb_id", "kb_type", "page_no", joined("entities").alias("entities"))
-
-
-@query("WITH {LINES}, " + KB + """ SELECT kb_id, lag(kb_id) OVER w AS prev_kb_id, lead(kb_id) OVER w AS next_kb_id, coalesce(array_to_string(list(kb_id) OVER (w ROWS BETWEEN 1 FOLLOWING AND 2 FOLLOWING), ' '), '') AS context_next_kb FROM kb WINDOW w AS (PARTITION BY doc_id ORDER BY pos, part_no)""")
-def relink_kb(spark: SparkSession, d: str) -> DataFrame:
-    return kb.relink(kb.split_blocks(typed_lines(spark, d), LEX)).select("kb_id", "prev_kb_id", "next_kb_id", joined("context_next_kb").alias("context_next_kb"))
-
-
-EDGES = """ordered AS (SELECT kb_id, lead(kb_id) OVER w AS n, lead(kb_id, 2) OVER w AS f, lead(kb_id) OVER (PARTITION BY doc_id, page_no ORDER BY pos, part_no) AS p FROM kb WINDOW w AS (PARTITION BY doc_id ORDER BY pos, part_no)),
-ents AS (SELECT kb_id, unnest(entities) AS e FROM kb),
-edges AS (SELECT kb_id AS source, 'entity::' || e AS target, 'mentions' AS relation, NULL AS direction FROM ents
-UNION SELECT 'entity::' || e, kb_id, 'triggers', NULL FROM ents WHERE e LIKE 'SP9%'
-UNION SELECT kb_id, n, 'adjacent', NULL FROM ordered WHERE n IS NOT NULL UNION SELECT kb_id, p, 'same_page', NULL FROM ordered WHERE p IS NOT NULL
-UNION SELECT kb_id, f, 'related_context', 'next' FROM ordered WHERE f IS NOT NULL)"""
-
-
-@query("WITH {LINES}, " + KB + ", " + EDGES + " SELECT source, target, relation, direction::VARCHAR AS direction FROM edges")
-def graph_edges(spark: SparkSession, d: str) -> DataFrame:
-    return kb.edges(kb.split_blocks(typed_lines(spark, d), LEX), LEX)
-
-
-@query("WITH {LINES}, " + KB + ", " + EDGES + """, adj AS (SELECT *, row_number() OVER (PARTITION BY node ORDER BY weight DESC, other) AS r FROM (
-    SELECT node, other, CASE relation WHEN 'mentions' THEN 0.7 WHEN 'triggers' THEN 1.0 WHEN 'adjacent' THEN 0.4 WHEN 'same_page' THEN 0.35 ELSE 0.5 END::DOUBLE AS weight
-    FROM (SELECT source AS node, target AS other, relation FROM edges UNION ALL SELECT target, source, relation FROM edges) WHERE node NOT LIKE 'entity::%')),
-heavy AS (SELECT * FROM adj WHERE r <= 8 AND other NOT LIKE 'entity::%'),
-seeds AS (SELECT doc_id AS query_id, kb_id AS id, 1.0::DOUBLE AS score FROM kb WHERE doc_id % 50 = 0 AND pos % 4 = 0),
-hop AS (SELECT query_id, other AS id, max(score * weight) AS score FROM seeds JOIN heavy ON node = id WHERE (query_id, other) NOT IN (SELECT query_id, id FROM seeds) GROUP BY ALL),
-seen AS (SELECT query_id, id, score, 0 AS distance FROM seeds UNION ALL SELECT query_id, id, score, 1 FROM hop),
-ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY round(score, 9) DESC, id) AS rank, greatest(count(*) FILTER (distance = 0) OVER (PARTITION BY query_id), 8) AS n FROM seen)
-SELECT query_id, id, round(score, 6) AS score, distance, rank FROM ranked WHERE rank <= n""")
-def graph_expand(spark: SparkSession, d: str) -> DataFrame:
-    rows = kb.split_blocks(typed_lines(spark, d), LEX)
-    seeds = rows.where("doc_id % 50 = 0 and pos % 4 = 0").select(F.col("doc_id").alias("query_id"), F.col("kb_id").alias("id"), F.lit(1.0).alias("score"))
-    return kb.expand(kb.adjacency(kb.edges(rows, LEX)), seeds, 1, 8).withColumn("score", F.round("score", 6))
-
-
 VECTORS = """e AS (SELECT vec_id AS id, label, embedding::DOUBLE[] AS x FROM embeddings), pairs AS (
 SELECT q.id AS query_id, r.id, round(list_dot_product(r.x, q.x) / ((sqrt(list_dot_product(r.x, r.x)) + 1e-9) * (sqrt(list_dot_product(q.x, q.x)) + 1e-9)), 6) AS score FROM e r JOIN e q ON q.id % 50 = 0)"""
 
@@ -309,82 +219,6 @@ def hybrid_search(spark: SparkSession, d: str) -> DataFrame:
     return vectors.hybrid(lexical, vector, rows, q.select("query_id", F.array((F.col("query_id") % 9).cast("string")).alias("codes")), 5)
 
 
-INTENT = "CASE WHEN contains(text, 'idiot') OR contains(text, 'stupid') THEN 'safety' WHEN contains(text, 'how') OR contains(text, 'ing') THEN 'procedure' WHEN contains(text, 'value') THEN 'parameter_setting' WHEN contains(text, 'err') THEN 'troubleshooting' WHEN contains(text, 'what') THEN 'explain' ELSE 'troubleshooting' END"
-ASKED = f"""asked AS (SELECT conv_id * 1000 + turn AS query_id, CASE WHEN turn % 3 = 0 THEN 'SP' || (9000 + conv_id % 200) || ' ' || text ELSE text END AS text FROM (SELECT conv_id, turn, {PLAIN} AS text FROM conversations)),
-parsed AS (SELECT *, {INTENT} AS intent, CASE WHEN regexp_matches(text, '^SP9[0-9]{{3}} ') THEN substr(text, 1, 6) ELSE '' END AS alarm_codes, list_filter(['TION', 'KEIT', 'EAU'], lambda w: contains(upper(text), w)) AS ents FROM asked)"""
-
-
-def parsed_queries(spark: SparkSession, d: str) -> DataFrame:
-    t = plain()
-    raw = F.when(F.col("turn") % 3 == 0, F.concat(F.lit("SP"), (9000 + F.col("conv_id") % 200).cast("string"), F.lit(" "), t)).otherwise(t)
-    return evidence.parse(table(spark, d, "conversations").select((F.col("conv_id") * 1000 + F.col("turn")).alias("query_id"), raw.alias("raw_query")), LEX)
-
-
-@query(f"""WITH {ASKED} SELECT query_id, intent, alarm_codes, array_to_string(ents, ' ') AS entities, intent = 'safety' AS need_safety, CASE WHEN alarm_codes <> '' THEN 20 ELSE 12 END AS entity_limit,
-CASE WHEN alarm_codes <> '' THEN CASE WHEN intent IN ('safety', 'procedure') THEN 14 ELSE 10 END ELSE 16 END AS vector_limit FROM parsed""")
-def parse_queries(spark: SparkSession, d: str) -> DataFrame:
-    return parsed_queries(spark, d).select("query_id", "intent", joined("alarm_codes").alias("alarm_codes"), joined("entities").alias("entities"), "need_safety", "entity_limit", "vector_limit")
-
-
-@query("WITH {LINES}, " + KB + f""", {ASKED}, want AS (SELECT query_id, alarm_codes AS e, 1.0 AS score, 20 AS lim FROM parsed WHERE alarm_codes <> '' UNION ALL SELECT query_id, unnest(ents), 0.75, CASE WHEN alarm_codes <> '' THEN 20 ELSE 12 END FROM parsed WHERE query_id % 50 = 0),
-have AS (SELECT kb_id AS id, unnest(entities) AS e FROM kb), hit AS (SELECT query_id, lim, id, max(score)::DOUBLE AS score FROM want JOIN have USING (e) WHERE query_id % 50 = 0 GROUP BY ALL)
-SELECT query_id, id, score, rank FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, id) AS rank FROM hit) WHERE rank <= lim""")
-def entity_match(spark: SparkSession, d: str) -> DataFrame:
-    asked = parsed_queries(spark, d).where("query_id % 50 = 0").withColumn("param_codes", F.array().cast("array<string>")).withColumn("plc_addresses", F.array().cast("array<string>"))
-    rows = kb.split_blocks(typed_lines(spark, d), LEX).select(F.col("kb_id").alias("id"), "entities")
-    return evidence.entity_match(asked, rows).select("query_id", "id", "score", "rank")
-
-
-CANDIDATES = """cand AS (SELECT doc_id % 40 AS query_id, (doc_id * 7) % 25 AS id, CASE doc_id % 4 WHEN 0 THEN 'entity' WHEN 1 THEN 'bm25' WHEN 2 THEN 'vector' ELSE 'graph' END AS source, ((doc_id * 13) % 101 / 10.0)::DOUBLE AS score, CASE WHEN doc_id % 4 = 3 THEN doc_id % 3 END AS distance FROM documents),
-rows AS (SELECT id, CASE id % 4 WHEN 0 THEN 'alarm' WHEN 1 THEN 'procedure' WHEN 2 THEN 'warning' ELSE 'text' END AS kb_type, id % 10 = 7 AS fault, id % 6 AS code, 'SAMPLE ' || id AS text FROM (SELECT unnest(range(25)) AS id)),
-asks AS (SELECT query_id, query_id % 6 AS code, query_id % 5 = 0 AS need_safety, CASE WHEN query_id % 3 = 0 THEN 'procedure' ELSE 'explain' END AS intent, 'SAMPLE ' || (query_id % 25) AS nq FROM (SELECT unnest(range(40)) AS query_id)),
-best AS (SELECT query_id, id, coalesce(max(score) FILTER (source = 'entity'), 0) AS e, coalesce(max(score) FILTER (source = 'bm25'), 0) AS b, coalesce(max(score) FILTER (source = 'vector'), 0) AS v, coalesce(max(score) FILTER (source = 'graph'), 0) AS g, min(distance) AS dist FROM cand GROUP BY ALL),
-fused AS (SELECT query_id, id, kb_type, rows.code = asks.code AS hit, need_safety, intent, nq, text, round(1.2 * e + b + 0.9 * v + 0.7 * g + CASE WHEN rows.code = asks.code THEN 0.3 ELSE 0 END + CASE WHEN kb_type IN ('alarm', 'procedure') THEN 0.2 ELSE 0 END + CASE WHEN fault THEN 0.15 ELSE 0 END + CASE WHEN coalesce(dist, 0) = 1 THEN 0.1 ELSE 0 END + CASE WHEN need_safety AND kb_type = 'warning' THEN 0.15 ELSE 0 END, 9) AS score FROM best JOIN rows USING (id) JOIN asks USING (query_id)),
-merged AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, id) AS rank FROM fused) WHERE rank <= 20),
-adjusted AS (SELECT query_id, id, kb_type, hit, round((id % 10) / 10.0 + CASE WHEN contains(text, nq) THEN 0.25 ELSE 0 END + CASE WHEN intent = 'procedure' AND kb_type = 'procedure' THEN 0.2 ELSE 0 END + CASE WHEN need_safety AND kb_type = 'warning' THEN 0.18 ELSE 0 END + CASE WHEN hit THEN 0.2 ELSE 0 END + CASE WHEN hit AND kb_type = 'alarm' THEN 0.1 ELSE 0 END, 9) AS adjusted FROM merged),
-reranked AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY adjusted DESC, id) AS rank FROM adjusted) WHERE rank <= 5)"""
-
-
-def _fusion(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
-    i, x = F.col("doc_id"), F.col("id")
-    source = F.when(i % 4 == 0, "entity").when(i % 4 == 1, "bm25").when(i % 4 == 2, "vector").otherwise("graph")
-    cand = documents(spark, d).select((i % 40).alias("query_id"), (i * 7 % 25).alias("id"), source.alias("source"), ((i * 13) % 101 / 10.0).alias("score"), F.when(i % 4 == 3, i % 3).alias("distance"))
-    kind = F.when(x % 4 == 0, "alarm").when(x % 4 == 1, "procedure").when(x % 4 == 2, "warning").otherwise("text")
-    rows = spark.range(25).select("id", kind.alias("kb_type"), F.when(x % 10 == 7, "7").otherwise("").alias("section_path"), F.array((x % 6).cast("string")).alias("alarm_codes"), F.concat(F.lit("SAMPLE "), x.cast("string")).alias("text"), ((x % 10) / 10.0).alias("relevance"))
-    q = F.col("query_id")
-    asks = spark.range(40).withColumnRenamed("id", "query_id").select("query_id", F.array((q % 6).cast("string")).alias("alarm_codes"), (q % 5 == 0).alias("need_safety"), F.when(q % 3 == 0, "procedure").otherwise("explain").alias("intent"), F.concat(F.lit("SAMPLE "), (q % 25).cast("string")).alias("normalized_query"))
-    return evidence.merge(cand, rows, asks, 5, LEX), asks
-
-
-@query(f"WITH {CANDIDATES} SELECT query_id, id, score, rank FROM merged")
-def merge_candidates(spark: SparkSession, d: str) -> DataFrame:
-    return _fusion(spark, d)[0].select("query_id", "id", "score", "rank")
-
-
-@query(f"WITH {CANDIDATES} SELECT query_id, id, adjusted, rank FROM reranked")
-def rerank_candidates(spark: SparkSession, d: str) -> DataFrame:
-    merged, asks = _fusion(spark, d)
-    return evidence.rerank(merged, asks).select("query_id", "id", "adjusted", "rank")
-
-
-@query(f"""WITH {CANDIDATES}, roles AS (SELECT *, CASE WHEN kb_type = 'warning' THEN 'safety_warning' WHEN hit OR kb_type = 'alarm' THEN 'alarm_definition' WHEN kb_type = 'procedure' THEN 'inspection_step' ELSE 'context' END AS role FROM reranked),
-sums AS (SELECT query_id, max(CASE WHEN role = 'alarm_definition' AND hit THEN 1 ELSE 0 END) = 1 AS answerable, max(adjusted) AS top, count(DISTINCT role) FILTER (role <> 'context') AS coverage, array_to_string(list_sort(list_distinct(list(role))), ' ') AS roles FROM roles GROUP BY 1)
-SELECT query_id, answerable, roles, round(round(CASE WHEN answerable THEN c ELSE least(c, 0.45) END, 9), 2) AS confidence FROM (SELECT *, least(0.98::DOUBLE, greatest(0.15::DOUBLE, 0.45::DOUBLE + 0.35::DOUBLE * least(top, 1.0::DOUBLE) + 0.05::DOUBLE * coverage)) AS c FROM sums)""")
-def reasoning_summary(spark: SparkSession, d: str) -> DataFrame:
-    merged, asks = _fusion(spark, d)
-    ranked = evidence.rerank(merged, asks)
-    role = reasoning.role(F.col("text"), F.col("kb_type"), F.col("alarm_codes"), F.col("query_codes"), ("step",), ("value",), ("cause",), LEX)
-    return reasoning.summarize(ranked.withColumn("role", role).withColumn("score", F.col("adjusted"))).select("query_id", "answerable", joined("roles").alias("roles"), "confidence")
-
-
-@query("""SELECT doc_id AS query_id, concat_ws(' ', CASE WHEN doc_id % 4 = 0 THEN 'no_citation' END, CASE WHEN doc_id % 4 <> 0 AND doc_id % 3 = 0 THEN 'unknown_citation' END, CASE WHEN doc_id % 5 = 0 THEN 'missing_section' END) AS problems FROM documents""")
-def validate_answers(spark: SparkSession, d: str) -> DataFrame:
-    i = F.col("doc_id")
-    none = F.array().cast("array<string>")
-    rows = documents(spark, d).select(i.alias("query_id"), F.when(i % 4 == 0, none).when(i % 3 == 0, F.array(F.lit("x"))).otherwise(F.array(F.lit("a"))).alias("citations"), F.array(F.lit("a"), F.lit("b")).alias("evidence_ids"), F.when(i % 5 == 0, none).otherwise(F.array(F.lit("s"))).alias("sections"), F.array(F.lit("s")).alias("required"), F.lit(0.5).alias("confidence"))
-    return reasoning.validate(rows).select("query_id", joined("problems").alias("problems"))
-
-
 @query(f"""WITH t AS (SELECT conv_id, turn, turn % 3 = 1 AS extra, trim({PLAIN}, E' \\n\\t\\r') AS said FROM conversations), n AS (SELECT *, sum((NOT extra)::INT) OVER (PARTITION BY conv_id ORDER BY turn) AS question FROM t)
 SELECT conv_id, min(turn) AS turn, md5(CASE WHEN count(*) = 1 THEN min_by(said, turn) ELSE min_by(said, turn) || chr(10) || chr(10) || 'More' || coalesce(string_agg(chr(10) || '- ' || said, '' ORDER BY turn) FILTER (extra), '') END) AS query_md5, count(*) - 1 AS n_supplements FROM n WHERE question > 0 GROUP BY conv_id, question""".replace("\\\\", "\\"))
 def session_fold(spark: SparkSession, d: str) -> DataFrame:
@@ -393,18 +227,6 @@ def session_fold(spark: SparkSession, d: str) -> DataFrame:
     return session.fold(turns, LEX, "More").select("conv_id", "turn", F.md5("query").alias("query_md5"), "n_supplements")
 
 
-@query("""WITH r AS (SELECT doc_id % 50 AS query_id, doc_id AS id, row_number() OVER (PARTITION BY doc_id % 50 ORDER BY doc_id) AS rank FROM documents), h AS (SELECT query_id, max((rank <= 1 AND id % 4 = query_id % 4)::INT) AS hit_1, max((rank <= 5 AND id % 4 = query_id % 4)::INT) AS hit_5, max((rank <= 10 AND id % 4 = query_id % 4)::INT) AS hit_10 FROM r GROUP BY 1)
-SELECT round(avg(hit_1), 6) AS recall_1, round(avg(hit_5), 6) AS recall_5, round(avg(hit_10), 6) AS recall_10, count(*) AS n FROM h""")
-def recall_at_k(spark: SparkSession, d: str) -> DataFrame:
-    from pyspark.sql import Window
-
-    i = F.col("doc_id")
-    ranked = documents(spark, d).select((i % 50).alias("query_id"), i.alias("id"), "text", F.array((i % 4).cast("string")).alias("codes"), F.lit(-1).alias("page_no")).withColumn("rank", F.row_number().over(Window.partitionBy("query_id").orderBy("id")))
-    ranked = ranked.withColumn("text", F.lit(""))
-    cases = spark.range(50).select(F.col("id").alias("query_id"), F.array((F.col("id") % 4).cast("string")).alias("expected_codes"), F.array().cast("array<int>").alias("expected_pages"), F.array().cast("array<string>").alias("expected_keywords"))
-    return evaluate.recall(evaluate.hits_at(ranked, cases.join(ranked.select("query_id").distinct(), "query_id", "left_semi")))
-
-
 @query("""WITH c AS (SELECT d.lang AS category, l.quality AS good, l.toxic AS toxic FROM documents d JOIN labels l USING (doc_id))
 SELECT n.category, count(c.category) AS n, round(avg(good), 6) AS good, round(avg(toxic), 6) AS toxic FROM (SELECT unnest(['en', 'fr', 'de', 'es', 'none']) AS category) n LEFT JOIN c USING (category) GROUP BY 1
 UNION ALL SELECT 'overall', count(*), round(avg(good), 6), round(avg(toxic), 6) FROM c""")
@@ -440,3 +262,35 @@ def layout_items(spark: SparkSession, d: str) -> DataFrame:
     lines = F.transform(F.split(F.coalesce("text", F.lit("")), "\n"), lambda t, i: F.struct(t.alias("text"), F.when(i % 2 == 0, F.floor(i / 5)).alias("page_idx"), F.when(i % 3 == 0, "0.5").alias("confidence")))
     trees = documents(spark, d).select("doc_id", F.to_json(F.struct(F.lit(7).alias("page_no"), lines.alias("body"))).alias("layout"))
     return walked(trees).drop("bbox")
+
+
+@query("""WITH {LINES}, stats AS (SELECT doc_id, page_no, count(*) AS block_count, sum(len(text)) AS text_chars, sum(len(codes)) AS code_count, list_distinct(list(CASE WHEN block_type = 'warning' THEN 'image' WHEN len(codes) > 0 THEN 'alarm_candidate' END)) AS rs FROM typed WHERE pos % 10 < 7 GROUP BY ALL),
+every AS (SELECT doc_id, unnest(range(1, 6))::INT AS page_no FROM documents WHERE doc_id % 3 <> 0 UNION SELECT doc_id, page_no FROM stats UNION SELECT doc_id, 2 FROM documents WHERE doc_id % 4 = 0),
+joined AS (SELECT e.doc_id, e.page_no, coalesce(block_count, 0) AS block_count, coalesce(text_chars, 0) AS text_chars, coalesce(code_count, 0) AS code_count, list_sort(list_filter(list_concat(coalesce(rs, []), [CASE WHEN coalesce(text_chars, 0) < 80 THEN 'low_text' END, CASE WHEN e.doc_id % 4 = 0 AND e.page_no = 2 THEN 'manual' END]), lambda x: x IS NOT NULL)) AS reasons FROM every e LEFT JOIN stats USING (doc_id, page_no))
+SELECT doc_id, page_no, block_count, text_chars, code_count, array_to_string(reasons, ' ') AS reasons, row_number() OVER (PARTITION BY doc_id ORDER BY list_max(list_transform(reasons, lambda r: CASE r WHEN 'manual' THEN 100 WHEN 'alarm_candidate' THEN 80 WHEN 'low_text' THEN 50 ELSE 40 END)) DESC, page_no) AS place FROM joined WHERE len(reasons) > 0""")
+def refine_stats(spark: SparkSession, d: str) -> DataFrame:
+    """Lines of which three of ten are missing; five pages are expected of two thirds of the documents, page 2 is asked for of a quarter."""
+    reason = F.when(F.col("block_type") == "warning", "image").when(F.size("codes") > 0, "alarm_candidate")
+    rows = typed_lines(spark, d).where("pos % 10 < 7").withColumn("reasons", F.array_compact(F.array(reason)))
+    docs = documents(spark, d).select("doc_id")
+    out = pages.refine_stats(rows, 80, docs.where("doc_id % 3 <> 0").withColumn("page_count", F.lit(5)), docs.where("doc_id % 4 = 0").withColumn("page_no", F.lit(2)))
+    return out.withColumn("reasons", joined("reasons"))
+
+
+@query("""WITH r AS (SELECT doc_id AS n, doc_id % 100 + 1 AS page_no, lang, doc_id % 40 AS score FROM documents),
+m AS (SELECT 0 AS s, n, page_no, 'eval_coverage_missing' AS reason, lang AS query FROM r WHERE n % 3 = 0 UNION ALL SELECT 1, n, page_no, 'pages_text_coverage_missing', lang FROM r WHERE n % 3 <> 0 AND score >= 15),
+f AS (SELECT page_no, reason, min((s, n)) AS met FROM m GROUP BY ALL), q AS (SELECT page_no, query, min((s, n)) AS met FROM m WHERE query <> '' GROUP BY ALL)
+SELECT p.page_no, (SELECT string_agg(reason, ' ' ORDER BY met) FROM f WHERE f.page_no = p.page_no) AS reasons, coalesce((SELECT string_agg(query, ' ' ORDER BY met) FROM q WHERE q.page_no = p.page_no), '') AS queries FROM (SELECT DISTINCT page_no FROM m) p""")
+def refine_queue(spark: SparkSession, d: str) -> DataFrame:
+    i = F.col("doc_id")
+    rows = documents(spark, d).select(i.alias("n"), (i % 100 + 1).alias("page_no"), F.col("lang").alias("query"), (i % 40).cast("double").alias("score"))
+    out = pages.refine_queue(rows.where("n % 3 = 0").drop("score"), rows.where("n % 3 <> 0"))
+    return out.select("page_no", joined("reasons").alias("reasons"), joined("queries").alias("queries"))
+
+
+@query("""WITH {LINES}, page AS (SELECT doc_id, page_no, string_agg(text, chr(10) ORDER BY pos) AS t, list_distinct(list('img' || (pos % 2))) AS images FROM typed GROUP BY ALL), c AS (SELECT *, (len(t) - len(replace(t, '%', ''))) + (len(t) - len(replace(t, '#', ''))) + (len(t) - len(replace(t, '&', ''))) AS h, len(t) - len(replace(t, '?', '')) AS a FROM page),
+x AS (SELECT *, round((CASE WHEN h >= 2 THEN least(4.0, 0.8 * h) ELSE 0 END + CASE WHEN a >= 2 THEN least(3.0, 0.5 * a) ELSE 0 END + CASE WHEN len(t) BETWEEN 1 AND 24 THEN 1 ELSE 0 END + CASE WHEN trim(t) = '' THEN 1 ELSE 0 END)::DOUBLE, 3) AS score FROM c)
+SELECT doc_id, page_no, score, len(images) AS n_images, row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, page_no) AS place FROM x WHERE score >= 1""")
+def garbled_report(spark: SparkSession, d: str) -> DataFrame:
+    rows = typed_lines(spark, d).withColumn("image_paths", F.array(F.concat(F.lit("img"), (F.col("pos") % 2).cast("string"))))
+    return pages.garbled_report(rows, 1.0, LEX).select("doc_id", "page_no", "score", F.size("image_paths").alias("n_images"), "place")
