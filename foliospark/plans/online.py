@@ -1,5 +1,5 @@
 """Queries of the online path over the manual of plans.manual: reading questions, retrieval, reasoning, answers and their
-evaluation, with their SQL. The questions are the conversation rows whose id (conv_id * 1000 + turn) is divisible by 50."""
+evaluation, with their SQL. The questions are all turns of the conversations whose id is divisible by 50; the n-th is of the kind n % 6."""
 
 from __future__ import annotations
 
@@ -72,9 +72,9 @@ def filled(x: str) -> str:
     return f"list_filter({x}, lambda v: v IS NOT NULL AND v <> '')"
 
 
-ASKED = rf"""asked0 AS (SELECT conv_id, conv_id * 1000 + turn AS query_id, replace(coalesce(text, ''), 'ß', 'ss') AS t FROM conversations WHERE (conv_id * 1000 + turn) % 50 = 0),
-asked AS (SELECT conv_id, query_id, CASE conv_id % 6 WHEN 0 THEN 'SP9' || lpad((conv_id % 200)::VARCHAR, 3, '0') || CASE WHEN conv_id % 12 = 6 THEN ' what is ' ELSE ' fault ' END || t WHEN 1 THEN 'how to ' || t WHEN 2 THEN t || ' parameter 1023' WHEN 3 THEN t || ' at x1.5' WHEN 4 THEN 'danger to touch ' || t ELSE t || ' CNC' END AS raw FROM asked0),
-read0 AS (SELECT *, {canon('raw')} AS nq, CASE WHEN conv_id % 6 = 0 THEN ['SP9' || lpad((conv_id % 200)::VARCHAR, 3, '0')] ELSE [] END AS codes,
+ASKED = rf"""asked0 AS (SELECT conv_id // 50 * 4 + turn AS n, conv_id * 1000 + turn AS query_id, replace(coalesce(text, ''), 'ß', 'ss') AS t FROM conversations WHERE conv_id % 50 = 0),
+asked AS (SELECT n, query_id, CASE n % 6 WHEN 0 THEN 'SP9' || lpad((n % 200)::VARCHAR, 3, '0') || CASE WHEN n % 12 = 6 THEN ' what is ' ELSE ' fault ' END || t WHEN 1 THEN 'how to ' || t WHEN 2 THEN t || ' parameter 1023' WHEN 3 THEN t || ' at x1.5' WHEN 4 THEN 'danger to touch ' || t ELSE t || ' CNC' END AS raw FROM asked0),
+read0 AS (SELECT *, {canon('raw')} AS nq, CASE WHEN n % 6 = 0 THEN ['SP9' || lpad((n % 200)::VARCHAR, 3, '0')] ELSE [] END AS codes,
     CASE WHEN contains(raw, 'danger') THEN 'safety' WHEN contains(raw, 'how to') THEN 'procedure' WHEN contains(raw, 'parameter') THEN 'parameter_setting' WHEN contains(raw, 'fault') THEN 'troubleshooting' WHEN contains(raw, 'what') THEN 'explain' ELSE 'troubleshooting' END AS intent FROM asked),
 read1 AS (SELECT *, list_sort(list_distinct(regexp_extract_all(nq, '(?i)\b(?:PARAM(?:ETER)?\s*)?(?:NO\.)?\s*(\d{{3,5}}(?:#\d+)?)\b', 1))) AS params, list_sort(list_distinct(regexp_extract_all(nq, '(?i)\b([A-Z]?\d{{1,4}}\.\d)\b', 1))) AS plcs,
     list_filter(['CNC', 'PMC', 'PLC'], lambda w: contains(nq, w)) AS ents, regexp_extract_all(nq, '{TOKEN}') AS ts FROM read0),
@@ -89,11 +89,15 @@ parsed AS (SELECT *, {distinct('ex0')} AS expanded, {distinct('vq0')}[1:2] AS vq
 
 
 def questions(spark: SparkSession, d: str) -> DataFrame:
-    c, t = F.col("conv_id"), plain()
+    c, t = F.floor(F.col("conv_id") / 50) * 4 + F.col("turn"), plain()
     code = F.concat(F.lit("SP9"), F.lpad((c % 200).cast("string"), 3, "0"), F.when(c % 12 == 6, " what is ").otherwise(" fault "), t)
     raw = F.when(c % 6 == 0, code).when(c % 6 == 1, F.concat(F.lit("how to "), t)).when(c % 6 == 2, F.concat(t, F.lit(" parameter 1023"))).when(c % 6 == 3, F.concat(t, F.lit(" at x1.5"))).when(c % 6 == 4, F.concat(F.lit("danger to touch "), t)).otherwise(F.concat(t, F.lit(" CNC")))
-    rows = table(spark, d, "conversations").select((c * 1000 + F.col("turn")).alias("query_id"), raw.alias("raw_query"))
-    return rows.where("query_id % 50 = 0")
+    return table(spark, d, "conversations").where("conv_id % 50 = 0").select((F.col("conv_id") * 1000 + F.col("turn")).alias("query_id"), raw.alias("raw_query"))
+
+
+def number() -> Column:
+    """A question's number, from its id."""
+    return F.floor(F.col("query_id") / 50_000) * 4 + F.col("query_id") % 1000
 
 
 @query(f"""WITH {ASKED} SELECT query_id, intent, qtype AS query_type, array_to_string(codes, ' ') AS alarm_codes, array_to_string(params, ' ') AS param_codes, array_to_string(plcs, ' ') AS plc_addresses, array_to_string(ents, ' ') AS entities, array_to_string(kws, ' ') AS keywords,
@@ -177,7 +181,7 @@ vtop AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY query_id, vari
 vec AS (SELECT * FROM (SELECT query_id, kb_id AS id, max(score) AS score, max(vector_limit) AS lim, row_number() OVER (PARTITION BY query_id ORDER BY max(score) DESC, kb_id) AS rank FROM vtop JOIN named ON named.block_id = vtop.id AND part_no < 3 GROUP BY query_id, kb_id) WHERE rank <= lim),
 {EDGES}, {ADJACENT},
 listed AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY arm, rank) AS n FROM (SELECT query_id, id, score, 0 AS arm, rank FROM entity UNION ALL SELECT query_id, id, score, 1, rank FROM bm UNION ALL SELECT query_id, id, score, 2, rank FROM vec)),
-seeds AS (SELECT query_id, id, max_by(score, n) AS score, any_value(CASE WHEN len(codes) > 0 THEN 2 ELSE 1 END) AS hops, any_value(graph_limit) AS most FROM listed JOIN parsed USING (query_id) WHERE n <= 20 GROUP BY query_id, id),
+seeds AS (SELECT query_id, id, max_by(score, listed.n) AS score, any_value(CASE WHEN len(codes) > 0 THEN 2 ELSE 1 END) AS hops, any_value(graph_limit) AS most FROM listed JOIN parsed USING (query_id) WHERE listed.n <= 20 GROUP BY query_id, id),
 {hops('seeds')},
 cand AS (SELECT query_id, id, 1 AS s, score, NULL AS distance FROM entity UNION ALL SELECT query_id, id, 2, score, NULL FROM bm UNION ALL SELECT query_id, id, 3, score, NULL FROM vec UNION ALL SELECT query_id, id, 4, score, distance FROM expanded WHERE rank <= most),
 best AS (SELECT query_id, id, coalesce(max(score) FILTER (s = 1), 0) AS e, coalesce(max(score) FILTER (s = 2), 0) AS b, coalesce(max(score) FILTER (s = 3), 0) AS v, coalesce(max(score) FILTER (s = 4), 0) AS g, min(distance) AS dist, list_sort(list(DISTINCT s)) AS ss FROM cand GROUP BY ALL),
@@ -231,7 +235,7 @@ chosen AS (SELECT *, CASE WHEN m <= 3 THEN 'main' WHEN role = 'safety_warning' A
     CASE WHEN m <= 3 THEN CASE WHEN hit THEN '{WHY_CODE}' || qcodes[1] WHEN role = 'inspection_step' THEN '{WHY_STEP}' WHEN role = 'safety_warning' THEN '{WHY_SAFETY}' ELSE '{WHY_MAIN}' END
     WHEN role = 'safety_warning' THEN '{WHY_REPAIR}' WHEN list_contains(ss, 4) THEN '{WHY_GRAPH}' ELSE '{WHY_SUPPORT}' END AS why FROM others),
 sums AS (SELECT query_id, list_sort(list(DISTINCT role)) AS roles, max((role = 'alarm_definition' AND hit)::INT) = 1 AS defined, min_by(adjusted, rank) AS top FROM roles GROUP BY 1),
-reasoned AS (SELECT p.query_id, p.raw, p.codes AS qcodes, p.need_safety, {cases(ANSWER_TYPES, 'qtype', "'general_answer'")} AS atype, coalesce(roles, []) AS roles, coalesce(top, 0) AS top,
+reasoned AS (SELECT p.query_id, p.n, p.raw, p.codes AS qcodes, p.need_safety, {cases(ANSWER_TYPES, 'qtype', "'general_answer'")} AS atype, coalesce(roles, []) AS roles, coalesce(top, 0) AS top,
     CASE WHEN len(p.codes) > 0 THEN coalesce(defined, false) ELSE list_has_any(coalesce(roles, []), ['inspection_step', 'alarm_definition', 'possible_cause']) END AS can_answer FROM parsed p LEFT JOIN sums USING (query_id)),
 concluded AS (SELECT *, round(round(CASE WHEN can_answer THEN c ELSE least(c, 0.45) END, 9), 2) AS confidence, {cases(SECTIONS, 'atype', texts(SECTIONS['general_answer']))} AS sections, {cases(MISSING_INFO, 'atype', texts(MISSING_INFO['general_answer']))} AS info,
     CASE WHEN can_answer THEN '' WHEN len(qcodes) > 0 THEN '{REASON_NO_CODE}' ELSE '{REASON_TOO_LITTLE}' END AS reason FROM (SELECT *, least(0.98::DOUBLE, greatest(0.15::DOUBLE, 0.45::DOUBLE + 0.35::DOUBLE * least(top, 1.0::DOUBLE) + 0.05::DOUBLE * len(list_filter(roles, lambda r: r <> 'context')))) AS c FROM reasoned)),
@@ -319,11 +323,11 @@ def final_answers(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query(f"""WITH {REASONED} SELECT query_id, v <> 0 AS has_required_sections, v <> 1 AS citations_page_in_evidence, v <> 2 AS citations_kb_in_evidence, v NOT IN (3, 4) OR NOT (need_safety OR coalesce(len(safe), 0) > 0) AS safety_section_present,
-v <> 4 OR can_answer AS insufficient_case_explained, v <> 5 OR known = 0 AS no_unseen_alarm_codes FROM (SELECT c.*, safe, query_id // 1000 % 7 AS v, len(qcodes) + coalesce(n, 0) AS known FROM concluded c LEFT JOIN items_of USING (query_id) LEFT JOIN (SELECT query_id, sum(len(kcodes)) AS n FROM chosen WHERE part IS NOT NULL GROUP BY 1) USING (query_id))""")
+v <> 4 OR can_answer AS insufficient_case_explained, v <> 5 OR known = 0 AS no_unseen_alarm_codes FROM (SELECT c.*, safe, n % 7 AS v, len(qcodes) + coalesce(nc, 0) AS known FROM concluded c LEFT JOIN items_of USING (query_id) LEFT JOIN (SELECT query_id, sum(len(kcodes)) AS nc FROM chosen WHERE part IS NOT NULL GROUP BY 1) USING (query_id))""")
 def validate_answers(spark: SparkSession, d: str) -> DataFrame:
     """Answers of which each fails one check, where the check applies: by the question's number modulo 7."""
     rows = reasoning.rule_based_answer(reasoned(spark, d))
-    v = F.floor(F.col("query_id") / 1000) % 7
+    v = number() % 7
     blank = lambda section: F.transform_values("answer", lambda k, x: F.when(k == section, F.lit("[]")).otherwise(x))
     first = F.get("sections", F.lit(0))
     answer = (
@@ -364,7 +368,7 @@ def rendered_answers(spark: SparkSession, d: str) -> DataFrame:
 
 def eval_cases(parsed: DataFrame) -> DataFrame:
     """What the questions are expected to find: codes, pages, words, types; some expect a page that doesn't exist, some nothing."""
-    n = F.floor(F.col("query_id") / 1000)
+    n = number()
     none, no_page = F.array().cast("array<string>"), F.array().cast("array<int>")
     return parsed.select(
         "query_id",
@@ -379,7 +383,7 @@ def eval_cases(parsed: DataFrame) -> DataFrame:
 
 
 CASES = """cases AS (SELECT query_id, n, CASE WHEN n % 4 = 3 THEN [] ELSE codes END AS xc, CASE WHEN n % 5 = 1 THEN [99999, 1] WHEN n % 5 = 2 THEN [n % 7] ELSE [] END AS xp, CASE WHEN n % 3 = 0 THEN ['PMC'] WHEN n % 7 = 1 THEN ['NOWHERE'] ELSE [] END AS xk, CASE WHEN n % 4 = 1 THEN ['procedure', 'text'] ELSE [] END AS xt,
-    ['alarm', 'semantic', 'procedure', 'other'][n % 4 + 1] AS category, n % 2 = 0 AS require_graph, codes FROM (SELECT *, query_id // 1000 AS n FROM parsed))"""
+    ['alarm', 'semantic', 'procedure', 'other'][n % 4 + 1] AS category, n % 2 = 0 AS require_graph, codes FROM parsed)"""
 
 
 def hit(k: int) -> str:

@@ -84,7 +84,7 @@ def test_queries_match_their_sql(spark):
     for t in ("documents", "embeddings", "pages", "benchmark", "labels", "conversations"):
         con.sql(f"create view {t} as select * from '{SF}/{t}.parquet'")
     plain = lambda x: str(round(x, 6) + 0.0) if isinstance(x, float) else str(x)
-    for name in ("bm25_search", "code_extraction", "chunk_text", "relink_blocks", "page_contexts", "replace_pages", "kb_rows", "vector_search", "merge_candidates", "rerank_candidates", "session_fold"):
+    for name in ("bm25_search", "code_extraction", "chunk_text", "relink_blocks", "manual_blocks", "ocr_pages", "kb_rows", "graph_edges", "vector_search", "retrieve", "reasoning_summary", "rule_answers", "validate_answers", "session_fold"):
         got = catalog.QUERIES[name](spark, SF)
         names = sorted(got.columns)
         want = con.sql(f"select {', '.join(names)} from ({catalog.ORACLES[name]})").fetchall()
