@@ -13,14 +13,13 @@ have the least hash in some window of length - q + 1 of them, so any string of
 2. Within its bucket an anchor points to the bucket of its whole context, that is of
    all bytes of the strings around it (at most length - q to either side). Strings
    around an anchor whose context occurs earlier all occur earlier: settled.
-3. A bucket with several contexts is refined: the range of offsets of the strings is
-   halved again and again; for each half, members are sorted on the identifier of
-   the bytes that all its strings cover together (equal: settled as repeats, the
-   earliest stays) and of those they share (alone: settled as first), and what the
-   finer buckets settle is used for all their offsets. Offsets down to single strings
-   make the result exact.
-4. A bucket with over `hot` contexts isn't brought together in one task: its
-   members' strings are dealt out by their own hash, summed in each task first.
+3. A bucket with several contexts is refined: its members are sorted on (identifier, identifier of the gram at the
+   next later offset), and the new identifiers are what the next round sorts on, to the right of the
+   anchor and to its left. A string is told by the pair of identifiers of its two parts; ranges of offsets are settled
+   together where the widest parts were seen before (repeats) or the narrowest are alone (first); the
+   others go on byte by byte, which makes the result exact.
+4. A bucket with over `hot` contexts isn't brought together in one task: its members' strings are dealt out by the
+   same pair of identifiers, hashes that are equal in all tasks, and each task's are summed before they move.
 
 What moves: 36 bytes for a suspected anchor, and documents with suspected anchors
 twice. Buckets are compared by 64-bit hashes of two kinds (contexts by 128 bits).
@@ -179,110 +178,145 @@ def suspects(docs: DataFrame, table: bytes, slots: int, length: int) -> DataFram
     return docs.mapInArrow(run, "bucket long, context long, doc long, pos int, lo int, hi int")
 
 
-def refine(contexts: list[str], length: int) -> list[list[int]]:
-    """The offsets at which each member's string also is an earlier member's.
+STEP = 8  # bytes of a gram at a later offset
 
-    Members are in order. A context has length - Q characters, the anchor's Q, and
-    length - Q again; the string at offset o begins o characters before the anchor.
-    """
-    side = length - Q
-    out: list[list[int]] = [[] for _ in contexts]
-
-    def part(members: list[int], low: int, high: int) -> None:
-        covered: dict[str, int] = {}
-        a, b = side - high, side + length - low
-        rest = []
-        for m in members:
-            if covered.setdefault(contexts[m][a:b], m) == m:
-                rest.append(m)
-            else:
-                out[m] += range(low, high + 1)
-        if low == high or len(rest) < 2:
-            return
-        a, b = side - low, side + length - high
-        buckets: dict[str, list[int]] = {}
-        for m in rest:
-            buckets.setdefault(contexts[m][a:b], []).append(m)
-        half = (low + high) // 2
-        for found in buckets.values():
-            if len(found) > 1:
-                part(found, low, half)
-                part(found, half + 1, high)
-
-    part(list(range(len(contexts))), 0, side)
+
+def named(*keys: np.ndarray) -> np.ndarray:
+    """Dense identifiers of the tuples of some identifiers, by sorting them."""
+    x = keys[0]
+    for k in keys[1:]:
+        x = x * (int(k.max(initial=0)) + 1) + k
+    return np.unique(x, return_inverse=True)[1]
+
+
+def _grams(contexts: np.ndarray, a: int, b: int) -> np.ndarray:
+    """Identifiers of the bytes [a, b), of which there are at most eight."""
+    x = np.zeros(len(contexts), np.uint64)
+    for i in range(a, b):
+        x = x << np.uint64(8) | contexts[:, i].astype(np.uint64)
+    return np.unique(x, return_inverse=True)[1]
+
+
+def _not_first(names: np.ndarray) -> np.ndarray:
+    out = np.ones(len(names), bool)
+    out[np.unique(names, return_index=True)[1]] = False
     return out
 
 
-def padded(data: bytes, pos: int, lo: int, hi: int, length: int, member: int) -> str:
-    """A context of full size: what the text lacks is a symbol of the member's own."""
-    side = length - Q
-    own = chr(0x1000 + member)
-    return own * (side - (pos - lo)) + data.decode("latin-1") + own * (length - (hi - pos))
-
-
-def runs(starts: list[int], length: int) -> list[int]:
-    """Merged [start, stop) ranges, flattened, of sorted string starts."""
-    out: list[int] = []
-    for s in starts:
-        if out and s <= out[-1]:
-            out[-1] = max(out[-1], s + length)
-        else:
-            out += [s, s + length]
+def _shared(names: np.ndarray) -> np.ndarray:
+    return np.bincount(names, minlength=1)[names] > 1
+
+
+def refine(bucket: np.ndarray, contexts: np.ndarray, left: np.ndarray, right: np.ndarray, length: int) -> np.ndarray:
+    """[member, offset]: whether the member's string at that offset also is an earlier member's of its bucket.
+
+    Members of a bucket stand in order. A context has length - Q bytes, the anchor's Q, and length - Q again, of
+    which the text has `left` and `right`; the string at offset o begins o bytes before the anchor.
+
+    Buckets are refined by sorting members on (identifier, identifier of the gram at the next offset), to the right and to
+    the left; what comes out is the identifier that the next round sorts on. A string's identifier is that of the pair of
+    what lies left and right of the anchor. Offsets come in ranges of a gram: members whose pair of the widest parts was seen
+    before are settled as repeats, those whose pair of the narrowest parts is alone as first, only the others go on byte by byte.
+    """
+    side, n = length - Q, len(contexts)
+    cuts = [*range(0, side, STEP), side]
+    bucket = named(bucket)
+    out = np.zeros((n, side + 1), bool)
+
+    def refined(first: np.ndarray, stretches: list[tuple[int, int]], have: np.ndarray, rows: np.ndarray) -> list[np.ndarray]:
+        """Identifiers after each stretch of bytes; a member that the text ends before is alone."""
+        names, width = [first], 0
+        for a, b in stretches:
+            width += b - a
+            new = named(names[-1], _grams(contexts[rows], a, b))
+            names.append(named(np.where(have[rows] < width, len(rows) + np.arange(len(rows)), new)))
+        return names
+
+    every = np.arange(n)
+    ends = [side - c for c in reversed(cuts)]
+    lefts = refined(bucket, [(side - b, side - a) for a, b in zip(cuts, cuts[1:], strict=False)], left, every)
+    rights = refined(bucket, [(side + Q + a, side + Q + b) for a, b in zip(ends, ends[1:], strict=False)], right, every)[::-1]
+    for i, (low, high) in enumerate(zip(cuts, cuts[1:], strict=False)):
+        again = _not_first(named(lefts[i + 1], rights[i])) & (left >= high) & (right >= side - low)
+        out[again, low : high + 1] = True
+        core = named(lefts[i], rights[i + 1])
+        rest = np.flatnonzero(~again)
+        rest = rest[_shared(named(core[rest]))] if len(rest) else rest
+        if not len(rest):
+            continue
+        a = _stretch(refined, core[rest], [(side - low - t - 1, side - low - t) for t in range(high - low)], left - low, rest)
+        b = _stretch(refined, core[rest], [(side + Q + side - high + t, side + Q + side - high + t + 1) for t in range(high - low)], right - (side - high), rest)
+        for t in range(high - low + 1):
+            fits = (left[rest] >= low + t) & (right[rest] >= side - low - t)
+            out[rest, low + t] |= _not_first(named(a[t], b[high - low - t])) & fits
     return out
 
 
-def _refined(open_: DataFrame, length: int) -> DataFrame:
-    """doc, lo, hi ranges from members (bucket, doc, pos, lo, hi, bytes); a bucket's rows come together, in order."""
-    schema = pa.schema([("doc", pa.int64()), ("lo", pa.int32()), ("hi", pa.int32())])
+def _stretch(refined: Callable, core: np.ndarray, stretches: list[tuple[int, int]], have: np.ndarray, rows: np.ndarray) -> list[np.ndarray]:
+    return refined(named(core), stretches, have, rows)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bucket, members = None, []
 
-        def settle() -> list[tuple[int, int, int]]:
-            contexts = [padded(x[4], x[1], x[2], x[3], length, i) for i, x in enumerate(members)]
-            out = []
-            for x, offsets in zip(members, refine(contexts, length), strict=True):
-                if offsets:
-                    r = runs(sorted(x[1] - o for o in offsets), length)
-                    out += [(x[0], a, b) for a, b in zip(r[::2], r[1::2], strict=True)]
-            return out
+def _refined(open_: DataFrame, length: int, chunk: int = 100_000) -> DataFrame:
+    """doc, lo, hi ranges from members (bucket, doc, pos, lo, hi, bytes); a bucket's rows come together, in order, and
+    whole buckets are refined together, about `chunk` members at a time."""
+    schema = pa.schema([("doc", pa.int64()), ("lo", pa.int32()), ("hi", pa.int32())])
+    side = length - Q
 
-        rows: list[tuple[int, int, int]] = []
+    def settled(rows: pa.Table) -> pa.RecordBatch:
+        n = rows.num_rows
+        bucket, doc, pos, lo, hi = (rows[c].to_numpy().astype(np.int64) for c in ("bucket", "doc", "pos", "lo", "hi"))
+        contexts = np.zeros((n, length + side), np.uint8)
+        data = rows["bytes"].combine_chunks()
+        flat, ends = np.frombuffer(data.buffers()[2], np.uint8), np.frombuffer(data.buffers()[1], np.int32)[data.offset : data.offset + n + 1].astype(np.int64)
+        size = ends[1:] - ends[:-1]
+        place = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
+        contexts[np.repeat(np.arange(n), size), np.repeat(side - (pos - lo), size) + place] = flat[np.repeat(ends[:-1], size) + place]
+        got = refine(bucket, contexts, pos - lo, hi - pos - Q, length)
+        # A run of offsets is one range of bytes.
+        edge = np.diff(np.pad(got, ((0, 0), (1, 1))).astype(np.int8), axis=1)
+        m, first = np.nonzero(edge == 1)
+        last = np.nonzero(edge == -1)[1] - 1
+        return pa.RecordBatch.from_arrays([pa.array(doc[m]), pa.array((pos[m] - last).astype(np.int32)), pa.array((pos[m] - first + length).astype(np.int32))], schema=schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        have: list[pa.RecordBatch] = []
         for batch in batches:
-            for key, *x in zip(*(batch[c].to_pylist() for c in ("bucket", "doc", "pos", "lo", "hi", "bytes")), strict=True):
-                if key != bucket:
-                    if len(members) > 1:
-                        rows += settle()
-                    bucket, members = key, []
-                members.append(x)
-            if len(rows) > 50_000:
-                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
-                rows = []
-        if len(members) > 1:
-            rows += settle()
-        if rows:
-            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
+            if batch.num_rows:
+                have.append(batch)
+            if sum(b.num_rows for b in have) >= chunk:
+                rows = pa.Table.from_batches(have)
+                bucket = rows["bucket"].to_numpy()
+                whole = np.flatnonzero(bucket[1:] != bucket[:-1])
+                if len(whole):
+                    yield settled(rows.slice(0, int(whole[-1]) + 1))
+                    rows = rows.slice(int(whole[-1]) + 1)
+                have = rows.to_batches()
+        if have:
+            yield settled(pa.Table.from_batches(have))
 
     return open_.repartition("bucket").sortWithinPartitions("bucket", "doc", "pos").mapInArrow(run, "doc long, lo int, hi int")
 
 
 def _strings(hot: DataFrame, length: int) -> DataFrame:
-    """The same from members of large buckets: each string (by two hashes) against its first place."""
-    names, types = ["h1", "h2", "doc", "start"], [pa.int64()] * 3 + [pa.int32()]
+    """The same from members of large buckets, which no task holds as a whole: the identifiers of what lies left and right of the
+    anchor are 64-bit hashes here, equal in all tasks, and each string meets others by (bucket, left, right)."""
+    names, types = ["bucket", "left", "right", "doc", "start"], [pa.int64()] * 4 + [pa.int32()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out: list[list[np.ndarray]] = [[] for _ in names]
-            for doc, lo, data in zip(*(batch[c].to_pylist() for c in ("doc", "lo", "bytes")), strict=True):
-                r = Rolling(np.frombuffer(data, np.uint8))
+            for bucket, doc, pos, lo, data in zip(*(batch[c].to_pylist() for c in ("bucket", "doc", "pos", "lo", "bytes")), strict=True):
+                r, anchor = Rolling(np.frombuffer(data, np.uint8)), pos - lo
                 at = np.arange(max(0, len(data) - length + 1))
-                for x, v in zip(out, (r.of(at, at + length, 0).view(np.int64), r.of(at, at + length, 1).view(np.int64), np.full(len(at), doc), at + lo), strict=True):
+                left = r.of(at, np.full(len(at), anchor), 0) ^ _mix((anchor - at).astype(np.uint64))
+                for x, v in zip(out, (np.full(len(at), bucket), left.view(np.int64), r.of(np.full(len(at), anchor), at + length, 1).view(np.int64), np.full(len(at), doc), at + lo), strict=True):
                     x.append(v)
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x) if x else np.empty(0, np.int64), t) for x, t in zip(out, types, strict=True)], names=names)
 
-    s = hot.select("doc", "lo", "bytes").mapInArrow(run, "h1 long, h2 long, doc long, start int")
-    first = s.groupBy("h1", "h2").agg(F.min(F.struct("doc", "start")).alias("first"), F.count("doc").alias("n")).where("n > 1").select("h1", "h2", "first")
-    again = s.join(first, ["h1", "h2"]).where((F.col("doc") != F.col("first.doc")) | (F.col("start") != F.col("first.start")))
+    s = hot.select("bucket", "doc", "pos", "lo", "bytes").mapInArrow(run, "bucket long, left long, right long, doc long, start int")
+    key = ["bucket", "left", "right"]
+    first = s.groupBy(*key).agg(F.min(F.struct("doc", "start")).alias("first"), F.count("doc").alias("n")).where("n > 1").select(*key, "first")
+    again = s.join(first, key).where((F.col("doc") != F.col("first.doc")) | (F.col("start") != F.col("first.start")))
     return again.select("doc", F.col("start").alias("lo"), (F.col("start") + length).alias("hi"))
 
 
