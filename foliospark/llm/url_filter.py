@@ -82,15 +82,30 @@ def features(df: DataFrame) -> DataFrame:
     )
 
 
+FOLDS = 5
+
+
+def fold_of() -> Column:
+    return F.pmod(F.xxhash64("host", "path"), F.lit(FOLDS)).cast("int")
+
+
 def suffix_rates(labelled: DataFrame, suffix: str, weight: float = 20.0) -> DataFrame:
-    """suffix, rate: the share of blocked urls, drawn towards one half where there are few."""
-    return labelled.groupBy(suffix).agg(((F.sum("y") + weight / 2) / (F.count("y") + weight)).alias(f"{suffix}_rate"))
+    """suffix, fold, rate: the share of blocked urls, drawn towards one half where there are few. Of each fold: that of the other
+    folds' urls, so that a url's own label isn't in its feature; fold -1: that of all."""
+    each = labelled.groupBy(suffix, fold_of().alias("fold")).agg(F.sum("y").alias("s"), F.count("y").alias("n"))
+    every = each.groupBy(suffix).agg(F.sum("s").alias("s_all"), F.sum("n").alias("n_all"))
+    folds = labelled.sparkSession.range(-1, FOLDS).select(F.col("id").cast("int").alias("fold"))
+    rows = every.crossJoin(F.broadcast(folds)).join(each, [suffix, "fold"], "left")
+    s, n = (F.col(f"{c}_all") - F.coalesce(c, F.lit(0)) for c in ("s", "n"))
+    return rows.select(suffix, "fold", ((s + weight / 2) / (n + weight)).alias(f"{suffix}_rate"))
 
 
 def with_rates(df: DataFrame, rates: list[tuple[str, DataFrame]]) -> DataFrame:
+    """df (with `said`: its label, if any) and its suffixes' rates; of a labelled url without its own fold."""
+    df = df.withColumn("fold", F.when(F.col("said").isNotNull(), fold_of()).otherwise(-1))
     for suffix, table in rates:
-        df = df.join(table, suffix, "left").withColumn(f"{suffix}_rate", F.coalesce(f"{suffix}_rate", F.lit(0.5)))
-    return df
+        df = df.join(table, [suffix, "fold"], "left").withColumn(f"{suffix}_rate", F.coalesce(f"{suffix}_rate", F.lit(0.5)))
+    return df.drop("fold")
 
 
 class Trees:
@@ -146,7 +161,7 @@ def _best(rows: list[tuple[int, float, float]], decay: float) -> tuple[float, in
     return best
 
 
-def fit(labelled: DataFrame, trees: int = 8, depth: int = 2, bins: int = 16, rate: float = 0.4, decay: float = 1.0) -> Trees:
+def fit(labelled: DataFrame, trees: int = 16, depth: int = 3, bins: int = 16, rate: float = 0.4, decay: float = 1.0) -> Trees:
     """From rows with the features and y (1: block), all of which are used."""
     names = [*(F.percentile_approx(f, [i / bins for i in range(1, bins)], 10_000).alias(f) for f in FEATURES)]
     stats = labelled.agg(F.count("y").alias("n"), F.coalesce(F.sum("y"), F.lit(0)).alias("s"), *names).first()
@@ -181,14 +196,35 @@ def fit(labelled: DataFrame, trees: int = 8, depth: int = 2, bins: int = 16, rat
     return model
 
 
-def url_filter(df: DataFrame, rules: list[Rule], id_col: str = "page_id", url_col: str = "url", trees: int = 8, depth: int = 2, threshold: float = 0.5) -> DataFrame:
-    """page_id, host, path, rule, verdict, p_block of every row; the model learns from the urls that a rule fits."""
+def judged(df: DataFrame, rules: list[Rule], id_col: str = "page_id", url_col: str = "url") -> DataFrame:
+    """page_id, host, path, rule, said (its verdict) and features of every row."""
     name, said = rule_of(rules)
     pages = split_url(df.select(F.col(f"`{id_col}`").alias("page_id"), F.col(f"`{url_col}`").cast("string").alias("url")))
-    rows = features(pages).withColumn("rule", name).withColumn("said", said).drop("url")
+    return features(pages).withColumn("rule", name).withColumn("said", said).drop("url")
+
+
+def learned(rows: DataFrame, trees: int, depth: int) -> tuple[Trees, list[tuple[str, DataFrame]]]:
+    """The model and the suffixes' rates, from the rows with a label."""
     labelled = rows.where("said is not null").withColumn("y", (F.col("said") == "block").cast("int"))
     rates = [(s, materialize(suffix_rates(labelled, s), f"rates-{s}")) for s in ("tld", "extension")]
-    model = fit(with_rates(labelled, rates), trees, depth)
+    return fit(with_rates(labelled, rates), trees, depth), rates
+
+
+def held_out(df: DataFrame, rules: list[Rule], trees: int = 16, depth: int = 3, threshold: float = 0.5, **columns: str) -> DataFrame:
+    """n, accuracy, block_recall, block_precision over one labelled url in five, by a model that learned from the others."""
+    rows = judged(df, rules, **columns)
+    out = F.pmod(F.xxhash64("path", "host"), F.lit(5)) == 0
+    model, rates = learned(rows.where(~out), trees, depth)
+    test = model.score(with_rates(rows.where(out & F.col("said").isNotNull()).withColumnRenamed("said", "true_").withColumn("said", F.lit(None).cast("string")), rates))
+    hit, block = (F.col("p") >= threshold) == (F.col("true_") == "block"), F.col("true_") == "block"
+    share = lambda c, on: F.avg(F.when(on, c.cast("double")))
+    return test.agg(F.count(F.lit(1)).alias("n"), F.avg(hit.cast("double")).alias("accuracy"), share(hit, block).alias("block_recall"), share(block, F.col("p") >= threshold).alias("block_precision"))
+
+
+def url_filter(df: DataFrame, rules: list[Rule], id_col: str = "page_id", url_col: str = "url", trees: int = 16, depth: int = 3, threshold: float = 0.5) -> DataFrame:
+    """page_id, host, path, rule, verdict, p_block of every row; the model learns from the urls that a rule fits."""
+    rows = judged(df, rules, id_col, url_col)
+    model, rates = learned(rows, trees, depth)
     scored = model.score(with_rates(rows, rates))
     verdict = F.coalesce("said", F.when(F.col("p") >= threshold, "block").otherwise("allow"))
     return scored.select("page_id", "host", "path", "rule", verdict.alias("verdict"), F.col("p").alias("p_block"))
