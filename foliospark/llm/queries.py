@@ -30,7 +30,7 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     learn = docs.where(language_id.fold_of(F.col("doc_id")) != 1)
     out = language_id.language_id(docs, learn)
-    return out.select("doc_id", (language_id.fold_of(F.col("doc_id")) == 1).alias("held_out"), "lang_pred", "score", "phrases", "n_symbols")
+    return out.select("doc_id", F.coalesce(language_id.fold_of(F.col("doc_id")) == 1, F.lit(False)).alias("held_out"), "lang_pred", "score", "phrases", "n_symbols")
 
 
 def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
