@@ -6,12 +6,13 @@ wherever the item occurs within that budget. So exact piece hits (by rolling has
 of word ids, for each piece length) give all places to look at, and Myers'
 bit-parallel distance over the words around a hit decides.
 
-Words are runs of word characters, lower-cased; what lies between them doesn't
-count. The items go to the executors as a broadcast of at most `block_bytes`; a
+Words are runs of word characters, lower-cased (characters of Chinese and Japanese are words of their
+own); what lies between them doesn't count. Items of under five words have no budget: they are found where
+all their words stand in order. The items go to the executors as a broadcast of at most `block_bytes`; a
 larger set of items is worked through in blocks of that size, each against all rows.
 
-Cases: null and empty texts match nothing; items with fewer than `min_words` words
-(or null) are never looked for, since they'd match anything; repeated items and rows give
+Cases: null and empty texts match nothing; items that are null or
+without a word, or have fewer than `min_words`, are never looked for; repeated items and rows give
 repeated results; ties between places go to the earliest end; an empty table on
 either side gives an empty result (or, for `decontaminate`, the rows as they are).
 """
@@ -29,7 +30,8 @@ from pyspark.sql import functions as F
 from foliospark.llm.columns import id_text, keep_rows
 from foliospark.llm.worker import held
 
-WORD = re.compile(r"\w+")
+#: A word, or one character of a script that is written without spaces.
+WORD = re.compile("[\u3040-\u30ff\u3400-\u9fff\uf900-\ufaff]|[^\\W\u3040-\u30ff\u3400-\u9fff\uf900-\ufaff]+")
 BASE = 0x9E3779B97F4A7C15
 MASK = (1 << 64) - 1
 SCHEMA = pa.schema([("doc_id", pa.int64()), ("item_id", pa.int64()), ("distance", pa.int32()), ("n_words", pa.int32()), ("similarity", pa.float64()), ("start_word", pa.int64()), ("end_word", pa.int64())])
@@ -169,7 +171,7 @@ def _index(items: list[tuple[int, str]], similarity: float, min_words: int) -> I
     return held(("items", hash(tuple(items)), similarity, min_words), lambda: ItemIndex(items, similarity, min_words))
 
 
-def matches(df: DataFrame, benchmark: DataFrame, similarity: float = 0.8, min_words: int = 5, id_col: str = "doc_id", text_col: str = "text", item_id_col: str = "item_id", item_text_col: str = "text", block_bytes: int = 32 << 20) -> DataFrame:
+def matches(df: DataFrame, benchmark: DataFrame, similarity: float = 0.8, min_words: int = 1, id_col: str = "doc_id", text_col: str = "text", item_id_col: str = "item_id", item_text_col: str = "text", block_bytes: int = 32 << 20) -> DataFrame:
     """doc_id, item_id, distance, n_words, similarity, start_word, end_word (exclusive) of each
     item that occurs in a text within its budget, at its best place."""
     docs, out = id_text(df, id_col, text_col), None
@@ -187,7 +189,7 @@ def matches(df: DataFrame, benchmark: DataFrame, similarity: float = 0.8, min_wo
     return out
 
 
-def decontaminate(df: DataFrame, benchmark: DataFrame, similarity: float = 0.8, min_words: int = 5, text_col: str = "text", item_id_col: str = "item_id", item_text_col: str = "text", block_bytes: int = 32 << 20) -> DataFrame:
+def decontaminate(df: DataFrame, benchmark: DataFrame, similarity: float = 0.8, min_words: int = 1, text_col: str = "text", item_id_col: str = "item_id", item_text_col: str = "text", block_bytes: int = 32 << 20) -> DataFrame:
     """The rows of df, all columns as they are, whose text holds no item."""
     for items in item_blocks(benchmark, block_bytes, item_id_col, item_text_col):
         shared = df.sparkSession.sparkContext.broadcast(items)
