@@ -38,3 +38,15 @@ def keep_rows(df: DataFrame, keep: Callable[[list[str | None]], list[bool]], tex
                 yield batch.slice(a, b - a).filter(pa.array(keep(texts[a:b]), pa.bool_()))
 
     return df.mapInArrow(run, df.schema)
+
+
+def private(df: DataFrame, *names: str) -> list[str]:
+    """Names like these that no column of df has, whatever its case."""
+    have = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in have:
+            name += "_"
+        have.add(name.lower())
+        out.append(name)
+    return out

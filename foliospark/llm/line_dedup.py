@@ -36,7 +36,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from foliospark.llm.columns import id_text, portions
+from foliospark.llm.columns import id_text, portions, private
 from foliospark.runtime import materialize
 
 WHITE = b" \t\n\r\x0b\x0c"
@@ -175,19 +175,21 @@ def without(doc: int | None, text: str | None, known: dict[bytes, tuple[int, int
     return b"\n".join(kept).decode(), len(lines), len(lines) - len(kept)
 
 
-def joined(docs: DataFrame, repeats: DataFrame, keep: str, id_col: str, text_col: str) -> DataFrame:
-    """docs with `gone_`, the numbers of the lines to drop: the lines meet a large set of
-    repeats by a join. A row is known by its id and its text's hash."""
-    docs = docs.withColumn("h_", F.xxhash64(text_col))
-    lines = docs.select(F.col(id_col).alias("id_"), "h_", F.posexplode(F.split(F.coalesce(text_col, F.lit("")), "\n")).alias("line_no", "line"))
+def joined(docs: DataFrame, repeats: DataFrame, keep: str, id_col: str, text_col: str, out: str) -> DataFrame:
+    """docs with a column `out`, the numbers of the lines to drop: the lines meet a large set of
+    repeats by a join. A row is known by its id and its text's hash. The names used in between are none of docs."""
+    h, own, of = private(docs, "h_", "id_", "of_")
+    text = F.col(f"`{text_col}`")
+    docs = docs.withColumn(h, F.xxhash64(text))
+    lines = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(h).alias("h"), F.posexplode(F.split(F.coalesce(text, F.lit("")), "\n")).alias("line_no", "line"))
     bare = F.regexp_replace(F.regexp_replace("line", "^[\\x20\\x09-\\x0D]+", ""), "[\\x20\\x09-\\x0D]+$", "")
     key = F.translate(bare, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
     hits = lines.withColumn("key", F.encode(key, "UTF-8")).join(repeats, "key")
     if keep == "first":
-        hits = hits.where(~(F.coalesce("id_", F.lit(NULL_ID)).eqNullSafe(F.col("first_doc")) & (F.col("line_no") == F.col("first_line"))))
-    gone = hits.groupBy("id_", "h_").agg(F.collect_set("line_no").alias("gone_")).withColumnRenamed("h_", "of_")
-    same = docs[id_col].eqNullSafe(gone["id_"]) & (docs["h_"] == gone["of_"])
-    return docs.join(gone, same, "left").drop("h_", "of_", "id_").withColumn("gone_", F.coalesce("gone_", F.array().cast("array<int>")))
+        hits = hits.where(~(F.coalesce("id", F.lit(NULL_ID)).eqNullSafe(F.col("first_doc")) & (F.col("line_no") == F.col("first_line"))))
+    gone = hits.groupBy("id", "h").agg(F.collect_set("line_no").alias("gone")).select(F.col("id").alias(own), F.col("h").alias(of), F.col("gone").alias(out))
+    same = F.col(f"`{id_col}`").eqNullSafe(F.col(own)) & (F.col(h) == F.col(of))
+    return docs.join(gone, same, "left").drop(h, of, own).withColumn(out, F.coalesce(out, F.array().cast("array<int>")))
 
 
 def _left(text: str, gone: str):
@@ -205,7 +207,7 @@ def line_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", mi
     shared = _known(docs, repeats, broadcast_bytes)
     if shared is None:
         left, n = _left("text", "gone_")
-        return joined(docs, repeats, keep, "doc_id", "text").select("doc_id", left.alias("text"), n.alias("n_lines"), F.size("gone_").cast("long").alias("n_dropped"))
+        return joined(docs, repeats, keep, "doc_id", "text", "gone_").select("doc_id", left.alias("text"), n.alias("n_lines"), F.size("gone_").cast("long").alias("n_dropped"))
     schema = pa.schema([("doc_id", pa.int64()), ("text", pa.string()), ("n_lines", pa.int64()), ("n_dropped", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -223,8 +225,9 @@ def drop_repeated_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "
     repeats = materialize(repeated_lines(id_text(df, id_col, text_col), min_docs, min_chars, bits), "repeated-lines")
     shared = _known(df, repeats, broadcast_bytes)
     if shared is None:
-        left, _ = _left(text_col, "gone_")
-        return joined(df, repeats, keep, id_col, text_col).withColumn(text_col, F.when(F.col(text_col).isNotNull(), left)).select(*(f"`{c}`" for c in df.columns))
+        (gone,) = private(df, "gone_")
+        left, _ = _left(text_col, gone)
+        return joined(df, repeats, keep, id_col, text_col, gone).withColumn(text_col, F.when(F.col(text_col).isNotNull(), left)).select(*(f"`{c}`" for c in df.columns))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

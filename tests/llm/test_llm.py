@@ -72,7 +72,15 @@ def test_language_id(spark, docs, rows, empty):
     assert language_id.language_id(empty, labelled).count() == 0
     assert {r["lang_pred"] for r in language_id.language_id(docs, empty.select(F.lit("x").alias("lang"), "text")).collect()} == {"und"}
     kept = language_id.known_language(docs, labelled)
-    assert kept.columns == docs.columns and {r["doc_id"] for r in kept.collect()} == {r[0] for r in rows} - {4, 5, 6}
+    known = {i for i, r in got.items() if r["lang_pred"] != "und" and (r["n_symbols"] < 60 or r["phrases"] <= 0.4 * r["n_symbols"])}
+    assert kept.columns == docs.columns and {r["doc_id"] for r in kept.collect()} == known and {1, 2, 3, 9} <= known
+    other = spark.createDataFrame([(1, "слово " * 40), (2, "слово"), (3, prose(40))], "doc_id long, text string")
+    assert {r["doc_id"] for r in language_id.known_language(other, labelled).collect()} == {2, 3}
+    # Whole texts are drawn, as many as fit; a text that is longer than the bound isn't.
+    few = spark.createDataFrame([("x", "a" * 50), ("x", "b" * 50), ("x", "c" * 200), ("y", "d")], "lang string, text string")
+    drawn = language_id.sample(few, 10, 120)
+    assert sorted(drawn["x"].split()) == ["a" * 50, "b" * 50] and drawn["y"] == "d"
+    assert language_id.sample(few, 10, 60)["x"] in ("a" * 50, "b" * 50)
     # Brute force: greedy longest phrases by substring search.
     sample = {"aa": "abcabd xyz", "bb": "hello world"}
     p = language_id.CrossParser(sample)
@@ -104,6 +112,39 @@ def test_url_filter(spark):
     assert {r["verdict"] for r in url_filter.url_filter(df, []).collect()} == {"allow"}
 
 
+def test_boosted_trees_by_hand(spark):
+    """The first tree's first split and the values of a stump, computed from sums over all rows."""
+    r = random.Random(13)
+    rows = [(int(r.random() < (0.8 if d > 3 else 0.2)), float(d), float(r.randint(0, 3))) for d in (r.randint(0, 7) for _ in range(600))]
+    names = [f for f in url_filter.FEATURES if f not in ("depth", "hyphens")]
+    df = spark.createDataFrame(rows, "y int, depth double, hyphens double").select("*", *(F.lit(1.0).alias(f) for f in names))
+    model = url_filter.fit(df, trees=1, depth=1)
+    prior = np.log(sum(x[0] for x in rows) / (len(rows) - sum(x[0] for x in rows)))
+    p = 1 / (1 + np.exp(-prior))
+    best = None
+    for k, f in ((1, "depth"), (2, "hyphens")):
+        for cut in sorted({x[k] for x in rows})[:-1]:
+            g, h = ([sum(v for x, v in zip(rows, vs, strict=True) if (x[k] <= cut) == side) for side in (True, False)] for vs in ([x[0] - p for x in rows], [p * (1 - p)] * len(rows)))
+            gain = sum(a * a / (b + 1) for a, b in zip(g, h, strict=True)) - sum(g) ** 2 / (sum(h) + 1)
+            if best is None or gain > best[0] + 1e-9:
+                best = gain, f, cut, [0.4 * a / (b + 1) for a, b in zip(g, h, strict=True)]
+    (splits, values), = model.trees
+    feature, bin_ = splits[1]
+    assert url_filter.FEATURES[feature] == best[1] and [c for c in model.cuts[feature] if c <= best[2]][bin_ - 1 if bin_ else 0] <= best[2]
+    assert np.allclose([values[2], values[3]], best[3])
+
+
+def test_suffix_rates_leave_out_the_own_fold(spark):
+    rows = [(f"h{i}.aa", f"/{i}", "aa", "", int(i % 3 == 0)) for i in range(60)]
+    df = spark.createDataFrame(rows, "host string, path string, tld string, extension string, y int").withColumn("fold", url_filter.fold_of())
+    got = {x["fold"]: x["tld_rate"] for x in url_filter.suffix_rates(df, "tld").collect()}
+    each = [(x["fold"], x["y"]) for x in df.collect()]
+    assert set(got) == set(range(-1, url_filter.FOLDS))
+    for fold, rate in got.items():
+        ys = [y for f, y in each if f != fold]
+        assert np.isclose(rate, (sum(ys) + 10) / (len(ys) + 20))
+
+
 def test_trees_learn_a_split(spark):
     f = url_filter.FEATURES
     rows = spark.range(400).select((F.col("id") % 4 == 0).cast("int").alias("y"), *((F.when(F.col("id") % 4 == 0, 5.0) if n == "depth" else F.lit(1.0) * (F.col("id") % 3)).alias(n) for n in f)).fillna(1.0)
@@ -174,7 +215,7 @@ def test_decontamination(spark, docs, empty):
     far = [w if i % 3 else "no" for i, w in enumerate(item)]
     rows = [(1, f"{prose(40, r)} {' '.join(item).upper()}, {prose(20, r)}"), (2, prose(30, r) + " " + "; ".join(near)), (3, " ".join(far)), (4, None), (5, ""), (6, prose(300, r))]
     df = spark.createDataFrame([(i, t, "c", "c") for i, t in rows], SCHEMA)
-    bench = spark.createDataFrame([(7, " ".join(item)), (8, None), (9, "a b")], "item_id long, text string")
+    bench = spark.createDataFrame([(7, " ".join(item)), (8, None), (9, "nowhere met"), (10, "!")], "item_id long, text string")
     got = {(x["doc_id"], x["item_id"]): x["distance"] for x in decontamination.matches(df, bench).collect()}
     assert got == {(i, 7): d for i, t in rows if (d := edit_distance(item, decontamination.words_of(t))) <= 5}
     assert {1, 2} <= {k[0] for k in got}
@@ -186,6 +227,14 @@ def test_decontamination(spark, docs, empty):
         assert min(decontamination.myers(p, t)) == min(edit_distance(p, t), len(p))
 
 
+def test_decontamination_of_short_items(spark):
+    """Items of under five words, and such in scripts without spaces, are found as they are; repeated rows and items repeat."""
+    bench = spark.createDataFrame([(1, "alpha beta"), (1, "alpha beta"), (2, "你好世界"), (3, "solo")], "item_id long, text string")
+    rows = [(1, "x Alpha, BETA y"), (1, "x Alpha, BETA y"), (2, "alpha gamma beta"), (3, "他说你好世界了"), (4, "你好大世界"), (5, "solos")]
+    got = sorted((x["doc_id"], x["item_id"], x["distance"]) for x in decontamination.matches(spark.createDataFrame(rows, "doc_id long, text string"), bench).collect())
+    assert got == [(1, 1, 0)] * 4 + [(3, 2, 0)]
+
+
 def test_golay_keys_meet_within_four_bits():
     r = np.random.default_rng(0)
     # How four errors or fewer may fall on the three segments, each way many times.
@@ -351,6 +400,44 @@ def test_imatch(docs, rows, empty):
     assert imatch.with_next(imatch.imatch(empty)[0], ["text"]).count() == 0
 
 
+def xxh64_long(value, seed):
+    return xxhash.xxh64_intdigest((value & (1 << 64) - 1).to_bytes(8, "little"), seed)
+
+
+def test_imatch_by_hand(spark, rows):
+    """Lexicon, fingerprints and likeness against sets and hashes in Python."""
+    r = random.Random(14)
+    many = [(i, " ".join(r.choice(WORDS) + str(r.randrange(3)) for _ in range(r.choice([0, 1, 5, 60, 300])))) for i in range(60)] + [(90, None), (91, "Ünï dö"), (91, "Ünï dö")]
+    df = spark.createDataFrame(many, "doc_id long, text string")
+    own, lexicon = imatch.imatch(df, min_share=0.05, max_share=0.4)
+    terms = [{xxhash.xxh64_intdigest(w.encode(), 42) for w in re.split(r"[^\w]+|_", (t or "").lower()) if w} for _, t in many]
+    n = {}
+    for ts in terms:
+        for t in ts:
+            n[t] = n.get(t, 0) + 1
+    slots = {t >> 44 for t, k in n.items() if max(2, 0.05 * len(many)) <= k <= 0.4 * len(many)}
+    signed = lambda t: t - (1 << 64) * (t >> 63)
+    want = []
+    for (i, _), ts in zip(many, terms, strict=True):
+        inside = sorted(map(signed, {t for t in ts if t >> 44 in slots} or ts))
+        parts = []
+        for rate, subsets, low in imatch.RATES:
+            for k in range(subsets):
+                h = 42
+                for t in inside:
+                    if ((t & (1 << 64) - 1) >> low) & (rate - 1) == k:
+                        h = xxh64_long(t, h)
+                parts.append("00000000" if h == 42 else f"{signed(h) % ((1 << 32) - 1) + 1:08x}")
+        want.append((i, "".join(parts)))
+    got = sorted((x["doc_id"], x["fingerprint"]) for x in own.collect())
+    assert got == sorted(want)
+    a, b = want[3][1], want[4][1]
+    cut = lambda f: [f[j : j + 8] for j in range(0, len(f), 8)]
+    pairs = [(x, y) for x, y in zip(cut(a), cut(b), strict=True) if x != "00000000" or y != "00000000"]
+    one = spark.range(1).select(imatch.likeness(F.lit(a), F.lit(b)).alias("x"), imatch.likeness(F.lit(a), F.lit(a)).alias("y")).first()
+    assert np.isclose(one["x"], sum(x == y for x, y in pairs) / len(pairs) if pairs else 1) and one["y"] == 1
+
+
 def brute_suffix(rows, length):
     seen, out = {}, {}
     for i, t in rows:
@@ -377,6 +464,14 @@ def test_suffix_dedup(spark, docs, rows, empty, hot):
     assert suffix_dedup.suffix_dedup(empty).count() == 0 and suffix_dedup.suffix_dedup(docs).count() == len(rows)
 
 
+def test_line_dedup_beside_any_columns(spark):
+    rows = [(i, "common\nown" + str(i), "1", "2", "3", "4") for i in range(12)]
+    for names in ("h_ string, id_ string, of_ string, gone_ string", "H_ string, key string, id string, line string"):
+        df = spark.createDataFrame(rows, f"doc_id long, text string, {names}")
+        out = line_dedup.drop_repeated_lines(df, broadcast_bytes=0)
+        assert out.columns == df.columns and sorted(map(tuple, out.collect())) == [(i, "own" + str(i), "1", "2", "3", "4") for i in range(12)]
+
+
 @pytest.mark.parametrize("keep", ["none", "first"])
 def test_line_dedup(spark, docs, rows, empty, keep):
     r = random.Random(7)
