@@ -18,8 +18,8 @@ have the least hash in some window of length - q + 1 of them, so any string of
    anchor and to its left. A string is told by the pair of identifiers of its two parts; ranges of offsets are settled
    together where the widest parts were seen before (repeats) or the narrowest are alone (first); the
    others go on byte by byte, which makes the result exact.
-4. A bucket with over `hot` contexts isn't brought together in one task: its members' strings are dealt out by the
-   same pair of identifiers, hashes that are equal in all tasks, and each task's are summed before they move.
+4. A bucket with over `hot` contexts isn't brought together in one task: its members' strings are dealt out by
+   identifiers that are equal in all tasks (two 64-bit hashes), and each task's are summed before they move.
 
 What moves: 36 bytes for a suspected anchor, and documents with suspected anchors
 twice. Buckets are compared by 64-bit hashes of two kinds (contexts by 128 bits).
@@ -298,25 +298,23 @@ def _refined(open_: DataFrame, length: int, chunk: int = 100_000) -> DataFrame:
 
 
 def _strings(hot: DataFrame, length: int) -> DataFrame:
-    """The same from members of large buckets, which no task holds as a whole: the identifiers of what lies left and right of the
-    anchor are 64-bit hashes here, equal in all tasks, and each string meets others by (bucket, left, right)."""
-    names, types = ["bucket", "left", "right", "doc", "start"], [pa.int64()] * 4 + [pa.int32()]
+    """The same from members of large buckets, which no task holds as a whole: a string's identifier is two 64-bit hashes here,
+    equal in all tasks, and each string meets its first place by it."""
+    names, types = ["h1", "h2", "doc", "start"], [pa.int64()] * 3 + [pa.int32()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out: list[list[np.ndarray]] = [[] for _ in names]
-            for bucket, doc, pos, lo, data in zip(*(batch[c].to_pylist() for c in ("bucket", "doc", "pos", "lo", "bytes")), strict=True):
-                r, anchor = Rolling(np.frombuffer(data, np.uint8)), pos - lo
+            for doc, lo, data in zip(*(batch[c].to_pylist() for c in ("doc", "lo", "bytes")), strict=True):
+                r = Rolling(np.frombuffer(data, np.uint8))
                 at = np.arange(max(0, len(data) - length + 1))
-                left = r.of(at, np.full(len(at), anchor), 0) ^ _mix((anchor - at).astype(np.uint64))
-                for x, v in zip(out, (np.full(len(at), bucket), left.view(np.int64), r.of(np.full(len(at), anchor), at + length, 1).view(np.int64), np.full(len(at), doc), at + lo), strict=True):
+                for x, v in zip(out, (r.of(at, at + length, 0).view(np.int64), r.of(at, at + length, 1).view(np.int64), np.full(len(at), doc), at + lo), strict=True):
                     x.append(v)
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x) if x else np.empty(0, np.int64), t) for x, t in zip(out, types, strict=True)], names=names)
 
-    s = hot.select("bucket", "doc", "pos", "lo", "bytes").mapInArrow(run, "bucket long, left long, right long, doc long, start int")
-    key = ["bucket", "left", "right"]
-    first = s.groupBy(*key).agg(F.min(F.struct("doc", "start")).alias("first"), F.count("doc").alias("n")).where("n > 1").select(*key, "first")
-    again = s.join(first, key).where((F.col("doc") != F.col("first.doc")) | (F.col("start") != F.col("first.start")))
+    s = hot.select("doc", "lo", "bytes").mapInArrow(run, "h1 long, h2 long, doc long, start int")
+    first = s.groupBy("h1", "h2").agg(F.min(F.struct("doc", "start")).alias("first"), F.count("doc").alias("n")).where("n > 1").select("h1", "h2", "first")
+    again = s.join(first, ["h1", "h2"]).where((F.col("doc") != F.col("first.doc")) | (F.col("start") != F.col("first.start")))
     return again.select("doc", F.col("start").alias("lo"), (F.col("start") + length).alias("hi"))
 
 
