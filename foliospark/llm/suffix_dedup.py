@@ -256,7 +256,7 @@ def _stretch(refined: Callable, core: np.ndarray, stretches: list[tuple[int, int
     return refined(named(core), stretches, have, rows)
 
 
-def _refined(open_: DataFrame, length: int, chunk: int = 100_000) -> DataFrame:
+def _refined(open_: DataFrame, length: int, chunk: int = 50_000) -> DataFrame:
     """doc, lo, hi ranges from members (bucket, doc, pos, lo, hi, bytes); a bucket's rows come together, in order, and
     whole buckets are refined together, about `chunk` members at a time."""
     schema = pa.schema([("doc", pa.int64()), ("lo", pa.int32()), ("hi", pa.int32())])
