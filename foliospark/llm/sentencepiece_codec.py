@@ -5,9 +5,12 @@ normalisation and a dummy prefix: merges are taken from an agenda, best score
 first, then leftmost. With `dropout` > 0 each candidate that leaves the agenda is
 skipped with that probability (in steps of 2^-16), decided by a keyed hash of (key, how many
 candidates came before). The key of a word is a keyed hash of (seed, text, ordinal of the word), so
-each occurrence is segmented on its own, always the same way for the same text and seed. What
-the agenda of a word gives depends only on the skips it met, so it is worked through once for
-each pattern of skips and then remembered. With `variants` above 0 there are only so many keys.
+each occurrence is segmented on its own, always the same way for the same text and seed.
+With `variants` above 0 there are only so many keys.
+
+The agendas of thousands of words are worked through side by side: one column a word, each step
+takes the best candidate of every column, skips or merges it, and scores the new neighbours.
+`encode` is the same for one word after the other.
 
 No piece has a space after another character, so words (spaces, then other
 characters) are independent of each other: the result is that of the whole text.
@@ -52,8 +55,9 @@ def mixed(x: np.ndarray) -> np.ndarray:
 
 
 class PieceCodec:
-    #: Remembered (word, skips) results, a full memory is emptied; length of remembered words; skips drawn at once.
-    MEMORY, LONG, DRAWN = 400_000, 48, 32
+    #: Length of the words taken side by side, how many at once, skips drawn at once.
+    LONG, ABREAST, DRAWN = 48, 1 << 13, 32
+    NONE = (1 << 31) - 1
 
     def __init__(self, model: bytes, dropout: float = 0.1, seed: int = 0, variants: int = 0):
         p = sentencepiece.SentencePieceProcessor(model_proto=model)
@@ -77,19 +81,52 @@ class PieceCodec:
         self.code = "H" if n <= 1 << 16 else "I"
         self.kind = np.dtype(self.code)
         self.seed, self.variants = seed & MASK, max(0, variants)
-        self.known: dict[str, tuple[list[int], dict[int, bytes]]] = {}
-        self.size = 0
-        self._clear_plain()
-
-    def _clear_plain(self) -> None:
-        # Of each word met: its number, its pieces without any skip, and the mask of the skips that these hang on.
-        self.number: dict[str, int] = {}
-        self.plain: list[bytes] = []
-        self.masks = array.array("I")
-
-    def drawn(self, keys: np.ndarray) -> np.ndarray:
-        """The first DRAWN skips of each key as bits."""
-        x = mixed(keys[:, None] + np.arange(1, self.DRAWN // 4 + 1, dtype=np.uint64) * np.uint64(M1)).astype("<u8", copy=False)
+        self._pairs(n)
+
+    def _pairs(self, n: int) -> None:
+        """What two symbols merge to, as a hash table. A symbol is a piece's id or n + the code point of a character that is no piece."""
+        self.symbols, self.span = n, n + 0x110000
+        self.of_char = np.arange(n, self.span, dtype=np.int32)
+        for x, i in self.ids.items():
+            if len(x) == 1:
+                self.of_char[ord(x)] = i
+        of = lambda x: self.ids.get(x, n + ord(x) if len(x) == 1 else None)
+        found = [(a, b, i, self.score[x]) for x, i in self.ids.items() for k in range(1, len(x)) if (a := of(x[:k])) is not None and (b := of(x[k:])) is not None]
+        key = np.array([a * self.span + b for a, b, _, _ in found], np.int64)
+        slot = self._slot(key)
+        order = np.argsort(slot, kind="stable")
+        self.slots = np.searchsorted(slot[order], np.arange((1 << 18) + 1)).astype(np.int32)
+        # One more entry, for no merge, with the key of no pair.
+        self.pair = np.append(key[order], np.iinfo(np.int64).min)
+        rank = np.unique(np.array([s for *_, s in found]), return_inverse=True)[1] if found else np.empty(0, np.int64)
+        self.rank = np.append(rank[order] << 6, self.NONE).astype(np.int32)
+        self.merged = np.append(np.array([i for _, _, i, _ in found], np.int32)[order], -1).astype(np.int32)
+
+    @staticmethod
+    def _slot(key: np.ndarray) -> np.ndarray:
+        return (key.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(46)).astype(np.int32)
+
+    def lookup(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """The entry of each pair of symbols; the last one if they don't merge, or one is -1."""
+        key = a.astype(np.int64) * self.span + b
+        slot = self._slot(key)
+        at, end = self.slots[slot], self.slots[slot + 1]
+        last = len(self.pair) - 1
+        hit = (self.pair[at] == key) & (at < end)
+        out = np.where(hit, at, last)
+        left = np.flatnonzero(~hit & (end - at > 1))
+        while len(left):
+            at[left] += 1
+            hit = self.pair[at[left]] == key[left]
+            out[left[hit]] = at[left[hit]]
+            left = left[~hit]
+            left = left[at[left] + 1 < end[left]]
+        return out
+
+    def drawn(self, keys: np.ndarray, block: int = 0) -> np.ndarray:
+        """The first DRAWN skips of each key as bits; those after them as blocks 1, 2, ..."""
+        n = self.DRAWN // 4
+        x = mixed(keys[:, None] + np.arange(block * n + 1, block * n + n + 1, dtype=np.uint64) * np.uint64(M1)).astype("<u8", copy=False)
         return np.packbits(x.view("<u2") < self.limit, axis=1, bitorder="little").view("<u4")[:, 0]
 
     def skips(self, key: int) -> Iterator[bool]:
@@ -115,56 +152,23 @@ class PieceCodec:
         """The pieces of one word by the agenda, as packed ids."""
         return self.packed(self.scan(word, key) if len(word) <= self.LONG else self.agenda(word, key))
 
-    def remembered(self, word: str, key: int, bits: int) -> bytes:
-        """The same for a short word whose first skips are `bits`. Results are kept by the skips that were met."""
-        if (have := self.known.get(word)) is None:
-            have = self.known[word] = [], {}
-        lengths, results = have
-        for n in lengths:
-            if (got := results.get(bits & (1 << n) - 1 | 1 << n)) is not None:
-                return got
-        met: list[int] = []
-        got = self.packed(self.scan(word, key, bits, met))
-        self.size += 1
-        if self.size > self.MEMORY:
-            self.known.clear()
-            self.size = 0
-        elif (n := met[0]) <= self.DRAWN:
-            if n not in lengths:
-                lengths.append(n)
-            results[bits & (1 << n) - 1 | 1 << n] = got
-        return got
-
-    def scan(self, word: str, key: int, bits: int | None = None, met: list[int] | None = None) -> list[str]:
-        """The agenda of a short word: the scores of neighbours in a list. bits: the first skips, if drawn already;
-        how many were met is added to `met`."""
+    def scan(self, word: str, key: int) -> list[str]:
+        """The agenda of a short word: the scores of neighbours in a list."""
         get, none = self.score.get, math.inf
         parts = list(word)
         scores = [get(a + b, none) for a, b in zip(parts, parts[1:], strict=False)]
-        limit, n = self.limit, 0
-        if bits is None:
-            bits = int(self.drawn(np.array([key & MASK], np.uint64))[0]) if limit else 0
-        more = None
+        skip = self.skips(key)
         while scores and (best := min(scores)) < none:
             i = scores.index(best)
-            if limit:
-                if n < self.DRAWN:
-                    skip = bits >> n & 1
-                else:
-                    more = more or itertools.islice(self.skips(key), self.DRAWN, None)
-                    skip = next(more)
-                n += 1
-                if skip:
-                    scores[i] = none
-                    continue
+            if self.limit and next(skip):
+                scores[i] = none
+                continue
             parts[i] += parts.pop(i + 1)
             del scores[i]
             if i < len(scores):
                 scores[i] = get(parts[i] + parts[i + 1], none)
             if i:
                 scores[i - 1] = get(parts[i - 1] + parts[i], none)
-        if met is not None:
-            met.append(n)
         return parts
 
     def agenda(self, word: str, key: int) -> list[str]:
@@ -192,79 +196,138 @@ class PieceCodec:
             i = end[i]
         return out
 
+    def keys(self, bases: np.ndarray, ordinals: np.ndarray) -> np.ndarray:
+        """The keys of words from the hashes of (seed, text) and their ordinals."""
+        keys = mixed(ordinals.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + bases)
+        return mixed(keys % np.uint64(self.variants) + np.uint64(self.seed)) if self.variants else keys
+
     def encode(self, text: str | None) -> np.ndarray:
-        """The ids of a text's pieces."""
+        """The ids of a text's pieces, word by word."""
         if not text:
             return np.empty(0, self.kind)
         out: list[bytes] = []
         ordinal = 0
-        base = xxhash.xxh64_intdigest(text.encode(), self.seed) if self.limit else 0
+        base = np.uint64(xxhash.xxh64_intdigest(text.encode(), self.seed))
         # A mark of the text's own is three bytes, and no word reaches over it.
         for k, part in enumerate(text.split(MARK)):
             if k:
                 out.append(np.array([self.byte_ids[b] for b in MARK.encode()], self.kind).tobytes())
             line = part.replace(" ", MARK)
             words = WORDS.findall(MARK + line if not k else line)
-            if self.limit:
-                at = np.arange(ordinal, ordinal + len(words), dtype=np.uint64)
-                keys = mixed(at * np.uint64(0x9E3779B97F4A7C15) + np.uint64(base))
-                if self.variants:
-                    keys = mixed(keys % np.uint64(self.variants) + np.uint64(self.seed))
-                drawn, keys = self.drawn(keys).tolist(), keys.tolist()
-            else:
-                drawn = keys = [0] * len(words)
+            keys = self.keys(base, np.arange(ordinal, ordinal + len(words)))
             ordinal += len(words)
-            out += [self.remembered(w, k, b) if len(w) <= self.LONG else self.word(w, k) for w, k, b in zip(words, keys, drawn, strict=True)]
+            out += [self.word(w, key) for w, key in zip(words, keys.tolist(), strict=True)]
         return np.frombuffer(b"".join(out), self.kind)
 
-    def numbered(self, words: list[str]) -> np.ndarray:
-        get = self.number.get
-        at = list(map(get, words))
-        for i, x in enumerate(at):
-            if x is None:
-                w = words[i]
-                if (x := get(w)) is None:
-                    x = self.number[w] = len(self.plain)
-                    met: list[int] = []
-                    short = len(w) <= self.LONG
-                    self.plain.append(self.packed(self.scan(w, 0, 0, met)) if short else b"")
-                    # A long word, or one with more candidates than are drawn at once, is never taken from here.
-                    self.masks.append((1 << met[0]) - 1 if short and met[0] < self.DRAWN else 0)
-                at[i] = x
-        return np.array(at, np.int64)
+    def abreast(self, chars: np.ndarray, starts: np.ndarray, sizes: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The symbols of short words (chars[start : start + size]) one after the other, and how many each has."""
+        high, wide = int(sizes.max()) + 2, len(starts)
+        # A column a word, between two borders; flat views of the same memory are indexed by row * wide + column.
+        symbol = np.full((high, wide), -1, np.int32)
+        column = np.repeat(np.arange(wide), sizes)
+        row = np.arange(len(column)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+        symbol[row + 1, column] = chars[np.repeat(starts, sizes) + row]
+        entry = self.lookup(symbol[:-1].ravel(), symbol[1:].ravel())
+        rows = np.arange(high, dtype=np.int32)[:, None]
+        best = np.full((high, wide), self.NONE, np.int32)
+        best[:-1] = self.rank[entry].reshape(high - 1, wide) | rows[:-1]
+        merges = np.full((high, wide), -1, np.int32)
+        merges[:-1] = self.merged[entry].reshape(high - 1, wide)
+        after = np.repeat(rows + 1, wide, axis=1).astype(np.uint8)
+        before = np.repeat(np.maximum(rows - 1, 0), wide, axis=1).astype(np.uint8)
+        symbols, scores, to, nexts, lasts = (x.reshape(-1) for x in (symbol, best, merges, after, before))
+        step, bits = 0, np.empty(0, np.uint32)
+        while True:
+            first = best.min(axis=0)
+            at = np.flatnonzero(first < self.NONE)
+            if not len(at):
+                break
+            pos = first[at] & 63
+            if self.limit:
+                if step % self.DRAWN == 0:
+                    bits = self.drawn(keys, step // self.DRAWN)
+                skip = (bits[at] >> np.uint32(step % self.DRAWN) & np.uint32(1)).astype(bool)
+                scores[pos[skip] * wide + at[skip]] = self.NONE
+                at, pos = at[~skip], pos[~skip]
+            step += 1
+            here = pos * wide + at
+            gone = nexts[here].astype(np.int64) * wide + at
+            new = to[here]
+            symbols[here], symbols[gone], scores[gone] = new, -1, self.NONE
+            right, left = nexts[gone], lasts[here]
+            nexts[here] = right
+            right, prior = right.astype(np.int64) * wide + at, left.astype(np.int64) * wide + at
+            lasts[right] = pos
+            entry = self.lookup(np.concatenate([new, symbols[prior]]), np.concatenate([symbols[right], new]))
+            cells = np.concatenate([here, prior])
+            scores[cells] = self.rank[entry] | np.concatenate([pos, left.astype(np.int32)])
+            to[cells] = self.merged[entry]
+        found = symbol.T
+        have = found >= 0
+        return found[have], have.sum(axis=1)
+
+    def spelled(self, symbols: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The same with the bytes of characters that are no piece."""
+        if not (other := symbols >= self.symbols).any():
+            return symbols, counts
+        code = np.where(other, symbols - self.symbols, 0)
+        size = 1 + sum((code >= least).astype(np.int64) for least in (0x80, 0x800, 0x10000))
+        out = np.repeat(symbols, size)
+        kinds, which = np.unique(symbols[other], return_inverse=True)
+        spelling = [[self.byte_ids[b] for b in chr(c - self.symbols).encode()] for c in kinds.tolist()]
+        out[np.repeat(other, size)] = list(itertools.chain.from_iterable(spelling[i] for i in which.tolist()))
+        ends = np.cumsum(size)[np.cumsum(counts) - 1]
+        return out, np.diff(ends, prepend=0)
 
     def encode_many(self, texts: list[str | None]) -> list[np.ndarray | None]:
-        """The same as `encode` of each text: the words that meet no skip, about half of them, are taken together."""
-        out: list[np.ndarray | None] = [None if t is None else self.encode(t) if not self.limit or MARK in t or not t else np.empty(0, self.kind) for t in texts]
-        some = [i for i, t in enumerate(texts) if t and self.limit and MARK not in t]
+        """The same as `encode` of each text: words are taken side by side."""
+        out: list[np.ndarray | None] = [None if t is None else np.empty(0, self.kind) for t in texts]
+        some = [i for i, t in enumerate(texts) if t]
         if not some:
             return out
-        if len(self.plain) > self.MEMORY:
-            self._clear_plain()
-        words: list[str] = []
-        ends, bases = [0], []
-        for i in some:
-            t = texts[i]
-            words += WORDS.findall(MARK + t.replace(" ", MARK))  # type: ignore[union-attr]
-            ends.append(len(words))
-            bases.append(xxhash.xxh64_intdigest(t.encode(), self.seed))  # type: ignore[union-attr]
-        size = np.diff(ends)
-        ordinal = np.arange(len(words)) - np.repeat(ends[:-1], size)
-        keys = mixed(ordinal.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.repeat(np.array(bases, np.uint64), size))
-        if self.variants:
-            keys = mixed(keys % np.uint64(self.variants) + np.uint64(self.seed))
-        bits = np.concatenate([self.drawn(keys[i : i + 100_000]) for i in range(0, len(keys), 100_000)])
-        at = self.numbered(words)
-        masks = np.frombuffer(self.masks, np.uint32)[at]
-        plain = np.empty(len(self.plain), object)
-        plain[:] = self.plain
-        parts = plain[at]
-        # Words of one character have no candidate at all, and a mask of zero like those that are never taken.
-        slow = np.flatnonzero((bits & masks != 0) | (masks == 0))
-        parts[slow] = [self.remembered(w, k, b) if len(w) <= self.LONG else self.word(w, k) for w, k, b in zip((words[j] for j in slow.tolist()), keys[slow].tolist(), bits[slow].tolist(), strict=True)] or b""
-        found = parts.tolist()
-        for i, a, b in zip(some, ends[:-1], ends[1:], strict=True):
-            out[i] = np.frombuffer(b"".join(found[a:b]), self.kind)
+        chars = np.frombuffer("".join(MARK + texts[i] for i in some).encode("utf-32-le"), np.uint32)  # type: ignore[operator]
+        lengths = np.array([len(texts[i]) + 1 for i in some])  # type: ignore[arg-type]
+        begin = np.cumsum(lengths) - lengths
+        # A mark of the text's own is a word, and a character that is no piece.
+        own = chars == ord(MARK)
+        own[begin] = False
+        mark = chars == ord(" ")
+        mark[begin] = True
+        symbols = self.of_char[np.where(mark, ord(MARK), chars)]
+        symbols[own] = self.symbols + ord(MARK)
+        start = mark | own
+        start[1:] &= ~mark[:-1] | own[1:]
+        start[1:] |= own[:-1]
+        start[begin] = True
+        starts = np.flatnonzero(start)
+        sizes = np.diff(starts, append=len(chars))
+        # The ordinal of a word among those of its text that aren't marks of its own.
+        before = np.cumsum(~own[starts]) - 1
+        first = np.searchsorted(starts, begin)
+        per = np.diff(first, append=len(starts))
+        bases = np.array([xxhash.xxh64_intdigest(texts[i].encode(), self.seed) for i in some], np.uint64)  # type: ignore[union-attr]
+        keys = self.keys(np.repeat(bases, per), np.maximum(before - np.repeat(before[first], per), 0))
+
+        order = np.argsort(np.minimum(sizes, self.LONG + 1).astype(np.uint8), kind="stable")
+        short = int((sizes <= self.LONG).sum())
+        parts: list[np.ndarray] = []
+        counts = np.zeros(len(starts), np.int64)
+        for a in range(0, short, self.ABREAST):
+            which = order[a : min(a + self.ABREAST, short)]
+            got, n = self.spelled(*self.abreast(symbols, starts[which], sizes[which], keys[which]))
+            parts.append(got.astype(self.kind))
+            counts[which] = n
+        for w in order[short:].tolist():
+            word = chars[starts[w] : starts[w] + sizes[w]].tobytes().decode("utf-32-le").replace(" ", MARK)
+            parts.append(np.frombuffer(self.word(word, int(keys[w])), self.kind))
+            counts[w] = len(parts[-1])
+        flat = np.concatenate(parts)
+        ends = np.cumsum(counts)
+        n = counts[order]
+        ids = np.empty(len(flat), self.kind)
+        ids[np.repeat((ends - counts)[order] - (np.cumsum(n) - n), n) + np.arange(len(flat))] = flat
+        for i, part in zip(some, np.split(ids, ends[(first + per - 1)[:-1]]), strict=True):
+            out[i] = part
         return out
 
     def decode(self, ids: np.ndarray | list[int] | None) -> str | None:

@@ -189,15 +189,17 @@ def test_merge_dropout_of_each_occurrence(spark):
             word += b"|" + c.bytes[piece]
         ways |= {*words, word}
     assert len(ways) > 5 and len(plain) >= 1
-    # What is remembered is what the agenda gives, for short words and such as meet more skips than are drawn at once.
+    # The list gives what the heap gives, for short words and such as meet more skips than are drawn at once.
     r = random.Random(12)
     high = sentencepiece_codec.PieceCodec(model, 0.4, 7)
     for w in ["▁" + w for w in WORDS[:20]] + ["▁internationalisation", "▁" + "abcdefgh" * 5]:
         for key in (r.getrandbits(64) for _ in range(60)):
-            assert high.remembered(w, key, int(high.drawn(np.array([key], np.uint64))[0])) == high.packed(high.agenda(w, key))
+            assert high.scan(w, key) == high.agenda(w, key)
     # Texts together give what each gives alone, and words what the agenda gives for their keys.
     texts = [" ".join(r.choice(WORDS + ["x", "", "internationalisation", "ab" * 40]) for _ in range(r.randint(0, 80))) for _ in range(60)] + [None, "", "▁ a", "日本 " * 20]
-    for codec in (high, c, sentencepiece_codec.PieceCodec(model, 0.2, 5, 3)):
+    texts += ["".join(r.choice("aeinorst  ▁éжд中🙂\n\t|09") for _ in range(r.randint(1, 120))) for _ in range(300)]
+    texts += [" ", "▁", "▁▁", " ▁ ▁a", "a▁", " " * 200, "x" * 300, "▁" * 60 + "b" * 70, "b" * 47, "b" * 48]
+    for codec in (high, c, sentencepiece_codec.PieceCodec(model, 0.2, 5, 3), sentencepiece_codec.PieceCodec(model, 0.0), sentencepiece_codec.PieceCodec(model, 1.0)):
         together = codec.encode_many(texts)
         assert [None if x is None else x.tolist() for x in together] == [None if t is None else codec.encode(t).tolist() for t in texts]
         assert all(t is None or codec.decode(x) == t for t, x in zip(texts, together, strict=True) if t)
