@@ -7,9 +7,10 @@ letter group are normalised by the text's length and the language with the
 fewest wins.
 
 Text is folded to lower case; every run of characters that are not letters is
-one space. The whole text is parsed, in blocks of `block` symbols that each begin
-a new phrase (for all languages alike), so blocks run in lock-step as NumPy
-gathers and a long document is no long task.
+one space. The whole text is parsed. Blocks of `block` symbols run in lock-step as NumPy gathers, so
+a long document is no long task: each is parsed as if a phrase began with it, then again
+from the state in which the block before it ends, until the state is that of the first parse (what
+follows is then the same), until no block ends in another state (after some rounds one after the other). So phrases reach over the ends of blocks.
 
 The fit takes a bounded sample of labelled rows: for each label at most `rows` whole texts (those with
 the least hash), of `symbols` symbols together at most, whatever the table's size; the sample is
@@ -36,6 +37,7 @@ from foliospark.llm.worker import held
 SCHEMA = pa.schema([("doc_id", pa.int64()), ("lang_pred", pa.string()), ("score", pa.float64()), ("phrases", pa.int64()), ("n_symbols", pa.int64())])
 _NOT_LETTERS = regex.compile(r"[^\p{L}\p{M}]+")
 _LETTER = regex.compile(r"\p{L}")
+TOGETHER = 3  # rounds in which blocks are parsed again together
 
 
 def folded(text: str | None) -> str:
@@ -100,7 +102,7 @@ class CrossParser:
         self.tables = [SuffixAutomaton(samples[x], self.alphabet).next for x in self.langs]
 
     def phrases(self, texts: list[str], block: int) -> np.ndarray:
-        """[text, language]: phrases of the folded texts, which aren't empty."""
+        """[text, language]: phrases of the folded texts, which aren't empty; the same for any size of the blocks."""
         symbols = [self.lookup[np.frombuffer(t.encode("utf-32-le"), np.uint32)] for t in texts]
         blocks = [-(-len(s) // block) for s in symbols]
         grid = np.full((sum(blocks), block), -1, np.int32)
@@ -111,6 +113,11 @@ class CrossParser:
             at += n
         sizes = (grid >= 0).sum(axis=1)
         order = np.argsort(-sizes, kind="stable")
+        place = np.empty(len(order), np.int64)
+        place[order] = np.arange(len(order))
+        later = np.flatnonzero(owner[1:] == owner[:-1]) + 1
+        before, after = np.full(len(order), -1), np.full(len(order), -1)
+        before[place[later]], after[place[later - 1]] = place[later - 1], place[later]
         grid, owner, sizes = np.ascontiguousarray(grid[order].T), owner[order], sizes[order]
         active = np.searchsorted(-sizes, -np.arange(block), side="left")  # blocks longer than i
         out = np.zeros((len(texts), len(self.langs)), np.int64)
@@ -118,7 +125,8 @@ class CrossParser:
             flat, width = table.ravel(), table.shape[1]
             first = np.where(table[0] < 0, len(table) - 1, table[0]).astype(np.int32)
             state = np.zeros(len(owner), np.int32)
-            count = np.ones(len(owner), np.int64)
+            # After each symbol: the state, and whether it began a phrase.
+            states, began = np.zeros(grid.shape, np.int32), np.zeros(grid.shape, bool)
             for i in range(block):
                 n = active[i]
                 if not n:
@@ -126,12 +134,53 @@ class CrossParser:
                 c = grid[i, :n]
                 to = flat[state[:n].astype(np.int64) * width + c]
                 miss = to < 0
-                if i:
-                    count[:n] += miss
-                state[:n] = np.where(miss, first[c], to)
-            np.add.at(out[:, k], owner, count)
+                began[i, :n] = miss if i else True
+                states[i, :n] = state[:n] = np.where(miss, first[c], to)
+            again = np.flatnonzero(before >= 0)
+            for _ in range(TOGETHER):
+                ended = after[self._entered(again, before, grid, sizes, flat, width, first, states, began)]
+                again = ended[ended >= 0]
+            self._chained(again, before, after, grid, sizes, flat, width, first, states, began)
+            np.add.at(out[:, k], owner, began.sum(axis=0))
         return out
 
+    @staticmethod
+    def _entered(blocks, before, grid, sizes, flat, width, first, states, began) -> np.ndarray:
+        """Parses blocks again from the state in which the one before ends, until it is that of the last parse. Returns the blocks that now end in another."""
+        state = states[-1, before[blocks]]
+        for i in range(len(grid)):
+            there = sizes[blocks] > i
+            blocks, state = blocks[there], state[there]
+            if not len(blocks):
+                break
+            c = grid[i, blocks]
+            to = flat[state.astype(np.int64) * width + c]
+            began[i, blocks] = miss = to < 0
+            state = np.where(miss, first[c], to)
+            other = states[i, blocks] != state
+            states[i, blocks] = state
+            blocks, state = blocks[other], state[other]
+        return blocks
+
+    @staticmethod
+    def _chained(blocks, before, after, grid, sizes, flat, width, first, states, began) -> None:
+        """The same for the few that are left, in the order of the text, one symbol after the other and on through those that follow."""
+        for b in np.sort(blocks).tolist():
+            while b >= 0:
+                state, other = int(states[-1, before[b]]), True
+                was, starts = states[:, b].tolist(), began[:, b].copy()
+                now = []
+                for i, c in enumerate(grid[: sizes[b], b].tolist()):
+                    to = flat.item(state * width + c)
+                    starts[i] = to < 0
+                    state = first.item(c) if to < 0 else to
+                    if state == was[i]:
+                        other = False
+                        break
+                    now.append(state)
+                states[: len(now), b], began[:, b] = now, starts
+                b = int(after[b]) if other else -1
+
 
 def sample(labelled: DataFrame, rows: int, symbols: int) -> dict[str, str]:
     """The bounded sample: from columns text and lang (not null), the text to learn for each language. Texts of over `symbols`

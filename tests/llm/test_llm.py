@@ -83,21 +83,23 @@ def test_language_id(spark, docs, rows, empty):
     assert language_id.sample(few, 10, 60)["x"] in ("a" * 50, "b" * 50)
     # Brute force: greedy longest phrases by substring search.
     sample = {"aa": "abcabd xyz", "bb": "hello world"}
-    p = language_id.CrossParser(sample)
 
-    def phrases(text, known, block):
-        n = 0
-        for b in range(0, len(text), block):
-            part, i = text[b : b + block], 0
-            while i < len(part):
-                j = i + 1
-                while j < len(part) and part[i : j + 1] in known:
-                    j += 1
-                i, n = j, n + 1
+    def phrases(text, known):
+        i = n = 0
+        while i < len(text):
+            j = i + 1
+            while j < len(text) and text[i : j + 1] in known:
+                j += 1
+            i, n = j, n + 1
         return n
 
-    texts = ["abcab hello", "zzzz", "world abd xyz hell", "a"]
-    assert p.phrases(texts, 7).tolist() == [[phrases(t, sample[x], 7) for x in p.langs] for t in texts]
+    # Of whole texts, whatever the blocks in which they are parsed, repeats of one letter among them.
+    r = random.Random(4)
+    sample |= {"cc": "a" * 37, "dd": "".join(r.choice("ab ") for _ in range(300))}
+    p = language_id.CrossParser(sample)
+    texts = ["abcab hello", "zzzz", "world abd xyz hell", "a", "a" * 1000, *("".join(r.choice(x) for _ in range(400)) for x in ("ab ", "abcdelo ", "aq"))]
+    for block in (1, 7, 64, 5000):
+        assert p.phrases(texts, block).tolist() == [[phrases(t, sample[x]) for x in p.langs] for t in texts]
 
 
 def test_url_filter(spark):
