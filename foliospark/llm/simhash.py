@@ -39,7 +39,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from foliospark.llm.columns import id_text
-from foliospark.llm.components import connected_components
+from foliospark.llm.components import Groups, connected_components
 from foliospark.llm.shared_slots import Shared, shared_table, slots_for
 from foliospark.runtime import materialize
 
@@ -159,25 +159,6 @@ def fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     return id_text(df, id_col, text_col).mapInArrow(run, "doc_id long, fp long")
 
 
-class Groups:
-    """Sets that links join; the top of a set is its least number."""
-
-    def __init__(self, n: int):
-        self.top = np.arange(n)
-
-    def link(self, a: np.ndarray, b: np.ndarray) -> None:
-        """Joins the sets of a and b: tops take the least top among their neighbours' until nothing changes."""
-        while True:
-            x, y = self.top[a], self.top[b]
-            on = x != y
-            if not on.any():
-                return
-            a, b, x, y = a[on], b[on], x[on], y[on]
-            np.minimum.at(self.top, np.maximum(x, y), np.minimum(x, y))
-            while (up := self.top[self.top] != self.top).any():
-                self.top[up] = self.top[self.top[up]]
-
-
 def link_bucket(members: np.ndarray, words: np.ndarray, groups: Groups, radius: int) -> None:
     """Joins the sets of a bucket's members whose words differ in at most `radius` bits. Members gather around
     representatives; those of two only meet if these are close enough for a link and their sets still differ."""
