@@ -300,6 +300,22 @@ def test_components(spark):
     assert components.connected_components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
+def test_stars_join_what_links_join(spark):
+    rng = np.random.default_rng(5)
+    links = [(int(max(x)), int(min(x))) for x in rng.integers(-60, 60, (90, 2)) if x[0] != x[1]]
+
+    def tops(pairs):
+        groups = components.Groups(120)
+        for a, b in pairs:
+            groups.link(np.array([a + 60]), np.array([b + 60]))
+        return groups.top.tolist()
+
+    for chunk in (1, 7, 1 << 20):
+        got = [tuple(r) for r in components.stars(spark.createDataFrame(links, "hi long, lo long").coalesce(1), chunk).collect()]
+        assert tops(got) == tops(links) and len(got) <= len(links) and all(a > b for a, b in got)
+    assert components.stars(spark.createDataFrame([], "hi long, lo long")).count() == 0
+
+
 def test_simhash(spark, docs, rows, empty):
     def fingerprint(text):
         words = [w for w in re.split("[\x20\x09-\x0d]+", "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")) if w]
