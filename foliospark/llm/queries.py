@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foliospark.llm import decontamination, imatch, language_id, line_dedup, lm_score, sentencepiece_codec, simhash, suffix_dedup, token_counts, url_filter
+from foliospark.llm import decontamination, divergence, imatch, language_id, line_dedup, lm_score, point_in_time, sentencepiece_codec, sharding, simhash, suffix_dedup, token_counts, url_filter
 from foliospark.runtime import table
 
 TOKEN_LIMIT = 1024
@@ -90,6 +90,19 @@ def op10_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_score.lm_score(table(spark, sf_dir, "documents"), good)
 
 
+def op11_point_in_time(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return point_in_time.point_in_time(*(table(spark, sf_dir, n) for n in ("sales", "clicks", "sale_lines")))
+
+
+def op12_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = sharding.shard_documents(table(spark, sf_dir, "documents"))
+    return out.select(F.col("id").alias("doc_id"), "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "old")
+
+
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.source_divergence(table(spark, sf_dir, "documents"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -98,7 +111,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_token_counts, op2_language_id, op3_url_filter, op4_sentencepiece, op5_decontamination, op6_simhash, op7_imatch, op8_suffix_dedup, op9_line_dedup, op10_lm_score, pipeline)
+    for f in (op1_token_counts, op2_language_id, op3_url_filter, op4_sentencepiece, op5_decontamination, op6_simhash, op7_imatch, op8_suffix_dedup, op9_line_dedup, op10_lm_score, op11_point_in_time, op12_sharding, op13_source_divergence, pipeline)
 }
 
 ORACLES: dict[str, str] = {
@@ -116,4 +129,30 @@ ORACLES: dict[str, str] = {
         SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
                sha256(coalesce(string_agg(line, chr(10) ORDER BY n) FILTER (NOT gone), '')) AS kept_sha256
         FROM marked GROUP BY doc_id""",
+    "op13_source_divergence": r"""
+        WITH docs AS (
+            SELECT row_number() OVER () AS d, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+                   translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text FROM documents
+        ), groups AS (SELECT DISTINCT lang, source FROM docs),
+        words AS (SELECT d, lang, source, unnest(regexp_extract_all(text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM docs),
+        kept AS (SELECT lang, term, count(*) AS n FROM words GROUP BY ALL HAVING count(DISTINCT d) >= 3),
+        langs AS (SELECT lang, count(*) AS v, sum(n) AS total FROM kept GROUP BY lang),
+        own AS (SELECT w.lang, source, term, count(*) AS n FROM words w JOIN kept USING (lang, term) GROUP BY ALL),
+        totals AS (SELECT g.lang, g.source, coalesce(sum(n), 0) AS total FROM groups g LEFT JOIN own USING (lang, source) GROUP BY ALL),
+        shares AS (
+            SELECT t.lang, t.source, k.term, coalesce(o.n, 0) AS n,
+                   (1 + (1000000000::hugeint * (coalesce(o.n, 0) + 1)) // (t.total + l.v))::hugeint AS p,
+                   (1 + (1000000000::hugeint * (k.n + 1)) // (l.total + l.v))::hugeint AS q
+            FROM totals t JOIN kept k USING (lang) JOIN langs l USING (lang) LEFT JOIN own o ON (o.lang, o.source, o.term) = (t.lang, t.source, k.term)
+        ), pairs AS (
+            SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // b.p) AS value
+            FROM shares a JOIN shares b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL
+        ), parts AS (
+            SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0)::bigint AS value
+            FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+            LEFT JOIN pairs p ON (p.lang, p.source, p.item) = (a.lang, a.source, b.source)
+            UNION ALL
+            SELECT lang, source, 'term', term, ((p - q) * (p - q) // q)::bigint FROM shares WHERE n > 0 AND p > q
+        ), ranked AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item COLLATE C)::int AS rank FROM parts)
+        SELECT lang, source, part, item, value, rank FROM ranked WHERE part = 'pair' OR rank <= 200""",
 }
