@@ -137,7 +137,8 @@ def sized(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
 
 def shard_documents(docs: DataFrame, shards: int = SHARDS, n_old: int = OLD) -> DataFrame:
     """id, size, text_crc32, old, shard, slot: rows of n_old shards by the hash of their text, moved to `shards` of equal bytes."""
-    return slots(placed(sized(docs).withColumn("old", F.lit(None).cast("int")), n_old, shards)).select("id", "size", "text_crc32", "old", "shard", "slot")
+    # The texts are read once; all else works on this table of a few longs a row.
+    return slots(placed(materialize(sized(docs), "sized").withColumn("old", F.lit(None).cast("int")), n_old, shards)).select("id", "size", "text_crc32", "old", "shard", "slot")
 
 
 def reshard_table(spark: SparkSession, path: str, shards: int, id_col: str = "doc_id", text_col: str = "text") -> dict[str, list[int]]:
