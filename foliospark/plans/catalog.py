@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from foliospark.functions import text as T
 from foliospark.lexicon import Lexicon
 from foliospark.operators import blocks, bm25, evaluate, evidence, pages, session, vectors
-from foliospark.plans import manual, online, stores  # noqa: F401  their queries are kept by being defined
+from foliospark.plans import manual, online, parsed, stores  # noqa: F401  their queries are kept by being defined
 from foliospark.plans.registry import ORACLES, QUERIES, documents, joined, kept, plain  # noqa: F401
 from foliospark.plans.registry import query as _query
 from foliospark.runtime import table

@@ -61,8 +61,8 @@ def confidence_of(node: dict[str, Any]) -> float | None:
     return sum(below) / len(below) if below else None
 
 
-def items(tree: Any) -> Iterator[dict[str, Any]]:
-    """Nodes with a text that isn't blank, and pictures; a node without a page has that of its ancestor."""
+def items(tree: Any, tables: bool = True) -> Iterator[dict[str, Any]]:
+    """Nodes with a text that isn't blank, and pictures; a node without a page has that of its ancestor. Without tables, what lies below one is left out."""
     stack: list[tuple[Any, str, int | None]] = [(tree, "$", None)]
     while stack:
         node, path, page = stack.pop()
@@ -73,7 +73,7 @@ def items(tree: Any) -> Iterator[dict[str, Any]]:
             text = text.strip() if isinstance(text, str) else ""
             if text or str(label).lower() in PICTURES:
                 yield {"layout_ref": path, "layout_type": str(label or "text"), "page_no": page, "text": text, "bbox": box_of(node), "ocr_confidence": confidence_of(node)}
-            below = [(v, f"{path}.{k}", page) for k, v in node.items()]
+            below = [(v, f"{path}.{k}", page) for k, v in node.items()] if tables or str(label).lower() != "table" else []
         else:
             below = [(v, f"{path}[{i}]", page) for i, v in enumerate(node)] if isinstance(node, list) else []
         stack.extend(x for x in reversed(below) if isinstance(x[0], dict | list))
