@@ -214,7 +214,7 @@ def hybrid_search(spark: SparkSession, d: str) -> DataFrame:
     q = benchmark_queries(spark, d)
     e = table(spark, d, "embeddings").select(F.col("vec_id").alias("id"), "embedding")
     asked = e.join(q.select(F.col("query_id").alias("id")), "id", "left_semi").select(F.col("id").alias("query_id"), "embedding")
-    lexical, vector = bm25.scores(index_of(spark, d), q), vectors.vector_search(e, asked, 20).select("query_id", "id", "score")
+    lexical, vector = bm25.search(index_of(spark, d), q, 20).drop("rank"), vectors.vector_search(e, asked, 20).select("query_id", "id", "score")
     rows = documents(spark, d).select(F.col("doc_id").alias("id"), F.array((F.col("doc_id") % 9).cast("string")).alias("codes"), F.when(F.col("doc_id") % 3 == 0, 0.8).otherwise(0.5).alias("source_priority"))
     return vectors.hybrid(lexical, vector, rows, q.select("query_id", F.array((F.col("query_id") % 9).cast("string")).alias("codes")), 5)
 
