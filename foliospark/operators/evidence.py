@@ -252,3 +252,15 @@ def metadata_filter(literals: dict[str, str], array_columns: tuple[str, ...] = (
         value: object = int(raw) if raw.isdigit() else {"true": True, "false": False}.get(raw.lower(), raw)
         out = out & (F.array_contains(key, raw) if key in array_columns else F.col(key) == F.lit(value))
     return out
+
+
+def displayed(hits: DataFrame, blocks: DataFrame) -> DataFrame:
+    """Each hit (query_id, id, ...) with its page's context and the first image of the block, else of the context, else "".
+
+    blocks: block_id, doc_id, page_no, block_type, text, image_paths. Contexts are found by document and page; a hit without a page has none.
+    Of several contexts of a page that with the last id is taken; hits whose block is missing are left out."""
+    own = blocks.where("block_type <> 'page_context'").select(F.col("block_id").alias("id"), "doc_id", "page_no", F.get("image_paths", F.lit(0)).alias("own_image"))
+    context = blocks.where("block_type = 'page_context' and page_no > 0").groupBy("doc_id", "page_no").agg(F.max_by(F.struct("block_id", "text", "image_paths"), "block_id").alias("c"))
+    rows = hits.join(own, "id").join(context, ["doc_id", "page_no"], "left")
+    image = F.coalesce(F.col("own_image"), F.get(F.col("c.image_paths"), F.lit(0)), F.lit(""))
+    return rows.select(*hits.columns, "doc_id", "page_no", F.col("c.block_id").alias("page_context_id"), F.col("c.text").alias("page_context"), image.alias("page_image"))

@@ -5,13 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foliospark.operators import build
-from foliospark.plans.manual import LEX
-from foliospark.plans.registry import documents, query
+from foliospark.lexicon import Lexicon
+from foliospark.operators import ann, build, evidence, session, vectors
+from foliospark.plans.manual import BLOCKS, LEX, built
+from foliospark.plans.registry import documents, plain, query
 from foliospark.plans.stores import place
 from foliospark.runtime import table
 from foliospark.sources import layout_source, markup
 
+CHAT = Lexicon(supplements=("More:",))
+
 
 @query(r"""WITH l AS (SELECT doc_id, unnest(range(len(string_split(coalesce(text, ''), chr(10))))) AS pos, string_split(coalesce(text, ''), chr(10)) AS a FROM documents),
 t AS (SELECT doc_id, pos, least(pos // 5 + 1, 8) AS page_no, pos % 5 = 4 AS cell, pos % 3 = 0 AS seen, trim(a[pos + 1], {SPACES}) AS text FROM l),
@@ -65,3 +68,81 @@ def html_blocks(spark: SparkSession, d: str) -> DataFrame:
     blocks = build.build_blocks(items, LEX, unicode=False).where("block_type <> 'page_context'")
     texts = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("block_id", "text"))), lambda x: x["text"]), "")
     return blocks.groupBy("doc_id").agg(F.md5(F.regexp_replace(texts, "\\s+", "")).alias("text_md5"))
+
+
+def vector_rows(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "embeddings").select(F.col("vec_id").alias("id"), "embedding")
+
+
+@query("SELECT count(*) AS n_queries, 10 AS k, true AS recall_is_enough, true AS reads_some_lists FROM embeddings WHERE vec_id % 50 = 0")
+def vector_index_recall(spark: SparkSession, d: str) -> DataFrame:
+    """Recall at 10 of the approximate index against exact search, for all ids divisible by 50."""
+    rows = vector_rows(spark, d)
+    asked = rows.where("id % 50 = 0").select(F.col("id").alias("query_id"), "embedding")
+    index = ann.build(rows, place(spark, "vectors"), "table")
+    found = ann.search(ann.opened(spark, index.path, "table"), asked, 10)
+    measured = ann.recall(found, vectors.vector_search(rows, asked, 10))
+    return measured.select(F.col("n").alias("n_queries"), F.lit(10).alias("k"), (F.col("recall") >= 0.9).alias("recall_is_enough"), F.lit(index.quantiser.probes < len(index.quantiser.centers)).alias("reads_some_lists"))
+
+
+@query("SELECT vec_id AS id, round(list_sum(embedding::DOUBLE[]) * CASE WHEN vec_id % 5 = 0 THEN -1 ELSE 1 END, 4) + 0.0 AS total FROM embeddings")
+def vector_index_upsert(spark: SparkSession, d: str) -> DataFrame:
+    """An index of two thirds of the vectors, into which the rest and each fifth vector turned round are put."""
+    rows = vector_rows(spark, d)
+    index = ann.build(rows.where("id % 3 <> 0"), place(spark, "vectors"))
+    turned = F.when(F.col("id") % 5 == 0, F.transform("embedding", lambda x: -x)).otherwise(F.col("embedding"))
+    ann.upsert(index, rows.where("id % 3 = 0 or id % 5 = 0").select("id", turned.alias("embedding")))
+    return index.rows().select("id", (F.round(F.aggregate("embedding", F.lit(0.0), lambda s, x: s + x.cast("double")), 4) + F.lit(0.0)).alias("total"))
+
+
+TURNS = r"""said AS (SELECT conv_id, turn, CASE WHEN turn % 7 = 5 THEN ' /Reset ' WHEN conv_id % 10 = 3 AND turn = 4 THEN 'exit' WHEN turn % 9 = 8 THEN '' WHEN turn % 3 = 1 THEN 'More: ' || t ELSE t END AS x FROM (SELECT conv_id, turn, replace(coalesce(text, ''), 'ß', 'ss') AS t FROM conversations)),
+bare AS (SELECT conv_id, turn, trim(x, E' \n\t\r') AS x FROM said),
+open AS (SELECT *, starts_with(x, 'More:') AS extra, sum((NOT starts_with(x, 'More:'))::INT) OVER w AS part FROM (SELECT *, max((lower(x) IN ('/exit', 'exit', 'quit'))::INT) OVER (PARTITION BY conv_id ORDER BY turn) AS gone FROM bare WHERE x <> '') WHERE gone = 0 WINDOW w AS (PARTITION BY conv_id ORDER BY turn)),
+told AS (SELECT *, first_value(x) OVER w AS base, CASE WHEN extra THEN coalesce(nullif(ltrim(substr(x, 6), '： :'), ''), x) END AS s FROM open WHERE part > 0 WINDOW w AS (PARTITION BY conv_id, part ORDER BY turn)),
+asked AS (SELECT conv_id, turn, base, list_filter(list(s) OVER (PARTITION BY conv_id, part ORDER BY turn), lambda e: e IS NOT NULL) AS e FROM told WHERE lower(base) <> '/reset')
+SELECT conv_id, turn, md5(CASE WHEN len(e) = 0 THEN base ELSE base || chr(10) || chr(10) || 'More' || chr(10) || array_to_string(list_transform(e, lambda i: '- ' || i), chr(10)) END) AS query_md5, len(e) AS n_supplements FROM asked"""
+
+
+def chat(spark: SparkSession, d: str) -> DataFrame:
+    """Conversations with commands, supplements and blank turns among them."""
+    t, turn = plain(), F.col("turn")
+    said = F.when(turn % 7 == 5, " /Reset ").when((F.col("conv_id") % 10 == 3) & (turn == 4), "exit").when(turn % 9 == 8, "").when(turn % 3 == 1, F.concat(F.lit("More: "), t)).otherwise(t)
+    return table(spark, d, "conversations").select("conv_id", "turn", said.alias("text"))
+
+
+@query(f"WITH {TURNS}")
+def session_turns(spark: SparkSession, d: str) -> DataFrame:
+    return session.turn_queries(chat(spark, d), CHAT, "More").select("conv_id", "turn", F.md5("query").alias("query_md5"), "n_supplements")
+
+
+@query(f"WITH {TURNS}")
+def session_stream(spark: SparkSession, d: str) -> DataFrame:
+    """The same as a stream in three portions of turns, each handled by a new start of the query that goes on from the state before it."""
+    top = place(spark, "chat")
+    turns = chat(spark, d).withColumn("conv_id", F.col("conv_id").cast("string"))
+
+    def keep(batch: DataFrame, n: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{top}/out/batch={n}")
+
+    for portion in ("turn < 3", "turn >= 3 and turn < 6", "turn >= 6"):
+        turns.where(portion).write.mode("append").parquet(f"{top}/in")
+        stream = session.stream_queries(spark.readStream.schema(turns.schema).parquet(f"{top}/in"), CHAT, "More")
+        stream.writeStream.foreachBatch(keep).option("checkpointLocation", f"{top}/state").trigger(availableNow=True).start().awaitTermination()
+    kind = table(spark, d, "conversations").schema["conv_id"].dataType
+    out = spark.read.schema("conv_id string, turn long, query string, n_supplements long").parquet(*(f"{top}/out/batch={n}" for n in range(3)))
+    return out.select(F.col("conv_id").cast(kind).alias("conv_id"), "turn", F.md5("query").alias("query_md5"), "n_supplements")
+
+
+@query(f"""WITH {BLOCKS}, hits AS (SELECT doc_id, doc_id || '_b' || lpad(pos_no::VARCHAR, 6, '0') AS id, page_no, pos_no, typ FROM own),
+contexts AS (SELECT doc_id, page_no FROM own WHERE page_no > 0 AND page_no % 5 <> 0 GROUP BY ALL HAVING count(*) FILTER (body <> '') > 0)
+SELECT h.doc_id AS query_id, id, h.page_no, c.page_no IS NOT NULL AS has_context,
+CASE WHEN h.page_no > 0 AND pos_no % 3 <> 0 THEN printf('data/images/%s/page_%04d.png', h.doc_id::VARCHAR, h.page_no) WHEN c.page_no % 2 = 1 THEN printf('data/images/%s/page_%04d.png', h.doc_id::VARCHAR, h.page_no) ELSE '' END AS page_image
+FROM hits h LEFT JOIN contexts c USING (doc_id, page_no)""")
+def displayed_hits(spark: SparkSession, d: str) -> DataFrame:
+    """All blocks as hits; each third has no image, contexts of even pages have none, and each fifth page has no context."""
+    blocks = built(spark, d).where("block_type <> 'page_context' or page_no % 5 <> 0")
+    bare = F.when(F.col("block_type") == "page_context", F.col("page_no") % 2 == 0).otherwise(F.col("pos") % 3 == 0)
+    blocks = blocks.withColumn("image_paths", F.when(bare, F.array().cast("array<string>")).otherwise(F.col("image_paths")))
+    hits = blocks.where("block_type <> 'page_context'").select(F.col("doc_id").alias("query_id"), F.col("block_id").alias("id"))
+    out = evidence.displayed(hits, blocks)
+    return out.select("query_id", "id", "page_no", F.col("page_context_id").isNotNull().alias("has_context"), "page_image")

@@ -71,3 +71,9 @@ def shuffle_partitions(spark: SparkSession) -> int:
 def fmt_double(c, digits: int = 6):
     """Round for comparisons; minus zero becomes zero."""
     return F.round(c, digits) + F.lit(0.0)
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    """Deletes a folder in any file system that Spark can reach; no error if there is none."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
