@@ -93,7 +93,7 @@ def contains_any(c: Column, words: tuple[str, ...]) -> Column:
 
 def is_chapter(t: Column) -> Column:
     number = F.regexp_extract(t, r"^(\d+)\s+.+", 1)
-    return ((number != "") & (F.expr("true") & (F.length(F.ltrim(number, F.lit("0"))) >= 2))) | t.rlike(r"^附录\s*[A-Z]?\s*.+") | t.rlike(r"^第\s*\d+\s*章\s*.+")
+    return ((number != "") & (F.length(F.ltrim(number, F.lit("0"))) >= 2)) | t.rlike(r"^附录\s*[A-Z]?\s*.+") | t.rlike(r"^第\s*\d+\s*章\s*.+")
 
 
 def is_section(t: Column) -> Column:
