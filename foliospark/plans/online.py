@@ -115,7 +115,11 @@ def all_tokens(c: Column) -> Column:
 
 def embedded(c: Column) -> Column:
     """A stand-in for an embedding service: how many tokens fall into each of DIM slots by length and first letter."""
-    slots = F.transform(all_tokens(c), lambda x: F.pmod(F.length(x) * 7 + F.ascii(x), F.lit(DIM)))
+    return slot_counts(all_tokens(c))
+
+
+def slot_counts(tokens: Column) -> Column:
+    slots = F.transform(tokens, lambda x: F.pmod(F.length(x) * 7 + F.ascii(x), F.lit(DIM)))
     return F.transform(F.sequence(F.lit(0), F.lit(DIM - 1)), lambda i: F.size(F.filter(slots, lambda s: s == i)).cast("double"))
 
 
@@ -131,7 +135,9 @@ def block_index(spark: SparkSession, d: str) -> tuple[DataFrame, bm25.Index, Dat
 def _block_index(spark: SparkSession, d: str) -> tuple[DataFrame, bm25.Index, DataFrame]:
     live = built(spark, d).where("block_type <> 'page_context'")
     text = T.block_search_text(F.col("title"), F.col("codes"), F.col("section_path"), F.col("searchable_text"), F.col("text"))
-    rows = materialize(live.withColumn("search_canonical", T.canonical(text, LEX, unicode=False)).withColumn("tokens", T.tokens(F.col("search_canonical"))).withColumn("embedding", embedded(F.col("search_canonical"))), "searched-blocks")
+    rows = materialize(live.withColumn("search_canonical", T.canonical(text, LEX, unicode=False)).withColumn("tokens", T.tokens(F.col("search_canonical"))), "searched-blocks")
+    # Derived when read, so that what needs no vectors makes none.
+    rows = rows.withColumn("embedding", slot_counts(F.col("tokens")))
     return rows, bm25.build(rows.select(F.col("block_id").alias("id"), "tokens")), rows.select(F.col("block_id").alias("id"), "embedding")
 
 
