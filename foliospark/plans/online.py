@@ -40,7 +40,7 @@ from foliospark.lexicon import (
 )
 from foliospark.operators import bm25, evaluate, evidence, kb, pages, reasoning, vectors
 from foliospark.plans.manual import ADJACENT, EDGES, KB, built, canon, hops, manual_kb
-from foliospark.plans.registry import documents, joined, kept, plain, query
+from foliospark.plans.registry import ORACLES, documents, joined, kept, plain, query
 from foliospark.runtime import materialize, table
 
 K = 5
@@ -491,10 +491,14 @@ def hybrid_blocks(rows: DataFrame, index: bm25.Index, embeddings: DataFrame, ask
 @query(f"WITH {ARMS}, {hybrid_sql(80, 20, 0.15, 0.05)}, rel AS (SELECT h.query_id, h.id, round(CASE WHEN len(q.ts) = 0 THEN 0 ELSE len(list_intersect(list_distinct(q.ts), list_distinct(b.t))) / len(list_distinct(q.ts)) END, 6) AS score FROM hyb h JOIN asks q USING (query_id) JOIN btoks b ON b.id = h.id) SELECT query_id, id, score, rank FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, id) AS rank FROM rel) WHERE rank <= 5")
 def hybrid_rerank(spark: SparkSession, d: str) -> DataFrame:
     rows, index, embeddings, asked = arms(spark, d)
-    found = hybrid_blocks(rows, index, embeddings, asked, max(4 * K, 20))
+    return reranked_blocks(rows, index, embeddings, asked, K)
+
+
+def reranked_blocks(rows: DataFrame, index: bm25.Index, embeddings: DataFrame, asked: DataFrame, k: int) -> DataFrame:
+    found = hybrid_blocks(rows, index, embeddings, asked, max(4 * k, 20))
     both = found.join(asked.select("query_id", F.col("tokens").alias("qt")), "query_id").join(rows.select(F.col("block_id").alias("id"), "tokens"), "id")
     relevance = both.select("query_id", "id", F.round(evidence.lexical_relevance(F.col("qt"), F.col("tokens")), 6).alias("relevance"))
-    return vectors.reranked(found, relevance, K)
+    return vectors.reranked(found, relevance, k)
 
 
 @query(f"""WITH {ARMS}, pairs AS (SELECT c.query_id, c.id, round(10 * list_has_any(f.codes, a.codes)::INT + 0.30 * coalesce(l.s / (m.top + 1e-9), 0) + 0.20 * round((c + 1) / 2, 6) + 0.08 * prior + 0.02 * CASE WHEN conf IS NULL THEN 1.0 ELSE 0.95 + 0.05 * least(greatest(conf, 0), 1) END, 6) AS score
@@ -549,9 +553,43 @@ def kb_search(spark: SparkSession, d: str) -> DataFrame:
 @query(f"WITH {ROW_ARMS}, {hybrid_sql(20, 5, 0.2, 0.0)} SELECT query_id, id, score, rank FROM hyb")
 def kb_hybrid(spark: SparkSession, d: str) -> DataFrame:
     rows, index, asked = row_arms(spark, d)
-    lexical = bm25.search(index, asked, 20).select("query_id", "id", "score")
-    vector = vectors.vector_search(rows.select("id", "embedding"), asked, 20).select("query_id", "id", "score")
-    return vectors.hybrid_rows(lexical, vector, rows, asked, K)
+    return hybrid_kb(rows, index, asked, K)
+
+
+def hybrid_kb(rows: DataFrame, index: bm25.Index, asked: DataFrame, k: int) -> DataFrame:
+    n = max(4 * k, 20)
+    lexical = bm25.search(index, asked, n).select("query_id", "id", "score")
+    vector = vectors.vector_search(rows.select("id", "embedding"), asked, n).select("query_id", "id", "score")
+    return vectors.hybrid_rows(lexical, vector, rows, asked, k)
+
+
+def named_retrievers(spark: SparkSession, d: str) -> vectors.Retrievers:
+    """Every way to search blocks or knowledge rows, by the name that a user asks for."""
+    blocks, index, embeddings, _ = arms(spark, d)
+    rows, kb_index, _ = row_arms(spark, d)
+    return vectors.Retrievers(
+        bm25=lambda q, k: bm25.search(index, q, k),
+        vector=lambda q, k: vectors.vector_search(embeddings, q, k, "inverse_distance"),
+        hybrid=lambda q, k: hybrid_blocks(blocks, index, embeddings, q, k),
+        hybrid_rerank=lambda q, k: reranked_blocks(blocks, index, embeddings, q, k),
+        kb_bm25=lambda q, k: bm25.search(kb_index, q, k),
+        kb_hybrid=lambda q, k: hybrid_kb(rows, kb_index, q, k),
+    )
+
+
+def by_name(*found: str) -> str:
+    return " UNION ALL ".join(f"SELECT '{name}' AS retriever, query_id, id, score, rank FROM ({ORACLES[sql]})" for name, sql in (x.split("=") for x in found))
+
+
+@query(by_name("hybrid_rerank=hybrid_rerank", "kb_bm25=kb_search", "kb_hybrid=kb_hybrid"))
+def retrievers_by_name(spark: SparkSession, d: str) -> DataFrame:
+    """The retrievers that retriever_rates doesn't rate, each asked by its name."""
+    named, asked = named_retrievers(spark, d), arms(spark, d)[3]
+    out = None
+    for name in ("hybrid_rerank", "kb_bm25", "kb_hybrid"):
+        part = named.search(asked, name, K).select(F.lit(name).alias("retriever"), "query_id", "id", "score", "rank")
+        out = part if out is None else out.unionByName(part)
+    return out
 
 
 RATES = f"""{ARMS}, {CASES}, {hybrid_sql(20, 5, 0.15, 0.05)}, found AS (SELECT 'bm25' AS retriever, query_id, id, s AS score, rank FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY s DESC, id) AS rank FROM lex0 WHERE s > 0) WHERE rank <= 5
@@ -563,14 +601,10 @@ hits AS (SELECT retriever, query_id, {hit(5)} FROM joined GROUP BY 1, 2)"""
 @query(f"""WITH {RATES} SELECT retriever, h.n, code_rate, page_rate, word_rate, hit_rate, avg_top1, min_score, max_score, avg_score FROM (SELECT retriever, count(*) AS n, round(avg(coalesce(code_5, 0)), 6) AS code_rate, round(avg(coalesce(page_5, 0)), 6) AS page_rate, round(avg(coalesce(word_5, 0)), 6) AS word_rate, round(avg((coalesce(greatest(code_5, page_5, word_5), 0) > 0)::INT), 6) AS hit_rate FROM hits GROUP BY 1) h
 JOIN (SELECT retriever, round(avg(score) FILTER (rank = 1), 6) AS avg_top1, min(score) AS min_score, max(score) AS max_score, round(avg(score), 6) AS avg_score FROM found GROUP BY 1) s USING (retriever)""")
 def retriever_rates(spark: SparkSession, d: str) -> DataFrame:
-    rows, index, embeddings, asked = arms(spark, d)
-    named = vectors.Retrievers(
-        bm25=lambda q, k: bm25.search(index, q, k),
-        vector=lambda q, k: vectors.vector_search(embeddings, q, k, "inverse_distance"),
-        hybrid=lambda q, k: hybrid_blocks(rows, index, embeddings, q, k),
-    )
+    rows, _, _, asked = arms(spark, d)
+    named = named_retrievers(spark, d)
     out = None
-    for name in named.named:
+    for name in ("bm25", "vector", "hybrid"):
         part = named.search(asked, name, K).select(F.lit(name).alias("retriever"), "query_id", "id", "score", "rank")
         out = part if out is None else out.union(part)
     facts = rows.select(F.col("block_id").alias("id"), F.col("search_canonical").alias("text"), "codes", "page_no")
