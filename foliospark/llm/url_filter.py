@@ -2,13 +2,15 @@
 
 Features of a url: lengths, depth of the path, labels of the host, share of digits,
 entropy of its characters, parameters, hyphens, and how often urls with its suffix
-(last label of the host; file extension) are blocked among the labelled ones. Values
-are put into at most `bins` bins by quantiles of the labelled urls.
+(last label of the host; its last two labels; file extension) or its first part of the path
+are blocked among the labelled ones. Values are put into at most `bins` bins by quantiles of the labelled urls.
 
 Trees are grown level by level: for each leaf, feature and bin one distributed
 aggregation over all labelled urls sums gradient and curvature of the logistic
-loss; the driver sees these sums only (leaves x features x bins rows) and picks the
-best splits. The model is a Column expression, so scoring is part of the scan.
+loss; the driver sees these sums only (leaves x features x bins rows), picks the
+best splits and takes the values of the leaves from the sums of the last level. While trees
+grow, they are literals of one and the same expression, so that Spark compiles it once. The
+finished model is a Column expression of its own, so scoring is part of the scan.
 
 Rules (host, path, verdict) label urls and always win where they fit: a rule fits its
 host and all subdomains if the path starts with the rule's; the longest one counts.
@@ -21,6 +23,7 @@ an empty result; other columns are neither read nor kept.
 
 from __future__ import annotations
 
+import json
 import math
 
 from pyspark.sql import Column, DataFrame
@@ -30,7 +33,8 @@ from foliospark.runtime import materialize
 
 Rule = tuple[str, str, str]
 NUMERIC = ("url_length", "path_length", "depth", "labels", "digit_ratio", "entropy", "parameters", "hyphens")
-FEATURES = (*NUMERIC, "tld_rate", "extension_rate")
+SUFFIXES = ("tld", "site", "segment", "extension")
+FEATURES = (*NUMERIC, *(f"{s}_rate" for s in SUFFIXES))
 
 
 def ascii_lower(c: Column) -> Column:
@@ -77,6 +81,8 @@ def features(df: DataFrame) -> DataFrame:
         .withColumn("parameters", F.size(F.filter(F.split("query_", "&"), lambda x: x != "")).cast("double"))
         .withColumn("hyphens", (F.length("host") - F.length(F.replace(F.col("host"), F.lit("-"), F.lit("")))).cast("double"))
         .withColumn("tld", F.substring_index("host", ".", -1))
+        .withColumn("site", F.substring_index("host", ".", -2))
+        .withColumn("segment", F.regexp_extract("path", "^/([^/]*)", 1))
         .withColumn("extension", F.regexp_extract("path", r"\.([A-Za-z0-9]{1,8})$", 1))
         .drop("whole_", "query_")
     )
@@ -146,8 +152,11 @@ class Trees:
         return df.withColumn("p", 1 / (1 + F.exp(-self.margin()))).drop(*(f"b{i}" for i in range(len(FEATURES))))
 
 
-def _best(rows: list[tuple[int, float, float]], decay: float) -> tuple[float, int] | None:
-    """(gain, highest bin to the left) of the best split of one leaf by one feature; rows: bin, gradient, curvature."""
+Sums = list[tuple[int, float, float]]  # bin, gradient, curvature
+
+
+def _best(rows: Sums, decay: float) -> tuple[float, int] | None:
+    """(gain, highest bin to the left) of the best split of one leaf by one feature."""
     rows = sorted(rows)
     g, h = sum(r[1] for r in rows), sum(r[2] for r in rows)
     left_g = left_h = 0.0
@@ -161,6 +170,27 @@ def _best(rows: list[tuple[int, float, float]], decay: float) -> tuple[float, in
     return best
 
 
+def _total(rows: Sums) -> tuple[float, float]:
+    return sum(r[1] for r in rows), sum(r[2] for r in rows)
+
+
+def _table(splits: dict[int, tuple[int, int]], values: dict[int, float], nodes: int) -> dict[str, list]:
+    """A tree as lists: for each node its feature (-1: none), its highest bin to the left and its value."""
+    f, b = ([splits.get(i, (-1, 0))[j] for i in range(nodes)] for j in (0, 1))
+    return {"f": f, "b": b, "v": [float(values.get(i, 0.0)) for i in range(nodes)]}
+
+
+def _literal(tables: list[dict[str, list]]) -> Column:
+    """Trees as one literal, which Spark folds before it compiles the query."""
+    return F.from_json(F.lit(json.dumps(tables)), "array<struct<f: array<int>, b: array<int>, v: array<double>>>")
+
+
+def _node(tree: Column, depth: int) -> Column:
+    """The node of a tree (of _table) that a row with the bins `bins` gets to."""
+    right = lambda node: (F.get("bins", F.get(tree["f"], node)) > F.get(tree["b"], node)).cast("int")
+    return F.aggregate(F.sequence(F.lit(1), F.lit(depth)), F.lit(1), lambda node, _: F.when(F.get(tree["f"], node) < 0, node).otherwise(2 * node + right(node)))
+
+
 def fit(labelled: DataFrame, trees: int = 16, depth: int = 3, bins: int = 16, rate: float = 0.4, decay: float = 1.0) -> Trees:
     """From rows with the features and y (1: block), all of which are used."""
     names = [*(F.percentile_approx(f, [i / bins for i in range(1, bins)], 10_000).alias(f) for f in FEATURES)]
@@ -169,30 +199,37 @@ def fit(labelled: DataFrame, trees: int = 16, depth: int = 3, bins: int = 16, ra
     if s in (0, n):
         return Trees([[] for _ in FEATURES], math.inf if n and s else -math.inf)
     model = Trees([sorted(set(stats[f])) for f in FEATURES], math.log(s / (n - s)))
-    binned = labelled.groupBy("y", *(model.bin(i).alias(f"b{i}") for i in range(len(FEATURES)))).agg(F.count(F.lit(1)).alias("w"))
+    binned = labelled.select("y", F.array(*(model.bin(i) for i in range(len(FEATURES)))).alias("bins")).groupBy("y", "bins").agg(F.count(F.lit(1)).alias("w"))
     binned = materialize(binned, "binned-urls")
-    stack = "stack({}, {}) as (feature, bin)".format(len(FEATURES), ", ".join(f"{i}, b{i}" for i in range(len(FEATURES))))
-    for _ in range(trees):
+    nodes = 2 << depth
+    grown = [_table({}, {}, nodes)] * trees  # trees to come add nothing
+    for t in range(trees):
         splits: dict[int, tuple[int, int]] = {}
-        p = 1 / (1 + F.exp(-model.margin()))
-        for level in range(depth + 1):
-            last = level == depth
-            rows = binned.withColumn("g", (F.col("y") - p) * F.col("w")).withColumn("h", p * (1 - p) * F.col("w")).withColumn("leaf", model.leaf(splits))
-            if last:
-                sums = {r["leaf"]: rate * r["g"] / (r["h"] + decay) for r in rows.groupBy("leaf").agg(F.sum("g").alias("g"), F.sum("h").alias("h")).collect()}
-                model.trees.append((splits, {k: round(v, 9) for k, v in sums.items()}))
-                break
-            found: dict[int, dict[int, list]] = {}
-            for r in rows.selectExpr("leaf", "g", "h", stack).groupBy("leaf", "feature", "bin").agg(F.sum("g").alias("g"), F.sum("h").alias("h")).collect():
-                if r["leaf"] >= 1 << level:
-                    found.setdefault(r["leaf"], {}).setdefault(r["feature"], []).append((r["bin"], r["g"], r["h"]))
+        leaves: dict[int, tuple[float, float]] = {}
+        margin = F.aggregate(_literal(grown), F.lit(model.prior), lambda m, tree: m + F.get(tree["v"], _node(tree, depth)))
+        scored = binned.withColumn("p", 1 / (1 + F.exp(-margin)))
+        for level in range(depth):
+            leaf = _node(F.get(_literal([_table(splits, {}, nodes)]), F.lit(0)), depth)
+            rows = scored.select(leaf.alias("leaf"), ((F.col("y") - F.col("p")) * F.col("w")).alias("g"), (F.col("p") * (1 - F.col("p")) * F.col("w")).alias("h"), F.posexplode("bins").alias("feature", "bin"))
+            found: dict[int, dict[int, Sums]] = {}
+            for r in rows.groupBy("leaf", "feature", "bin").agg(F.sum("g").alias("g"), F.sum("h").alias("h")).collect():
+                found.setdefault(r["leaf"], {}).setdefault(r["feature"], []).append((r["bin"], r["g"], r["h"]))
+            parted = False
             for leaf, by_feature in sorted(found.items()):
-                tried = [(got[0], -f, got[1]) for f, x in by_feature.items() if (got := _best(x, decay))]
+                leaves[leaf] = _total(sorted(by_feature[0]))
+                tried = [(got[0], -f, got[1]) for f, x in by_feature.items() if (got := _best(x, decay))] if leaf >= 1 << level else []
                 if tried:
                     _, f, b = max(tried)
-                    splits[leaf] = -f, b
-            if not splits:
-                return model
+                    splits[leaf], parted = (-f, b), True
+                    sides = sorted(by_feature[-f])
+                    leaves[2 * leaf], leaves[2 * leaf + 1] = _total([x for x in sides if x[0] <= b]), _total([x for x in sides if x[0] > b])
+            if not parted:
+                break
+        if not splits:
+            return model
+        values = {k: round(rate * g / (h + decay), 9) for k, (g, h) in leaves.items() if k not in splits}
+        model.trees.append((splits, values))
+        grown[t] = _table(splits, values, nodes)
     return model
 
 
@@ -206,7 +243,7 @@ def judged(df: DataFrame, rules: list[Rule], id_col: str = "page_id", url_col: s
 def learned(rows: DataFrame, trees: int, depth: int) -> tuple[Trees, list[tuple[str, DataFrame]]]:
     """The model and the suffixes' rates, from the rows with a label."""
     labelled = rows.where("said is not null").withColumn("y", (F.col("said") == "block").cast("int"))
-    rates = [(s, materialize(suffix_rates(labelled, s), f"rates-{s}")) for s in ("tld", "extension")]
+    rates = [(s, materialize(suffix_rates(labelled, s), f"rates-{s}")) for s in SUFFIXES]
     return fit(with_rates(labelled, rates), trees, depth), rates
 
 
