@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 from foliospark.functions.text import normalize_code
-from foliospark.operators.bm25 import Index, scores, seen, top_k
+from foliospark.operators.bm25 import top_k
 
 
 def dot(a: Column, b: Column) -> Column:
@@ -22,19 +22,19 @@ def cosine(a: Column, b: Column) -> Column:
     return dot(a, b) / ((F.sqrt(dot(a, a)) + 1e-9) * (F.sqrt(dot(b, b)) + 1e-9))
 
 
-SCALES = {"cosine": lambda c: c, "shifted": lambda c: (c + 1) / 2, "inverse_distance": lambda c: 1 / (1 + (1 - c))}
-
-
 BLOCK = 4096  # queries broadcast at once
 
 
-def vector_scores(rows: DataFrame, queries: DataFrame, scale: str = "cosine") -> DataFrame:
-    """query_id, id, score of all rows for a block of queries; rows: id, embedding; queries: query_id, embedding."""
-    unit = lambda c: F.sqrt(dot(F.col(c), F.col(c))) + 1e-9
-    r = rows.select("id", F.col("embedding").alias("x"), unit("embedding").alias("nx"))
-    q = queries.select("query_id", F.col("embedding").alias("y"), unit("embedding").alias("ny"))
-    c = dot(F.col("x"), F.col("y")) / (F.col("nx") * F.col("ny"))
-    return r.join(F.broadcast(q)).select("query_id", "id", SCALES[scale](c).alias("score"))
+def best_by_column(ids: list, score: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Row and column of the n best entries of each column of score, best first; ties by id."""
+    n = min(n, len(ids))
+    order = np.unique(np.array(ids, object if isinstance(ids[0], str) else None), return_inverse=True)[1]
+    least = np.partition(score, len(ids) - n, axis=0)[len(ids) - n]
+    at, column = np.nonzero(score >= least)
+    by = np.lexsort((order[at], -score[at, column], column))
+    at, column = at[by], column[by]
+    place = np.arange(len(column)) - np.searchsorted(column, column)
+    return at[place < n], column[place < n]
 
 
 def best_of_rows(rows: DataFrame, queries: DataFrame, k: int, scale: str = "cosine") -> DataFrame:
@@ -53,15 +53,7 @@ def best_of_rows(rows: DataFrame, queries: DataFrame, k: int, scale: str = "cosi
             x = x / (np.sqrt((x * x).sum(axis=1)) + 1e-9)[:, None]
             c = x @ q.T
             score = np.round(c if scale == "cosine" else (c + 1) / 2 if scale == "shifted" else 1 / (1 + (1 - c)), 6)
-            ids = batch["id"].to_pylist()
-            order = np.unique(np.array(ids, object if isinstance(ids[0], str) else None), return_inverse=True)[1]
-            n = min(k, len(ids))
-            least = np.partition(score, len(ids) - n, axis=0)[len(ids) - n]
-            at, qn = np.nonzero(score >= least)
-            by = np.lexsort((order[at], -score[at, qn], qn))
-            at, qn = at[by], qn[by]
-            place = np.arange(len(qn)) - np.searchsorted(qn, qn)
-            at, qn = at[place < n], qn[place < n]
+            at, qn = best_by_column(batch["id"].to_pylist(), score, k)
             yield pa.RecordBatch.from_arrays([pa.array(qn, pa.int64()), batch["id"].take(pa.array(at)), pa.array(score[at, qn])], names=["qn", "id", "score"])
 
     return rows.select("id", "embedding").where("embedding is not null").mapInArrow(run, f"qn long, id {kind}, score double")
@@ -137,20 +129,6 @@ def hybrid_rows(lexical: DataFrame, vector: DataFrame, kb: DataFrame, queries: D
     return hybrid(lexical, vector, rows, queries, k, 0.20, 0.0)
 
 
-def hybrid_legacy(index: Index, queries: DataFrame, rows: DataFrame, k: int) -> DataFrame:
-    """All rows: 10 x exact + 0.30 x bm25 / max + 0.20 x (cosine + 1) / 2 + 0.08 x priority + 0.02 x recognition.
-    rows: id, codes, source_priority, ocr_confidence, embedding; queries: query_id, tokens, codes, embedding. Every row has a
-    vector score, so all rows meet a block of the stated queries."""
-    raw = scores(index, queries)
-    top = raw.groupBy("query_id").agg(F.max("score").alias("top"))
-    pairs = vector_scores(rows, queries, "shifted").withColumnRenamed("score", "vector").join(rows.drop("embedding"), "id")
-    pairs = pairs.join(queries.select("query_id", F.col("codes").alias("query_codes")), "query_id").join(top, "query_id", "left").join(raw, ["query_id", "id"], "left")
-    exact = F.arrays_overlap("codes", "query_codes").cast("double")
-    bm25 = F.when(F.col("top") > 0, F.coalesce("score", F.lit(0.0)) / (F.col("top") + 1e-9)).otherwise(0.0)
-    score = 10 * exact + 0.30 * bm25 + 0.20 * F.round("vector", 6) + 0.08 * F.col("source_priority") + 0.02 * seen(F.col("ocr_confidence"))
-    return top_k(pairs.select("query_id", "id", score.alias("score")), k, keep_zero=True)
-
-
 def reranked(found: DataFrame, relevance: DataFrame, k: int) -> DataFrame:
     """found (query_id, id) in the order of a scorer's relevance (query_id, id, relevance); ties by id."""
     rows = found.select("query_id", "id").join(relevance, ["query_id", "id"]).withColumnRenamed("relevance", "score")

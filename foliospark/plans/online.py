@@ -38,7 +38,7 @@ from foliospark.lexicon import (
     WHY_SUPPORT,
     Lexicon,
 )
-from foliospark.operators import bm25, evaluate, evidence, kb, pages, reasoning, vectors
+from foliospark.operators import bm25, evaluate, evidence, kb, pages, reasoning, threshold, vectors
 from foliospark.plans.manual import ADJACENT, EDGES, KB, built, canon, hops, manual_kb
 from foliospark.plans.registry import ORACLES, documents, joined, kept, plain, query
 from foliospark.runtime import materialize, table
@@ -506,7 +506,7 @@ FROM cosine c JOIN facts f USING (id) JOIN asks a USING (query_id) LEFT JOIN lex
 def hybrid_legacy(spark: SparkSession, d: str) -> DataFrame:
     rows, index, _, asked = arms(spark, d)
     facts = rows.select(F.col("block_id").alias("id"), "codes", "source_priority", "ocr_confidence", "embedding")
-    return vectors.hybrid_legacy(index, asked, facts, K).select("query_id", "id", "score", "rank")
+    return threshold.hybrid_legacy(index, asked, facts, K).select("query_id", "id", "score", "rank")
 
 
 @query(f"WITH {ARMS} SELECT query_id, id, s AS score, rank FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY s DESC, id) AS rank FROM vec0 JOIN (SELECT block_id AS id FROM blocks WHERE typ = 'procedure' AND array_to_string(images, ' | ') LIKE '%page_0001.png') USING (id)) WHERE rank <= 5")
