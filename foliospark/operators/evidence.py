@@ -159,7 +159,7 @@ def graph_seeds(parsed: DataFrame, arms: list[DataFrame], most: int = 20) -> Dat
     return last.join(limits, "query_id")
 
 
-def retrieve(queries: DataFrame, index: bm25.Index, vectors: DataFrame, kb: DataFrame, adjacent: DataFrame, tokens: Callable[[Column], Column], embedded: Callable[[Column], Column], k: int = 5, lex: Lexicon = DEFAULT, unicode: bool = True) -> tuple[DataFrame, DataFrame, DataFrame]:
+def retrieve(queries: DataFrame, index: bm25.Index, vectors: DataFrame, kb: DataFrame, links: K.Links, tokens: Callable[[Column], Column], embedded: Callable[[Column], Column], k: int = 5, lex: Lexicon = DEFAULT, unicode: bool = True) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(parsed queries, merged candidates, the best k after ranking again) of queries (query_id, raw_query).
 
     index and vectors are over blocks; kb: kb_id, block_id, part_no, kb_type, section_path, codes, entities, text,
@@ -172,7 +172,7 @@ def retrieve(queries: DataFrame, index: bm25.Index, vectors: DataFrame, kb: Data
     asked = parsed.join(skips_vector(parsed, entity, lexical), "query_id", "left_anti")
     vector = materialize(vector_hits(asked, vectors, kb, embedded), "vector-hits")
     seeds = materialize(graph_seeds(parsed, [entity, lexical, vector]), "seeds")
-    near = K.expand(adjacent, seeds, F.col("hops"), F.col("max_expand")).join(parsed.select("query_id", "graph_limit"), "query_id").where("rank <= graph_limit")
+    near = K.expand(links, seeds, F.col("hops"), F.col("max_expand")).join(parsed.select("query_id", "graph_limit"), "query_id").where("rank <= graph_limit")
     nil = F.lit(None).cast("int")
     arm = lambda df, s, d=nil: df.select("query_id", "id", F.lit(s).alias("source"), "score", d.alias("distance"))
     found = arm(entity, "entity").union(arm(lexical, "bm25")).union(arm(vector, "vector")).union(arm(near, "graph", F.col("distance")))

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from foliospark.functions import text as T
 from foliospark.lexicon import DEFAULT, EDGE_WEIGHTS, Lexicon
 from foliospark.operators import blocks as B
+from foliospark.runtime import shared_dir, shuffle_partitions
 
 KEPT = ("block_type", "block_level", "section_path", "image_paths", "page_context_id", "source", "parse_level", "context_prev", "context_next", "title")
 
@@ -123,18 +127,47 @@ def adjacency(edge: DataFrame) -> DataFrame:
     return both.where(~F.startswith("node", F.lit("entity::"))).select("node", "other", "relation", weight(F.col("relation")).alias("weight"))
 
 
-def expand(adjacent: DataFrame, seeds: DataFrame, hops: int | Column = 1, max_expand: int | Column = 16) -> DataFrame:
+MOST = 64  # links of a node that are stored; a larger limit of a query is an error, not a shorter result
+
+
+@dataclass
+class Links:
+    """Adjacency with its ranks: node, links (array of r, other, weight), of each node the `most` heaviest; those to entities are ranked, not kept."""
+
+    rows: DataFrame
+    most: int
+
+
+def ranked(adjacent: DataFrame, most: int = MOST) -> Links:
+    """Ranks all links once. Each task first keeps the `most` heaviest of a node (a limit within groups that Spark puts before the
+    exchange), so a hub sends at most so many links a task and its row holds at most `most`."""
+    w = Window.partitionBy("node").orderBy(F.col("weight").desc(), "other")
+    top = adjacent.select("node", "other", "weight").withColumn("r", F.row_number().over(w)).where(F.col("r") <= most)
+    own = F.when(~F.startswith("other", F.lit("entity::")), F.struct("r", "other", "weight"))
+    return Links(top.groupBy("node").agg(F.array_sort(F.collect_list(own)).alias("links")), most)
+
+
+def stored(links: Links) -> Links:
+    """The same as a table in the shared folder, bucketed by node: a hop shuffles the rows that it starts from, never the links."""
+    spark = links.rows.sparkSession
+    name = f"links_{uuid.uuid4().hex}"
+    writer = links.rows.write.format("parquet").option("compression", "zstd").option("path", f"{shared_dir(spark)}/foliospark/{name}")
+    writer.bucketBy(shuffle_partitions(spark), "node").sortBy("node").saveAsTable(name)
+    return Links(spark.table(name), links.most)
+
+
+def expand(links: Links, seeds: DataFrame, hops: int | Column = 1, max_expand: int | Column = 16) -> DataFrame:
     """query_id, id, score, distance from seeds (query_id, id, score, and for limits of each query: hops, max_expand):
     hop by hop, of each node the max_expand heaviest links (before entities are skipped), child = parent x weight; a
-    node reached on two ways keeps its highest score, the first hop wins; ties by id. Only links of nodes that are reached are ranked."""
+    node reached on two ways keeps its highest score, the first hop wins; ties by id."""
     limits = seeds.select("query_id", (F.lit(hops) if isinstance(hops, int) else hops).alias("hops"), (F.lit(max_expand) if isinstance(max_expand, int) else max_expand).alias("most")).groupBy("query_id").agg(F.max("hops").alias("hops"), F.max("most").alias("most"), F.count(F.lit(1)).alias("n_"))
+    limits = limits.withColumn("most", F.when(F.col("most") <= links.most, F.col("most")).when(F.col("most").isNotNull(), F.raise_error(F.lit(f"max_expand is above the {links.most} links of a node that are stored")).cast("int")))
     seen = seeds.groupBy("query_id", "id").agg(F.max("score").alias("score")).withColumn("distance", F.lit(0))
-    front, links = seen, adjacent.select("node", "other", "weight").groupBy("node", "other").agg(F.array_sort(F.collect_list("weight")).alias("ws"))
-    w = Window.partitionBy("node").orderBy(F.col("weight").desc(), "other")
+    front = seen
     for hop in range(1, (hops if isinstance(hops, int) else 2) + 1):
-        near = links.join(front.select(F.col("id").alias("node")).distinct(), "node", "left_semi").select("node", "other", F.explode("ws").alias("weight")).withColumn("r", F.row_number().over(w)).where(~F.startswith("other", F.lit("entity::")))
         live = front.join(limits, "query_id").where(F.col("hops") >= hop)
-        step = live.join(near, live["id"] == near["node"]).where("r <= most").select("query_id", F.col("other").alias("id"), (F.col("score") * F.col("weight")).alias("score"))
+        met = live.join(links.rows, live["id"] == links.rows["node"]).select("query_id", "score", F.inline(F.filter("links", lambda x: x["r"] <= F.col("most"))).alias("r", "other", "weight"))
+        step = met.select("query_id", F.col("other").alias("id"), (F.col("score") * F.col("weight")).alias("score"))
         front = step.join(seen, ["query_id", "id"], "left_anti").groupBy("query_id", "id").agg(F.max("score").alias("score")).withColumn("distance", F.lit(hop))
         seen = seen.union(front)
     best = Window.partitionBy("query_id").orderBy(F.round("score", 9).desc(), "id")

@@ -219,6 +219,11 @@ def manual_kb(spark: SparkSession, d: str) -> DataFrame:
     return kept(spark, d, "kb", lambda: materialize(kb.split_blocks(built(spark, d), LEX), "kb"))
 
 
+def ranked_links(spark: SparkSession, d: str) -> kb.Links:
+    """The graph's links with their ranks, written once."""
+    return kept(spark, d, "links", lambda: kb.stored(kb.ranked(kb.adjacency(kb.edges(manual_kb(spark, d), LEX)))))
+
+
 @query(f"WITH {KB} SELECT doc_id, kb_id, block_id, kb_type, page_no, array_to_string(entities, ' ') AS entities, md5(array_to_string(action, '|')) AS action_md5, md5(text) AS text_md5, md5(search_text) AS search_md5 FROM searched")
 def kb_rows(spark: SparkSession, d: str) -> DataFrame:
     rows = kb.split_blocks(built(spark, d), LEX)
@@ -274,7 +279,7 @@ def hops(seeds: str, name: str = "expanded") -> str:
 def graph_expand(spark: SparkSession, d: str) -> DataFrame:
     rows = manual_kb(spark, d)
     seeds = rows.where("doc_id % 50 = 0").select(F.col("doc_id").alias("query_id"), F.col("kb_id").alias("id"), (1 / (1 + F.col("part_no"))).alias("score"), (1 + F.col("doc_id") % 2).alias("hops"))
-    return kb.expand(kb.adjacency(kb.edges(rows, LEX)), seeds, F.col("hops"), 8).withColumn("score", F.round("score", 6))
+    return kb.expand(ranked_links(spark, d), seeds, F.col("hops"), 8).withColumn("score", F.round("score", 6))
 
 
 @query(f"""WITH {KB}, {EDGES}, {ADJACENT}, asked AS (SELECT kb_id AS id, doc_id, pos_no, part_no FROM kb), c AS (SELECT kb_id AS id, doc_id, coalesce(list(kb_id) OVER (w ROWS BETWEEN 2 PRECEDING AND 1 PRECEDING), []) || coalesce(list(kb_id) OVER (w ROWS BETWEEN 1 FOLLOWING AND 3 FOLLOWING), []) AS ctx FROM kb WINDOW w AS (PARTITION BY doc_id ORDER BY pos_no, part_no)),

@@ -39,7 +39,7 @@ from foliospark.lexicon import (
     Lexicon,
 )
 from foliospark.operators import bm25, evaluate, evidence, kb, pages, reasoning, threshold, vectors
-from foliospark.plans.manual import ADJACENT, EDGES, KB, built, canon, hops, manual_kb
+from foliospark.plans.manual import ADJACENT, EDGES, KB, built, canon, hops, manual_kb, ranked_links
 from foliospark.plans.registry import ORACLES, documents, joined, kept, plain, query
 from foliospark.runtime import materialize, table
 
@@ -209,8 +209,7 @@ def retrieved(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFr
 def _retrieved(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     rows = materialize(entity_kb(spark, d), "kb")
     _, index, embeddings = block_index(spark, d)
-    adjacent = kb.adjacency(kb.edges(manual_kb(spark, d), LEX))
-    parsed, merged, top = evidence.retrieve(questions(spark, d), index, embeddings, rows, adjacent, all_tokens, embedded, K, LEX, unicode=False)
+    parsed, merged, top = evidence.retrieve(questions(spark, d), index, embeddings, rows, ranked_links(spark, d), all_tokens, embedded, K, LEX, unicode=False)
     return parsed, merged, materialize(top, "topk")
 
 

@@ -2,6 +2,7 @@
 
 import math
 import os
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -70,10 +71,58 @@ def test_bm25_without_shared_term_and_min_max(spark):
 def test_expand_keeps_best_parent(spark):
     adjacent = spark.createDataFrame([("a", "c", 0.4), ("b", "c", 0.5), ("c", "a", 0.4), ("c", "b", 0.5)], "node string, other string, weight double")
     seeds = spark.createDataFrame([(1, "a", 1.0), (1, "b", 1.0)], "query_id int, id string, score double")
-    got = {r["id"]: (r["score"], r["distance"]) for r in kb.expand(adjacent, seeds, 2).collect()}
+    got = {r["id"]: (r["score"], r["distance"]) for r in kb.expand(kb.ranked(adjacent), seeds, 2).collect()}
     assert got == {"a": (1.0, 0), "b": (1.0, 0), "c": (0.5, 1)}
 
 
+def graph_by_hand(links, seeds, hops, most):
+    """query, id -> (score, distance), by walking lists of links."""
+    out = {}
+    for q in {s[0] for s in seeds}:
+        seen = {}
+        for _, n, s in (x for x in seeds if x[0] == q):
+            seen[n] = (max(s, seen.get(n, (s, 0))[0]), 0)
+        front = dict(seen)
+        for hop in range(1, hops + 1):
+            new = {}
+            for n, (s, _) in front.items():
+                own = sorted((x for x in links if x[0] == n), key=lambda x: (-x[2], x[1]))[:most]
+                for _, other, w in own:
+                    if not other.startswith("entity::") and other not in seen:
+                        new[other] = (max(s * w, new.get(other, (0, 0))[0]), hop)
+            front = new
+            seen |= new
+        best = sorted(seen.items(), key=lambda x: (-round(x[1][0], 9), x[0]))[: max(most, sum(1 for x in seeds if x[0] == q))]
+        out |= {(q, n): (round(s, 9), h) for n, (s, h) in best}
+    return out
+
+
+def test_ranked_links_with_a_hub(spark):
+    """Stored links give what a walk over all links gives, with a hub of a third of them, links twice and entities; no exchange of the links."""
+    rnd = random.Random(6)
+    name = lambda: rnd.choice([f"n{rnd.randrange(40):02d}", f"entity::{rnd.randrange(5)}"])
+    rows = [(rnd.choice(["hub", f"n{rnd.randrange(40):02d}", f"n{rnd.randrange(40):02d}"]), name(), rnd.choice((0.25, 0.4, 0.7))) for _ in range(400)]
+    rows += [(f"n{i:02d}", "hub", 0.9) for i in range(0, 40, 3)] + rows[:30]
+    seeds = [(1, "n00", 1.0), (1, "n00", 0.3), (1, "n07", 0.5), (2, "hub", 2.0), (3, "gone", 1.0), (4, "n03", 1.0)]
+    adjacent, asked = spark.createDataFrame(rows, "node string, other string, weight double"), spark.createDataFrame(seeds, "query_id int, id string, score double")
+    links = kb.stored(kb.ranked(adjacent, 12))
+    for hops, most in ((1, 3), (2, 7), (2, 12)):
+        got = {(r["query_id"], r["id"]): (round(r["score"], 9), r["distance"]) for r in kb.expand(links, asked, hops, most).collect()}
+        assert got == graph_by_hand(rows, seeds, hops, most)
+    with pytest.raises(Exception, match="above the 12 links"):
+        kb.expand(links, asked, 1, 13).collect()
+    assert kb.expand(links, asked.limit(0), 2, 3).count() == 0
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        plan = kb.expand(links, asked, 1, 3)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "hashpartitioning(node" not in plan and "hashpartitioning(id" in plan
+    limited = kb.ranked(adjacent, 12).rows._jdf.queryExecution().executedPlan().toString()
+    assert limited.count("WindowGroupLimit") == 2  # before and after the exchange
+
+
 @pytest.mark.skipif(not os.path.isdir(SF), reason="no test data")
 def test_queries_match_their_sql(spark):
     import duckdb
