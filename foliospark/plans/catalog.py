@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from foliospark.functions import text as T
 from foliospark.lexicon import Lexicon
-from foliospark.operators import blocks, bm25, evaluate, evidence, pages, session, vectors
+from foliospark.operators import blocks, bm25, evaluate, evidence, kept_index, pages, session, vectors
 from foliospark.plans import manual, online, parsed, stores  # noqa: F401  their queries are kept by being defined
 from foliospark.plans.registry import ORACLES, QUERIES, documents, joined, kept, plain  # noqa: F401
 from foliospark.plans.registry import query as _query
@@ -87,6 +87,23 @@ def bm25_search(spark: SparkSession, d: str) -> DataFrame:
     return bm25.search(index_of(spark, d), benchmark_queries(spark, d), 10)
 
 
+GONE = "doc_id % 16 IN (3, 5, 8) AND doc_id % 5 = 0"
+
+
+@query(f"""WITH {BM25.replace('FROM documents)', f'FROM documents WHERE NOT ({GONE}))', 1)}
+SELECT query_id, id, round(score, 6) AS score, rank, 3 AS buckets_written FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY round(score, 6) DESC, id) AS rank FROM scored WHERE round(score, 6) > 0) WHERE rank <= 10""")
+def bm25_after_upsert(spark: SparkSession, d: str) -> DataFrame:
+    """An index of 16 buckets of which three change: some documents come, some go, of some only half was there before."""
+    rows = documents(spark, d).select(F.col("doc_id").alias("id"), T.tokens(F.upper(plain())).alias("tokens"), (F.col("doc_id") % 16).cast("int").alias("bucket"))
+    changed = F.col("bucket").isin(3, 5, 8)
+    half = F.slice("tokens", 1, F.greatest(F.floor(F.size("tokens") / 2).cast("int"), F.lit(0)))
+    before = rows.where(~changed | (F.col("id") % 5 != 1)).withColumn("tokens", F.when(changed, half).otherwise(F.col("tokens")))
+    index = kept_index.build(before, stores.place(spark, "kept-index"))
+    written = kept_index.upsert(index, rows.where(changed & (F.col("id") % 5 != 0)), rows.where(changed & (F.col("id") % 5 == 0)))
+    found = bm25.search(kept_index.opened(index), benchmark_queries(spark, d), 10)
+    return found.select("query_id", "id", "score", "rank", F.lit(len(written)).alias("buckets_written"))
+
+
 @query(f"""WITH {BM25}, top AS (SELECT query_id, max(score) AS top FROM scored GROUP BY 1), pairs AS (
     SELECT b.item_id AS query_id, d.doc_id AS id, 10 * (d.doc_id % 7 = b.item_id % 7)::INT + 0.85 * coalesce(s.score, 0) / (top + 1e-9) + 0.10 * CASE WHEN d.doc_id % 3 = 0 THEN 0.8 ELSE 0.5 END + 0.05 * CASE WHEN d.doc_id % 4 = 0 THEN 1.0 ELSE 0.95 + 0.05 * least((d.doc_id % 10) / 8.0, 1.0) END AS score
     FROM documents d JOIN benchmark b ON true LEFT JOIN top ON top.query_id = b.item_id LEFT JOIN scored s ON s.query_id = b.item_id AND s.id = d.doc_id)
