@@ -562,10 +562,39 @@ def hybrid_kb(rows: DataFrame, index: bm25.Index, asked: DataFrame, k: int) -> D
     return vectors.hybrid_rows(lexical, vector, rows, asked, k)
 
 
+WIDENED = f"""{ROW_ARMS}, {hybrid_sql(20, 5, 0.2, 0.0)}, {EDGES}, {ADJACENT}, seeds AS (SELECT query_id, id, score, 1 AS hops, 16 AS most FROM hyb), {hops('seeds')}"""
+
+
+@query(f"WITH {WIDENED} SELECT query_id, id, round(score, 6) AS score, row_number() OVER (PARTITION BY query_id ORDER BY round(score, 6) DESC, id) AS rank FROM expanded QUALIFY rank <= 5")
+def graph_expanded(spark: SparkSession, d: str) -> DataFrame:
+    rows, index, asked = row_arms(spark, d)
+    return bm25.top_k(widened(rows, index, ranked_links(spark, d), asked, K), K, keep_zero=True).select("query_id", "id", "score", "rank")
+
+
+@query(f"""WITH {WIDENED}, rel AS (SELECT e.query_id, e.id, round(CASE WHEN len(q.ts) = 0 THEN 0 ELSE len(list_intersect(list_distinct(q.ts), list_distinct(b.t))) / len(list_distinct(q.ts)) END, 6) AS score
+FROM expanded e JOIN (SELECT query_id, regexp_extract_all(nq, '{TOKEN}') AS ts FROM parsed) q USING (query_id) JOIN btoks b ON b.id = e.id) SELECT query_id, id, score, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, id) AS rank FROM rel QUALIFY rank <= 5""")
+def graph_expanded_rerank(spark: SparkSession, d: str) -> DataFrame:
+    rows, index, asked = row_arms(spark, d)
+    return reranked_rows(rows, index, ranked_links(spark, d), asked, K)
+
+
+def widened(rows: DataFrame, index: bm25.Index, links: kb.Links, asked: DataFrame, k: int, hops: int = 1, max_expand: int = 16) -> DataFrame:
+    """The k best by hybrid score and what the graph reaches from them."""
+    return kb.expand(links, hybrid_kb(rows, index, asked, k).select("query_id", "id", "score"), hops, max_expand)
+
+
+def reranked_rows(rows: DataFrame, index: bm25.Index, links: kb.Links, asked: DataFrame, k: int) -> DataFrame:
+    found = materialize(widened(rows, index, links, asked, k).select("query_id", "id"), "widened")
+    both = found.join(asked.select("query_id", F.col("tokens").alias("qt")), "query_id").join(rows.select("id", "tokens"), "id")
+    relevance = both.select("query_id", "id", F.round(evidence.lexical_relevance(F.col("qt"), F.col("tokens")), 6).alias("relevance"))
+    return vectors.reranked(found, relevance, k)
+
+
 def named_retrievers(spark: SparkSession, d: str) -> vectors.Retrievers:
     """Every way to search blocks or knowledge rows, by the name that a user asks for."""
     blocks, index, embeddings, _ = arms(spark, d)
     rows, kb_index, _ = row_arms(spark, d)
+    links = ranked_links(spark, d)
     return vectors.Retrievers(
         bm25=lambda q, k: bm25.search(index, q, k),
         vector=lambda q, k: vectors.vector_search(embeddings, q, k, "inverse_distance"),
@@ -573,6 +602,8 @@ def named_retrievers(spark: SparkSession, d: str) -> vectors.Retrievers:
         hybrid_rerank=lambda q, k: reranked_blocks(blocks, index, embeddings, q, k),
         kb_bm25=lambda q, k: bm25.search(kb_index, q, k),
         kb_hybrid=lambda q, k: hybrid_kb(rows, kb_index, q, k),
+        graph_expanded=lambda q, k: bm25.top_k(widened(rows, kb_index, links, q, k), k, keep_zero=True),
+        graph_expanded_rerank=lambda q, k: reranked_rows(rows, kb_index, links, q, k),
     )
 
 
@@ -580,12 +611,12 @@ def by_name(*found: str) -> str:
     return " UNION ALL ".join(f"SELECT '{name}' AS retriever, query_id, id, score, rank FROM ({ORACLES[sql]})" for name, sql in (x.split("=") for x in found))
 
 
-@query(by_name("hybrid_rerank=hybrid_rerank", "kb_bm25=kb_search", "kb_hybrid=kb_hybrid"))
+@query(by_name("hybrid_rerank=hybrid_rerank", "kb_bm25=kb_search", "kb_hybrid=kb_hybrid", "graph_expanded=graph_expanded", "graph_expanded_rerank=graph_expanded_rerank"))
 def retrievers_by_name(spark: SparkSession, d: str) -> DataFrame:
     """The retrievers that retriever_rates doesn't rate, each asked by its name."""
     named, asked = named_retrievers(spark, d), arms(spark, d)[3]
     out = None
-    for name in ("hybrid_rerank", "kb_bm25", "kb_hybrid"):
+    for name in ("hybrid_rerank", "kb_bm25", "kb_hybrid", "graph_expanded", "graph_expanded_rerank"):
         part = named.search(asked, name, K).select(F.lit(name).alias("retriever"), "query_id", "id", "score", "rank")
         out = part if out is None else out.unionByName(part)
     return out
