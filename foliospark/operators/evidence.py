@@ -80,6 +80,7 @@ ENTITY_ARMS = (
     ("entities", "e", 0.75, "entity_exact_match"),
 )
 MOST_ENTITY_HITS = 20
+SOURCES = ("entity", "bm25", "vector", "graph")
 
 
 def _marked(c: Column | str, mark: str) -> Column:
@@ -173,9 +174,10 @@ def retrieve(queries: DataFrame, index: bm25.Index, vectors: DataFrame, kb: Data
     vector = materialize(vector_hits(asked, vectors, kb, embedded), "vector-hits")
     seeds = materialize(graph_seeds(parsed, [entity, lexical, vector]), "seeds")
     near = K.expand(links, seeds, F.col("hops"), F.col("max_expand")).join(parsed.select("query_id", "graph_limit"), "query_id").where("rank <= graph_limit")
-    nil = F.lit(None).cast("int")
-    arm = lambda df, s, d=nil: df.select("query_id", "id", F.lit(s).alias("source"), "score", d.alias("distance"))
-    found = arm(entity, "entity").union(arm(lexical, "bm25")).union(arm(vector, "vector")).union(arm(near, "graph", F.col("distance")))
+    none, nil = F.array().cast("array<string>"), F.lit(None)
+    arm = lambda df, s, why, d=nil.cast("int"), met=none, seed=nil.cast("string"): df.select("query_id", "id", F.lit(s).alias("source"), "score", d.alias("distance"), why.alias("reasons"), met.alias("matched_entities"), seed.alias("seed"))
+    found = arm(entity, "entity", F.col("reasons"), met=F.col("matched_entities")).union(arm(lexical, "bm25", F.array(F.lit("keyword_match")))).union(arm(vector, "vector", F.array(F.lit("semantic_match"))))
+    found = found.union(arm(near, "graph", F.array(F.lit("graph_neighbor"), F.coalesce("relation", F.lit("graph_neighbor"))), F.col("distance"), seed=F.col("parent")))
     facts = rows.select("id", "kb_type", "section_path", F.col("codes").alias("alarm_codes"), "entities", "text", "search_text", "block_id", "page_no")
     merged = materialize(merge(found, facts, parsed, k, lex), "merged")
     pool = merged.where(F.col("rank") <= pool_size(k)).join(parsed.select("query_id", "raw_query"), "query_id")
@@ -185,14 +187,20 @@ def retrieve(queries: DataFrame, index: bm25.Index, vectors: DataFrame, kb: Data
 
 def merge(candidates: DataFrame, kb: DataFrame, parsed: DataFrame, k: int = 5, lex: Lexicon = DEFAULT) -> DataFrame:
     """candidates: query_id, id, source (entity, bm25, vector, graph), score, distance (null but for
-    graph); kb: id, kb_type, section_path, alarm_codes. Weighted sum of each source's best, with boosts."""
+    graph); kb: id, kb_type, section_path, alarm_codes. Weighted sum of each source's best, with boosts.
+
+    If candidates also say why (reasons, matched_entities, seed), a merged row has all reasons in the order of the sources, each once."""
+    said = "reasons" in candidates.columns
+    of = lambda c: F.array_distinct(F.flatten(F.array(*(F.coalesce(F.max(F.when(F.col("source") == s, F.col(c))), F.array().cast("array<string>")) for s in SOURCES))))
+    why = [of("reasons").alias("reasons"), of("matched_entities").alias("matched_entities"), F.max("seed").alias("seed_kb_id")] if said else []
     best = candidates.groupBy("query_id", "id").agg(
-        *(F.max(F.when(F.col("source") == s, F.col("score"))).alias(f"{s}_score") for s in ("entity", "bm25", "vector", "graph")),
+        *(F.max(F.when(F.col("source") == s, F.col("score"))).alias(f"{s}_score") for s in SOURCES),
+        *why,
         F.min("distance").alias("graph_distance"),
         F.collect_set("source").alias("had_"),
     )
     # Sources in the order in which they are asked.
-    best = best.withColumn("sources", F.array_intersect(F.array(*map(F.lit, ("entity", "bm25", "vector", "graph"))), "had_")).drop("had_")
+    best = best.withColumn("sources", F.array_intersect(F.array(*map(F.lit, SOURCES)), "had_")).drop("had_")
     rows = best.join(kb, "id").join(parsed.select("query_id", F.col("alarm_codes").alias("query_codes"), "need_safety"), "query_id")
     yes = lambda on, v: F.when(on, v).otherwise(0.0)
     boost = (

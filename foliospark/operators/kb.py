@@ -132,7 +132,7 @@ MOST = 64  # links of a node that are stored; a larger limit of a query is an er
 
 @dataclass
 class Links:
-    """Adjacency with its ranks: node, links (array of r, other, weight), of each node the `most` heaviest; those to entities are ranked, not kept."""
+    """Adjacency with its ranks: node, links (array of r, other, weight, relation), of each node the `most` heaviest; those to entities are ranked, not kept."""
 
     rows: DataFrame
     most: int
@@ -141,9 +141,10 @@ class Links:
 def ranked(adjacent: DataFrame, most: int = MOST) -> Links:
     """Ranks all links once. Each task first keeps the `most` heaviest of a node (a limit within groups that Spark puts before the
     exchange), so a hub sends at most so many links a task and its row holds at most `most`."""
-    w = Window.partitionBy("node").orderBy(F.col("weight").desc(), "other")
-    top = adjacent.select("node", "other", "weight").withColumn("r", F.row_number().over(w)).where(F.col("r") <= most)
-    own = F.when(~F.startswith("other", F.lit("entity::")), F.struct("r", "other", "weight"))
+    w = Window.partitionBy("node").orderBy(F.col("weight").desc(), "other", "relation")
+    named = adjacent if "relation" in adjacent.columns else adjacent.withColumn("relation", F.lit(None).cast("string"))
+    top = named.select("node", "other", "weight", "relation").withColumn("r", F.row_number().over(w)).where(F.col("r") <= most)
+    own = F.when(~F.startswith("other", F.lit("entity::")), F.struct("r", "other", "weight", "relation"))
     return Links(top.groupBy("node").agg(F.array_sort(F.collect_list(own)).alias("links")), most)
 
 
@@ -157,18 +158,20 @@ def stored(links: Links) -> Links:
 
 
 def expand(links: Links, seeds: DataFrame, hops: int | Column = 1, max_expand: int | Column = 16) -> DataFrame:
-    """query_id, id, score, distance from seeds (query_id, id, score, and for limits of each query: hops, max_expand):
+    """query_id, id, score, distance, parent, relation from seeds (query_id, id, score, and for limits of each query: hops, max_expand):
     hop by hop, of each node the max_expand heaviest links (before entities are skipped), child = parent x weight; a
-    node reached on two ways keeps its highest score, the first hop wins; ties by id."""
+    node reached on two ways keeps its highest score (then the least parent and relation), the first hop wins; ties by id.
+    parent and relation of the link that a node was reached by are null for seeds."""
     limits = seeds.select("query_id", (F.lit(hops) if isinstance(hops, int) else hops).alias("hops"), (F.lit(max_expand) if isinstance(max_expand, int) else max_expand).alias("most")).groupBy("query_id").agg(F.max("hops").alias("hops"), F.max("most").alias("most"), F.count(F.lit(1)).alias("n_"))
     limits = limits.withColumn("most", F.when(F.col("most") <= links.most, F.col("most")).when(F.col("most").isNotNull(), F.raise_error(F.lit(f"max_expand is above the {links.most} links of a node that are stored")).cast("int")))
-    seen = seeds.groupBy("query_id", "id").agg(F.max("score").alias("score")).withColumn("distance", F.lit(0))
+    seen = seeds.groupBy("query_id", "id").agg(F.max("score").alias("score")).withColumns({"distance": F.lit(0), "parent": F.lit(None).cast(links.rows.schema["node"].dataType), "relation": F.lit(None).cast("string")})
     front = seen
     for hop in range(1, (hops if isinstance(hops, int) else 2) + 1):
         live = front.join(limits, "query_id").where(F.col("hops") >= hop)
-        met = live.join(links.rows, live["id"] == links.rows["node"]).select("query_id", "score", F.inline(F.filter("links", lambda x: x["r"] <= F.col("most"))).alias("r", "other", "weight"))
-        step = met.select("query_id", F.col("other").alias("id"), (F.col("score") * F.col("weight")).alias("score"))
-        front = step.join(seen, ["query_id", "id"], "left_anti").groupBy("query_id", "id").agg(F.max("score").alias("score")).withColumn("distance", F.lit(hop))
+        met = live.join(links.rows, live["id"] == links.rows["node"]).select("query_id", "score", F.col("node").alias("parent"), F.inline(F.filter("links", lambda x: x["r"] <= F.col("most"))).alias("r", "other", "weight", "relation"))
+        step = met.select("query_id", F.col("other").alias("id"), F.struct((-F.col("score") * F.col("weight")).alias("less"), "parent", "relation").alias("by"))
+        best = step.join(seen, ["query_id", "id"], "left_anti").groupBy("query_id", "id").agg(F.min("by").alias("by"))
+        front = best.select("query_id", "id", (-F.col("by.less")).alias("score"), F.lit(hop).alias("distance"), "by.parent", "by.relation")
         seen = seen.union(front)
     best = Window.partitionBy("query_id").orderBy(F.round("score", 9).desc(), "id")
     return seen.withColumn("rank", F.row_number().over(best)).join(limits.select("query_id", F.greatest("n_", F.col("most").cast("long")).alias("n_")), "query_id").where("rank <= n_").drop("n_")

@@ -262,15 +262,15 @@ def graph_nodes(spark: SparkSession, d: str) -> DataFrame:
 
 ADJACENT = """adj AS (SELECT node, other, relation, CASE relation WHEN 'mentions' THEN 0.7 WHEN 'triggers' THEN 1.0 WHEN 'depends_on' THEN 0.8 WHEN 'adjacent' THEN 0.4 WHEN 'same_page' THEN 0.35 ELSE 0.5 END::DOUBLE AS weight
     FROM (SELECT source AS node, target AS other, relation FROM edges UNION ALL SELECT target, source, relation FROM edges) WHERE node NOT LIKE 'entity::%'),
-heavy AS (SELECT node, other, weight, row_number() OVER (PARTITION BY node ORDER BY weight DESC, other) AS r FROM adj)"""
+heavy AS (SELECT node, other, weight, relation, row_number() OVER (PARTITION BY node ORDER BY weight DESC, other, relation) AS r FROM adj)"""
 
 
 def hops(seeds: str, name: str = "expanded") -> str:
     """CTEs of two hops from `seeds` (query_id, id, score, hops, most)."""
-    return f"""hop1 AS (SELECT query_id, other AS id, max(score * weight) AS score FROM {seeds} s JOIN heavy ON node = id AND r <= most AND other NOT LIKE 'entity::%' WHERE hops >= 1 AND (query_id, other) NOT IN (SELECT query_id, id FROM {seeds}) GROUP BY ALL),
-    hop2 AS (SELECT h.query_id, other AS id, max(h.score * weight) AS score FROM hop1 h JOIN (SELECT DISTINCT query_id, hops, most FROM {seeds}) USING (query_id) JOIN heavy ON node = h.id AND r <= most AND other NOT LIKE 'entity::%' WHERE hops >= 2
+    return f"""hop1 AS (SELECT query_id, other AS id, max(score * weight) AS score, min({{'s': -score * weight, 'p': node, 'r': relation}}) AS best FROM {seeds} s JOIN heavy ON node = id AND r <= most AND other NOT LIKE 'entity::%' WHERE hops >= 1 AND (query_id, other) NOT IN (SELECT query_id, id FROM {seeds}) GROUP BY ALL),
+    hop2 AS (SELECT h.query_id, other AS id, max(h.score * weight) AS score, min({{'s': -h.score * weight, 'p': node, 'r': relation}}) AS best FROM hop1 h JOIN (SELECT DISTINCT query_id, hops, most FROM {seeds}) USING (query_id) JOIN heavy ON node = h.id AND r <= most AND other NOT LIKE 'entity::%' WHERE hops >= 2
         AND (h.query_id, other) NOT IN (SELECT query_id, id FROM {seeds}) AND (h.query_id, other) NOT IN (SELECT query_id, id FROM hop1) GROUP BY ALL),
-    reached AS (SELECT query_id, id, score, 0 AS distance FROM {seeds} UNION ALL SELECT query_id, id, score, 1 FROM hop1 UNION ALL SELECT query_id, id, score, 2 FROM hop2),
+    reached AS (SELECT query_id, id, score, 0 AS distance, NULL AS parent, NULL AS relation FROM {seeds} UNION ALL SELECT query_id, id, score, 1, best.p, best.r FROM hop1 UNION ALL SELECT query_id, id, score, 2, best.p, best.r FROM hop2),
     {name} AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY round(score, 9) DESC, id) AS rank FROM reached) JOIN (SELECT query_id, greatest(count(*), max(most)) AS n, max(most) AS most FROM {seeds} GROUP BY 1) USING (query_id) WHERE rank <= n)"""
 
 
@@ -279,7 +279,7 @@ def hops(seeds: str, name: str = "expanded") -> str:
 def graph_expand(spark: SparkSession, d: str) -> DataFrame:
     rows = manual_kb(spark, d)
     seeds = rows.where("doc_id % 50 = 0").select(F.col("doc_id").alias("query_id"), F.col("kb_id").alias("id"), (1 / (1 + F.col("part_no"))).alias("score"), (1 + F.col("doc_id") % 2).alias("hops"))
-    return kb.expand(ranked_links(spark, d), seeds, F.col("hops"), 8).withColumn("score", F.round("score", 6))
+    return kb.expand(ranked_links(spark, d), seeds, F.col("hops"), 8).select("query_id", "id", F.round("score", 6).alias("score"), "distance", "rank")
 
 
 @query(f"""WITH {KB}, {EDGES}, {ADJACENT}, asked AS (SELECT kb_id AS id, doc_id, pos_no, part_no FROM kb), c AS (SELECT kb_id AS id, doc_id, coalesce(list(kb_id) OVER (w ROWS BETWEEN 2 PRECEDING AND 1 PRECEDING), []) || coalesce(list(kb_id) OVER (w ROWS BETWEEN 1 FOLLOWING AND 3 FOLLOWING), []) AS ctx FROM kb WINDOW w AS (PARTITION BY doc_id ORDER BY pos_no, part_no)),

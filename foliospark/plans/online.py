@@ -218,6 +218,18 @@ def retrieve_merged(spark: SparkSession, d: str) -> DataFrame:
     return retrieved(spark, d)[1].select("query_id", "id", F.round("score", 6).alias("score"), "rank", "graph_distance", joined("sources").alias("sources"))
 
 
+@query(f"""WITH {RETRIEVED}, wanted AS (SELECT query_id, 'a:' || unnest(codes) AS key, 100 + unnest(range(len(codes))) AS o FROM parsed UNION ALL SELECT query_id, 'p:' || unnest(params), 200 + unnest(range(len(params))) FROM parsed
+    UNION ALL SELECT query_id, 'l:' || unnest(plcs), 300 + unnest(range(len(plcs))) FROM parsed UNION ALL SELECT query_id, 'e:' || unnest(ents), 400 + unnest(range(len(ents))) FROM parsed),
+named_keys AS (SELECT query_id, id, list(k ORDER BY o) AS names FROM (SELECT query_id, id, substr(key, 3) AS k, min(o) AS o FROM wanted JOIN keys USING (key) GROUP BY ALL) GROUP BY ALL),
+why AS (SELECT m.query_id, m.id, rank, list_concat(coalesce(list_transform(e.arms, lambda a: ['alarm_code_exact_match', 'param_code_exact_match', 'plc_address_exact_match', 'entity_exact_match'][a]), []), CASE WHEN list_contains(ss, 2) THEN ['keyword_match'] ELSE [] END,
+    CASE WHEN list_contains(ss, 3) THEN ['semantic_match'] ELSE [] END, CASE WHEN list_contains(ss, 4) THEN ['graph_neighbor', coalesce(x.relation, 'graph_neighbor')] ELSE [] END) AS rs, CASE WHEN list_contains(ss, 1) THEN names ELSE [] END AS names, parent
+    FROM merged m LEFT JOIN (SELECT query_id, id, arms FROM entity) e USING (query_id, id) LEFT JOIN named_keys USING (query_id, id) LEFT JOIN (SELECT query_id, id, parent, relation FROM expanded WHERE rank <= most) x USING (query_id, id))
+SELECT query_id, id, rank, array_to_string({distinct('rs')}, ' ') AS reasons, array_to_string(names, ' ') AS matched_entities, coalesce(parent, '') AS seed_kb_id FROM why""")
+def merged_reasons(spark: SparkSession, d: str) -> DataFrame:
+    """Why each merged candidate is one: reasons, entities of the question that it has, and the row that the graph came from."""
+    return retrieved(spark, d)[1].select("query_id", "id", "rank", joined("reasons").alias("reasons"), joined("matched_entities").alias("matched_entities"), F.coalesce("seed_kb_id", F.lit("")).alias("seed_kb_id"))
+
+
 @query(f"WITH {RETRIEVED} SELECT query_id, id, round(adjusted, 6) AS adjusted, rank, {SOURCES} AS sources FROM topk")
 def retrieve(spark: SparkSession, d: str) -> DataFrame:
     return retrieved(spark, d)[2].select("query_id", "id", F.round("adjusted", 6).alias("adjusted"), "rank", joined("sources").alias("sources"))

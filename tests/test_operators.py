@@ -73,6 +73,19 @@ def test_expand_keeps_best_parent(spark):
     seeds = spark.createDataFrame([(1, "a", 1.0), (1, "b", 1.0)], "query_id int, id string, score double")
     got = {r["id"]: (r["score"], r["distance"]) for r in kb.expand(kb.ranked(adjacent), seeds, 2).collect()}
     assert got == {"a": (1.0, 0), "b": (1.0, 0), "c": (0.5, 1)}
+    # The link that a node was reached by; of equal ones the least parent and relation.
+    named = adjacent.where("weight = 0.5").withColumn("relation", F.lit("y")).union(spark.createDataFrame([("a", "c", 0.5, "z"), ("a", "c", 0.5, "x")], "node string, other string, weight double, relation string"))
+    by = {r["id"]: (r["parent"], r["relation"]) for r in kb.expand(kb.ranked(named), seeds, 1).collect()}
+    assert by == {"a": (None, None), "b": (None, None), "c": ("a", "x")}
+
+
+def test_merge_keeps_reasons_in_order_of_sources(spark):
+    kind = "query_id int, id string, source string, score double, distance int, reasons array<string>, matched_entities array<string>, seed string"
+    found = spark.createDataFrame([(1, "k", "graph", 0.5, 1, ["graph_neighbor", "mentions"], [], "s"), (1, "k", "bm25", 2.0, None, ["keyword_match"], [], None), (1, "k", "entity", 1.0, None, ["alarm_code_exact_match"], ["SP9001"], None), (1, "m", "graph", 0.5, 0, ["graph_neighbor", "graph_neighbor"], None, None)], kind)
+    rows = spark.createDataFrame([(i, "text", "", []) for i in "km"], "id string, kb_type string, section_path string, alarm_codes array<string>")
+    asks = spark.createDataFrame([(1, [], False)], "query_id int, alarm_codes array<string>, need_safety boolean")
+    got = {r["id"]: (r["reasons"], r["matched_entities"], r["seed_kb_id"]) for r in evidence.merge(found, rows, asks).collect()}
+    assert got == {"k": (["alarm_code_exact_match", "keyword_match", "graph_neighbor", "mentions"], ["SP9001"], "s"), "m": (["graph_neighbor"], [], None)}
 
 
 def graph_by_hand(links, seeds, hops, most):
