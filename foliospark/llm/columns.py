@@ -14,6 +14,7 @@ BATCH_CHARS = 2_000_000
 
 
 def id_text(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Ids are integers, also as text; a text that isn't one is an error of the cast under ANSI rules and null without them."""
     return df.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"))
 
 

@@ -364,7 +364,7 @@ def encode(df: DataFrame, model: bytes, dropout: float = 0.1, seed: int = 0, var
 
 
 def decode(df: DataFrame, model: bytes, pieces_col: str = "pieces") -> DataFrame:
-    """All columns of df and `decoded`, the text of the pieces; no shuffle."""
+    """All columns of df and `decoded` (in place of a column of that name), the text of the pieces; null for null pieces; no shuffle."""
     shared = df.sparkSession.sparkContext.broadcast(model)
     from pyspark.sql.types import StringType, StructField, StructType
 

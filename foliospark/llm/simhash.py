@@ -35,10 +35,10 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from foliospark.llm.columns import id_text
+from foliospark.llm.columns import id_text, private
 from foliospark.llm.components import Groups, connected_components
 from foliospark.llm.shared_slots import Shared, shared_table, slots_for
 from foliospark.runtime import materialize
@@ -473,11 +473,19 @@ def near_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", s
 
 
 def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, similarity: float = 0.8) -> DataFrame:
-    """The rows of df, all columns as they are, without those of a near-duplicate group that aren't
-    its least doc_id; of rows equal in doc_id and text one stays. Rows without a doc_id stay."""
+    """The rows of df, all columns as they are, without those of a near-duplicate group that aren't its least doc_id.
+
+    Rows of one doc_id are one document: it goes with any of its texts. Of rows equal in doc_id and text that with the
+    least other columns (as JSON) stays. Rows without a doc_id stay, all of them."""
     found = materialize(near_copies(df, id_col, text_col, shingle, similarity), "near-duplicates")
     gone = found.where("doc_id <> component_id").select(F.col("doc_id").alias("gone_")).distinct()
     out = df.join(gone, df[id_col] == gone["gone_"], "left_anti")
-    if found.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").limit(1).count():
-        out = out.dropDuplicates([id_col, text_col])
-    return out
+    twice = found.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select(F.col("doc_id").alias("twice_"))
+    if twice.isEmpty():
+        return out
+    twice = materialize(twice, "repeated")
+    place, = private(out, "place")
+    # A limit within groups, which Spark puts before the exchange too: a document repeated in a third of all rows moves one row a task.
+    first = Window.partitionBy(id_col, text_col).orderBy(F.to_json(F.struct(*(f"`{c}`" for c in out.columns))))
+    once = out.join(twice, out[id_col] == twice["twice_"], "left_semi").withColumn(place, F.row_number().over(first)).where(F.col(place) <= 1).drop(place)
+    return out.join(twice, out[id_col] == twice["twice_"], "left_anti").unionByName(once)
