@@ -1,6 +1,6 @@
 """A BM25 index kept as one table and maintained in place.
 
-The table is partitioned by bucket and kind of row: what a row's tokens are (kind "row": id, dl), its postings ("posting": id, term, tf, dl) and the
+The table is partitioned by bucket and kind of row: a row with its postings (kind "row": id, dl, terms, tfs) and the
 bucket's share of the statistics ("stat": term, its rows, greatest tf, least dl). Statistics of all rows are sums over buckets, so an upsert writes the
 buckets that it touches and no others; it is one job with one commit, and doing it again gives the same index. A bucket is what is updated together
 (pages of a document, say); the caller gives it as a column, or ids are spread over `BUCKETS`.
@@ -21,6 +21,7 @@ from foliospark.runtime import delete_folder, materialize
 
 BUCKETS = 64
 PARTS = ("bucket", "kind")
+ROW = ("id", "dl", "terms", "tfs", "bucket")
 
 
 @dataclass
@@ -30,25 +31,31 @@ class Kept:
     kind: str  # type of the ids
 
     def table(self) -> DataFrame:
-        schema = f"id {self.kind}, term string, tf double, dl double, n long, bucket int, kind string"
+        schema = f"id {self.kind}, dl double, terms array<string>, tfs array<int>, term string, tf double, n long, bucket int, kind string"
         return self.spark.read.schema(schema).parquet(self.path)
 
     def rows(self) -> DataFrame:
-        return self.table().where("kind = 'row'").select("id", "dl", "bucket")
+        return self.full().select("id", "dl", "bucket")
+
+    def full(self) -> DataFrame:
+        return self.table().where("kind = 'row'").select(*ROW)
 
 
 def spread(c: Column | str = "id", buckets: int = BUCKETS) -> Column:
     return F.pmod(F.xxhash64(c), F.lit(buckets)).cast("int")
 
 
-def laid_out(tokens: DataFrame) -> DataFrame:
-    """The rows of the table for tokens (id, tokens, bucket)."""
-    each = tokens.select("id", "bucket", F.coalesce("tokens", F.array().cast("array<string>")).alias("tokens")).withColumn("dl", F.size("tokens").cast("double"))
-    postings = each.select("id", "bucket", "dl", F.explode("tokens").alias("term")).groupBy("id", "bucket", "dl", "term").agg(F.count(F.lit(1)).cast("double").alias("tf"))
-    postings = materialize(postings, "postings")
-    stats = postings.groupBy("bucket", "term").agg(F.count(F.lit(1)).alias("n"), F.max("tf").alias("tf"), F.min("dl").alias("dl")).withColumn("kind", F.lit("stat"))
-    out = postings.withColumn("kind", F.lit("posting")).unionByName(each.drop("tokens").withColumn("kind", F.lit("row")), allowMissingColumns=True)
-    return out.unionByName(stats, allowMissingColumns=True).select("id", "term", "tf", "dl", "n", "bucket", "kind")
+def counted(tokens: DataFrame) -> DataFrame:
+    """Rows of the kind "row" for tokens (id, tokens, bucket)."""
+    return materialize(bm25.counted(tokens.select("id", "bucket", "tokens")).select(*ROW), "index-rows")
+
+
+def laid_out(rows: DataFrame) -> DataFrame:
+    """All rows of the table for those of the kind "row": these and the buckets' statistics."""
+    each = bm25.postings(rows, "bucket")
+    stats = each.groupBy("bucket", "term").agg(F.count(F.lit(1)).alias("n"), F.max("tf").alias("tf"), F.min("dl").alias("dl")).withColumn("kind", F.lit("stat"))
+    out = rows.withColumn("kind", F.lit("row")).unionByName(stats, allowMissingColumns=True)
+    return out.select("id", "dl", "terms", "tfs", "term", "tf", "n", "bucket", "kind")
 
 
 def written(rows: DataFrame, path: str) -> None:
@@ -63,7 +70,7 @@ def ready(tokens: DataFrame) -> DataFrame:
 
 def build(tokens: DataFrame, path: str) -> Kept:
     """tokens: id, tokens and, if the caller has one, bucket. The folder must be new."""
-    written(laid_out(ready(tokens)), path)
+    written(laid_out(counted(ready(tokens))), path)
     return Kept(tokens.sparkSession, path, tokens.schema["id"].dataType.simpleString())
 
 
@@ -82,14 +89,12 @@ def upsert(kept: Kept, tokens: DataFrame, removed: DataFrame | None = None) -> l
     if not touched:
         return []
     inside = kept.table().where(F.col("bucket").isin(touched))
-    had = {(r["bucket"], r["kind"]) for r in inside.select(*PARTS).distinct().collect()}  # at most three a bucket
-    stay = inside.where("kind <> 'stat'").join(changed, "id", "left_anti")
-    added = laid_out(new).where("kind <> 'stat'")
-    live = materialize(stay.select(*added.columns).unionByName(added), "upsert-rows")
-    stats = live.where("kind = 'posting'").groupBy("bucket", "term").agg(F.count(F.lit(1)).alias("n"), F.max("tf").alias("tf"), F.min("dl").alias("dl")).withColumn("kind", F.lit("stat"))
-    written(live.unionByName(stats, allowMissingColumns=True).select(*added.columns), kept.path)
-    has = {(r["bucket"], r["kind"]) for r in live.select(*PARTS).distinct().collect()}
-    has |= {(b, "stat") for b, kind in has if kind == "posting"}
+    had = {(r["bucket"], r["kind"]) for r in inside.select(*PARTS).distinct().collect()}  # at most two a bucket
+    stay = inside.where("kind = 'row'").select(*ROW).join(changed, "id", "left_anti")
+    live = materialize(stay.unionByName(counted(new)), "upsert-rows")
+    written(laid_out(live), kept.path)
+    full = F.max(F.size("terms") > 0).alias("full")
+    has = {(r["bucket"], kind) for r in live.groupBy("bucket").agg(full).collect() for kind in ("row", "stat") if kind == "row" or r["full"]}
     for bucket, kind in sorted(had - has):  # what has no row any more is not overwritten
         delete_folder(kept.spark, f"{kept.path}/bucket={bucket}/kind={kind}")
     return touched
@@ -98,9 +103,8 @@ def upsert(kept: Kept, tokens: DataFrame, removed: DataFrame | None = None) -> l
 def opened(kept: Kept) -> bm25.Index:
     """The index for bm25.search. A term's `top` is the weight of its greatest tf in its shortest row: no less than any posting's, so bounds hold."""
     table = kept.table()
-    postings = table.where("kind = 'posting'").select("id", "term", "tf", "dl")
     totals = kept.rows().agg(F.count("id").alias("n"), F.avg("dl").alias("avgdl"))
     avgdl = totals.select("avgdl")
     each = table.where("kind = 'stat'").groupBy("term").agg(F.sum("n").alias("df"), F.max("tf").alias("tf"), F.min("dl").alias("dl"))
     df = each.crossJoin(F.broadcast(avgdl)).select("term", "df", bm25.saturated().alias("top"))
-    return bm25.Index(postings, bm25.with_idf(df, totals.select("n")), avgdl)
+    return bm25.Index(kept.full().drop("bucket"), bm25.with_idf(df, totals.select("n")), avgdl)
