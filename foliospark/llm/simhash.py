@@ -408,6 +408,23 @@ def may_overlap(other: str, similarity: float) -> Column:
     return F.least(p, q) + F.least(m - p, n - q) >= F.lit(similarity / (1 + similarity)) * (m + n) - 1e-6
 
 
+def named(texts: DataFrame, pairs: DataFrame) -> DataFrame:
+    """The texts (node, text) of the nodes that pairs (a, b) name. Where they lie, a table of slots leaves out nearly
+    all others, which a join would shuffle."""
+    ids = materialize(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "named")
+    slots = slots_for(ids.count())
+    longs = lambda batch: batch["node"].to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
+    # The table has the slots hit more than once, so each id is given twice.
+    table = texts.sparkSession.sparkContext.broadcast(shared_table(ids, lambda batches: (np.repeat(longs(b), 2) for b in batches), slots))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = Shared(table.value, slots)
+        for batch in batches:
+            yield batch.filter(pa.array(known.of(longs(batch)), pa.bool_()))
+
+    return texts.select("node", "text").mapInArrow(run, "node long, text string")
+
+
 def alike(pairs: DataFrame, texts: DataFrame, shingle: int, similarity: float) -> DataFrame:
     """The pairs (a, b) whose sets of shingles are `similarity` alike, from whole texts (node, text)."""
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
@@ -438,6 +455,8 @@ def confirmed(parts: DataFrame, pairs: DataFrame, texts: DataFrame, shingle: int
         left = materialize(left.select("a", "b"), "doubtful")
         if left.isEmpty():
             return parts
+        if best:
+            texts = materialize(named(texts, pairs), "named-texts")
         parts = materialize(extended(parts, materialize(alike(left, texts, shingle, similarity), "alike")), "parts")
     return parts
 
