@@ -302,7 +302,9 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     return docs.join(label, "fp").select("doc_id", "fp", "component_id")
 
 
-# Near copies by similarity of word shingles. Put all shingles in one order: of two sets that are
+# Near copies by similarity of word shingles. SimHash comes first: texts whose fingerprints (of their sets of shingles)
+# are within RADIUS bits meet by Golay keys, and those that are alike are joined. Fingerprints of 64 bits miss
+# many pairs that are `similarity` alike, so an exact way finds the rest. Put all shingles in one order: of two sets that are
 # `similarity` alike the first common shingle is among the first n - ceil(similarity * n) + 1 of either
 # set of n (the prefix filter). So texts that share none of these aren't alike, whatever the edit,
 # and each such shingle is a key. In the order those that no other text has come first (by a table
@@ -356,21 +358,22 @@ def may_be_alike(bits: Column, m: Column, n: Column, similarity: float) -> Colum
 
 
 def sketches(df: DataFrame, id_col: str, text_col: str, shingle: int) -> DataFrame:
-    """doc_id, same (128 bits of the words in order), m (number of distinct shingles), sketch of every whole text."""
-    schema = pa.schema([("doc_id", pa.int64()), ("same", pa.binary()), ("m", pa.int64()), ("sketch", pa.list_(pa.int64()))])
+    """doc_id, same (128 bits of the words in order), m (number of distinct shingles), fp (SimHash of these), sketch of every whole text."""
+    schema = pa.schema([("doc_id", pa.int64()), ("same", pa.binary()), ("m", pa.int64()), ("fp", pa.int64()), ("sketch", pa.list_(pa.int64()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            same, m, sketch = [], [], []
+            same, m, fp, sketch = [], [], [], []
             for text in batch.column("text"):
                 t = text.as_py()
                 same.append(xxhash.xxh3_128_digest(b" ".join((t or "").encode().lower().split())))
                 parts = shingle_set(t, shingle)
                 m.append(len(parts))
+                fp.append(simhash(parts))
                 sketch.append(parity_sketch(parts).view(np.int64))
-            yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(same, pa.binary()), pa.array(m, pa.int64()), pa.array(sketch, pa.list_(pa.int64()))], schema=schema)
+            yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(same, pa.binary()), pa.array(m, pa.int64()), pa.array(np.array(fp, np.uint64).view(np.int64)), pa.array(sketch, pa.list_(pa.int64()))], schema=schema)
 
-    return id_text(df, id_col, text_col).mapInArrow(run, "doc_id long, same binary, m long, sketch array<long>")
+    return id_text(df, id_col, text_col).mapInArrow(run, "doc_id long, same binary, m long, fp long, sketch array<long>")
 
 
 def prefix_keys(texts: DataFrame, n: int, shingle: int, similarity: float) -> DataFrame:
@@ -445,6 +448,15 @@ def alike(pairs: DataFrame, texts: DataFrame, shingle: int, similarity: float) -
     return pairs.select("a", "b").join(side("b"), "b").join(side("a"), "a").select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long")
 
 
+def simhash_pairs(classes: DataFrame) -> DataFrame:
+    """a > b: classes (node, fp) whose fingerprints are equal or within RADIUS bits, as many pairs as join them, by way of others if need be."""
+    own = materialize(classes.groupBy("fp").agg(F.min("node").alias("node")), "distinct-fingerprints")
+    side = lambda n: own.select(F.col("fp").alias(n), F.col("node").alias(f"node_{n}"))
+    near = materialize(golay_links(own), "golay-links").join(side("a"), "a").join(side("b"), "b").select("node_a", "node_b")
+    equal = classes.select("fp", F.col("node").alias("node_a")).join(own.withColumnRenamed("node", "node_b"), "fp").select("node_a", "node_b")
+    return near.union(equal).where("node_a <> node_b").select(F.greatest("node_a", "node_b").alias("a"), F.least("node_a", "node_b").alias("b")).distinct()
+
+
 def confirmed(parts: DataFrame, pairs: DataFrame, texts: DataFrame, shingle: int, similarity: float) -> DataFrame:
     """The components after those of the pairs (a, b, bits) that are alike. Of the pairs between two components the
     likeliest is compared first, the others only if their components are still two."""
@@ -466,19 +478,23 @@ def near_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", s
     shingles with a Jaccard similarity of `similarity` or more. Rows without a doc_id link nothing
     but have the component of equal texts; null if there is none."""
     docs = materialize(sketches(df, id_col, text_col, shingle), "sketches")
-    classes = docs.where("doc_id is not null").groupBy("same").agg(F.min("doc_id").alias("node"), F.first("m").alias("m"), F.first("sketch").alias("sketch"))
+    classes = docs.where("doc_id is not null").groupBy("same").agg(F.min("doc_id").alias("node"), F.first("m").alias("m"), F.first("fp").alias("fp"), F.first("sketch").alias("sketch"))
     classes = materialize(classes, "classes")
     texts = id_text(df, id_col, text_col).where("doc_id is not null").withColumnRenamed("doc_id", "node")
     side = lambda n: classes.select(F.col("node").alias(n), F.col("sketch").alias(f"sketch_{n}"), F.col("m").alias(f"m_{n}"))
     bits = sum((F.bit_count(F.col("sketch_a")[i].bitwiseXOR(F.col("sketch_b")[i])) for i in range(SKETCH)), F.lit(0))
 
+    near = may_be_alike(bits, F.col("m_a"), F.col("m_b"), similarity)
+    sketched = lambda pairs: materialize(pairs.join(side("a"), "a").join(side("b"), "b").where(near).select("a", "b", bits.alias("bits")).distinct(), "pairs")
+
+    # First those that SimHash finds by its Golay keys; what it can't is found by the prefix filter.
+    pairs = sketched(simhash_pairs(classes))
+    parts = pairs.limit(0).select(F.col("a").alias("node"), F.col("b").alias("component"))
+    parts = confirmed(parts, pairs, texts, shingle, similarity)
     n = docs.agg(F.coalesce(F.sum("m"), F.lit(0))).first()[0]
     keys = prefix_keys(texts, n, shingle, similarity).join(classes.select("same", "node"), "same").select("key", "node", "m", "pos")
     keys = materialize(keys, "prefix-keys")
-    near = may_be_alike(bits, F.col("m_a"), F.col("m_b"), similarity)
-    pairs = representative_pairs(keys, 2, may_overlap("rep_", similarity)).join(side("a"), "a").join(side("b"), "b").where(near).select("a", "b", bits.alias("bits")).distinct()
-    pairs = materialize(pairs, "pairs")
-    parts = pairs.limit(0).select(F.col("a").alias("node"), F.col("b").alias("component"))
+    pairs = sketched(representative_pairs(keys, 2, may_overlap("rep_", similarity)))
     parts = confirmed(parts, pairs, texts, shingle, similarity)
     # Members of different components meet within a bucket; the join itself lets only near sketches through.
     left = open_buckets(keys, parts)
