@@ -11,6 +11,7 @@ an arbitrary one stays. Searching with vectors of another model than the index's
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -33,6 +34,7 @@ class Quantiser:
     centers: np.ndarray  # lists x dim
     books: np.ndarray  # parts x codes x (dim / parts)
     probes: int = 1  # lists to read for a query, as the sample had it
+    share: float = 0.0  # of all rows that are best by code, so many hold the nearest ones, as the sample had it
 
     def lists_of(self, x: np.ndarray) -> np.ndarray:
         return nearest(x, self.centers)
@@ -81,8 +83,8 @@ def centers_of(x: np.ndarray, n: int, seed: int, rounds: int = 12) -> np.ndarray
     return c
 
 
-def trained(rows: DataFrame, lists: int | None = None, parts: int = 8, sample: int = SAMPLE, seed: int = 0) -> Quantiser:
-    """From at most `sample` rows; by default as many lists as the root of the number of rows, at most 4096, and codes of `parts` bytes."""
+def trained(rows: DataFrame, lists: int | None = None, parts: int = 32, sample: int = SAMPLE, seed: int = 0) -> Quantiser:
+    """From at most `sample` rows; by default as many lists as the root of the number of rows, at most 4096, and codes of `parts` bytes (at most: a divisor of the dimensions)."""
     live = rows.where("size(embedding) > 0")
     n = live.count()
     some = live.orderBy(F.xxhash64("id", F.lit(seed)), "id").limit(sample).select("embedding").toPandas()["embedding"].tolist()
@@ -93,7 +95,9 @@ def trained(rows: DataFrame, lists: int | None = None, parts: int = 8, sample: i
     centers = centers_of(x, lists or min(4096, max(1, round(n**0.5))), seed)
     rest = (x - centers[nearest(x, centers)]).reshape(len(x), parts, -1)
     books = [centers_of(rest[:, m], CODES, seed + m) for m in range(parts)]
-    return Quantiser(centers, np.stack(books), probes_for(x, centers))
+    quantiser = Quantiser(centers, np.stack(books), probes_for(x, centers))
+    quantiser.share = share_for(x, quantiser)
+    return quantiser
 
 
 def probes_for(x: np.ndarray, centers: np.ndarray, k: int = 10, target: float = 0.95, asked: int = 500) -> int:
@@ -105,6 +109,21 @@ def probes_for(x: np.ndarray, centers: np.ndarray, k: int = 10, target: float =
     return int(np.quantile(np.take_along_axis(place, nearest(x, centers)[near], 1), target, method="higher")) + 1
 
 
+def share_for(x: np.ndarray, quantiser: Quantiser, k: int = 10, target: float = 0.98, asked: int = 500, step: int = 50) -> float:
+    """Which share of all rows, the best by code, holds `target` of a query's k nearest: measured with rows of the sample as queries. A code is off by as
+    much in a large table as in a small one, so that the number of rows between grows with the table."""
+    at = quantiser.lists_of(x)
+    codes = quantiser.codes_of(x, at)
+    own = quantiser.centers[at] + np.concatenate([b[codes[:, m]] for m, b in enumerate(quantiser.books)], axis=1)  # what list and code say of a row
+    q = x[:: max(1, len(x) // asked)]
+    places = []
+    for a in range(0, len(q), step):
+        near = np.argsort(-(q[a : a + step] @ x.T), axis=1)[:, 1 : k + 1]  # the first is the row itself
+        score = q[a : a + step] @ own.T
+        places.append(len(x) - np.array([np.searchsorted(np.sort(s), s[n]) for s, n in zip(score, near, strict=True)]))
+    return float(np.quantile(np.concatenate(places), target, method="higher")) / len(x) if near.size else 1.0
+
+
 def listed(rows: DataFrame, quantiser: Quantiser) -> DataFrame:
     """id, embedding, list, code of each row with a vector."""
     shared = rows.sparkSession.sparkContext.broadcast(quantiser)
@@ -128,7 +147,7 @@ def build(rows: DataFrame, path: str, model: str = "", **training: int) -> Index
     quantiser = trained(rows, **training)
     listed(rows, quantiser).hint("rebalance", "list").write.partitionBy("list").parquet(f"{path}/lists")
     c, b, kind = quantiser.centers, quantiser.books, rows.schema["id"].dataType.simpleString()
-    spark.createDataFrame([(model, list(c.shape), bytearray(c.tobytes()), list(b.shape), bytearray(b.tobytes()), quantiser.probes, kind)], "model string, shape array<int>, centers binary, book_shape array<int>, books binary, probes int, kind string").write.parquet(f"{path}/quantiser")
+    spark.createDataFrame([(model, list(c.shape), bytearray(c.tobytes()), list(b.shape), bytearray(b.tobytes()), quantiser.probes, quantiser.share, kind)], "model string, shape array<int>, centers binary, book_shape array<int>, books binary, probes int, share double, kind string").write.parquet(f"{path}/quantiser")
     return Index(spark, path, model, quantiser, kind)
 
 
@@ -137,7 +156,7 @@ def opened(spark: SparkSession, path: str, model: str = "") -> Index:
     if r["model"] != model:
         raise ValueError(f"the index holds vectors of {r['model']!r}, not of {model!r}")
     array = lambda raw, shape: np.frombuffer(bytes(raw), np.float32).reshape(shape)
-    return Index(spark, path, model, Quantiser(array(r["centers"], r["shape"]), array(r["books"], r["book_shape"]), r["probes"]), r["kind"])
+    return Index(spark, path, model, Quantiser(array(r["centers"], r["shape"]), array(r["books"], r["book_shape"]), r["probes"], r["share"]), r["kind"])
 
 
 def upsert(index: Index, rows: DataFrame) -> list[int]:
@@ -184,8 +203,11 @@ def by_codes(codes: DataFrame, quantiser: Quantiser, queries: np.ndarray, near:
 
 def search(index: Index, queries: DataFrame, k: int, probes: int | None = None, depth: int | None = None, block: int = BLOCK) -> DataFrame:
     """query_id, id, score (cosine), rank: near the k best of each query (query_id, embedding). Of the `probes` nearest lists (by default as many as the training found) the
-    `depth` best by code (by default 20 k) are scored exactly. A block of queries and its candidates (block x depth rows) are broadcast."""
-    spark, depth = index.spark, depth or 20 * k
+    `depth` best by code (by default the share of all rows that the training found, 20 k at least) are scored exactly. A block of queries and its candidates
+    are broadcast; of candidates that go deeper than 20 k a block has as many in all, so fewer queries."""
+    spark = index.spark
+    depth = depth or max(20 * k, math.ceil(index.quantiser.share * index.rows().count() * max(1, k / 10)))
+    block = max(1, min(block, block * 20 * k // depth))
     live = queries.where("size(embedding) > 0").select("query_id", "embedding")
     n = max(1, -(-live.count() // block))
     out = None

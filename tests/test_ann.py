@@ -61,3 +61,19 @@ def test_nothing_to_index(spark, tmp_path):
     assert ann.opened(spark, index.path).quantiser.centers.shape[0] == 1
     asked = cloud(spark).limit(2).select(F.col("id").alias("query_id"), "embedding")
     assert ann.search(index, asked.limit(0), 3).collect() == []
+
+
+def test_recall_of_vectors_without_clusters(spark, tmp_path):
+    """What 8-byte codes and 200 candidates by code lose, all lists being read."""
+    x = np.random.default_rng(5).standard_normal((20_000, 64)).astype(np.float32)
+    rows = ann.materialize(spark.createDataFrame(list(enumerate(x.tolist())), "id long, embedding array<float>"), "vectors")
+    asked = rows.where("id % 400 = 0").select(F.col("id").alias("query_id"), "embedding")
+    index = ann.build(rows, str(tmp_path / "v"), lists=20, sample=5000)
+    assert 0 < ann.opened(spark, index.path).quantiser.share < 0.02
+    r = ann.recall(ann.search(index, asked, 10, probes=20), vectors.vector_search(rows, asked, 10)).first()
+    assert r["n"] == 50 and r["recall"] >= 0.95
+    # Coarser codes are met by a deeper search.
+    coarse = ann.build(rows, str(tmp_path / "w"), lists=20, sample=5000, parts=8)
+    assert coarse.quantiser.share > 2 * index.quantiser.share
+    r = ann.recall(ann.search(coarse, asked, 10, probes=20), vectors.vector_search(rows, asked, 10)).first()
+    assert r["recall"] >= 0.9
