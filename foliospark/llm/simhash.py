@@ -513,7 +513,8 @@ def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shin
     Rows of one doc_id are one document: it goes with any of its texts. Of rows equal in doc_id and text that with the
     least other columns (as JSON) stays. Rows without a doc_id stay, all of them."""
     found = materialize(near_copies(df, id_col, text_col, shingle, similarity), "near-duplicates")
-    gone = found.where("doc_id <> component_id").select(F.col("doc_id").alias("gone_")).distinct()
+    # Written, so that its size is known before the join: a small one is broadcast and the rows of df stay where they are.
+    gone = materialize(found.where("doc_id <> component_id").select(F.col("doc_id").alias("gone_")).distinct(), "gone")
     out = df.join(gone, df[id_col] == gone["gone_"], "left_anti")
     twice = found.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select(F.col("doc_id").alias("twice_"))
     if twice.isEmpty():
