@@ -8,6 +8,7 @@ from foliospark.functions import text as T
 from foliospark.plans import catalog
 
 LINES = ["first", "5.6.7.8 after a code", "7", "1 (826) 555", "4703443633947811 long", "SP9001 twice", "ex 12 sv 401", " 3 blanks"]
+PAGES = ["<title>token = &quot</title><p>token = &quot;x&quot; &amp; y &amp</p>", "<p>a &lt b &copy &#3 &#39</p>&quot", "<p>&copy; &middot; &lt;b&gt; &#39;q&#39;</p><a href='?a=1&copy=2'>z &am &a &</a>"]
 
 
 def both(spark, path, name):
@@ -29,3 +30,10 @@ def test_a_digit_after_a_code_is_none_of_its_own(spark, tmp_path, name):
 
 def test_digits_apart_are_a_code_by_default(spark):
     assert spark.range(1).select(T.codes(F.lit("SP-9005 6.7"))).first()[0] == ["SP90056"]
+
+
+@pytest.mark.parametrize("name", ["html_items", "html_blocks"])
+def test_references_without_semicolon(spark, tmp_path, name):
+    spark.createDataFrame(list(enumerate(PAGES)), "page_id long, html string").write.parquet(str(tmp_path / "pages.parquet"))
+    got, want = both(spark, tmp_path, name)
+    assert got == want and len(got) == len(PAGES)
