@@ -51,7 +51,11 @@ def test_queries_of_the_same_terms_are_scored_once(spark, monkeypatch):
     found = bm25.search(index, queries, 3)
     assert asked == [2]
     rows = lambda df: sorted((r["query_id"], r["rank"], r["id"], r["score"]) for r in df.collect())
-    assert rows(found) == rows(bm25.top_k(bm25.scores(index, queries), 3)) and len(rows(found)) == 21
+    want = rows(bm25.top_k(bm25.scores(index, queries), 3))
+    assert rows(found) == want and len(want) == 21
+    # Also where queries are dealt into blocks: those of the same terms come into one.
+    asked.clear()
+    assert rows(bm25.one_pass(index, bm25.priced(index, queries), 3, block=1)) == want and sum(asked) == 2
 
 
 @pytest.mark.parametrize("scale", ["cosine", "shifted", "inverse_distance"])
