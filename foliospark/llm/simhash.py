@@ -29,7 +29,7 @@ from __future__ import annotations
 
 import functools
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import combinations
 
 import numpy as np
@@ -376,11 +376,25 @@ def sketches(df: DataFrame, id_col: str, text_col: str, shingle: int) -> DataFra
     return id_text(df, id_col, text_col).mapInArrow(run, "doc_id long, same binary, m long, fp long, sketch array<long>")
 
 
+MOST_SLOTS = 1 << 28  # of a table that goes to all tasks
+
+
+def looked_up(hashes: np.ndarray, share: float) -> np.ndarray:
+    """Which of the hashes are among the share that a table is for. More of them than it has slots would only fill it: by then each slot is hit twice."""
+    return _salted(hashes, range(7, 8))[:, 0] >> np.uint64(11) < np.uint64(int(share * (1 << 53)))
+
+
 def prefix_keys(texts: DataFrame, n: int, shingle: int, similarity: float) -> DataFrame:
     """key (a shingle), same, m, pos (its place in the order) of the shingles by which a text (column text) can meet
-    others; n: of all shingles. Copies give their rows once."""
-    texts, slots = texts.select("text"), slots_for(n)
-    table = texts.sparkSession.sparkContext.broadcast(shared_table(texts, lambda batches: (shingle_set(t.as_py(), shingle) for b in batches for t in b["text"]), slots))
+    others; n: of all shingles. Copies give their rows once. Keys that no other text has are left out, however many shingles there are."""
+    texts, slots = texts.select("text"), slots_for(n, MOST_SLOTS)
+    share = min(1.0, slots / max(1, n))
+
+    def some(text: str | None) -> np.ndarray:
+        parts = shingle_set(text, shingle)
+        return parts[looked_up(parts, share)] if share < 1 else parts
+
+    table = texts.sparkSession.sparkContext.broadcast(shared_table(texts, lambda batches: (some(t.as_py()) for b in batches for t in b["text"]), slots))
     schema = pa.schema([("key", pa.int64()), ("same", pa.binary()), ("m", pa.int64()), ("pos", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -390,7 +404,7 @@ def prefix_keys(texts: DataFrame, n: int, shingle: int, similarity: float) -> Da
             for text in batch["text"]:
                 t = text.as_py()
                 parts = shingle_set(t, shingle)
-                on = parts[known.of(parts)]
+                on = parts[known.of(parts) | ~looked_up(parts, share)] if share < 1 else parts[known.of(parts)]
                 lone = len(parts) - len(on)
                 on = on[: max(0, prefix_length(len(parts), similarity) - lone)]
                 if len(on):
@@ -401,7 +415,44 @@ def prefix_keys(texts: DataFrame, n: int, shingle: int, similarity: float) -> Da
             if keys:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys)), pa.array(same, pa.binary()), pa.array(np.concatenate(m)), pa.array(np.concatenate(pos))], schema=schema)
 
-    return texts.mapInArrow(run, "key long, same binary, m long, pos long").distinct()
+    return met_twice(materialize(texts.mapInArrow(run, "key long, same binary, m long, pos long"), "prefix-written")).distinct()
+
+
+def met_twice(keys: DataFrame, rounds: int = 4) -> DataFrame:
+    """keys (a written table with the column key) without most of those whose key is in one row only, by tables of slots where the rows lie. A table
+    is for as many keys as it has slots at most, so more keys take several; where slots are still short, others by chance in
+    a slot of their own go in the next round."""
+    spark = keys.sparkSession
+    n = keys.count()
+    for r in range(rounds):
+        if not n:
+            break
+        slots, parts = slots_for(n, MOST_SLOTS), max(1, -(-n // MOST_SLOTS))
+        for p in range(parts):
+
+            def own(batch: pa.RecordBatch, r: int = r, p: int = p, parts: int = parts) -> tuple[np.ndarray, np.ndarray]:
+                """The keys mixed anew for the round, and which of them the table is for."""
+                mixed = _salted(batch["key"].to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64), range(20 + r, 21 + r))[:, 0]
+                return mixed, mixed % np.uint64(parts) == p
+
+            def entries(batches: Iterator[pa.RecordBatch], own: Callable = own) -> Iterator[np.ndarray]:
+                for batch in batches:
+                    mixed, ours = own(batch)
+                    yield mixed[ours]
+
+            table = spark.sparkContext.broadcast(shared_table(keys.select("key"), entries, slots))
+
+            def run(batches: Iterator[pa.RecordBatch], own: Callable = own, table=table, slots: int = slots) -> Iterator[pa.RecordBatch]:
+                known = Shared(table.value, slots)
+                for batch in batches:
+                    mixed, ours = own(batch)
+                    yield batch.filter(pa.array(~ours | known.of(mixed)))
+
+            keys = materialize(keys.mapInArrow(run, keys.schema), "prefix-met")
+        before, n = n, keys.count()
+        if slots >= 8 * before or n > 0.9 * before:
+            break
+    return keys
 
 
 def may_overlap(other: str, similarity: float) -> Column:
@@ -412,9 +463,13 @@ def may_overlap(other: str, similarity: float) -> Column:
 
 
 def named(texts: DataFrame, pairs: DataFrame) -> DataFrame:
-    """The texts (node, text) of the nodes that pairs (a, b) name. Where they lie, a table of slots leaves out nearly
+    """The texts (node, text) of the nodes that pairs (a, b) name, and few others (see among)."""
+    return among(texts, materialize(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "named"))
+
+
+def among(texts: DataFrame, ids: DataFrame) -> DataFrame:
+    """The texts (node, text) of ids (node, each once; a written table). Where they lie, a table of slots leaves out nearly
     all others, which a join would shuffle."""
-    ids = materialize(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "named")
     slots = slots_for(ids.count())
     longs = lambda batch: batch["node"].to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
     # The table has the slots hit more than once, so each id is given twice.
@@ -492,7 +547,8 @@ def near_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", s
     parts = pairs.limit(0).select(F.col("a").alias("node"), F.col("b").alias("component"))
     parts = confirmed(parts, pairs, texts, shingle, similarity)
     n = docs.agg(F.coalesce(F.sum("m"), F.lit(0))).first()[0]
-    keys = prefix_keys(texts, n, shingle, similarity).join(classes.select("same", "node"), "same").select("key", "node", "m", "pos")
+    # Of copies one is enough: their shingles are then their own.
+    keys = prefix_keys(among(texts, classes.select("node")), n, shingle, similarity).join(classes.select("same", "node"), "same").select("key", "node", "m", "pos")
     keys = materialize(keys, "prefix-keys")
     pairs = sketched(representative_pairs(keys, 2, may_overlap("rep_", similarity)))
     parts = confirmed(parts, pairs, texts, shingle, similarity)
