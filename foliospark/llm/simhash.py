@@ -384,24 +384,27 @@ def looked_up(hashes: np.ndarray, share: float) -> np.ndarray:
     return _salted(hashes, range(7, 8))[:, 0] >> np.uint64(11) < np.uint64(int(share * (1 << 53)))
 
 
-def prefix_keys(texts: DataFrame, n: int, shingle: int, similarity: float) -> DataFrame:
-    """key (a shingle), same, m, pos (its place in the order) of the shingles by which a text (column text) can meet
-    others; n: of all shingles. Copies give their rows once. Keys that no other text has are left out, however many shingles there are."""
-    texts, slots = texts.select("text"), slots_for(n, MOST_SLOTS)
+def prefix_keys(texts: DataFrame, n: int, shingle: int, similarity: float, ids: DataFrame | None = None) -> DataFrame:
+    """key (a shingle), same, m, pos (its place in the order) of the shingles by which a text (column text; those of ids at least, if given, see among)
+    can meet others; n: of all shingles. Copies give their rows once. Keys that no other text has are left out, however many shingles there are."""
+    slots = slots_for(n, MOST_SLOTS)
     share = min(1.0, slots / max(1, n))
+    # Chosen by the step that needs them: a step of its own would be a second Python process a task.
+    live = (lambda: lambda batch: batch) if ids is None else chosen(ids)
+    texts = texts.select("text") if ids is None else texts.select("node", "text")
 
     def some(text: str | None) -> np.ndarray:
         parts = shingle_set(text, shingle)
         return parts[looked_up(parts, share)] if share < 1 else parts
 
-    table = texts.sparkSession.sparkContext.broadcast(shared_table(texts, lambda batches: (some(t.as_py()) for b in batches for t in b["text"]), slots))
+    table = texts.sparkSession.sparkContext.broadcast(shared_table(texts, lambda batches: (some(t.as_py()) for of in [live()] for b in batches for t in of(b)["text"]), slots))
     schema = pa.schema([("key", pa.int64()), ("same", pa.binary()), ("m", pa.int64()), ("pos", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = Shared(table.value, slots)
+        known, of = Shared(table.value, slots), live()
         for batch in batches:
             keys, same, m, pos = [], [], [], []
-            for text in batch["text"]:
+            for text in of(batch)["text"]:
                 t = text.as_py()
                 parts = shingle_set(t, shingle)
                 on = parts[known.of(parts) | ~looked_up(parts, share)] if share < 1 else parts[known.of(parts)]
@@ -470,17 +473,26 @@ def named(texts: DataFrame, pairs: DataFrame) -> DataFrame:
 def among(texts: DataFrame, ids: DataFrame) -> DataFrame:
     """The texts (node, text) of ids (node, each once; a written table). Where they lie, a table of slots leaves out nearly
     all others, which a join would shuffle."""
+    live = chosen(ids)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from map(live(), batches)
+
+    return texts.select("node", "text").mapInArrow(run, "node long, text string")
+
+
+def chosen(ids: DataFrame) -> Callable[[], Callable[[pa.RecordBatch], pa.RecordBatch]]:
+    """For a task: what leaves out nearly all rows of a batch whose node isn't one of ids."""
     slots = slots_for(ids.count())
     longs = lambda batch: batch["node"].to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
     # The table has the slots hit more than once, so each id is given twice.
-    table = texts.sparkSession.sparkContext.broadcast(shared_table(ids, lambda batches: (np.repeat(longs(b), 2) for b in batches), slots))
+    table = ids.sparkSession.sparkContext.broadcast(shared_table(ids, lambda batches: (np.repeat(longs(b), 2) for b in batches), slots))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def begin() -> Callable[[pa.RecordBatch], pa.RecordBatch]:
         known = Shared(table.value, slots)
-        for batch in batches:
-            yield batch.filter(pa.array(known.of(longs(batch)), pa.bool_()))
+        return lambda batch: batch.filter(pa.array(known.of(longs(batch)), pa.bool_()))
 
-    return texts.select("node", "text").mapInArrow(run, "node long, text string")
+    return begin
 
 
 def alike(pairs: DataFrame, texts: DataFrame, shingle: int, similarity: float) -> DataFrame:
@@ -548,7 +560,7 @@ def near_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", s
     parts = confirmed(parts, pairs, texts, shingle, similarity)
     n = docs.agg(F.coalesce(F.sum("m"), F.lit(0))).first()[0]
     # Of copies one is enough: their shingles are then their own.
-    keys = prefix_keys(among(texts, classes.select("node")), n, shingle, similarity).join(classes.select("same", "node"), "same").select("key", "node", "m", "pos")
+    keys = prefix_keys(texts, n, shingle, similarity, classes.select("node")).join(classes.select("same", "node"), "same").select("key", "node", "m", "pos")
     keys = materialize(keys, "prefix-keys")
     pairs = sketched(representative_pairs(keys, 2, may_overlap("rep_", similarity)))
     parts = confirmed(parts, pairs, texts, shingle, similarity)
